@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, mixing, quality, secrets, sharding
+from silverloom.llm import bpe, jaccard, mixing, quality, secrets, sharding
 from silverloom.llm.common import table
 
 
@@ -39,8 +39,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op8_secret_scan]
+    ops = [op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op8_secret_scan, op10_jaccard_join]
     return {f.__name__: f for f in ops}
 
 
