@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import bpe, jaccard, mixing, quality, secrets, sharding
+from silverloom.llm import ann, bpe, html, jaccard, mixing, quality, secrets, sharding
 from silverloom.llm.common import table
 
 
+def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 8)
 
@@ -39,13 +43,18 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract_text(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = jaccard.link_components(table(spark, sf_dir, "documents"), n=3, percent=90)
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op8_secret_scan, op10_jaccard_join]
+    ops = [op2_hash_prefix_forest, op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op8_secret_scan, op9_html_tree_model, op10_jaccard_join]
     return {f.__name__: f for f in ops}
 
 
