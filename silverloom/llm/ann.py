@@ -34,7 +34,7 @@ from silverloom.llm.common import materialize
 
 TREES, BITS = 12, 32
 BUCKET_ROWS, BLOCK_QUERIES = 4096, 2048
-SHARE, LEAST = 0.75, 1024
+SHARE, LEAST = 0.6, 1024
 SEED = 20
 
 
