@@ -88,6 +88,7 @@ class ForcedBoundaryBpe:
             self.made.append(vocab[a + b])
         self.decimal = [str(i) for i in range(max(self.names) + 1)]
         self.known: dict[bytes, tuple[str, int, str]] = {}
+        self.counts: dict[bytes, int] = {}
 
     def normalize(self, text: str) -> str:
         if not unicodedata.is_normalized("NFC", text):
@@ -179,6 +180,22 @@ class ForcedBoundaryBpe:
         out += [known.get(f) or fragment(f) for f in self.fragments(text[at:] if at else text)]
         return out
 
+    def count(self, text: str) -> int:
+        """The number of tokens of a text; fragments' counts are remembered without their ids."""
+        total, at, known, sized = 0, 0, self.counts, self.sized
+        for m in self.special_at.finditer(text) if "<|" in text else ():
+            total += 1 + sum([known.get(f) or sized(f) for f in self.fragments(text[at : m.start()])])
+            at = m.end()
+        return total + sum([known.get(f) or sized(f) for f in self.fragments(text[at:] if at else text)])
+
+    def sized(self, piece: bytes) -> int:
+        n = len(self.merge(piece))
+        if len(piece) <= CACHED_BYTES:
+            if len(self.counts) >= CACHE:
+                self.counts.clear()
+            self.counts[piece] = n
+        return n
+
 
 @lru_cache(maxsize=2)
 def coder(spec: str) -> ForcedBoundaryBpe:
