@@ -57,3 +57,29 @@ def prefix_sums(
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = df.withColumn("__within", F.coalesce(F.sum(value).over(within), F.lit(0)))
     return placed.join(offsets, keys).withColumn(name, F.col("__offset") + F.col("__within")).drop("__offset", "__within")
+
+
+def text_key(text: str = "text") -> list[Column]:
+    """Columns that name a text: two hashes and its length; null texts share one name."""
+    return [F.xxhash64(text).alias("key_h"), F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(-1)).alias("key_c"), F.coalesce(F.octet_length(text), F.lit(-1)).alias("key_n")]
+
+
+KEY = ["key_h", "key_c", "key_n"]
+
+
+def with_marks(docs: DataFrame, marks: DataFrame, how: str, by: dict[str, str], rows: int = 1_000_000) -> DataFrame:
+    """Join ``marks`` (KEY, other columns and new ones) to ``docs`` on the text's name and, null-safely, on ``by``.
+
+    ``by`` maps columns of ``docs`` to columns of ``marks``. Up to ``rows`` marks are broadcast, more are shuffled. The
+    columns of ``docs`` stay as they are; the new ones of ``marks`` must be named with a leading ``__``.
+    """
+    named = marks.select(*[F.col(c).alias(f"__{c}") for c in [*KEY, *by.values()]], *[c for c in marks.columns if c not in [*KEY, *by.values()]])
+    named = broadcast_if_small(materialize(named, "marks"), rows)
+    keyed = docs.withColumns({f"__d{k}": c for k, c in enumerate(text_key())})
+    on = F.lit(True)
+    for k, c in enumerate(KEY):
+        on = on & (keyed[f"__d{k}"] == named[f"__{c}"])
+    for mine, theirs in by.items():
+        on = on & keyed[mine].eqNullSafe(named[f"__{theirs}"])
+    out = keyed.join(named, on, how)
+    return out.drop(*[f"__d{k}" for k in range(len(KEY))], *[f"__{c}" for c in [*KEY, *by.values()]])

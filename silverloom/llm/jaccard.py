@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import broadcast_if_small, materialize, prefix_sums
+from silverloom.llm.common import KEY, broadcast_if_small, materialize, prefix_sums, text_key, with_marks
 from silverloom.llm.components import connected_components
 
 #: Words remembered by a task, and the rows of ids up to which a join with whole texts is a broadcast.
@@ -124,7 +124,7 @@ def set_id(hashes: np.ndarray) -> bytes:
 
 
 def with_sets(docs: DataFrame, n: int, percent: int, id_col: str) -> DataFrame:
-    """One row per row of ``docs``: row_id, doc_id, text_hash, n_shingles, set_id, keys; written to the shared folder."""
+    """One row per row of ``docs``: row_id, doc_id, the text's name, n_shingles, set_id, keys; written to the shared folder."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, bands = Words(), Bands(percent)
@@ -133,8 +133,8 @@ def with_sets(docs: DataFrame, n: int, percent: int, id_col: str) -> DataFrame:
             keys = [segment_keys(s, bands).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
             yield batch.drop(columns="text").assign(n_shingles=[len(s) for s in sets], set_id=[set_id(s) for s in sets], keys=keys)
 
-    plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return materialize(plain.mapInPandas(run, "row_id long, doc_id long, text_hash long, n_shingles long, set_id binary, keys array<long>"), "sets")
+    plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), *text_key(), "text")
+    return materialize(plain.mapInPandas(run, "row_id long, doc_id long, key_h long, key_c long, key_n int, n_shingles long, set_id binary, keys array<long>"), "sets")
 
 
 def compare(arrays: list[np.ndarray], percent: int, split: int | None = None) -> list[int]:
@@ -217,7 +217,7 @@ def tiles_of(members: DataFrame, percent: int) -> DataFrame:
 
 
 def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: row_id, doc_id, text_hash, n_shingles, node (its class), root, component_id."""
+    """One row per row of ``docs``: row_id, doc_id, the text's name, n_shingles, node (its class), root, component_id."""
     sets = with_sets(docs, n, percent, id_col)
     filled = sets.where("n_shingles > 0")
     classes = filled.groupBy("set_id").agg(F.min("row_id").alias("node"), F.count("*").alias("rows"))
@@ -229,16 +229,17 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     members = firsts.where("row_id = node").join(clusters, "node")
     members = materialize(members, "members")
     tiled = tiles_of(members.select("node", "cluster", "n_shingles"), percent)
-    wanted = materialize(members.select("node", "doc_id", "text_hash", "set_id").join(tiled, "node"), "tiled")
-    texts = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64("text").alias("h"), "text")
-    both = texts.join(broadcast_if_small(wanted, BROADCAST_IDS), texts.d.eqNullSafe(F.col("doc_id")) & (texts.h == F.col("text_hash")))
+    wanted = members.select("node", "doc_id", *KEY, F.col("set_id").alias("__set_id")).join(tiled, "node")
+    wanted = wanted.select("doc_id", *KEY, "__set_id", *[F.col(c).alias(f"__{c}") for c in ("node", "block", "tile")])
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
+    both = with_marks(texts, wanted, "inner", {"doc_id": "doc_id"}, BROADCAST_IDS)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
             sets = [shingle_set(t, n, words) for t in batch["text"]]
-            same = [set_id(s) == bytes(i) for s, i in zip(sets, batch["set_id"], strict=True)]
-            out = batch[["node", "block", "tile"]].assign(hashes=[s.view(np.int64) for s in sets])
+            same = [set_id(s) == bytes(i) for s, i in zip(sets, batch["__set_id"], strict=True)]
+            out = batch.rename(columns={"__node": "node", "__block": "block", "__tile": "tile"})[["node", "block", "tile"]].assign(hashes=[s.view(np.int64) for s in sets])
             yield out[same]
 
     def forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -253,10 +254,28 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
         yield pd.DataFrame(_tile_forest(rows, percent) if len(rows) > 1 else [], columns=["u", "v"], dtype="int64")
 
-    arrays = both.select("node", "block", "tile", "set_id", "text").mapInPandas(hashed, "node long, block long, tile string, hashes array<long>")
+    arrays = both.drop("doc_id").mapInPandas(hashed, "node long, block long, tile string, hashes array<long>")
     edges = arrays.repartition("tile").sortWithinPartitions("tile").mapInPandas(forests, "u long, v long")
     roots = connected_components(edges)
     rooted = materialize(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     linked = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
     out = rooted.join(linked, "root", "left")
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component: that of the least id (a null id only where there is no other)."""
+    linked = link_components(docs, n, percent, id_col).withColumn("place", F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "row_id"))
+    best = linked.groupBy("root").agg(F.min_by(F.struct("doc_id", *KEY), "place").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    linked = linked.join(best.drop("rows"), "root")  # only components of several rows
+    is_first = F.struct("doc_id", *KEY).eqNullSafe(F.col("first"))
+    copies = linked.groupBy("doc_id", *KEY).agg(F.max(is_first).alias("first"), F.sum(is_first.cast("int")).alias("n"))
+    copies = materialize(copies.where("not first or n > 1"), "near-copies")
+    kept = with_marks(docs, copies.select("doc_id", *KEY), "left_anti", {id_col: "doc_id"})
+    again = copies.where("first").select("doc_id", *KEY)
+    if again.isEmpty():
+        return kept
+    # rows that repeat both id and text: one of them stays
+    repeated = with_marks(docs.withColumns({f"__k{i}": c for i, c in enumerate(text_key())}), again, "left_semi", {id_col: "doc_id"})
+    rank = F.row_number().over(Window.partitionBy(id_col, "__k0", "__k1", "__k2").orderBy(F.lit(1)))
+    return kept.unionByName(repeated.withColumn("__rank", rank).where("__rank = 1").select(*docs.columns))

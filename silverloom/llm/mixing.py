@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import WORD_CLASS, broadcast_if_small, materialize, prefix_sums
+from silverloom.llm.common import KEY, WORD_CLASS, broadcast_if_small, materialize, prefix_sums, text_key, with_marks
 
 GOLDEN = 0.6180339887498949
 #: Blocks of a source: at least MIN_BLOCKS (fewer only where it has fewer words), and of at most BLOCK_WORDS words.
@@ -92,17 +92,21 @@ def mix(
     min_blocks: int = MIN_BLOCKS,
     block_words: int = BLOCK_WORDS,
     max_passes: int = MAX_PASSES,
+    extra: list[Column] | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken (words, repeats counted)."""
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken (words, repeats counted).
+
+    ``extra`` columns are carried along.
+    """
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_CLASS + "+")).cast("long")
-    sized = materialize(docs.select(F.col(id_col).alias("doc_id"), "source", size.alias("size")), "mix-sized")
+    sized = materialize(docs.select(F.col(id_col).alias("doc_id"), "source", size.alias("size"), *(extra or [])), "mix-sized")
     blocked = materialize(with_blocks(source_targets(sized, max_passes=max_passes), min_blocks, block_words), "mix-sources")
     uses = schedule(blocked, max_passes).groupBy("idx", "block").agg(F.count("*").alias("uses"))
     per_source = broadcast_if_small(blocked.select(F.col("source").alias("s"), "idx", "source_size", "target", "base", "longer"))
     rows = sized.join(per_source, sized.source.eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("h", F.xxhash64("doc_id", F.lit(17))).withColumn("piece", F.pmod("h", F.lit(PIECES)))
     laid = prefix_sums(rows, ["idx"], "piece", [F.col("h"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
-    names = ["doc_id", "source", "size", "source_size", "target"]
+    names = [*sized.columns, "source_size", "target"]
     cut = laid.where("size > 0").withColumn("block", F.explode(F.sequence(block_of(F.col("start")), block_of(F.col("start") + F.col("size") - 1))))
     block_start = F.col("block") * F.col("base") + F.least("block", "longer")
     block_end = block_start + F.col("base") + (F.col("block") < F.col("longer")).cast("int")
@@ -110,3 +114,14 @@ def mix(
     taken = cut.join(uses, ["idx", "block"], "left").withColumn("words", overlap * F.coalesce("uses", F.lit(0)))
     taken = taken.groupBy("idx", "start", *names).agg(F.sum("words").alias("taken")).select(*names, "taken")
     return taken.unionByName(laid.where("size = 0").select(*names, F.lit(0).cast("long").alias("taken")))
+
+
+def resample(docs: DataFrame) -> DataFrame:
+    """``docs`` mixed by whole documents: each row as often as the mix takes its words, rounded.
+
+    Rows that repeat id, source and text share what the mix takes of them equally.
+    """
+    taken = mix(docs, extra=text_key()).groupBy("doc_id", "source", *KEY).agg((F.sum("taken") / F.sum("size")).alias("ratio"))
+    marks = taken.select("doc_id", "source", *KEY, F.floor(F.col("ratio") + 0.5).cast("int").alias("__copies")).where(F.col("__copies") > 0)
+    mixed = with_marks(docs, marks, "inner", {"doc_id": "doc_id", "source": "source"})
+    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

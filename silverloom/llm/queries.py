@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm import ann, bpe, html, jaccard, mixing, quality, secrets, sharding
+import corpus_pipeline
+from silverloom.llm import ann, bpe, host_quality, html, jaccard, mixing, quality, secrets, sharding, token_counts
 from silverloom.llm.common import table
 
 
+def op1_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_with_edits(table(spark, sf_dir, "documents"), token_counts.derived_edits(), bpe.default_spec())
+
+
 def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -32,6 +37,11 @@ def op6_mixing_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("evidence", "host_mean", "path_mean", "posterior")})
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     each = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, secrets.KINDS)), x.kind + 1), x.start, x.end)), ",")
@@ -54,9 +64,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op2_hash_prefix_forest, op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op8_secret_scan, op9_html_tree_model, op10_jaccard_join]
-    return {f.__name__: f for f in ops}
+    ops = [op1_edit_aware_counts, op2_hash_prefix_forest, op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op7_host_quality, op8_secret_scan, op9_html_tree_model, op10_jaccard_join]
+    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found: dict[str, str] = {}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

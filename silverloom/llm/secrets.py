@@ -19,10 +19,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import materialize
+from silverloom.llm.common import KEY, materialize, text_key, with_marks
 
 KINDS = ["assign", "access", "hex", "owned"]
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -65,10 +65,11 @@ def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.drop(columns="text").assign(spans=spans)
 
 
-def scanned(docs: DataFrame, id_col: str, owner_col: str, keep: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs``: row_id (unique), doc_id, owner, spans; written to the shared folder."""
-    plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).alias("owner"), "text")
-    return materialize(plain.mapInPandas(_scan_batches, f"row_id long, doc_id long, owner string, spans array<{SPAN}>"), "secret-spans")
+def scanned(docs: DataFrame, id_col: str, owner_col: str) -> DataFrame:
+    """One row per row of ``docs``: row_id (unique), doc_id, owner, the text's name, spans; written to the shared folder."""
+    plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).alias("owner"), *text_key(), "text")
+    schema = f"row_id long, doc_id long, owner string, key_h long, key_c long, key_n int, spans array<{SPAN}>"
+    return materialize(plain.mapInPandas(_scan_batches, schema), "secret-spans")
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -86,11 +87,32 @@ def classified(spans: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int =
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, found (array of kind, start, end, live), ordered by start and kind.
+    """One row per row of ``docs``: doc_id, the text's name, found (array of kind, start, end, live), ordered by start and kind.
 
     ``found`` holds every base span and the candidates that the corpus shows to be owner-specific.
     """
     spans = scanned(docs, id_col, owner_col)
     chosen = classified(spans, max_owners, max_repos).where((F.col("kind") < 3) | F.col("live"))
     listed = chosen.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("found"))
-    return spans.select("row_id", "doc_id").join(listed, "row_id", "left").select("row_id", "doc_id", F.coalesce("found", F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")).alias("found"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")
+    return spans.select("row_id", "doc_id", *KEY).join(listed, "row_id", "left").select("doc_id", *KEY, F.coalesce("found", none).alias("found"))
+
+
+def redact(docs: DataFrame, live: str = "[SECRET]", example: str = "[EXAMPLE-SECRET]") -> DataFrame:
+    """``docs`` with every span replaced by a mark that says whether its value looks live; n_chars follows the text."""
+    marks = find_secrets(docs).where(F.size("found") > 0).dropDuplicates(["doc_id", *KEY]).withColumnRenamed("found", "__found")
+    joined = with_marks(docs, marks, "left", {"doc_id": "doc_id"})
+
+    def step(a: Column, x: Column) -> Column:
+        before = F.substring("text", a.at + 1, x.start - a.at)
+        mark = F.when(x.live, F.lit(live)).otherwise(F.lit(example))
+        out = F.when(x.start >= a.at, F.concat(a.out, before, mark)).otherwise(a.out)
+        return F.struct(out.alias("out"), F.greatest(a.at, x.end).alias("at"))
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    redacted = F.aggregate("__found", start, step, lambda a: F.concat(a.out, F.substring("text", a.at + 1, F.length("text"))))
+    touched = F.col("__found").isNotNull()
+    out = joined.withColumn("text", F.when(touched, redacted).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(touched, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
