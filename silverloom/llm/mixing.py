@@ -80,10 +80,15 @@ def schedule(blocked: DataFrame, max_passes: int = MAX_PASSES) -> DataFrame:
     return ranked.where(F.col("pass") < max_passes).select("slot", "idx", "block", "pass")
 
 
+def block_start(k: Column) -> Column:
+    """The first word of block ``k``: the blocks with one word more are spread evenly."""
+    return k * F.col("base") + F.floor(k * F.col("longer") / F.col("blocks")).cast("long")
+
+
 def block_of(x: Column) -> Column:
-    """The block that holds word ``x`` of the line."""
-    edge = F.col("longer") * (F.col("base") + 1)
-    return F.when(x < edge, F.floor(x / (F.col("base") + 1))).otherwise(F.col("longer") + F.floor((x - edge) / F.col("base"))).cast("long")
+    """The block that holds word ``x`` of the line: an estimate, put right by one where rounding asks for it."""
+    near = F.floor(x / F.col("source_size") * F.col("blocks")).cast("long")
+    return F.when(block_start(near) > x, near - 1).when(block_start(near + 1) <= x, near + 1).otherwise(near)
 
 
 def mix(
@@ -102,15 +107,14 @@ def mix(
     sized = materialize(docs.select(F.col(id_col).alias("doc_id"), "source", size.alias("size"), *(extra or [])), "mix-sized")
     blocked = materialize(with_blocks(source_targets(sized, max_passes=max_passes), min_blocks, block_words), "mix-sources")
     uses = schedule(blocked, max_passes).groupBy("idx", "block").agg(F.count("*").alias("uses"))
-    per_source = broadcast_if_small(blocked.select(F.col("source").alias("s"), "idx", "source_size", "target", "base", "longer"))
+    per_source = broadcast_if_small(blocked.select(F.col("source").alias("s"), "idx", "source_size", "target", "base", "longer", "blocks"))
     rows = sized.join(per_source, sized.source.eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("h", F.xxhash64("doc_id", F.lit(17))).withColumn("piece", F.pmod("h", F.lit(PIECES)))
     laid = prefix_sums(rows, ["idx"], "piece", [F.col("h"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
     names = [*sized.columns, "source_size", "target"]
     cut = laid.where("size > 0").withColumn("block", F.explode(F.sequence(block_of(F.col("start")), block_of(F.col("start") + F.col("size") - 1))))
-    block_start = F.col("block") * F.col("base") + F.least("block", "longer")
-    block_end = block_start + F.col("base") + (F.col("block") < F.col("longer")).cast("int")
-    overlap = F.least(block_end, F.col("start") + F.col("size")) - F.greatest(block_start, F.col("start"))
+    upto = F.least(block_start(F.col("block") + 1), F.col("start") + F.col("size"))
+    overlap = upto - F.greatest(block_start(F.col("block")), F.col("start"))
     taken = cut.join(uses, ["idx", "block"], "left").withColumn("words", overlap * F.coalesce("uses", F.lit(0)))
     taken = taken.groupBy("idx", "start", *names).agg(F.sum("words").alias("taken")).select(*names, "taken")
     return taken.unionByName(laid.where("size = 0").select(*names, F.lit(0).cast("long").alias("taken")))
