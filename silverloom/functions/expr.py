@@ -77,7 +77,7 @@ def clamp_crop(x: Column, w: Column, size: Column) -> tuple[Column, Column]:
 
 
 def xywh_to_xyxy(box: Column) -> list[Column]:
-    at = lambda i: box.getItem(i).cast("double")
+    at = lambda i: F.get(box, F.lit(i)).cast("double")
     return [at(0), at(1), at(0) + at(2), at(1) + at(3)]
 
 
@@ -88,7 +88,8 @@ def cxcywh_to_xyxy(cx: Column, cy: Column, w: Column, h: Column, width: Column,
 
 def polygon_bounds(vertices: Column) -> list[Column]:
     """Bounding box of an array of [x, y] pairs."""
-    xs, ys = (F.transform(vertices, lambda v, i=i: v.getItem(i).cast("double")) for i in (0, 1))
+    xs = F.transform(vertices, lambda v: F.get(v, F.lit(0)).cast("double"))
+    ys = F.transform(vertices, lambda v: F.get(v, F.lit(1)).cast("double"))
     return [F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)]
 
 

@@ -20,12 +20,17 @@ ROLES = ["train", "val", "test"]
 IMAGE_KEY = ["dataset", "split", "file_name"]
 
 
+TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def struct(ddl: str) -> T.StructType:
-    """A schema from DDL, where ``!`` after a type marks a column that is never null."""
+    """A schema from names and types, where ``!`` after a type marks a column that is never null; needs no session."""
     fields = []
     for part in ddl.split(","):
         name, kind = part.split()
-        fields.append(T.StructField(name, T.DataType.fromDDL(kind.rstrip("!")), not kind.endswith("!")))
+        fields.append(T.StructField(name, TYPES[kind.rstrip("!")], not kind.endswith("!")))
     return T.StructType(fields)
 
 
