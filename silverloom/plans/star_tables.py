@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from silverloom.functions import expr as X
 from silverloom.operators import corrections, gold, normalize
 from silverloom.operators.normalize import Normalized
+from silverloom.plans.scratch import stored
 from silverloom.schemas import DatasetSpec, spec_frames
 
 # Names of the source's classes, and what they map onto; others take the default.
@@ -132,6 +133,12 @@ class StarTables:
     def gold_boxes(self) -> DataFrame:
         return gold.gold_boxes(self.folded.boxes, self.specs, GOLD_CLASSES)
 
+    def with_stored_gold(self) -> StarTables:
+        """The same, with gold written as tables: for jobs that read it several times, as they do in production."""
+        self.gold_boxes = stored(self.gold_boxes, "gold-boxes")
+        self.gold_images = stored(self.gold_images, "gold-images")
+        return self
+
     @cached_property
     def gold_images(self) -> DataFrame:
         return gold.gold_images(self.images, self.gold_boxes, self.specs)

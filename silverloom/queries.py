@@ -205,6 +205,7 @@ def gold_images(t: StarTables) -> DataFrame:
 )
 def gold_key_problems(t: StarTables) -> DataFrame:
     """Gold with images of ds1 repeated and those of ds2 lost."""
+    t = t.with_stored_gold()
     images = t.gold_images
     seeded = images.where("dataset <> 'ds2'").unionByName(images.where("dataset = 'ds1'"))
     return checks.gold_key_problems(seeded, t.gold_boxes)
@@ -280,6 +281,7 @@ def gold_shard(t: StarTables) -> DataFrame:
 
 @registered("select count(*) as num_rows from gi where dataset in ('ds1','ds3') and split='val' and image_id in (select image_id from gb where class_name='person')", "gi")
 def gold_count(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     chosen = query.select_rows(t.gold_images, query.Selection(dataset=("ds1", "ds3"), split=("val",), release="draft"))
     return query.images_of_classes(chosen, t.gold_boxes, ("person",)).agg(F.count("*").alias("num_rows"))
 
@@ -291,6 +293,7 @@ def release_rows(t: StarTables) -> DataFrame:
 
 @registered("select image_id, dataset, role from gi where role='train' union all select image_id, dataset, role from gi where role in ('val','test') and dataset<>'ds5'", "gi")
 def release_union(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     frozen = query.eval_rows(t.gold_images.where("dataset <> 'ds5'"))
     return query.release_view(t.gold_images, frozen).select("image_id", "dataset", "role")
 
@@ -300,6 +303,7 @@ def release_union(t: StarTables) -> DataFrame:
     "gi",
 )
 def release_diff(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     rows = query.eval_rows(t.gold_images).select("image_id", "dataset")
     return query.difference(rows.where("dataset <> 'ds1'"), rows.where("dataset <> 'ds5'")).select("image_id", "side")
 
@@ -386,16 +390,19 @@ def _store(t: StarTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     "lt",
 )
 def changed_boxes(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     return sync.changed_boxes(*_store(t))
 
 
 @registered("select * from st where box_id not in (select box_id from he) and box_id not in (select box_id from lt)", "he", "lt")
 def new_boxes(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     return sync.new_boxes(*_store(t))
 
 
 @registered("select box_id, image_id from he where image_id in (select image_id from gi) and box_id not in (select box_id from st) and box_id not in (select box_id from lt)", "he", "lt", "gi")
 def removed_boxes(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     staged, held, later = _store(t)
     return sync.removed_boxes(staged, t.gold_images, held, later)
 
@@ -409,12 +416,14 @@ def removed_boxes(t: StarTables) -> DataFrame:
     "gi",
 )
 def merged_boxes(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     staged, held, later = _store(t)
     return sync.merged_boxes(staged, t.gold_images, held, later)
 
 
 @registered("select image_id, 'role/'||role as tag from gi union all select image_id, 'split/'||split from gi where dataset<>'ds1'", "gi")
 def image_tags(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     held = t.gold_images.where("dataset = 'ds1'").select("image_id", F.concat(F.lit("split/"), "split").alias("tag"))
     return sync.image_tags(t.gold_images, held)
 
@@ -424,6 +433,7 @@ def image_tags(t: StarTables) -> DataFrame:
     "gi",
 )
 def image_upserts(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     path = F.when(F.col("dataset") == "ds1", F.concat(F.lit("/old/"), "image_path")).otherwise(F.concat(F.lit("s3://lake/"), "image_path"))
     held = t.gold_images.where("dataset in ('ds1', 'ds2')").select("image_id", path.alias("path"))
     return sync.image_upserts(t.gold_images, held, "s3://lake/").select("image_id", "path", "action")
@@ -434,6 +444,7 @@ def image_upserts(t: StarTables) -> DataFrame:
     "gi",
 )
 def lacks_vectors(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     held = _image_cache(t).select(F.col("image_id").alias("sample_id"), F.lit("m1").alias("model"))
     return sync.samples_without_vectors(t.gold_images, t.gold_boxes, held, "m1")
 
@@ -491,4 +502,5 @@ def event_chain_breaks(t: StarTables) -> DataFrame:
     "gi",
 )
 def shard_plan(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
     return sync.shard_plan(t.gold_images, 1500)
