@@ -5,19 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the folder that all executors share (spark.checkpoint.dir, or a new one where unset).
-
-    What reads it several times computes it once, and a lost executor loses none of it.
-    """
-    sc = df.sparkSession.sparkContext
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or a new one where that is unset."""
+    sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder. What reads it several times computes it once, and a lost executor loses
+
+    none of it.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
-from silverloom.operators import checks, corrections, normalize, query, sync, tallies, vectors
+from silverloom.operators import checks, corrections, gold, normalize, query, sync, tallies, vectors
+from silverloom.plans.scratch import scratch_dir, stored
 from silverloom.plans.star_tables import StarTables
+from silverloom.streaming import events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -504,3 +507,77 @@ def event_chain_breaks(t: StarTables) -> DataFrame:
 def shard_plan(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()
     return sync.shard_plan(t.gold_images, 1500)
+
+
+@registered("select image_id from gi where dataset<>'ds1'", "gi")
+def uncovered_images(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
+    return sync.coverage(t.gold_images, t.gold_images.where("dataset = 'ds1'"))
+
+
+@registered(
+    """select 'images' as what, count(*) as num_rows from gi where dataset<>'ds2' union all
+    select 'new_boxes', count(*) from st where box_id not in (select box_id from he) and box_id not in (select box_id from lt) union all
+    select 'updated_boxes', count(*) from st join he using (box_id) where (he.label,he.x,he.y,he.w,he.h) is distinct from (st.label,st.x,st.y,st.w,st.h) and box_id not in (select box_id from lt) union all
+    select 'removed_boxes', count(*) from he where image_id in (select image_id from gi) and box_id not in (select box_id from st) and box_id not in (select box_id from lt)""",
+    "he",
+    "lt",
+    "gi",
+)
+def merge_report(t: StarTables) -> DataFrame:
+    t = t.with_stored_gold()
+    staged, held, later = _store(t)
+    images = t.gold_images.where("dataset = 'ds2'").select("image_id", F.concat(F.lit("s3://lake/"), "image_path").alias("path"))
+    upserts = sync.image_upserts(t.gold_images, images, "s3://lake")
+    return sync.report(upserts, sync.new_boxes(staged, held, later), sync.changed_boxes(staged, held, later), sync.removed_boxes(staged, t.gold_images, held, later))
+
+
+@registered(
+    """select box_id as sample_id from he where box_id not in (select box_id from st join he using (box_id) where (he.x,he.y,he.w,he.h) is distinct from (st.x,st.y,st.w,st.h) and box_id not in (select box_id from lt))
+    and not (image_id in (select image_id from gi) and box_id not in (select box_id from st) and box_id not in (select box_id from lt))""",
+    "he",
+    "lt",
+    "gi",
+)
+def kept_vectors(t: StarTables) -> DataFrame:
+    """Samples of the store that keep their vector through the merge."""
+    t = t.with_stored_gold()
+    staged, held, later = _store(t)
+    removed = sync.removed_boxes(staged, t.gold_images, held, later)
+    return sync.kept_vectors(held.select(F.col("box_id").alias("sample_id")), sync.changed_boxes(staged, held, later), removed)
+
+
+@registered("select file_name from im where o_orderkey%10=0", "im")
+def missing_images(t: StarTables) -> DataFrame:
+    return checks.missing_files(t.images, t.images.where("o_orderkey % 10 <> 0"), "file_name")
+
+
+@registered("select box_id, log_sequence, file_ordinal from ev where file_ordinal>=10 and log_sequence>100 and log_sequence<=900", "ev")
+def log_slice(t: StarTables) -> DataFrame:
+    part = t.events.where("file_ordinal >= 10 and log_sequence > 100 and log_sequence <= 900")
+    return part.select("box_id", "log_sequence", "file_ordinal").orderBy("log_sequence", "box_id")
+
+
+@registered("select distinct dataset from im where dataset in ('ds4','ds5')", "im")
+def missing_datasets(t: StarTables) -> DataFrame:
+    return gold.missing_datasets(t.specs, t.images.where("dataset not in ('ds4', 'ds5')"))
+
+
+@registered(
+    """select a.image_id, cast(16 as int) as dim from gi a where image_id not in (select md5(dataset||'/'||split||'/'||file_name)::uuid::varchar from im join embeddings on vec_id=o_orderkey)""",
+    "gi",
+)
+def embed_missing(t: StarTables) -> DataFrame:
+    """Images without a cached vector get one from the embedder that needs no model."""
+    wanted = vectors.missing(t.gold_images.select("image_id", "file_name"), _image_cache(t), ["image_id"])
+    return vectors.embed(wanted, vectors.hash_embedder(16)).select("image_id", F.size("embedding").alias("dim"))
+
+
+@registered("select dataset,split,file_name,box_id,file_ordinal,log_sequence,is_deleted,label_name,x,y,w,h from la", "la")
+def streaming_latest(t: StarTables) -> DataFrame:
+    """The events as a stream of files: the latest of each box, batch by batch."""
+    files = stored(t.events.repartition(6, "file_ordinal"), "event-files")
+    folder = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    source = events.event_stream(t.spark, files.inputFiles()[0].rsplit("/", 1)[0], files.schema, files_per_batch=2)
+    events.latest_state(source, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    return events.read_state(t.spark, f"{folder}/state", files.schema)
