@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from silverloom.llm import ann, bpe, host_quality, html, jaccard, mixing, quality, secrets, sharding, token_counts
+from silverloom.llm import ann, bpe, host_quality, html, jaccard, mixing, oracle, quality, secrets, sharding, token_counts
 from silverloom.llm.common import table
 
 
@@ -69,5 +69,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found: dict[str, str] = {}
+    found = {"op4_quality_rules": oracle.OP4}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
