@@ -37,9 +37,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_texts(df: DataFrame, rows: int = 500) -> DataFrame:
+    """``df``, its session set so that Python workers get at most ``rows`` rows at a time: rows hold whole texts."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, rows)
+    return df
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """Mark a materialised side for broadcast when it has at most ``rows`` rows; beyond that the join is shuffled."""
-    return F.broadcast(df) if len(df.select(F.lit(1)).take(rows + 1)) <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows of the smallest hash of ``key``: a bounded sample that any rerun draws again.
+
+    Rows above a hash that leaves about twice as many are dropped first, so that what is sorted does not grow.
+    """
+    spread = F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    total = df.count()
+    if total > 4 * n:
+        df = df.where(spread < (1 << 40) * 2 * n // total)
+    return df.orderBy(spread, key).limit(n)
 
 
 def prefix_sums(
@@ -67,7 +87,7 @@ def text_key(text: str = "text") -> list[Column]:
 KEY = ["key_h", "key_c", "key_n"]
 
 
-def with_marks(docs: DataFrame, marks: DataFrame, how: str, by: dict[str, str], rows: int = 1_000_000) -> DataFrame:
+def with_marks(docs: DataFrame, marks: DataFrame, how: str, by: dict[str, str], rows: int = 300_000) -> DataFrame:
     """Join ``marks`` (KEY, other columns and new ones) to ``docs`` on the text's name and, null-safely, on ``by``.
 
     ``by`` maps columns of ``docs`` to columns of ``marks``. Up to ``rows`` marks are broadcast, more are shuffled. The

@@ -7,7 +7,7 @@ corpus, with strengths estimated from the spread between groups. Sparse groups s
 posterior is the document's log-odds moved by the log-odds of its path's mean against the corpus mean.
 
 The classifier: on one half of the sample, log-odds of features (words, shapes of words, shares of repeated words and of
-signs, in buckets) by counting; on the other half, a logistic regression over five summaries of a document's features.
+signs, in buckets) by counting; on the other half, a logistic regression over six summaries of a document's features.
 Its sample is bounded: ``SAMPLE`` labelled rows, those of the smallest hash of the id, and the ``FEATURES`` strongest
 features. Everything else covers all rows.
 
@@ -18,57 +18,55 @@ Repeated rows are judged alike. An empty table gives an empty result. Further co
 
 from __future__ import annotations
 
+import operator
 import re
+import string
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import broadcast_if_small, materialize
+from silverloom.llm.common import broadcast_if_small, hash_sample, materialize, whole_texts
 
 SAMPLE, FEATURES, MIN_ROWS = 20_000, 50_000, 6
 #: Strengths of shrinkage are kept between these numbers of documents.
 LEAST_STRENGTH, MOST_STRENGTH = 5.0, 10_000.0
 LETTERS, UPPERS, DIGITS = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
+SIGN = re.compile(r"[^\w\s]")
+AROUND = string.punctuation + "«»„“”‘’…–—¡¿"
 
 
-@lru_cache(maxsize=200_000)
-def word_features(word: str) -> tuple[int, int]:
-    """64-bit names of a word, lower-cased and without signs around it, and of its shape."""
-    shape = DIGITS.sub("9", LETTERS.sub("a", UPPERS.sub("A", word)))[:12]
-    bare = re.sub(r"^\W+|\W+$", "", word.lower()) or word
-    return xxhash.xxh64_intdigest("w " + bare) >> 1, xxhash.xxh64_intdigest("s " + shape) >> 1
+def shape_of(word: str) -> str:
+    """Runs of letters, capitals and digits as one letter each, signs as they are; marked so as to be no word."""
+    if word.isalpha() and (word.islower() or word.isupper()):
+        return "\0a" if word.islower() else "\0A"
+    return "\0" + DIGITS.sub("9", LETTERS.sub("a", UPPERS.sub("A", word[:200])))[:12]
 
 
-def features(text: str | None) -> tuple[set[int], list[int]]:
-    """Distinct features of words and shapes, and names of the bucketed shares."""
+def features(text: str | None) -> tuple[set[str], set[str]]:
+    """Distinct words (lower-cased, without signs around them), and shapes of words with names of the bucketed shares."""
     words = (text or "").split()
     if not words:
-        return set(), []
-    found: set[int] = set()
-    for w in set(words):
-        found.update(word_features(w[:200]))
-    n = len(words)
-    repeated = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
-    distinct = len(set(words)) / n
-    signs = sum(not c.isalnum() for w in words for c in (w[:1], w[-1:])) / n
-    upper = sum(w.isupper() for w in words) / n
-    shares = [f"r {int(20 * repeated)}", f"d {int(10 * distinct)} {min(n // 100, 5)}", f"p {int(10 * min(signs, 2))}", f"u {int(10 * upper)}"]
-    return found, [xxhash.xxh64_intdigest(s) >> 1 for s in shares]
-
-
-def summaries(text: str | None, weight: dict[int, float]) -> list[float]:
-    """The strongest three bad features, the mean, the shares, the share of bad features, and one."""
-    found, shares = features(text)
-    known = sorted(weight[f] for f in found if f in weight)
+        return set(), set()
+    distinct, n = set(words), len(words)
+    bare = {w.lower().strip(AROUND) for w in distinct}
+    repeated = sum(map(operator.eq, words, words[1:])) / n
+    signs, upper = len(SIGN.findall(text)) / n, sum(map(str.isupper, words)) / n
+    shares = {f"\0r {int(20 * repeated)}", f"\0d {int(10 * len(distinct) / n)} {min(n // 100, 5)}", f"\0p {int(5 * min(signs, 4))}", f"\0u {int(10 * upper)}"}
+    return bare, shares.union(map(shape_of, distinct))
+
+
+def summaries(text: str | None, weight: dict[str, float]) -> list[float]:
+    """The strongest three bad words, the means of words and of shapes and shares, the share of bad words, and one."""
+    bare, others = features(text)
+    known = sorted([weight[w] for w in bare if w in weight])
+    other = [weight[w] for w in others if w in weight]
+    shared = sum(other) / len(other) if other else 0.0
     if not known:
-        return [0.0, 0.0, sum(weight.get(s, 0.0) for s in shares), 0.0, 1.0]
-    bad = sum(min(w, 0.0) for w in known[:3])
-    return [bad, sum(known) / len(known), sum(weight.get(s, 0.0) for s in shares), sum(w < -1 for w in known) / len(known), 1.0]
+        return [min(other, default=0.0), 0.0, 0.0, shared, 0.0, 1.0]
+    return [min(other, default=0.0), sum(min(w, 0.0) for w in known[:3]), sum(known) / len(known), shared, sum(w < -1 for w in known) / len(known), 1.0]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
@@ -84,24 +82,24 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30)
     return b
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[dict[int, float], np.ndarray] | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[dict[str, float], np.ndarray] | None:
     """Feature weights and coefficients, or None where the labels are not of both kinds."""
     known = labels.where("quality is not null and doc_id is not null")
     known = known.select("doc_id", ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("good"))
-    known = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    known = hash_sample(known, "doc_id", SAMPLE).groupBy("doc_id").agg(F.min("good").alias("good"))
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
     rows = materialize(plain.join(F.broadcast(known), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2))), "labelled")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            named = [list(f) + s for f, s in map(features, batch["text"])]
-            yield pd.DataFrame({"f": np.concatenate([np.array(x, dtype=np.int64) for x in named]) if named else [], "good": np.repeat(batch["good"].to_numpy(), [len(x) for x in named])})
+            seen = [[w[:200] for w in a | b] for a, b in map(features, batch["text"])]
+            yield pd.DataFrame({"f": [f for x in seen for f in x], "good": np.repeat(batch["good"].to_numpy(), [len(x) for x in seen])})
 
     first = rows.where("half = 0")
     sums = {r.good: r.n for r in first.groupBy("good").agg(F.count("*").alias("n")).collect()}
     if not sums.get(0) or not sums.get(1):
         return None
-    counted = first.select("text", "good").mapInPandas(each, "f long, good int").groupBy("f").agg(F.sum("good").alias("g"), F.count("*").alias("n"))
+    counted = first.select("text", "good").mapInPandas(each, "f string, good int").groupBy("f").agg(F.sum("good").alias("g"), F.count("*").alias("n"))
     odds = F.log((F.col("g") + 0.5) / (sums[1] + 1)) - F.log((F.col("n") - F.col("g") + 0.5) / (sums[0] + 1))
     strongest = counted.where(F.col("n") >= MIN_ROWS).select("f", odds.alias("w")).orderBy(F.desc(F.abs("w")), "f").limit(FEATURES)
     weight = {r.f: r.w for r in strongest.collect()}
@@ -135,16 +133,16 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", host_co
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weight, b = model.value or ({}, None)
         for batch in batches:
-            if model.value is None:
+            if b is None:
                 logit = np.full(len(batch), np.nan)
             else:
-                weight, b = model.value
                 logit = np.array([float(np.dot(summaries(t, weight), b)) if t and not t.isspace() else np.nan for t in batch["text"]], dtype=float)
             yield batch.drop(columns="text").assign(logit=np.clip(logit, -12, 12))
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(host_col, F.lit("")).alias("host"), F.coalesce(path_col, F.lit("")).alias("path"), "text")
-    scored = plain.mapInPandas(score, "doc_id long, host string, path string, logit double")
+    scored = whole_texts(plain).mapInPandas(score, "doc_id long, host string, path string, logit double")
     scored = materialize(scored.withColumn("p", F.when(F.isnan("logit"), None).otherwise(1 / (1 + F.exp(-F.col("logit"))))), "scored")
     top = scored.agg(F.coalesce(F.avg("p"), F.lit(0.5))).first()[0]
     mean = min(max(top, 1e-6), 1 - 1e-6)
