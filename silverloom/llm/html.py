@@ -30,9 +30,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.llm.common import hash_sample, whole_texts
+
 BOILERPLATE, CONTENT, MIXED = 0, 1, 2
 #: Pages in the training sample: those of the smallest hash of their html.
 SAMPLE_PAGES = 200
+#: Deeper pages are left out of the sample: one page of thousands of nested elements would outweigh all others.
+SAMPLE_DEPTH = 60
 #: Pages whose trees are passed at once.
 BATCH_PAGES = 500
 
@@ -268,11 +272,11 @@ EXTRA = [
 # Mark-up of article text that the sample's articles may lack.
 INNER = [
     "<h2>{}</h2><ul><li>{} {}</li><li>{}</li></ul><p>{} {} {} {}</p>",
-    '<blockquote><p>{} {} {}</p></blockquote><p>{} {} <a href="/r">{}</a> {} {}</p>',
+    '<ul><li>{} {}</li><li>{} {} {}</li></ul><blockquote><p>{} {} {}</p></blockquote><p>{} {} <a href="/r">{}</a> {} {}</p>',
     "<h3>{}</h3><table><tr><th>{}</th><td>{}</td></tr><tr><td>{}</td><td>{}</td></tr></table><p>{}</p>",
     '<div class="section"><p>{} {}</p><ol><li>{} {} {}</li><li>{} {}</li></ol></div><p><em>{}</em> {} <strong>{}</strong></p>',
     '<figure><img src="i"><figcaption>{}</figcaption></figure><pre><code>{} {}</code></pre><p>{} <a href="/q">{}</a> {} <i>{}</i></p>',
-    "<section><h2>{}</h2><p>{}</p><p>{}</p></section><dl><dt>{}</dt><dd>{} {}</dd></dl>",
+    "<section><h2>{}</h2><p>{}</p><ul><li>{}</li><li>{} {}</li></ul><p>{}</p></section><dl><dt>{}</dt><dd>{} {}</dd></dl>",
 ]
 WRAPPERS = ["", '<div class="wrap container">', '<div id="page" class="layout row">', '<div class="site wrapper"><div class="col columns">']
 BODIES = [
@@ -323,11 +327,20 @@ def variants(sources: list[str]) -> Iterator[str]:
         yield f"{extra[3] if k % 2 else ''}{bare}{extra[0] if k % 3 else ''}"
 
 
+#: Labelled pages that stand in for the sample where no page states what is what.
+STAND_IN = [
+    f"<html><body><nav><ul><li><a href='/'>To the first page of all</a></li></ul></nav><article><h1>What is told of number {i}</h1>"
+    + "".join(f"<p>Here follows a paragraph of some length, with commas, and with stops. It is number {j} of {i}, and goes on for a while.</p>" for j in range(i))
+    + "</article><footer>&copy; those who wrote all of it</footer></body></html>"
+    for i in range(2, 8)
+]
+
+
 def train(pages: DataFrame, html_col: str = "html", n: int = SAMPLE_PAGES) -> Model:
     """A model from the labelled sample; at most ``n`` pages come to the driver."""
-    sample = pages.where(F.col(html_col).contains("<article") & (F.length(html_col) < 100_000)).orderBy(F.xxhash64(html_col), html_col).limit(n)
-    trees = [Tree(s) for s in variants([r[0] for r in sample.select(html_col).collect()])]
-    return Model([(t, labels_of(t)) for t in trees])
+    fit = pages.where(F.col(html_col).contains("<article") & (F.length(html_col) < 100_000)).select(html_col)
+    trees = [Tree(s) for s in variants([r[0] for r in hash_sample(fit, html_col, n).collect()] or STAND_IN)]
+    return Model([(t, labels_of(t)) for t in trees if max(t.depth) <= SAMPLE_DEPTH])
 
 
 def extract_text(pages: DataFrame, model: Model, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -343,4 +356,4 @@ def extract_text(pages: DataFrame, model: Model, html_col: str = "html", keep: l
 
     plain = pages.select(*keep, F.col(html_col).alias("__html"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema if f.name != "__html")
-    return plain.mapInPandas(run, f"{schema}, text string")
+    return whole_texts(plain).mapInPandas(run, f"{schema}, text string")
