@@ -31,11 +31,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.llm.common import whole_texts
+
 MARK = b"\xff"
 #: The word pattern of the tokenizer files that are understood.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Fragments remembered in a task, and the longest that is remembered.
-CACHE, CACHED_BYTES = 300_000, 64
+CACHE, CACHED_BYTES = 120_000, 64
 #: Up to this many symbols a plain search for the next merge is faster than a heap.
 SHORT = 40
 #: Letters, digits and white space of Latin-1, whose texts a simpler pattern of the same meaning splits faster.
@@ -227,4 +229,4 @@ def encode_digests(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": names_sha})
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return plain.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return whole_texts(plain).mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

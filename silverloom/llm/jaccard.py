@@ -33,15 +33,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import KEY, broadcast_if_small, materialize, prefix_sums, text_key, with_marks
+from silverloom.llm.common import KEY, broadcast_if_small, materialize, prefix_sums, text_key, whole_texts, with_marks
 from silverloom.llm.components import connected_components
 
 #: Words remembered by a task, and the rows of ids up to which a join with whole texts is a broadcast.
-CACHE, BROADCAST_IDS = 300_000, 1_000_000
+CACHE, BROADCAST_IDS = 100_000, 200_000
 #: A block of a tile has at most so many documents, and so many shingles (and one document more).
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1 << 22
 #: One row in so many is looked at for hot keys, and how often a key must occur there to be hot.
 SAMPLED, HOT_IN_SAMPLE = 256, 64
+TILE = ["cluster", "first", "last"]
 U64 = np.uint64
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)]
 
@@ -134,7 +135,7 @@ def with_sets(docs: DataFrame, n: int, percent: int, id_col: str) -> DataFrame:
             yield batch.drop(columns="text").assign(n_shingles=[len(s) for s in sets], set_id=[set_id(s) for s in sets], keys=keys)
 
     plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), *text_key(), "text")
-    return materialize(plain.mapInPandas(run, "row_id long, doc_id long, key_h long, key_c long, key_n int, n_shingles long, set_id binary, keys array<long>"), "sets")
+    return materialize(whole_texts(plain).mapInPandas(run, "row_id long, doc_id long, key_h long, key_c long, key_n int, n_shingles long, set_id binary, keys array<long>"), "sets")
 
 
 def compare(arrays: list[np.ndarray], percent: int, split: int | None = None) -> list[int]:
@@ -203,7 +204,7 @@ def clusters_of(sets: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 def tiles_of(members: DataFrame, percent: int) -> DataFrame:
-    """(node, block, tile): the blocks of each cluster and the tiles they take part in. ``members``: node, cluster, n_shingles."""
+    """(node, block, cluster, first, last): the blocks of each cluster and the tiles (of two blocks) they take part in. ``members``: node, cluster, n_shingles."""
     banded = members.withColumn("band", F.floor(F.log2("n_shingles") * 16))
     weight = (F.col("n_shingles") / BLOCK_SHINGLES + F.lit(1 / BLOCK_DOCS)).cast("decimal(24,12)")
     placed = prefix_sums(banded, ["cluster"], "band", [F.col("n_shingles"), F.col("node")], weight, "before")
@@ -211,9 +212,9 @@ def tiles_of(members: DataFrame, percent: int) -> DataFrame:
     blocks = placed.groupBy("cluster", "block").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
     a, b = blocks.alias("a"), blocks.alias("b")
     pairs = a.join(b, F.col("a.cluster") == F.col("b.cluster")).where((F.col("a.block") <= F.col("b.block")) & (F.col("b.low") * percent <= F.col("a.high") * 100))
-    tile = F.concat_ws("-", "a.cluster", "a.block", "b.block")
-    tiled = pairs.select(F.col("a.cluster").alias("cluster"), F.explode(F.array_distinct(F.array("a.block", "b.block"))).alias("block"), tile.alias("tile"))
-    return placed.join(tiled, ["cluster", "block"]).select("node", "block", "tile")
+    mine = F.explode(F.array_distinct(F.array("a.block", "b.block"))).alias("block")
+    tiled = pairs.select(F.col("a.cluster").alias("cluster"), mine, F.col("a.block").alias("first"), F.col("b.block").alias("last"))
+    return placed.join(tiled, ["cluster", "block"]).select("node", "block", "cluster", "first", "last")
 
 
 def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
@@ -229,8 +230,10 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     members = firsts.where("row_id = node").join(clusters, "node")
     members = materialize(members, "members")
     tiled = tiles_of(members.select("node", "cluster", "n_shingles"), percent)
-    wanted = members.select("node", "doc_id", *KEY, F.col("set_id").alias("__set_id")).join(tiled, "node")
-    wanted = wanted.select("doc_id", *KEY, "__set_id", *[F.col(c).alias(f"__{c}") for c in ("node", "block", "tile")])
+    # a row for each document with its tiles, so that the join with whole texts does not grow with the tiles
+    tiles = tiled.groupBy("node").agg(F.collect_list(F.struct("block", *TILE)).alias("__tiles"))
+    wanted = members.select("node", "doc_id", *KEY, F.col("set_id").alias("__set_id")).join(tiles, "node")
+    wanted = wanted.select("doc_id", *KEY, "__set_id", F.col("node").alias("__node"), "__tiles")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
     both = with_marks(texts, wanted, "inner", {"doc_id": "doc_id"}, BROADCAST_IDS)
 
@@ -239,14 +242,14 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         for batch in batches:
             sets = [shingle_set(t, n, words) for t in batch["text"]]
             same = [set_id(s) == bytes(i) for s, i in zip(sets, batch["__set_id"], strict=True)]
-            out = batch.rename(columns={"__node": "node", "__block": "block", "__tile": "tile"})[["node", "block", "tile"]].assign(hashes=[s.view(np.int64) for s in sets])
+            out = pd.DataFrame({"node": batch["__node"], "tiles": batch["__tiles"], "hashes": [s.view(np.int64) for s in sets]})
             yield out[same]
 
     def forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_tile, rows = None, []
         for batch in batches:
             found = []
-            for node, block, tile, hashes in zip(batch["node"], batch["block"], batch["tile"], batch["hashes"], strict=True):
+            for node, block, hashes, *tile in zip(batch["node"], batch["block"], batch["hashes"], *(batch[c] for c in TILE), strict=True):
                 if tile != open_tile:
                     found += _tile_forest(rows, percent) if len(rows) > 1 else []
                     open_tile, rows = tile, []
@@ -254,8 +257,10 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
         yield pd.DataFrame(_tile_forest(rows, percent) if len(rows) > 1 else [], columns=["u", "v"], dtype="int64")
 
-    arrays = both.drop("doc_id").mapInPandas(hashed, "node long, block long, tile string, hashes array<long>")
-    edges = arrays.repartition("tile").sortWithinPartitions("tile").mapInPandas(forests, "u long, v long")
+    tile_type = "array<struct<block:long,cluster:long,first:long,last:long>>"
+    arrays = whole_texts(both.drop("doc_id")).mapInPandas(hashed, f"node long, tiles {tile_type}, hashes array<long>")
+    arrays = arrays.select("node", "hashes", F.inline("tiles"))
+    edges = arrays.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(forests, "u long, v long")
     roots = connected_components(edges)
     rooted = materialize(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     linked = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("__n")).where("__n > 1").drop("__n")

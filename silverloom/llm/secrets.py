@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import KEY, materialize, text_key, with_marks
+from silverloom.llm.common import KEY, materialize, text_key, whole_texts, with_marks
 
 KINDS = ["assign", "access", "hex", "owned"]
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -32,9 +32,6 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: A live credential is held by at most so many owners and repositories.
 MAX_OWNERS, MAX_REPOS = 2, 8
-#: Rows of text that a task holds at once.
-BATCH = 256
-
 SPAN = "struct<kind:int,start:int,end:int,value:binary>"
 
 
@@ -69,7 +66,7 @@ def scanned(docs: DataFrame, id_col: str, owner_col: str) -> DataFrame:
     """One row per row of ``docs``: row_id (unique), doc_id, owner, the text's name, spans; written to the shared folder."""
     plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).alias("owner"), *text_key(), "text")
     schema = f"row_id long, doc_id long, owner string, key_h long, key_c long, key_n int, spans array<{SPAN}>"
-    return materialize(plain.mapInPandas(_scan_batches, schema), "secret-spans")
+    return materialize(whole_texts(plain).mapInPandas(_scan_batches, schema), "secret-spans")
 
 
 def ownership(spans: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.llm.bpe import ForcedBoundaryBpe, coder
+from silverloom.llm.common import whole_texts
 
 LEAF_CHARS = 1024
 GAP = re.compile(r"[ \n]")
@@ -135,7 +136,7 @@ def count_with_edits(docs: DataFrame, edits: Column, spec: str, id_col: str = "d
             yield pd.concat([batch[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=names, dtype="int64")], axis=1)
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), edits.cast(EDITS).alias("edits"))
-    return plain.mapInPandas(run, "doc_id long, n_chars long, n_tokens long, edited_chars long, edited_tokens long, leaves long, leaves_reencoded long")
+    return whole_texts(plain).mapInPandas(run, "doc_id long, n_chars long, n_tokens long, edited_chars long, edited_tokens long, leaves long, leaves_reencoded long")
 
 
 def derived_edits(id_col: str = "doc_id", text_col: str = "text") -> Column:
