@@ -26,6 +26,8 @@ SYMBOLS = "#*$%&|<>"
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
 #: Shorter documents are not judged by divergence, nor languages with fewer words in all.
 MIN_WORDS, MIN_REFERENCE_WORDS = 100, 1_000
+#: Shorter documents fail the base rule.
+BASE_WORDS = 50
 N_COMMON, MAX_WORD_LEN = 24, 4
 CLASSES = ["lower", "upper", "space", "digit", "symbol", "punct", "other"]
 
@@ -131,7 +133,7 @@ def judge(
     judged = judged.withColumn("class_distance", class_distance).withColumn("word_distance", word_distance)
     guarded = (F.col("n_words") < min_words) | (F.col("r_words") < min_reference)
     far = (F.coalesce("class_distance", F.lit(0.0)) > max_class) | (F.coalesce("word_distance", F.lit(0.0)) > max_word)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.withColumn("base_failed", failed).select(
         *names, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (guarded | ~far)).alias("kept"), "class_distance", "word_distance",
@@ -141,9 +143,10 @@ def judge(
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    The verdict depends on text and language alone, so the rejected (text, language) pairs are taken out by an anti join.
+    Every document that the base rule lets pass is judged by divergence too, also those of 50 to 99 words. The verdict
+    depends on text and language alone, so the rejected (text, language) pairs are taken out by an anti join.
     """
     lang = F.coalesce("lang", F.lit("")).alias("key_lang")
-    gone = judge(docs, extra=[*text_key(), lang]).where(~F.col("kept")).select(*KEY, "key_lang").distinct()
+    gone = judge(docs, min_words=BASE_WORDS, extra=[*text_key(), lang]).where(~F.col("kept")).select(*KEY, "key_lang").distinct()
     found = with_marks(docs.withColumn("__lang", lang), gone, "left_anti", {"__lang": "key_lang"})
     return found.drop("__lang")

@@ -1,6 +1,7 @@
 """Each operator against brute force, on small frames with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from silverloom.llm import ann, bpe, components, host_quality, html, jaccard, mixing, quality, secrets, sharding, token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DATA = os.environ.get("TEST_LABELLED_DIR", "/root/testdata/sf0.01")
 DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, size string, key string, row_id string, taken string"
 
 
@@ -132,6 +134,24 @@ def test_quality_divergence(spark):
     assert kept.columns == DDL.replace(" bigint", "").replace(" string", "").split(", ") and sorted(r.doc_id for r in kept.collect()) == sorted([*range(150), 0])
 
 
+def test_short_junk_is_not_kept(spark):
+    """Documents of 50 to 99 words are judged as well, and plain ones of that length stay."""
+    rnd = random.Random(21)
+    plain = lambda n: " ".join(rnd.choice(["the", "of", "and", "to", *(f"{a}{b}" for a in ("house", "river", "walk", "slow") for b in "abcdefghijklm")]) for _ in range(n))
+    good = [(i, plain(55 + i % 45), "en", "a") for i in range(150)]
+    junk = [(500 + n, " ".join(f"| {k}#" for k in range(n // 2)), "en", "a") for n in range(50, 100, 7)]
+    assert sorted(r.doc_id for r in quality.keep_good(frame(spark, good + junk)).collect()) == list(range(150))
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
+def test_short_documents_against_labels(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    passed = quality.judge(docs).where("n_words < 100 and not base_failed").join(labels, "doc_id").select("doc_id", "quality").distinct().collect()
+    kept = {r.doc_id for r in quality.keep_good(docs).collect()}
+    share = lambda q: np.mean([r.doc_id in kept for r in passed if r.quality == q])
+    assert share(1) > 0.95 and share(0) < 0.05
+
+
 # mixing
 
 
