@@ -46,10 +46,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     each = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, secrets.KINDS)), x.kind + 1), x.start, x.end)), ",")
     base = F.filter("found", lambda x: x.kind < 3)
+    verdicts = F.array_join(F.transform("found", lambda x: F.when(x.live, "live").otherwise("example")), ",")  # span by span
     count = lambda k: F.size(F.filter("found", lambda x: x.kind == k)).cast("long")
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(each(base), 256).alias("base_sha256"), each(F.col("found")).alias("spans"),
+        F.sha2(each(base), 256).alias("base_sha256"), each(F.col("found")).alias("spans"), verdicts.alias("verdicts"),
     )
 
 

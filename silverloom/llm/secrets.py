@@ -2,13 +2,12 @@
 
 A text is scanned for three base kinds (assign, access, hex), whose spans always stay, and for candidate tokens: long
 runs of token characters that mix letters and digits. Hashes of all candidate values are counted over the corpus by
-distinct owners and distinct repositories. A value that many owners hold is a widely copied example; one that few
-owners and few repositories hold looks like a live credential of theirs, and its candidate spans are added as ``owned``.
+distinct owners. A value that many owners hold is a widely copied example; one that few owners hold looks like a live
+credential of theirs, however often they repeat it, and its candidate spans are added as ``owned``.
 
-In ``documents`` the owner is the source and the repository is the document.
+In ``documents`` the owner is the source.
 
-Cases: null texts count as empty, null owners and repositories as one name. Repeated rows have equal spans and count
-once per repository. Offsets are code points, ends exclusive. An empty table gives an empty result. Further columns are
+Cases: null texts count as empty, null owners as one name. Repeated rows have equal spans. Offsets are code points, ends exclusive. An empty table gives an empty result. Further columns are
 ignored by :func:`find_secrets`; :func:`redact` keeps all columns.
 """
 
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import KEY, materialize, text_key, whole_texts, with_marks
+from silverloom.llm.common import KEY, broadcast_if_small, materialize, text_key, whole_texts, with_marks
 
 KINDS = ["assign", "access", "hex", "owned"]
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -30,8 +29,8 @@ ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: A live credential is held by at most so many owners and repositories.
-MAX_OWNERS, MAX_REPOS = 2, 8
+#: A live credential is held by at most so many owners.
+MAX_OWNERS = 2
 SPAN = "struct<kind:int,start:int,end:int,value:binary>"
 
 
@@ -70,26 +69,26 @@ def scanned(docs: DataFrame, id_col: str, owner_col: str) -> DataFrame:
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """(value, owners, repos): by how many distinct owners and repositories each value is held."""
-    held = spans.select(F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("doc_id", F.lit(-1)).alias("repo"), F.explode("spans.value").alias("value"))
-    by_owner = held.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one")).groupBy("value", "owner").agg(F.count("*").alias("repos"))
-    return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    """(value, owners): by how many distinct owners each value is held."""
+    held = spans.select(F.coalesce("owner", F.lit("")).alias("owner"), F.explode("spans.value").alias("value"))
+    return held.distinct().groupBy("value").agg(F.count("*").alias("owners"))
 
 
-def classified(spans: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
-    """One row per span: row_id, kind, start, end, live. Only values that few hold enter the join, so none is hot."""
-    few = ownership(spans).where((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).select("value", F.lit(True).alias("live"))
+def classified(spans: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+    """One row per span: row_id, kind, start, end, live. The values that many hold are few, and are joined to the spans."""
+    many = ownership(spans).where(F.col("owners") > max_owners).select("value", F.lit(False).alias("live"))
     each = spans.select("row_id", F.inline("spans"))
-    return each.join(few, "value", "left").select("row_id", "kind", "start", "end", F.coalesce("live", F.lit(False)).alias("live"))
+    joined = each.join(broadcast_if_small(materialize(many, "secret-examples")), "value", "left")
+    return joined.select("row_id", "kind", "start", "end", F.coalesce("live", F.lit(True)).alias("live"))
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
     """One row per row of ``docs``: doc_id, the text's name, found (array of kind, start, end, live), ordered by start and kind.
 
     ``found`` holds every base span and the candidates that the corpus shows to be owner-specific.
     """
     spans = scanned(docs, id_col, owner_col)
-    chosen = classified(spans, max_owners, max_repos).where((F.col("kind") < 3) | F.col("live"))
+    chosen = classified(spans, max_owners).where((F.col("kind") < 3) | F.col("live"))
     listed = chosen.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("found"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")
     return spans.select("row_id", "doc_id", *KEY).join(listed, "row_id", "left").select("doc_id", *KEY, F.coalesce("found", none).alias("found"))

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silverloom.llm import ann, bpe, components, host_quality, html, jaccard, mixing, quality, secrets, sharding, token_counts
+from silverloom.llm import ann, bpe, components, host_quality, html, jaccard, mixing, quality, queries, secrets, sharding, token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DATA = os.environ.get("TEST_LABELLED_DIR", "/root/testdata/sf0.01")
@@ -427,6 +427,18 @@ def test_secrets(spark):
     assert all(not base_spans(r.text or "") for r in clean.values())
 
 
+def test_one_owner_may_repeat_a_secret(spark, tmp_path):
+    """A token of one owner is live however many documents hold it; one that many owners hold is an example."""
+    own, wide, key = "Zx9-aaaaBBBBccccDDDD1111", "Qq1111222233334444aaaa", "AKIA" + "Q7" * 8
+    rows = [(i, f"foot {own} of {i}", "en", "a") for i in range(300)] + [(1000 + i, f"see {wide} or {key}", "en", f"s{i}") for i in range(4)] + [(2000, f"{key}Z", "en", "b")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in queries.op8_secret_scan(spark, str(tmp_path)).collect()}
+    assert all(out[i].spans == "owned:5:29" and out[i].verdicts == "live" for i in range(300))
+    assert all(out[1000 + i].spans.startswith("access:") and out[1000 + i].verdicts == "example" for i in range(4)) and out[2000].verdicts == "live"
+    clean = {r.doc_id: r.text for r in secrets.redact(frame(spark, rows)).collect()}
+    assert clean[7] == "foot [SECRET] of 7" and clean[1000] == f"see {wide} or [EXAMPLE-SECRET]" and clean[2000] == "[SECRET]"
+
+
 # quality classifier
 
 
