@@ -11,7 +11,8 @@ further boilerplate of known kind (side bar, notice, comments, form, share bar)
 are then counted into log-odds. The trained model is some kilobytes and goes to every task.
 
 Extraction: character references are decoded, white space inside a block becomes one space, blocks are joined in page
-order by one line feed. Scripts, styles, the head and other elements without text of their own are skipped.
+order by one line feed. Scripts, styles, titles, text fields, frames, drawings and templates are skipped; formulas and
+the fallback of objects are text.
 
 Cases: a null or empty page has the empty text, as does one without content. Unclosed, misnested and cut-off mark-up is
 read as browsers do: by implied ends, else up to the end of the page. Repeated rows are extracted alike; an empty table
@@ -42,8 +43,14 @@ BATCH_PAGES = 500
 
 # Element names of the HTML standard by what they mean for parsing.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("head iframe math noscript object script style svg template textarea title".split())
+SKIPPED = set("head iframe noscript script style svg template textarea title".split())
 RAW = {"iframe", "noscript", "script", "style", "textarea", "title"}
+# Elements of HTML that end an open drawing, unless they are in one of the drawing's elements that hold HTML.
+BREAKOUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span"
+    " strike strong sub sup table tt u ul var".split()
+)
+HTML_IN_SVG = {"foreignobject", "desc", "title"}
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split()
@@ -53,10 +60,45 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+END = {name: re.compile(rf"(?ai)</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)") for name in SKIPPED}
+VALUE_SLASH = re.compile(r"""=\s*[^\s"'>]*/$""")  # the slash at the end belongs to an unquoted value
 INLINE_NODE = re.compile(r"(?i)\b(?:class|id|role|hidden|aria-hidden|style|data-y)\b")
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def closes_itself(attributes: str) -> bool:
+    return attributes.endswith("/") and not VALUE_SLASH.search(attributes)
+
+
+def end_of_skipped(source: str, name: str, at: int) -> int:
+    """Where the page goes on after a skipped element whose content starts at ``at``; the page's end if nothing ends it.
+
+    Drawings and templates nest. A drawing is also ended, as in browsers, by HTML that cannot be in it.
+    """
+    if name in RAW:
+        return m.end() if (m := END[name].search(source, at)) else len(source)
+    depth, html_depth = 1, 0
+    while at < len(source) and (m := TOKEN.match(source, at)):
+        start, at = m.span()
+        if m[2] is None:
+            continue
+        inner, ends = m[2].lower(), bool(m[1])
+        if inner == name:
+            if ends or name != "svg" or not closes_itself(m[3]):
+                depth += -1 if ends else 1
+            if not depth:
+                return at
+        elif name == "template":
+            if inner in RAW and not ends:
+                at = end_of_skipped(source, inner, at)
+        elif inner in HTML_IN_SVG:
+            if ends or not closes_itself(m[3]):
+                html_depth = max(0, html_depth + (-1 if ends else 1))
+        elif not html_depth and (inner in BLOCK if ends else inner in BREAKOUT):
+            return start
+    return len(source)
+
+
 class Tree:
     """Elements of a page as parallel lists, and its texts as (element, text, ends a block)."""
 
@@ -86,7 +128,7 @@ class Tree:
                 return
 
     def _build(self, source: str) -> None:
-        stack, at, size, lowered = [0], 0, len(source), None
+        stack, at, size = [0], 0, len(source)
         match = TOKEN.match
         while at < size and (m := match(source, at)):
             at = m.end()
@@ -110,10 +152,8 @@ class Tree:
                         break
                 continue
             if name in SKIPPED:
-                if name in RAW or name != "head":
-                    lowered = source.lower() if lowered is None or len(lowered) != size else lowered
-                    end = lowered.find(f"</{name}", at) if len(lowered) == size else source.find(f"</{name}", at)
-                    at = size if end < 0 else source.find(">", end) + 1 or size
+                if name != "head" and not (name == "svg" and closes_itself(m[3])):
+                    at = end_of_skipped(source, name, at)
                 continue  # a head needs no element: what it holds is skipped by itself
             if name == "br":
                 self.texts.append((stack[-1], " "))

@@ -497,6 +497,28 @@ def test_html(spark):
     assert "A heading" in text and "Side" not in text and "Menu" not in text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<p>a<svg width='5'/>b</p><p>c</p>", "ab\nc"),
+        ("<p>a<svg class=x><path d=M1/><svg><g/></svg><text>no</text></svg>b</p>", "ab"),
+        ("<p>a<svg width=5/><text>no</text></svg>b</p>", "ab"),
+        ("<p>a<svg><title>no</title><foreignObject><p>no</p></foreignObject></svg>b</p>", "ab"),
+        ("<p>a<svg><path></p><p>b</p>", "a\nb"),
+        ("<div>a<svg><path><p>b</p></div>", "a\nb"),
+        ("<p>a<template><template>no</template>no<script>'</template>'</script></template>b</p>", "ab"),
+        ("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z <math/>end</p>", "x y=2 z end"),
+        ("<p>a <object data=f><param name=n>fallback</object> b</p>", "a fallback b"),
+        ("<p>\u0130</p><SCRIPT>no</SCRIPT><p>b</p><Style>no</STYLE ><p>c</p>", "\u0130\nb\nc"),
+        ("<p>a</p><script>'</scripting>' no</script><p>b</p><script>cut", "a\nb"),
+        ("<p>a<svg>never ended", "a"),
+    ],
+)
+def test_what_is_skipped_of_a_page(source, text):
+    tree = html.Tree(source)
+    assert tree.text([True] * len(tree.tag)) == text
+
+
 def test_sum_product_is_exact():
     tree = html.Tree("<div><p>a</p><div><p>b</p></div></div>")
     model = html.Model([(t, html.labels_of(t)) for t in map(html.Tree, [page("<article><p>x y z</p></article>"), page("<article><h1>h</h1><p>q, r. s</p></article>")])])
