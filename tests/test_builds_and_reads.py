@@ -144,6 +144,16 @@ def test_vectors(spark, lake, tmp_path):
     assert near.count() == 6
 
 
+def test_similar_answers_every_query(spark):
+    """Queries beyond one block are answered as well, and blocks give what one broadcast gives."""
+    rnd = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rnd.standard_normal((40, 3)))], "vec_id long, embedding array<double>")
+    many = spark.createDataFrame([(100 + i, v.tolist()) for i, v in enumerate(rnd.standard_normal((4_200, 3)))], "vec_id long, embedding array<double>")
+    assert vectors.similar(rows, many, 1, "vec_id").select("query_id").distinct().count() == 4_200
+    said = lambda n: sorted((r.query_id, r.rank, r.id, r.score) for r in vectors.similar(rows, rows.where("vec_id % 2 = 0"), 3, "vec_id", block_queries=n).collect())
+    assert said(3) == said(100) and len(said(3)) == 60
+
+
 def test_merge_is_idempotent(spark, lake):
     _, _, layer, _ = lake
     images, staged = layer.read("gold.images"), sync.staged_boxes(layer.read("gold.boxes")).drop("confidence")
