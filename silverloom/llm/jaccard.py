@@ -11,10 +11,13 @@ key for each of its D + 1 largest segments: the band, the segment and a hash of
 emits keys for the band below where its size can still link with it. A passage that many documents share makes no hot
 key, since a key holds a whole segment, of which other shingles of the document are a part.
 
-Documents that share a key are joined, by stars and not by pairs, into candidate clusters. A cluster is cut into blocks
-by size, and tiles of two blocks whose sizes can link are compared: bitmaps of hashed shingles bound the overlap from
-above, and what the bound leaves, and is not yet in one component, is intersected exactly. A tile returns the edges of
-a spanning forest, never pairs, and the forests' components are the answer. Large clusters take more tiles, not larger.
+The documents of one key are a group, and groups of the same documents are one. Within a group bitmaps of hashed
+shingles, as wide as the band asks for, bound the overlap of two documents from above; a group returns a spanning forest
+of the pairs that the bound leaves, never pairs, and the components of these forests are the candidate clusters. A
+passage that documents share, or a document that links with neither of two others, so makes no cluster of them. Clusters
+are compared exactly: bitmaps again, then intersection of what is left and not yet in one component. Both groups and
+clusters are cut into blocks by size, and tiles of two blocks whose sizes can link are compared; large ones take more
+tiles, not larger. The forests' components are the answer. Whole arrays of hashes are only sent within clusters.
 
 Cases: A-Z is lower-cased, words are split at ASCII white space only; fewer than ``n`` words make one shingle of all of
 them; a text that is null, empty or only white space has an empty set and links with nothing. Rows with one id and
@@ -40,6 +43,8 @@ from silverloom.llm.components import connected_components
 CACHE, BROADCAST_IDS = 100_000, 200_000
 #: A block of a tile has at most so many documents, and so many shingles (and one document more).
 BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1 << 22
+#: Bits of the widest bitmap.
+MAX_BITS = 1 << 16
 #: One row in so many is looked at for hot keys, and how often a key must occur there to be hot.
 SAMPLED, HOT_IN_SAMPLE = 256, 64
 TILE = ["cluster", "first", "last"]
@@ -125,31 +130,41 @@ def set_id(hashes: np.ndarray) -> bytes:
 
 
 def with_sets(docs: DataFrame, n: int, percent: int, id_col: str) -> DataFrame:
-    """One row per row of ``docs``: row_id, doc_id, the text's name, n_shingles, set_id, keys; written to the shared folder."""
+    """One row per row of ``docs``: row_id, doc_id, the text's name, n_shingles, set_id, bits, keys; written to the shared folder."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, bands = Words(), Bands(percent)
         for batch in batches:
             sets = [shingle_set(t, n, words) for t in batch["text"]]
             keys = [segment_keys(s, bands).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
-            yield batch.drop(columns="text").assign(n_shingles=[len(s) for s in sets], set_id=[set_id(s) for s in sets], keys=keys)
+            yield batch.drop(columns="text").assign(n_shingles=[len(s) for s in sets], set_id=[set_id(s) for s in sets], bits=[bitmap(s) for s in sets], keys=keys)
 
     plain = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), *text_key(), "text")
-    return materialize(whole_texts(plain).mapInPandas(run, "row_id long, doc_id long, key_h long, key_c long, key_n int, n_shingles long, set_id binary, keys array<long>"), "sets")
+    return materialize(whole_texts(plain).mapInPandas(run, "row_id long, doc_id long, key_h long, key_c long, key_n int, n_shingles long, set_id binary, bits binary, keys array<long>"), "sets")
 
 
-def compare(arrays: list[np.ndarray], percent: int, split: int | None = None) -> list[int]:
-    """For arrays in the order of their sizes: the root (an index) of each one's component.
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A bit for each hash, in a power of two of bits that is at least twice their number, up to MAX_BITS."""
+    bits = 1 << int(np.clip(2 * len(hashes), 64, MAX_BITS) - 1).bit_length()
+    marks = np.zeros(bits, dtype=bool)
+    marks[(hashes & U64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(marks).tobytes()
 
-    ``split``: only pairs of one index below and one from there on are compared.
+
+def stacked(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, the wider ones folded to the width of the narrowest."""
+    width = min(map(len, maps))
+    rows = [np.frombuffer(m, dtype=np.uint8) for m in maps]
+    rows = [r if len(r) == width else np.bitwise_or.reduce(r.reshape(-1, width), axis=0) for r in rows]
+    return np.stack(rows).view(U64)
+
+
+def compare(sizes: np.ndarray, maps: np.ndarray, percent: int, split: int | None = None, arrays: list[np.ndarray] | None = None) -> list[int]:
+    """The root (an index) of each document's component, documents being joined where they can link by their bitmaps,
+
+    and with ``arrays`` only where they do link. ``split``: only pairs of one index below and one from there on.
     """
-    sizes = np.array([len(a) for a in arrays], dtype=np.int64)
-    bits = 1 << int(np.clip(8 * int(np.median(sizes)), 256, 16384) - 1).bit_length()
-    maps = np.zeros((len(arrays), bits), dtype=bool)
-    for i, a in enumerate(arrays):
-        maps[i, (a & U64(bits - 1)).astype(np.int64)] = True
-    maps = np.packbits(maps, axis=1).view(U64)
-    root = np.arange(len(arrays))
+    root = np.arange(len(sizes))
     order = np.argsort(sizes, kind="stable")
     ranked, side = sizes[order], order if split is None else (order < split)
     for at, i in enumerate(order):
@@ -164,8 +179,13 @@ def compare(arrays: list[np.ndarray], percent: int, split: int | None = None) ->
         above = sizes[i] - np.bitwise_count(maps[i] & ~maps[js]).sum(axis=1, dtype=np.int64)
         fits = above >= need
         js, need = js[fits], need[fits]
+        if not len(js):
+            continue
         other = sizes[js] - np.bitwise_count(maps[js] & ~maps[i]).sum(axis=1, dtype=np.int64)
         js, need = js[other >= need], need[other >= need]
+        if arrays is None:
+            root[np.isin(root, root[js])] = root[i]
+            continue
         mine = arrays[i]
         for j, least in zip(js, need, strict=True):
             if root[j] != root[i]:
@@ -177,30 +197,68 @@ def compare(arrays: list[np.ndarray], percent: int, split: int | None = None) ->
 
 
 def _tile_forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Edges (node, node) of the links within one tile; rows are (block, node, hashes)."""
+    """Edges (node, node) of a spanning forest of one tile; rows are (block, node, size, bitmap, hashes or None)."""
+    if len(rows) < 2:
+        return []
     rows.sort(key=lambda r: (r[0], r[1]))
-    nodes = [r[1] for r in rows]
-    blocks = [r[0] for r in rows]
+    nodes, blocks = [r[1] for r in rows], [r[0] for r in rows]
     split = blocks.index(blocks[-1]) if blocks[0] != blocks[-1] else None
-    roots = compare([r[2] for r in rows], percent, split)
+    arrays = None if rows[0][4] is None else [r[4] for r in rows]
+    roots = compare(np.array([r[2] for r in rows], dtype=np.int64), stacked([r[3] for r in rows]), percent, split, arrays)
     return [(nodes[i], nodes[r]) for i, r in enumerate(roots) if r != i]
 
 
-def clusters_of(sets: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(node, cluster): nodes that share a key with another one, by connected candidate cluster."""
+def forests(tiled: DataFrame, percent: int) -> DataFrame:
+    """(u, v): spanning forests of all tiles. ``tiled``: TILE, block, node, and n_shingles with bits, or hashes."""
+    exact = "hashes" in tiled.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_tile, rows = None, []
+        for batch in batches:
+            found = []
+            data = batch["hashes"] if exact else zip(batch["n_shingles"], batch["bits"], strict=True)
+            for node, block, held, *tile in zip(batch["node"], batch["block"], data, *(batch[c] for c in TILE), strict=True):
+                if tile != open_tile:
+                    found += _tile_forest(rows, percent)
+                    open_tile, rows = tile, []
+                if exact:
+                    hashes = np.array(held, dtype=np.int64).view(U64)
+                    rows.append((block, node, len(hashes), bitmap(hashes), hashes))
+                else:
+                    rows.append((block, node, *held, None))
+            yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+        yield pd.DataFrame(_tile_forest(rows, percent), columns=["u", "v"], dtype="int64")
+
+    return tiled.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(run, "u long, v long")
+
+
+def groups_of(sets: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(cluster, node): the nodes of each key that several have. Keys of the same nodes give one group."""
     keyed = sets.select("row_id", F.explode("keys").alias("key"))
     copies = firsts.where("row_id <> node").select("row_id")
     keyed = keyed.join(broadcast_if_small(materialize(copies, "copies"), BROADCAST_IDS), "row_id", "left_anti")
-    # a key of very many rows must not meet in one task: such keys are seen in a sample, and their least row is found
+    # a key of very many rows must not meet in one task: such keys are seen in a sample, and their members are summed up
     # by pre-aggregation and a join that can be split; all other keys take one shuffle and a window
     sampled = keyed.where(F.pmod(F.xxhash64("row_id"), F.lit(SAMPLED)) == 0).groupBy("key").agg(F.count("*").alias("n"))
     hot = broadcast_if_small(materialize(sampled.where(F.col("n") >= HOT_IN_SAMPLE).select("key"), "hot-keys"), BROADCAST_IDS)
-    apart = keyed.join(hot, "key", "left_semi")
-    least_hot = apart.groupBy("key").agg(F.min("row_id").alias("least"))
-    cold = keyed.join(hot, "key", "left_anti").withColumn("least", F.min("row_id").over(Window.partitionBy("key")))
-    both = cold.select("row_id", "least").unionByName(apart.join(least_hot, "key").select("row_id", "least"))
-    stars = both.where("row_id > least").select(F.col("row_id").alias("u"), F.col("least").alias("v"))
-    return connected_components(stars).select("node", F.col("root").alias("cluster"))
+    members = {"n": F.count("row_id"), "least": F.min("row_id"), "all": F.bit_xor(F.xxhash64("row_id"))}
+    apart, by_key = keyed.join(hot, "key", "left_semi"), Window.partitionBy("key")
+    many = apart.join(apart.groupBy("key").agg(*[c.alias(name) for name, c in members.items()]), "key")
+    few = keyed.join(hot, "key", "left_anti").withColumns({name: c.over(by_key) for name, c in members.items()})
+    both = few.where("n > 1").unionByName(many.where("n > 1").select(*few.columns))
+    return both.select(F.xxhash64(*members).alias("cluster"), F.col("row_id").alias("node")).distinct()
+
+
+def clusters_of(sets: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """(node, cluster): nodes that can link by their bitmaps with another one of their group, by connected cluster."""
+    groups = materialize(groups_of(sets, firsts), "groups")
+    large = groups.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_DOCS).select("cluster")
+    large = broadcast_if_small(materialize(large, "large-groups"), BROADCAST_IDS)
+    marks = sets.select(F.col("row_id").alias("node"), "n_shingles", "bits")
+    whole = groups.join(large, "cluster", "left_anti").select("node", *[F.lit(0).cast("long").alias(c) for c in ("block", "first", "last")], "cluster")
+    cut = groups.join(large, "cluster", "left_semi").join(marks.drop("bits"), "node")
+    tiled = whole.unionByName(tiles_of(cut, percent)).join(marks, "node")
+    return connected_components(forests(tiled, percent)).select("node", F.col("root").alias("cluster"))
 
 
 def tiles_of(members: DataFrame, percent: int) -> DataFrame:
@@ -223,10 +281,10 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     filled = sets.where("n_shingles > 0")
     classes = filled.groupBy("set_id").agg(F.min("row_id").alias("node"), F.count("*").alias("rows"))
     several = broadcast_if_small(materialize(classes.where("rows > 1").select("set_id", "node"), "classes"), BROADCAST_IDS)
-    thin = sets.drop("keys")
+    thin = sets.drop("keys", "bits")
     firsts = thin.join(several, "set_id", "left").withColumn("node", F.when(F.col("n_shingles") > 0, F.coalesce("node", "row_id")).otherwise(F.col("row_id")))
     firsts = materialize(firsts, "firsts")
-    clusters = clusters_of(sets, firsts)
+    clusters = clusters_of(sets, firsts, percent)
     members = firsts.where("row_id = node").join(clusters, "node")
     members = materialize(members, "members")
     tiled = tiles_of(members.select("node", "cluster", "n_shingles"), percent)
@@ -245,23 +303,10 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             out = pd.DataFrame({"node": batch["__node"], "tiles": batch["__tiles"], "hashes": [s.view(np.int64) for s in sets]})
             yield out[same]
 
-    def forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_tile, rows = None, []
-        for batch in batches:
-            found = []
-            for node, block, hashes, *tile in zip(batch["node"], batch["block"], batch["hashes"], *(batch[c] for c in TILE), strict=True):
-                if tile != open_tile:
-                    found += _tile_forest(rows, percent) if len(rows) > 1 else []
-                    open_tile, rows = tile, []
-                rows.append((block, node, np.array(hashes, dtype=np.int64).view(U64)))
-            yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
-        yield pd.DataFrame(_tile_forest(rows, percent) if len(rows) > 1 else [], columns=["u", "v"], dtype="int64")
-
     tile_type = "array<struct<block:long,cluster:long,first:long,last:long>>"
     arrays = whole_texts(both.drop("doc_id")).mapInPandas(hashed, f"node long, tiles {tile_type}, hashes array<long>")
     arrays = arrays.select("node", "hashes", F.inline("tiles"))
-    edges = arrays.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(forests, "u long, v long")
-    roots = connected_components(edges)
+    roots = connected_components(forests(arrays, percent))
     rooted = materialize(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     linked = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
     out = rooted.join(linked, "root", "left")
@@ -282,5 +327,5 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
         return kept
     # rows that repeat both id and text: one of them stays
     repeated = with_marks(docs.withColumns({f"__k{i}": c for i, c in enumerate(text_key())}), again, "left_semi", {id_col: "doc_id"})
-    rank = F.row_number().over(Window.partitionBy(id_col, "__k0", "__k1", "__k2").orderBy(F.lit(1)))
+    rank = F.row_number().over(Window.partitionBy(id_col, "__k0", "__k1", "__k2").orderBy(F.xxhash64(*docs.columns), *docs.columns))
     return kept.unionByName(repeated.withColumn("__rank", rank).where("__rank = 1").select(*docs.columns))

@@ -370,8 +370,12 @@ def test_segment_keys_lose_no_link():
                     assert keys[i] & keys[j]
 
 
-def test_tiles_with_blocks(spark, monkeypatch):
+@pytest.mark.parametrize(("sampled", "hot"), [(256, 64), (1, 3)])
+def test_tiles_with_blocks(spark, monkeypatch, sampled, hot):
+    """Groups and clusters of several blocks; with keys that count as hot as well."""
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 8)
+    monkeypatch.setattr(jaccard, "SAMPLED", sampled)
+    monkeypatch.setattr(jaccard, "HOT_IN_SAMPLE", hot)
     rnd = random.Random(11)
     base = [f"z{i}" for i in range(100)]
     rows = []
@@ -386,7 +390,27 @@ def test_tiles_with_blocks(spark, monkeypatch):
     assert out == dict(enumerate(root))
 
 
-def test_connected_components(spark):
+def test_bitmaps_bound_from_above():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(0, 1 << 12, rng.choice([1, 7, 90, 400]), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(2))
+        maps = jaccard.stacked([jaccard.bitmap(a), jaccard.bitmap(b)])
+        above = min(len(x) - int(np.bitwise_count(m & ~o).sum()) for x, m, o in ((a, maps[0], maps[1]), (b, maps[1], maps[0])))
+        assert above >= len(np.intersect1d(a, b))
+
+
+def test_a_shared_passage_makes_no_cluster(spark):
+    """Documents that share half their words meet under common keys, but their bitmaps keep them out of one cluster."""
+    passage = " ".join(f"p{i}" for i in range(100))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}x{k}" for k in range(100)), "en", "a") for i in range(40)]
+    sets = jaccard.with_sets(frame(spark, rows), 5, 80, "doc_id")
+    firsts = sets.drop("keys", "bits").withColumn("node", F.col("row_id"))
+    assert jaccard.groups_of(sets, firsts).count() > 40 and jaccard.clusters_of(sets, firsts, 80).count() == 0
+
+
+@pytest.mark.parametrize("nodes", [100_000, 4])
+def test_connected_components(spark, monkeypatch, nodes):
+    monkeypatch.setattr(components, "BROADCAST_NODES", nodes)
     rnd = random.Random(12)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(rnd.randrange(200, 260), rnd.randrange(200, 260)) for _ in range(40)] + [(7, 7)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
