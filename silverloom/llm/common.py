@@ -50,6 +50,21 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def join_counted(df: DataFrame, counted: DataFrame, on: str, how: str = "inner", most: int = 100_000) -> DataFrame:
+    """Join ``counted`` (one row for each ``on``, with ``n``, its rows in ``df``; materialised) to ``df``; n is dropped.
+
+    No task meets all rows of one value: values with at least total / ``most`` rows, of which there can be at most
+    ``most``, come by broadcast; the rest is shuffled.
+    """
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    many = -(-total // most)
+    if many <= 1:
+        return df.join(F.broadcast(counted.drop("n")), on, how)
+    hot, cold = counted.where(F.col("n") >= many).drop("n"), counted.where(F.col("n") < many).drop("n")
+    rest = df.join(F.broadcast(hot.select(on)), on, "left_anti")
+    return df.join(F.broadcast(hot), on).unionByName(rest.join(cold, on, how))
+
+
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows of the smallest hash of ``key``: a bounded sample that any rerun draws again.
 

@@ -5,28 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import materialize
+from silverloom.llm.common import join_counted, materialize
 
 
 #: Nodes with the most neighbours are looked up in a broadcast table of at most so many rows.
 BROADCAST_NODES = 100_000
 
 
-def _with_least(pairs: DataFrame, rows: int) -> DataFrame:
-    """Add to (u, v) the least of u and its neighbours. ``rows``: a bound on the rows of ``pairs``.
-
-    No task meets all neighbours of one u: the least ones are found by pre-aggregation, and come back by broadcast to
-    every u with at least rows / BROADCAST_NODES neighbours, of which there are at most BROADCAST_NODES.
-    """
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """Add to (u, v) the least of u and its neighbours, found by pre-aggregation; no task meets all neighbours of one u."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    least = least.select("u", F.least("u", "m").alias("m"), "n")
-    many = -(-rows // BROADCAST_NODES)
-    if many <= 1:
-        return pairs.join(F.broadcast(least.drop("n")), "u")
-    least = materialize(least, "least")
-    hot, cold = least.where(F.col("n") >= many).drop("n"), least.where(F.col("n") < many).drop("n")
-    rest = pairs.join(F.broadcast(hot.select("u")), "u", "left_anti")
-    return pairs.join(F.broadcast(hot), "u").unionByName(rest.join(cold, "u"))
+    least = materialize(least.select("u", F.least("u", "m").alias("m"), "n"), "least")
+    return join_counted(pairs, least, "u", most=BROADCAST_NODES)
 
 
 def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -45,9 +35,9 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if not seen[0]:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both, 2 * seen[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "edges")
-        small = _with_least(large.where("u <> v"), 2 * seen[0])
+        small = _with_least(large.where("u <> v"))
         stars = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(stars.unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
         was, seen = seen, state(now)

@@ -44,13 +44,16 @@ def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
-    each = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, secrets.KINDS)), x.kind + 1), x.start, x.end)), ",")
+    joined = lambda xs, f: F.array_join(F.transform(xs, f), ",")
+    each = lambda xs: joined(xs, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, secrets.KINDS)), x.kind + 1), x.start, x.end))
     base = F.filter("found", lambda x: x.kind < 3)
-    verdicts = F.array_join(F.transform("found", lambda x: F.when(x.live, "live").otherwise("example")), ",")  # span by span
-    count = lambda k: F.size(F.filter("found", lambda x: x.kind == k)).cast("long")
+    count = lambda test: F.size(F.filter("found", test)).cast("long")
+    kinds = [count(lambda x, k=k: x.kind == k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
     return found.select(
-        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(each(base), 256).alias("base_sha256"), each(F.col("found")).alias("spans"), verdicts.alias("verdicts"),
+        "doc_id", *kinds[:3], F.sha2(each(base), 256).alias("base_sha256"), each(F.col("found")).alias("spans"), kinds[3],
+        count(lambda x: x.live).alias("n_live"), count(lambda x: ~x.live).alias("n_example"),
+        joined("found", lambda x: F.when(x.live, "live").otherwise("example")).alias("verdicts"),  # span by span, as the two below
+        joined("found", lambda x: x.owners.cast("string")).alias("owners"), joined("found", lambda x: x.repositories.cast("string")).alias("repositories"),
     )
 
 

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silverloom.llm import ann, bpe, components, host_quality, html, jaccard, mixing, quality, queries, secrets, sharding, token_counts
+from silverloom.llm import ann, bpe, common, components, host_quality, html, jaccard, mixing, quality, queries, secrets, sharding, token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DATA = os.environ.get("TEST_LABELLED_DIR", "/root/testdata/sf0.01")
@@ -463,6 +464,51 @@ def test_one_owner_may_repeat_a_secret(spark, tmp_path):
     assert clean[7] == "foot [SECRET] of 7" and clean[1000] == f"see {wide} or [EXAMPLE-SECRET]" and clean[2000] == "[SECRET]"
 
 
+def test_ownership_against_brute_force(spark, tmp_path):
+    rnd = random.Random(31)
+    pool = [f"Zk{i}tokenvalue{i}abcdef" for i in range(12)] + ["ab01" * 8, "AKIA" + "R5" * 8]
+    rows = []
+    for i in range(150):
+        chosen = rnd.choices(pool, weights=[1 + k % 5 for k in range(len(pool))], k=rnd.randrange(5))
+        rows.append((rnd.randrange(120), " é ".join(["a b", *chosen]) + rnd.choice(["", " password = hunter2hunter2", " bearer: q1w2e3r4t5"]), "en", rnd.choice(["s1", "s2", "s3", "s4", None])))
+    rows += [rows[0], rows[1], (5, None, "en", None), (None, f"x {pool[0]}", "en", "s9")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    holders = defaultdict(set)
+    for i, t, _, s in rows:
+        for _, _, _, v in secrets.scan(t or ""):
+            holders[v].add((s or "", str(i if i is not None else "")))
+    expected = Counter()
+    for i, t, _, _ in rows:
+        spans = []
+        for k, s, e, v in secrets.scan(t or ""):
+            owners = len({o for o, _ in holders[v]})
+            if k < 3 or owners <= secrets.MAX_OWNERS:
+                spans.append((f"{secrets.KINDS[k]}:{s}:{e}", str(owners), str(len(holders[v])), "live" if owners <= secrets.MAX_OWNERS else "example"))
+        parts = [",".join(x) for x in zip(*spans, strict=True)] if spans else [""] * 4
+        expected[(i, *parts, sum(x[3] == "live" for x in spans), sum(x[3] == "example" for x in spans))] += 1
+    out = queries.op8_secret_scan(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.spans, r.owners, r.repositories, r.verdicts, r.n_live, r.n_example) for r in out) == expected
+    assert {k[4] for k in expected} >= {"live", "example"}
+    each = spark.createDataFrame([(v % 7, v) for v in range(400)], "value int, x int")
+    counted = each.groupBy("value").agg(F.count("*").alias("n"), F.max("x").alias("top"))
+    split = common.join_counted(each, counted.where("value < 6"), "value", "left", most=3)
+    assert Counter((r.value, r.x, r.top) for r in split.collect()) == Counter((v % 7, v, None if v % 7 == 6 else max(x for x in range(400) if x % 7 == v % 7)) for v in range(400))
+
+
+def test_secret_scan_is_linear():
+    rnd = random.Random(8)
+    text = " ".join("".join(rnd.choice("abcdefghijKLMN0123456789") for _ in range(20)) + rnd.choice(["", " token=abcdefgh12"]) for _ in range(40_000))
+    began = time.time()
+    found = secrets.scan(text)
+    assert len(text) > 1_000_000 and time.time() - began < 3
+    starts, ends = [x[1] for x in found], [x[2] for x in found]
+    clean = secrets.redacted(text, starts, ends, ["[S]"] * len(found))
+    assert time.time() - began < 5 and "token" not in clean
+    base = [f for f in found if f[0] < 3]
+    assert all(k < 3 or not any(s < f[2] and f[1] < e for f in base[:200]) for k, s, e, _ in found[:400])
+    assert secrets.redacted("0123456789", [1, 2, 6], [5, 4, 7], ["a", "b", "c"]) == "0a5c789"
+
+
 # quality classifier
 
 
