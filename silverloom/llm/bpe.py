@@ -11,6 +11,12 @@ The tokenizer file is a parameter; it holds a BPE model with an end-of-word suff
 case, and special tokens that are found in the raw text first. No decoder is given there, so decoding joins the tokens'
 names by one space.
 
+Ids must not change with an upgrade of Python or of a package, so letters, numbers, lower case and normal form are those
+of the tables that the tokenizers library holds: Unicode 16 for letters and numbers, 17 for lower case, 9 for the order
+of combining marks. They are made from the interpreter's tables, which must be of Unicode 15.1, and the fixed
+differences below; under other tables nothing is encoded. A test compares every code point with the library. Texts
+without a code point that the installed regex package sees otherwise are split by that package, which is faster.
+
 Cases: a null text counts as empty and has no tokens. Repeated rows are encoded alike; an empty table gives an empty
 result. Fragments of any length cost n log n. Further columns are ignored.
 """
@@ -22,7 +28,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,6 +50,62 @@ SHORT = 40
 LATIN_LETTER, LATIN_NUMBER, LATIN_SPACE = r"A-Za-zªµºÀ-ÖØ-öø-ÿ", r"0-9²³¹¼-¾", r"\t-\r \x85\xa0"
 
 
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+TABLES = "15.1.0"
+
+# What Unicode 16 and 17 add to the tables of 15.1, and the marks that came after 9.
+NEW_LETTERS = (
+    r"\u1c89-\u1c8a\ua7cb-\ua7cd\ua7da-\ua7dc\U000105c0-\U000105f3\U00010d4a-\U00010d65\U00010d6f-\U00010d85\U00010ec2-\U00010ec4"
+    r"\U00011380-\U00011389\U0001138b\U0001138e\U00011390-\U000113b5\U000113b7\U000113d1\U000113d3\U00011bc0-\U00011be0"
+    r"\U00013460-\U000143fa\U00016100-\U0001611d\U00016d40-\U00016d6c\U00018cff\U0001e5d0-\U0001e5ed\U0001e5f0"
+)
+NEW_NUMBERS = (
+    r"\U00010d40-\U00010d49\U000116d0-\U000116e3\U00011bf0-\U00011bf9\U00016130-\U00016139\U00016d70-\U00016d79"
+    r"\U0001ccf0-\U0001ccf9\U0001e5f1-\U0001e5fa"
+)
+NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEW_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+NEW_MARKS = (
+    r"\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c\U00010d24-\U00010d27"
+    r"\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50\U00010f82-\U00010f85\U00011070\U0001133b\U0001145e"
+    r"\U00011839-\U0001183a\U00011930\U0001193d-\U0001193e\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42"
+    r"\U00011d44-\U00011d45\U00011d97\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae"
+    r"\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef"
+)
+IS_NEW_MARK = re.compile(f"([{NEW_MARKS}])")
+#: Code points of a word by which leaves are told apart when a text is counted leaf by leaf.
+LEAF_END = "\x01"
+
+
+def flags_of(points: Iterable[int]) -> np.ndarray:
+    flags = np.zeros(0x110000, dtype=bool)
+    flags[list(points)] = True
+    return flags
+
+
+def has_any(text: str, flags: np.ndarray) -> bool:
+    """Whether a text has a flagged code point; none of ASCII is flagged."""
+    return not text.isascii() and bool(flags[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].any())
+
+
+IS_NEW_LOWER = flags_of(NEW_LOWER)
+
+
+@lru_cache(maxsize=1)
+def word_classes() -> tuple[str, str, np.ndarray]:
+    """Letters and numbers as the inside of character classes, and the code points that the regex package sees otherwise."""
+    if unicodedata.unidata_version != TABLES:
+        raise RuntimeError(f"words are split by the tables of Unicode {TABLES}, and this Python has {unicodedata.unidata_version}")
+    every = "".join(map(chr, range(0x110000)))
+    kinds = "".join([unicodedata.category(c)[0] for c in every])
+    spans = lambda kind: "".join([f"\\U{m.start():08x}-\\U{m.end() - 1:08x}" for m in re.finditer(f"{kind}+", kinds)])
+    letter, number = spans("L") + NEW_LETTERS, spans("N") + NEW_NUMBERS
+    odd = set()
+    for ours, theirs in ((letter, r"\p{L}"), (number, r"\p{N}"), (WHITE, r"\p{White_Space}")):
+        odd ^= set(re.findall(f"[{ours}]", every)) ^ set(regex.findall(theirs, every))
+    return letter, number, flags_of(map(ord, odd))
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter of each byte in byte-level vocabularies, back to the byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,12 +121,14 @@ class ForcedBoundaryBpe:
         model, letters = spec["model"], byte_letters()
         self.suffix = model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special_at = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        self.special_at = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         # the file's pattern: a contraction, letters, one number, or other signs; no two of these start alike
-        ends, white = r"'(?:s|t|re|ve|m|ll|d)", r"\p{White_Space}"
+        ends = r"'(?:s|t|re|ve|m|ll|d)"
+        letter, number, self.odd = word_classes()
         if spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != PATTERN:
             raise ValueError("the tokenizer file splits words by another pattern")
-        self.words = regex.compile(rf"[\p{{L}}]+|{ends}|[\p{{N}}]|[^{white}\p{{L}}\p{{N}}]+")
+        self.words = re.compile(f"[{letter}]+|{ends}|[{number}]|[^{WHITE}{letter}{number}]+")
+        self.fast_words = regex.compile(rf"[\p{{L}}]+|{ends}|[\p{{N}}]|[^\p{{White_Space}}\p{{L}}\p{{N}}]+")
         self.latin_words = re.compile(rf"[{LATIN_LETTER}]+|{ends}|[{LATIN_NUMBER}]|[^{LATIN_SPACE}{LATIN_LETTER}{LATIN_NUMBER}]+")
 
         def as_bytes(token: str) -> bytes:
@@ -90,11 +154,14 @@ class ForcedBoundaryBpe:
             self.made.append(vocab[a + b])
         self.decimal = [str(i) for i in range(max(self.names) + 1)]
         self.known: dict[bytes, tuple[str, int, str]] = {}
-        self.counts: dict[bytes, int] = {}
+        self.sizes = WordSizes(self)
 
     def normalize(self, text: str) -> str:
         if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
+            # what was no mark in the tables of the library stays in its place and joins nothing
+            text = "".join([unicodedata.normalize("NFC", t) for t in IS_NEW_MARK.split(text)])
+        if has_any(text, IS_NEW_LOWER):
+            text = text.translate(NEW_LOWER)
         return text.replace("Σ", "σ").lower()  # letter by letter: no rule for a final sigma
 
     def merge(self, fragment: bytes) -> list[int]:
@@ -151,14 +218,17 @@ class ForcedBoundaryBpe:
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.names[i] for i in ids])
 
-    def fragments(self, text: str) -> list[bytes]:
-        """The text's bytes between forced boundaries."""
-        text = self.normalize(text)
+    def words_of(self, text: str) -> list[str]:
+        """Pre-tokens of a normalized text."""
         try:
             text.encode("latin-1")
-            words = self.latin_words.findall(text)
+            return self.latin_words.findall(text)
         except UnicodeEncodeError:
-            words = self.words.findall(text)
+            return (self.words if has_any(text, self.odd) else self.fast_words).findall(text)
+
+    def fragments(self, text: str) -> list[bytes]:
+        """The text's bytes between forced boundaries."""
+        words = self.words_of(self.normalize(text))
         if not words:
             return []
         stream = "\0".join(words).encode() + b"\0"
@@ -166,6 +236,9 @@ class ForcedBoundaryBpe:
             stream = stream.replace(b"\0", MARK)
         else:  # the text itself holds NUL
             stream = MARK.join(w.encode() for w in words) + MARK
+        return self.cut(stream)
+
+    def cut(self, stream: bytes) -> list[bytes]:
         codes = np.frombuffer(stream, dtype=np.uint8)
         pairs = codes[:-1].astype(np.uint16) << 8 | codes[1:]
         cuts = (np.flatnonzero(self.forced[pairs]) + 1).tolist()
@@ -183,19 +256,39 @@ class ForcedBoundaryBpe:
         return out
 
     def count(self, text: str) -> int:
-        """The number of tokens of a text; fragments' counts are remembered without their ids."""
-        total, at, known, sized = 0, 0, self.counts, self.sized
+        """The number of tokens of a text."""
+        total, at, sizes = 0, 0, self.sizes
         for m in self.special_at.finditer(text) if "<|" in text else ():
-            total += 1 + sum([known.get(f) or sized(f) for f in self.fragments(text[at : m.start()])])
+            total += 1 + sum(map(sizes.__getitem__, self.words_of(self.normalize(text[at : m.start()]))))
             at = m.end()
-        return total + sum([known.get(f) or sized(f) for f in self.fragments(text[at:] if at else text)])
-
-    def sized(self, piece: bytes) -> int:
-        n = len(self.merge(piece))
-        if len(piece) <= CACHED_BYTES:
-            if len(self.counts) >= CACHE:
-                self.counts.clear()
-            self.counts[piece] = n
+        return total + sum(map(sizes.__getitem__, self.words_of(self.normalize(text[at:] if at else text))))
+
+    def count_each(self, leaves: list[str]) -> list[int]:
+        """The numbers of tokens of pieces of one text, cut where no token reaches across; in one pass over the text."""
+        joined = f" {LEAF_END} ".join(leaves)
+        if "<|" in joined or joined.count(LEAF_END) != len(leaves) - 1:
+            return [self.count(x) for x in leaves]
+        words = self.words_of(self.normalize(joined))
+        sizes = np.fromiter(map(self.sizes.__getitem__, words), dtype=np.int64, count=len(words))
+        ends = [i for i, w in enumerate(words) if w == LEAF_END]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        return (upto[[*ends, len(words)]] - upto[[0, *[i + 1 for i in ends]]]).tolist()
+
+
+class WordSizes(dict):
+    """Numbers of tokens of words, from their fragments; forgets all when it is full."""
+
+    def __init__(self, bpe: ForcedBoundaryBpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> int:
+        stream = word.encode() + MARK
+        n = sum([len(self.bpe.merge(f)) for f in self.bpe.cut(stream)])
+        if len(stream) <= CACHED_BYTES:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = n
         return n
 
 

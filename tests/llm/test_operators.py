@@ -5,6 +5,7 @@ import os
 import random
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -224,6 +225,32 @@ def test_bpe_equals_library(spark, library):
     assert bpe.encode_digests(frame(spark, EMPTY), bpe.default_spec()).count() == 0
 
 
+def test_every_code_point_equals_the_library(library):
+    """Letters, numbers, white space, lower case and normal form of every code point of the planes that are in use."""
+    coder, all_points = bpe.coder(bpe.default_spec()), [chr(c) for c in [*range(0x34000), *range(0xE0000, 0xE0200)] if not 0xD800 <= c < 0xE000]
+    letter_of = {b: c for c, b in bpe.byte_letters().items()}
+    as_letters = lambda words: ["".join(letter_of[b] for b in w.encode()) for w in words]
+    theirs = lambda text: [w for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))]
+    shape = "a{0}a !{0}! 1{0} a{0}\u0334 a\u0345{0} e{0}\u0301"
+    for at in range(0, len(all_points), 512):
+        part = all_points[at : at + 512]
+        text = "  ".join(shape.format(c) for c in part)
+        if as_letters(coder.words_of(coder.normalize(text))) != theirs(text):
+            raise AssertionError([hex(ord(c)) for c in part if as_letters(coder.words_of(coder.normalize(shape.format(c)))) != theirs(shape.format(c))])
+
+
+def test_marks_equal_the_library(library):
+    """20,000 strings of random code points with combining marks in every order."""
+    coder, rnd = bpe.coder(bpe.default_spec()), random.Random(41)
+    marks = [chr(c) for c in range(0x110000) if unicodedata.combining(chr(c))]
+    bases = ["a", "e", "o", "\u0104", "\u1100", "\u1161", "\u11a8", "\uac00", "\u11935", "\U00011935", " ", "1", "\u0627", "\u0915", "K", "\u03a3", "/"]
+    for _ in range(20):
+        texts = ["".join(rnd.choice(bases) + "".join(rnd.choices(marks, k=rnd.randrange(5))) + (chr(rnd.randrange(0xE000, 0x20000)) if rnd.random() < 0.3 else "") for _ in range(6)) for _ in range(1000)]
+        for text, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert [int(i) for f in coder.encode(text) for i in f[0].split()] == got.ids, ascii(text)
+            assert coder.count(text) == len(got.ids)
+
+
 def test_boundaries_are_forced():
     coder = bpe.coder(bpe.default_spec())
     inside = {t[i : i + 2] for t in coder.ids for i in range(len(t) - 1)}
@@ -235,36 +262,62 @@ def test_boundaries_are_forced():
     assert coder.merge_short(list(ids)) == coder.merge_long(list(ids))
 
 
-def test_edit_tree(monkeypatch):
-    monkeypatch.setattr(token_counts, "LEAF_CHARS", 40)
+def test_edit_tree():
     coder, rnd = bpe.coder(bpe.default_spec()), random.Random(6)
-    for _ in range(80):
-        text = "".join(rnd.choice(["ab", "don't ", " ", "\n", "é", "e", "́", "<|endoftext|>", "!!", "12", "word ", "x" * 50]) for _ in range(rnd.choice([0, 1, 5, 50, 200])))
-        tree = token_counts.EditTree(text, coder)
+    for _ in range(150):
+        text = "".join(rnd.choice(["ab", "don't ", " ", "\n", "é", "e", "\u0301", "<|endoftext|>", "!!", "12", "word ", "x" * 50, "\x01"][: rnd.choice([13, 12])]) for _ in range(rnd.choice([0, 1, 5, 50, 200])))
+        tree = token_counts.EditTree.of(text, coder)
+        assert tree.n_tokens == coder.count(text) and sum(tree.leaves()[0]) == len(text)
         for _ in range(6):
-            at, gone, new = rnd.randint(-1, len(text) + 3), rnd.choice([0, 1, 5, 90]), rnd.choice(["", " ", "a", "́", "<|endo", "text|>", "q " * 300, "'s"])
+            at, gone, new = rnd.randint(-1, len(text) + 3), rnd.choice([0, 1, 5, 90, 4000]), rnd.choice(["", " ", "a", "\u0301", "<|endo", "text|>", "q " * 300, "'s"])
             place = min(max(at, 0), len(text))
             text = text[:place] + new + text[place + gone :]
             tree.edit(at, gone, new)
-            assert tree.text() == text and tree.n_chars == len(text) and tree.n_tokens == coder.count(text)
+            assert tree.text == text and tree.n_chars == len(text) and tree.n_tokens == coder.count(text)
+            stored = token_counts.EditTree(text, *tree.leaves(), coder)
+            assert stored.n_tokens == tree.n_tokens and stored.n_chars == len(text)
 
 
 def test_edit_aware_counts(spark, library):
     rows = corpus(8)
-    out = token_counts.count_with_edits(frame(spark, rows), token_counts.derived_edits(), bpe.default_spec())
+    spec = bpe.default_spec()
+    trees = token_counts.build_trees(frame(spark, rows), spec, extra=[token_counts.derived_edits().alias("edits")])
+    trees = common.materialize(trees, "trees")
+    out = token_counts.apply_edits(trees, F.col("edits"), spec)
     both = out.collect()
     assert len(both) == len(rows)
     texts = {i: t for i, t, _, _ in rows}
-    assert all(r.n_tokens == len(library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids) for r in both)
+    counted = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    assert all(r.n_tokens == counted(texts[r.doc_id] or "") for r in both)
     edits = {r.doc_id: r.e for r in frame(spark, rows).select("doc_id", token_counts.derived_edits().alias("e")).collect()}
+    long = 0
     for r in both:
-        text = texts[r.doc_id] or ""
+        text = before = texts[r.doc_id] or ""
         for e in edits[r.doc_id]:
             text = text[: e.pos] + (e.ins or "") + text[e.pos + e["del"] :]
-        assert (r.edited_chars, r.edited_tokens) == (len(text), len(library.encode(text, add_special_tokens=False).ids))
-        assert r.leaves < 20 or r.leaves_reencoded < r.leaves
-    none = token_counts.count_with_edits(frame(spark, rows), F.lit(None), bpe.default_spec())
+        assert (r.edited_chars, r.edited_tokens, r.edited_text) == (len(text), counted(text), text)
+        if len(before.split()) > 200 and " " in before:
+            # an edit re-encodes what it inserts and two leaves; a leaf is cut at the first gap after LEAF_CHARS
+            longest = token_counts.LEAF_CHARS + max(len(w) for w in before.split(" ")) + 1
+            assert r.chars_reencoded <= sum(len(e.ins or "") + 3 * longest for e in edits[r.doc_id])
+            assert r.leaves_reencoded <= 3 and r.tokens_reencoded < r.edited_tokens / 2
+            long += 1
+    assert long > 5
+    # a second round of edits goes on from the stored result of the first
+    again = token_counts.apply_edits(common.materialize(token_counts.edited_trees(out), "trees"), F.array(F.struct(F.lit(1).alias("pos"), F.lit(2).alias("del"), F.lit("q q").alias("ins"))), spec)
+    firsts = {r.doc_id: r for r in both}
+    for r in again.collect():
+        text = firsts[r.doc_id].edited_text
+        text = text[:1] + "q q" + text[3:]
+        assert r.n_tokens == firsts[r.doc_id].edited_tokens and (r.edited_text, r.edited_tokens) == (text, counted(text))
+    # edits as a table; documents without any stay as they are
+    table = spark.createDataFrame([(1, 2, 5, 0, "zz "), (1, 1, 0, 3, None), (5, 1, 3, 1, "é"), (None, 1, 0, 0, "n"), (77_777, 1, 0, 0, "n")], "doc_id bigint, seq int, pos bigint, del bigint, ins string")
+    got = {r.doc_id: r for r in token_counts.apply_edits(token_counts.with_edit_table(trees.drop("edits"), table), F.col("edits"), spec).collect()}
+    assert got[1].edited_text == (lambda t: t[:5] + "zz " + t[5:])(texts[1][3:]) and got[5].edited_text == texts[5][:3] + "é" + texts[5][4:]
+    assert got[2].edited_text == texts[2] and got[2].leaves_reencoded == 0 and len(got) == len({r[0] for r in rows})
+    none = token_counts.apply_edits(trees, F.lit(None), spec)
     assert all(r.n_tokens == r.edited_tokens for r in none.collect())
+    assert token_counts.build_trees(frame(spark, EMPTY), spec).count() == 0
 
 
 # nearest neighbours
