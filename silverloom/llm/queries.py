@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from silverloom.llm import ann, bpe, host_quality, html, jaccard, mixing, oracle, quality, secrets, sharding, token_counts
-from silverloom.llm.common import table
+from silverloom.llm.common import materialize, table
 
 
 def op1_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_with_edits(table(spark, sf_dir, "documents"), token_counts.derived_edits(), bpe.default_spec())
+    """Trees of all documents, written, and then three edits of each document applied to the stored trees."""
+    spec = bpe.default_spec()
+    trees = token_counts.build_trees(table(spark, sf_dir, "documents"), spec, extra=[token_counts.derived_edits().alias("edits")])
+    return token_counts.apply_edits(materialize(trees, "token-trees"), F.col("edits"), spec, counts_only=True)
 
 
 def op2_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
