@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import KEY, broadcast_if_small, materialize, prefix_sums, text_key, whole_texts, with_marks
+from silverloom.llm.common import KEY, broadcast_if_small, join_counted, materialize, prefix_sums, text_key, whole_texts, with_marks
 from silverloom.llm.components import connected_components
 
 #: Words remembered by a task, and the rows of ids up to which a join with whole texts is a broadcast.
@@ -308,16 +308,16 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     arrays = arrays.select("node", "hashes", F.inline("tiles"))
     roots = connected_components(forests(arrays, percent))
     rooted = materialize(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    linked = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-    out = rooted.join(linked, "root", "left")
+    linked = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")).where("n > 1")
+    out = join_counted(rooted, materialize(linked, "components"), "root", "left")
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each component: that of the least id (a null id only where there is no other)."""
     linked = link_components(docs, n, percent, id_col).withColumn("place", F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "row_id"))
-    best = linked.groupBy("root").agg(F.min_by(F.struct("doc_id", *KEY), "place").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    linked = linked.join(best.drop("rows"), "root")  # only components of several rows
+    best = linked.groupBy("root").agg(F.min_by(F.struct("doc_id", *KEY), "place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    linked = join_counted(linked, materialize(best, "kept-rows"), "root")  # only components of several rows
     is_first = F.struct("doc_id", *KEY).eqNullSafe(F.col("first"))
     copies = linked.groupBy("doc_id", *KEY).agg(F.max(is_first).alias("first"), F.sum(is_first.cast("int")).alias("n"))
     copies = materialize(copies.where("not first or n > 1"), "near-copies")
