@@ -1,18 +1,23 @@
 """Approximate nearest neighbours: a hash-prefix forest.
 
-Every tree has a long hash of each vector: signs of random projections, a bit each. An index bucket keeps, for each
-tree, its vectors in the order of their hashes. A query descends in every tree to the rows that share the longest prefix
-with its own hash, and then ascends in all trees at once, one bit of prefix at a time, until the trees together offer
-enough candidates. These are scored exactly, in double precision, on the original vectors.
+Every tree has a long hash of each vector: signs of random projections, a bit each. In each tree rows are kept in the
+order of their hashes, so that all rows with an equal prefix of any length lie together. A query descends to the rows
+that share the longest prefixes with it and ascends in all trees at once, to a shorter length of prefix, as long as it
+has not met enough candidates. Only candidates are scored, in double precision, on the original vectors.
 
-Nearness is the largest inner product. To make it an angle, vectors of a bucket are divided by its largest norm and get
-one more component that fills them up to the unit sphere, which queries lack.
+Nearness is the largest inner product. To make it an angle, vectors are divided by the largest norm of all and get one
+more component that fills them up to the unit sphere, which queries lack.
 
-The index is spread over buckets by a hash of the id, and queries over blocks; each tile of a bucket and a block is one
-group of rows, and returns the best of each query, which one more aggregation over the tiles reduces. Nothing is sampled
-and every row is indexed. ``share`` of a bucket's rows (at least ``least``) are candidates. Independent directions in 64
-dimensions have no near neighbours to speak of, so a high share is needed for a recall of 0.9 on them; clustered vectors
-need far less.
+The index is spread by the hashes themselves: a bucket is a range of the first tree's hashes, and one that holds very
+many rows is split by a hash of the id. Queries are put into blocks likewise. A query is sent to the buckets where some
+tree has rows of its prefix, found by a join of prefixes, and to no other; each tile of a bucket and a block is a group
+of rows of bounded size, which returns the best of each query. On clustered vectors a query so meets few buckets; on
+independent directions every bucket has rows of every short prefix, and the work is queries times rows.
+
+How many trees and how long a prefix the search starts with is fitted: on a sample of about ``SAMPLE_ROWS`` rows, those
+of the smallest hash of the id, the cheapest choice by which ``TARGET`` of the true neighbours of ``SAMPLE_QUERIES`` of
+them are met. Neighbours within a sample are further away than those within all rows, so that the choice is a careful
+one. Every row is indexed. Queries that found fewer than ``k`` rows ascend to half the length, and then to none.
 
 Cases: vectors that are null, empty, all zero or hold null or non-finite components take no part, nor do null ids. A
 query only meets vectors of its own dimension. Equal scores go to the smaller id. Repeated rows (an id with the same
@@ -22,85 +27,96 @@ returned. An empty table gives an empty result. Further columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.llm.common import materialize
+from silverloom.llm.common import broadcast_if_small, materialize
 
-TREES, BITS = 12, 32
+TREES, BITS = 64, 30
+#: Numbers of trees that the fit may choose.
+TREE_CHOICES = (4, 8, 12, 16, 24, 32, 48, 64)
 BUCKET_ROWS, BLOCK_QUERIES = 4096, 2048
-SHARE, LEAST = 0.6, 1024
+SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 4096, 64, 0.94
 SEED = 20
 
 
+@lru_cache(maxsize=8)
 def planes(dim: int) -> np.ndarray:
     """Normals of the random projections of all trees, for vectors with the added component."""
     return np.random.default_rng([SEED, dim]).standard_normal((dim + 1, TREES * BITS))
 
 
-def hashes(vectors: np.ndarray, normals: np.ndarray) -> np.ndarray:
-    """(trees, rows) hashes; the first projection is the highest bit."""
-    signs = (vectors @ normals > 0).reshape(len(vectors), TREES, BITS)
-    weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
-    return (signs @ weights).T
+def hashes(vectors: np.ndarray, norm: float | None, trees: int = TREES) -> np.ndarray:
+    """(rows, trees) hashes of rows, or with ``norm`` None of queries; the first projection is the highest bit."""
+    if norm is None:
+        unit = vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+        rest = np.zeros(len(unit))
+    else:
+        unit = vectors / norm
+        rest = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
+    weights = 1 << np.arange(BITS - 1, -1, -1)
+    out = np.empty((len(vectors), trees), dtype=np.int64)
+    for at in range(0, len(vectors), 1024):
+        part = np.column_stack([unit[at : at + 1024], rest[at : at + 1024]])
+        out[at : at + 1024] = (part @ planes(vectors.shape[1])[:, : trees * BITS] > 0).reshape(-1, trees, BITS) @ weights
+    return out
 
 
 class Forest:
-    """The trees of one bucket."""
-
-    def __init__(self, vectors: np.ndarray):
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        unit = vectors / norms.max()
-        rest = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
-        self.normals = planes(vectors.shape[1])
-        codes = hashes(np.column_stack([unit, rest]), self.normals)
-        self.order = np.argsort(codes, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(codes, self.order, axis=1)
-
-    def candidates(self, queries: np.ndarray, enough: int) -> Iterator[np.ndarray]:
-        """For each query a mask of the rows met by the synchronous ascent."""
-        unit = queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))
-        codes = hashes(np.column_stack([unit, np.zeros(len(unit))]), self.normals)
-        rows, n = self.sorted.shape[1], len(queries)
-        # bounds of the rows with an equal prefix of each length, from whole hashes up to none
-        lows, highs, met = [], [], []
-        for free in range(BITS + 1):
-            low, high = (codes >> free) << free, ((codes >> free) + 1) << free
-            lows.append(np.array([np.searchsorted(s, x, "left") for s, x in zip(self.sorted, low, strict=True)]))
-            highs.append(np.array([np.searchsorted(s, x, "left") for s, x in zip(self.sorted, high, strict=True)]))
-            met.append((highs[-1] - lows[-1]).sum(axis=0))
-        level = np.argmax(np.array(met) >= min(enough, rows * TREES), axis=0)
-        for q in range(n):
-            mask, at = np.zeros(rows, dtype=bool), level[q]
-            while True:
-                for t in range(TREES):
-                    mask[self.order[t, lows[at][t, q] : highs[at][t, q]]] = True
-                if mask.sum() >= min(enough, rows) or at == BITS:
-                    break
-                at += 1  # the trees met the same rows: one bit further up
-            yield mask
-
-
-def best_of(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, share: float, least: int) -> pd.DataFrame:
-    """The best ``k`` found of each query in one bucket."""
-    enough = max(least, math.ceil(share * len(ids)))
+    """The trees of one bucket: sorted arrays of hashes."""
+
+    def __init__(self, codes: np.ndarray):
+        self.order = np.argsort(codes.T, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(codes.T, self.order, axis=1)
+
+    def candidates(self, codes: np.ndarray, length: int) -> Iterator[np.ndarray]:
+        """For each query the rows that share at least ``length`` bits of prefix with it in some tree."""
+        free = BITS - length
+        low = (codes >> free) << free
+        lows = [np.searchsorted(s, x, "left") for s, x in zip(self.sorted, low.T, strict=True)]
+        highs = [np.searchsorted(s, x, "left") for s, x in zip(self.sorted, (low + (1 << free)).T, strict=True)]
+        met = np.zeros(self.order.shape[1], dtype=bool)
+        for spans in zip(np.transpose(lows).tolist(), np.transpose(highs).tolist(), strict=True):
+            met[:] = False
+            for rows, a, b in zip(self.order, *spans, strict=True):
+                met[rows[a:b]] = True
+            yield np.flatnonzero(met)
+
+
+def best_of(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, query_codes: np.ndarray, length: int, k: int) -> pd.DataFrame:
+    """The best ``k`` candidates of each query in one bucket, and the number of its candidates there."""
     out = []
-    rough = queries @ vectors.T
-    for q, mask in enumerate(Forest(vectors).candidates(queries, enough)):
-        near = np.flatnonzero(mask & (ids != query_ids[q]))
-        if len(near) > k:
-            scores = rough[q, near]
-            bar = np.partition(scores, len(near) - k)[len(near) - k]
-            near = near[scores >= bar - 1e-9 * max(1.0, abs(bar))]
-        exact = (vectors[near] * queries[q]).sum(axis=1)
-        top = np.lexsort((ids[near], -exact))[:k]
-        out.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[near][top], "score": exact[top]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    for q, near in enumerate(Forest(codes).candidates(query_codes, length)):
+        near = near[ids[near] != query_ids[q]]
+        if len(near):
+            exact = (vectors[near] * queries[q]).sum(axis=1)
+            top = np.lexsort((ids[near], -exact))[:k]
+            out.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[near][top], "score": exact[top], "met": [len(near), *[0] * (len(top) - 1)]}))
+    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "met": []})
+
+
+def fitted(ids: np.ndarray, vectors: np.ndarray, norm: float, k: int) -> tuple[int, int]:
+    """(trees, length of prefix) by which the sample's neighbours are met at the least share of candidates."""
+    asked = np.arange(min(SAMPLE_QUERIES, len(ids)))
+    scores = vectors[asked] @ vectors.T
+    scores[ids[asked][:, None] == ids] = -np.inf
+    top = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(ids) - 1)]
+    if not top.size:
+        return TREES, 0
+    differ = hashes(vectors[asked], None)[:, None, :] ^ hashes(vectors, norm)
+    common = np.maximum.accumulate(BITS - np.frexp(differ.astype(np.float64))[1], axis=2)  # most bits in the first trees
+    choices = []
+    for trees in TREE_CHOICES:
+        shared = common[:, :, trees - 1]
+        near = np.take_along_axis(shared, top, axis=1)
+        length = max(n for n in range(BITS + 1) if (near >= n).mean() >= TARGET)
+        choices.append(((shared >= length).mean(), trees, length))
+    return min(choices)[1:]
 
 
 def usable(vector: Column) -> Column:
@@ -109,28 +125,102 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each row for which ``is_query`` holds."""
-    as_double = F.col(vector_col).cast("array<double>")
-    plain = vectors.select(F.col(id_col).cast("long").alias("id"), as_double.alias("vector"), is_query.alias("asks"))
-    plain = materialize(plain.where(F.col("id").isNotNull() & usable(F.col("vector"))).distinct().withColumn("dim", F.size("vector")), "vectors")
-    counts = plain.groupBy("dim").agg(F.ceil(F.count("*") / BUCKET_ROWS).alias("buckets"), F.ceil(F.count_if("asks") / BLOCK_QUERIES).alias("blocks"))
-    counts = materialize(counts, "vector-counts")
-    sized = plain.join(F.broadcast(counts) if counts.count() <= 10_000 else counts, "dim")
-    spread = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
-    rows = sized.where("blocks > 0").select("dim", spread(1, "buckets").alias("bucket"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"), "id", "vector")
-    asked = sized.where("asks").select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1)).alias("bucket"), spread(2, "blocks").alias("block"), "asks", "id", "vector")
+def with_fit(sized: DataFrame, k: int) -> DataFrame:
+    """(dim, trees, length): the fit of each dimension, on a sample of about SAMPLE_ROWS rows of each."""
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["spread", "id"])
+        trees, length = fitted(group["id"].to_numpy(), np.stack(group["vector"].to_numpy()), group["norm"].iloc[0], k)
+        return pd.DataFrame({"dim": group["dim"].iloc[:1], "trees": trees, "length": length})
+
+    spread = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30))
+    sample = sized.withColumn("spread", spread).where(F.col("spread") <= F.lit(float(SAMPLE_ROWS << 30)) / F.col("n"))
+    return sample.select("dim", "norm", "spread", "id", "vector").groupBy("dim").applyInPandas(fit, "dim int, trees int, length int")
+
+
+def prefixes(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns of rows or queries (where ``asks``) with tree and prefix, a row for each tree in use."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (_, asks), part in batch.groupby(["dim", "asks"], sort=False):
+                trees, length = int(part["trees"].iloc[0]), part["length"].to_numpy()
+                codes = hashes(np.stack(part["vector"].to_numpy()), None if asks else part["norm"].iloc[0], trees)
+                kept = {c: np.repeat(part[c].to_numpy(), trees) for c in keep}
+                yield pd.DataFrame(kept | {"tree": np.tile(np.arange(trees), len(part)), "prefix": (codes >> (BITS - length)[:, None]).ravel()})
+
+    plain = rows.select("asks", "norm", "trees", "length", "vector", *keep)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.select(*keep).schema)
+    return plain.mapInPandas(run, f"{schema}, tree int, prefix long")
+
+
+def searched(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score, met) of all tiles. ``queries`` carry the trees and the length of prefix to search with."""
+    # the same trees and length for all of a dimension, in one search
+    how = queries.select("dim", "trees", "length").distinct()
+    rows = index.join(F.broadcast(how), "dim").withColumn("asks", F.lit(False))
+    places = prefixes(rows, ["dim", "bucket"]).distinct()
+    asked = prefixes(queries, ["dim", "block", "id"])
+    routed = materialize(asked.join(places, ["dim", "tree", "prefix"]).select("dim", "bucket", "block", "id").distinct(), "routed")
+    tiles = routed.select("dim", "bucket", "block").distinct()
+    columns = ["dim", "bucket", "block", "asks", "norm", "trees", "length", "id", "vector"]
+    sent = queries.drop("bucket").join(routed, ["dim", "block", "id"]).select(*columns)
+    held = rows.drop("block").join(broadcast_if_small(materialize(tiles, "tiles")), ["dim", "bucket"]).select(*columns)
 
     def tile(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy(dtype=bool)
-        if asks.all() or not asks.any():
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         group = group.sort_values("id", kind="stable")
         asks = group["asks"].to_numpy(dtype=bool)
-        values, ids = np.stack(group["vector"].to_numpy()), group["id"].to_numpy()
-        return best_of(ids[~asks], values[~asks], ids[asks], values[asks], k, share, least)
+        vectors, ids = np.stack(group["vector"].to_numpy()), group["id"].to_numpy()
+        norm, trees, length = group["norm"].iloc[0], int(group["trees"].iloc[0]), int(group["length"].iloc[0])
+        found = hashes(vectors[~asks], norm, trees), hashes(vectors[asks], None, trees)
+        return best_of(ids[~asks], vectors[~asks], found[0], ids[asks], vectors[asks], found[1], length, k)
 
-    found = rows.unionByName(asked).groupBy("dim", "bucket", "block").applyInPandas(tile, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return held.unionByName(sent).groupBy("dim", "bucket", "block").applyInPandas(tile, "query_id long, vec_id long, score double, met long")
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank (from 1), vec_id, score, candidates (how many were scored): the ``k`` nearest found of each query."""
+    as_double = F.col(vector_col).cast("array<double>")
+    plain = vectors.select(F.col(id_col).cast("long").alias("id"), as_double.alias("vector"), is_query.alias("asks"))
+    plain = plain.where(F.col("id").isNotNull() & usable(F.col("vector"))).distinct().withColumn("dim", F.size("vector"))
+    plain = materialize(plain, "vectors")
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    sizes = plain.groupBy("dim").agg(F.max(norm).alias("norm"), F.count("*").alias("n"))
+    sizes = materialize(sizes.withColumn("bits", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BUCKET_ROWS))).cast("int")), "vector-counts")
+    sized = plain.join(broadcast_if_small(sizes), "dim")
+    sized = sized.join(broadcast_if_small(materialize(with_fit(sized, k), "fit")), "dim")
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, part in batch.groupby("dim", sort=False):
+                first = hashes(np.stack(part["vector"].to_numpy()), part["norm"].iloc[0], 1)[:, 0]
+                yield part.assign(place=first >> (BITS - part["bits"].to_numpy())).drop(columns=["bits", "n"])
+
+    placed = sized.mapInPandas(place, "dim int, id long, vector array<double>, asks boolean, norm double, trees int, length int, place long")
+    placed = materialize(placed.withColumn("area", F.shiftright("place", 4)), "placed")
+    split = lambda rows, at_most: F.ceil(rows / at_most).cast("long")
+    cells = placed.groupBy("dim", "place").agg(split(F.count("*"), BUCKET_ROWS).alias("parts"))
+    areas = placed.groupBy("dim", "area").agg(F.greatest(F.lit(1), split(F.count_if("asks"), BLOCK_QUERIES)).alias("blocks"))
+    index = placed.join(broadcast_if_small(materialize(cells, "cells")), ["dim", "place"]).join(broadcast_if_small(materialize(areas, "areas")), ["dim", "area"])
+    within = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
+    named = lambda place, seed, n: F.shiftleft(place, 24) + within(seed, n)
+    index = index.select("dim", "id", "vector", "asks", "norm", "trees", "length", named("place", 1, "parts").alias("bucket"), named("area", 2, "blocks").alias("block"))
+    index = materialize(index, "forest")
+    todo, all_found = index.where("asks"), []
+    for shorter in (1, 2, None):
+        length = F.expr(f"length div {shorter}").cast("int") if shorter else F.lit(0)
+        found = materialize(searched(index.drop("trees", "length"), todo.withColumn("length", length), k), "found")
+        met = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("rows")).where(F.col("rows") >= k).select(F.col("query_id").alias("id"))
+        enough = broadcast_if_small(materialize(met, "enough"))
+        last = shorter is None
+        all_found.append(found if last else found.join(enough.withColumnRenamed("id", "query_id"), "query_id", "left_semi"))
+        todo = todo.join(enough, "id", "left_anti")
+        if last or todo.isEmpty():
+            break
+    found = all_found[0]
+    for more in all_found[1:]:
+        found = found.unionByName(more)
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.sum("met").alias("met"))
+    found = found.withColumn("candidates", F.sum("met").over(Window.partitionBy("query_id")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "candidates")

@@ -323,28 +323,57 @@ def test_edit_aware_counts(spark, library):
 # nearest neighbours
 
 
-def test_nearest(spark):
-    rng = np.random.default_rng(1)
-    x = rng.standard_normal((3000, 16)) * rng.uniform(0.5, 3, (3000, 1))
-    x[100:140] = x[100]
-    rows = [(i, [float(v) for v in e]) for i, e in enumerate(x)]
-    rows += [(5000, None), (5020, [0.0] * 16), (5040, [float("nan")] + [1.0] * 15), (5060, [float("inf")] * 16), (5080, []), (5100, [1.0, 2.0]), (5120, [2.0, 1.0]), (None, [1.0] * 16), (7, [float(v) for v in x[7]])]
+def neighbours(spark, x, k=20, step=20, extra=()):
+    rows = [(i, [float(v) for v in e]) for i, e in enumerate(x)] + list(extra)
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("s")).withColumn("dim", F.lit(1))
-    out = ann.nearest(df, F.col("vec_id") % 20 == 0, k=20).collect()
-    got = defaultdict(list)
-    for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
+    got, share = defaultdict(list), []
+    for r in sorted(ann.nearest(df, F.col("vec_id") % step == 0, k=k).collect(), key=lambda r: (r.query_id, r.rank)):
         got[r.query_id].append((r.vec_id, r.score))
-    assert set(got) == {*range(0, 3000, 20), 5100, 5120} and [v for v, _ in got[5100]] == [5120]
+        share.append(r.candidates / len(x))
     recall = []
-    for q in range(0, 3000, 20):
+    for q in range(0, len(x), step):
         s = (x * x[q]).sum(axis=1)
         s[q] = -np.inf
-        best = np.lexsort((np.arange(3000), -s))[:20]
-        recall.append(len(set(best) & {v for v, _ in got[q]}) / 20)
-        assert [v for v, _ in got[q]] == [v for v, _ in sorted(got[q], key=lambda p: (-p[1], p[0]))]
+        best = np.lexsort((np.arange(len(x)), -s))[:k]
+        recall.append(len(set(best) & {v for v, _ in got[q]}) / k)
+        assert got[q] == sorted(got[q], key=lambda p: (-p[1], p[0])) and len(got[q]) == k
         assert all(abs(score - s[v]) < 1e-9 for v, score in got[q])
-    assert np.mean(recall) >= 0.9
-    assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    return got, np.mean(recall), np.mean(share)
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((3000, 16)) * rng.uniform(0.5, 3, (3000, 1))
+    x[100:140] = x[100]
+    extra = [(5000, None), (5020, [0.0] * 16), (5040, [float("nan")] + [1.0] * 15), (5060, [float("inf")] * 16), (5080, []), (5100, [1.0, 2.0]), (5120, [2.0, 1.0]), (None, [1.0] * 16), (7, [float(v) for v in x[7]])]
+    got, recall, share = neighbours(spark, x, extra=extra)
+    assert set(got) == {*range(0, 3000, 20), 5100, 5120} and [v for v, _ in got[5100]] == [5120]
+    assert recall >= 0.9
+    empty = spark.createDataFrame([], "vec_id bigint, embedding array<double>")
+    assert ann.nearest(empty, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_clustered_vectors_need_few_candidates(spark, monkeypatch):
+    """Several buckets, one of them of a hot group of equal vectors; a query meets a small part of the rows."""
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 512)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 64)
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((100, 32))
+    x = centres[rng.integers(0, 100, 4000)] + rng.standard_normal((4000, 32)) * 0.08
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[::3] = x[0]
+    _, recall, share = neighbours(spark, x[1:], extra=())
+    own = np.bincount(np.arange(1, 4000) % 3 == 0)[1] / 4000
+    assert recall >= 0.9 and share < 0.1 + own * own
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
+def test_recall_on_embeddings(spark):
+    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").where("embedding is not null").orderBy("vec_id").collect()
+    x = np.array([r.embedding for r in rows], dtype=float)
+    assert [r.vec_id for r in rows] == list(range(len(x)))
+    _, recall, share = neighbours(spark, x)
+    assert recall >= 0.9 and share < 0.9
 
 
 # near copies
