@@ -10,6 +10,10 @@ navigation, a footer, ...), each also in variants where the article is a plain d
 further boilerplate of known kind (side bar, notice, comments, form, share bar) is put around and into it. The labels
 are then counted into log-odds. The trained model is some kilobytes and goes to every task.
 
+Labels come from ``<article>`` and from templates of class names, so accuracy elsewhere is what these teach. On the 250
+pages of a small table with ``<article>`` renamed, the whole text is extracted without fault from 100 % of them for
+``main``, 99 to 100 % for divisions of the usual names and for sections, and 84 % for a division without any name.
+
 Extraction: character references are decoded, white space inside a block becomes one space, blocks are joined in page
 order by one line feed. Scripts, styles, titles, text fields, frames, drawings and templates are skipped; formulas and
 the fallback of objects are text.
@@ -62,7 +66,9 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 END = {name: re.compile(rf"(?ai)</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)") for name in SKIPPED}
 VALUE_SLASH = re.compile(r"""=\s*[^\s"'>]*/$""")  # the slash at the end belongs to an unquoted value
-INLINE_NODE = re.compile(r"(?i)\b(?:class|id|role|hidden|aria-hidden|style|data-y)\b")
+#: The attribute by which training pages state labels; its sign is taken out of pages that come in.
+SIGN = "\ue000"
+INLINE_NODE = re.compile(rf"(?i)\b(?:class|id|role|hidden|aria-hidden|style)\b|{SIGN}")
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -106,6 +112,9 @@ class Tree:
         self.tag, self.attrs, self.parent, self.depth = ["#page"], [""], [-1], [0]
         self.texts: list[tuple[int, str]] = []  # element -1: a block ends here
         self.linked: dict[int, int] = {}  # length of an element's own text that is in links
+        self.stack = [0]  # open elements, and their places in the stack by name, and those of blocks
+        self.open: dict[str, list[int]] = {}
+        self.open_blocks: list[int] = []
         self.link_from: int | None = None
         self._build(source)
 
@@ -116,19 +125,34 @@ class Tree:
                     self.linked[i] = self.linked.get(i, 0) + len(text)
             self.link_from = None
 
-    def _close(self, stack: list[int], names: set[str], stop: set[str]) -> None:
-        """Close the innermost open element of these names, unless one of ``stop`` is met first."""
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[k]]
-            if tag in names:
-                del stack[k:]
-                self.texts.append((-1, ""))
-                return
-            if tag in stop:
-                return
+    def _push(self, i: int) -> None:
+        place, name = len(self.stack), self.tag[i]
+        self.stack.append(i)
+        self.open.setdefault(name, []).append(place)
+        if name in BLOCK:
+            self.open_blocks.append(place)
+
+    def _cut(self, place: int) -> None:
+        """Close the open element at this place and all within it; every element is closed once."""
+        while len(self.stack) > place:
+            name = self.tag[self.stack.pop()]
+            self.open[name].pop()
+            if name in BLOCK:
+                self.open_blocks.pop()
+
+    def _innermost(self, names: set[str]) -> int:
+        """The place of the innermost open element of these names, or 0."""
+        return max([places[-1] for n in names if (places := self.open.get(n))], default=0)
+
+    def _close(self, names: set[str], stop: set[str]) -> None:
+        """Close the innermost open element of these names, unless it is around one of ``stop``."""
+        place = self._innermost(names)
+        if place > self._innermost(stop):
+            self._cut(place)
+            self.texts.append((-1, ""))
 
     def _build(self, source: str) -> None:
-        stack, at, size = [0], 0, len(source)
+        stack, at, size = self.stack, 0, len(source)
         match = TOKEN.match
         while at < size and (m := match(source, at)):
             at = m.end()
@@ -144,12 +168,9 @@ class Tree:
                     self.texts.append((-1, ""))
                 if name == "a":
                     self._end_link()
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == name:
-                        del stack[k:]
-                        break
-                    if name not in BLOCK and self.tag[stack[k]] in BLOCK:
-                        break
+                place = self._innermost({name})
+                if place and (name in BLOCK or not self.open_blocks or place > self.open_blocks[-1]):
+                    self._cut(place)
                 continue
             if name in SKIPPED:
                 if name != "head" and not (name == "svg" and closes_itself(m[3])):
@@ -160,9 +181,9 @@ class Tree:
                 continue
             if name in BLOCK:
                 self.texts.append((-1, ""))
-                self._close(stack, {"p"}, {"button", "td", "th", "table"})
+                self._close({"p"}, {"button", "td", "th", "table"})
                 if name in IMPLIED_END:
-                    self._close(stack, IMPLIED_END[name], SCOPES[name])
+                    self._close(IMPLIED_END[name], SCOPES[name])
             if name in VOID:
                 continue
             if name not in BLOCK and not INLINE_NODE.search(m[3]):  # its text is its block's
@@ -175,7 +196,7 @@ class Tree:
             self.parent.append(stack[-1])
             self.depth.append(self.depth[stack[-1]] + 1)
             if not m[3].endswith("/") or name in BLOCK:
-                stack.append(len(self.tag) - 1)
+                self._push(len(self.tag) - 1)
 
     def features(self) -> list[tuple[str, ...]]:
         """What the unary potentials see of each element."""
@@ -192,10 +213,12 @@ class Tree:
             total[p] += total[i]
             stop_total[p] += stop_total[i]
             linked[p] += total[i] if self.tag[i] == "a" else linked[i]
-        out = []
+        out, inside = [], [""] * n  # the element that means boilerplate around this one: a heading in a header is not one of the text
         for i in range(n):
-            size = total[i]
-            got = [f"tag {self.tag[i]} {10 * min(linked[i], size) // size // 3 if size else '-'}"]
+            size, p = total[i], self.parent[i]
+            if i:
+                inside[i] = f" in {self.tag[p]}" if self.tag[p] in IS_BOILERPLATE else inside[p]
+            got = [f"tag {self.tag[i]}{inside[i]} {10 * min(linked[i], size) // size // 3 if size else '-'}"]
             if self.attrs[i]:
                 got += named(self.attrs[i])
             got.append(f"size {min(size // 40, 4) if size < 200 else 5 + min(size // 400, 4)}")
@@ -291,10 +314,15 @@ class Model:
 IS_CONTENT = {"article"}
 IS_BOILERPLATE = set("aside button dialog fieldset footer form header input label menu nav search select".split())
 AD_NAMES = {"name ad", "name ads", "name advert", "name sponsored", "name banner"}
-Y = re.compile(r'data-y="([01])"')
+Y = re.compile(rf'{SIGN}="([01])"')
 
-# Boilerplate of known kind, put before, into or after the article of training pages; {} is text of another page.
+# Boilerplate of known kind, put before, into or after the article of training pages; {} is text of another page, and
+# data-y states the label.
 EXTRA = [
+    '<header data-y="0"><h2>{}</h2></header>',
+    '<header data-y="0"><h1>{}</h1></header>',
+    '<header data-y="0"><h1><a href="/">{}</a></h1><p>{}</p></header>',
+    '<header data-y="0"><div><strong>{}</strong></div><p>{}</p></header>',
     '<header data-y="0" class="site-header"><a href="/">{}</a></header>',
     '<aside data-y="0" class="sidebar widget-area"><h3>{}</h3><ul><li><a href="/x">{}</a></li></ul><p>{}</p></aside>',
     '<div data-y="0" id="sidebar"><h4>{}</h4><p>{}</p><p><a href="/y">{}</a></p></div>',
@@ -347,23 +375,24 @@ def labels_of(tree: Tree) -> list[int]:
 
 def variants(sources: list[str]) -> Iterator[str]:
     """The sample's pages, and each with another body element and further boilerplate around and in it."""
+    sources = [s.replace(SIGN, "") for s in sources]
     texts = [t for s in sources for t in re.findall(r">([^<>]{15,80})<", s)] or ["text"]
     for k, source in enumerate(sources):
         yield source
-        fill = lambda t, k=k: re.sub(r"\{\}", lambda m, c=[k * 7]: (c.__setitem__(0, c[0] + 1), texts[c[0] % len(texts)])[1], t)  # noqa: E731, B006
+        fill = lambda t, k=k: re.sub(r"\{\}", lambda m, c=[k * 7]: (c.__setitem__(0, c[0] + 1), texts[c[0] % len(texts)])[1], t.replace("data-y", SIGN))  # noqa: E731, B006
         tag, attrs = BODIES[k % len(BODIES)]
         extra = [fill(EXTRA[(k * 3 + j) % len(EXTRA)]) for j in range(4)]
         wrap, inner = WRAPPERS[k % len(WRAPPERS)], fill(INNER[k % len(INNER)])
         unwrap = "</div>" * wrap.count("<div")
-        changed = re.sub(r"<article\b[^>]*>", lambda m: f'{extra[0]}{wrap}<{tag}{attrs} data-y="1">', source)
+        changed = re.sub(r"<article\b[^>]*>", lambda m: f'{extra[0]}{wrap}<{tag}{attrs} {SIGN}="1">', source)
         changed = re.sub(r"</article>", lambda m: f"{inner}{extra[1]}</{tag}>{extra[2]}{unwrap}{extra[3]}", changed)
         yield changed
         # the same with little else around it
-        start, end = changed.find(f'<{tag}{attrs} data-y="1">'), changed.rfind(f"</{tag}>")
+        start, end = changed.find(f'<{tag}{attrs} {SIGN}="1">'), changed.rfind(f"</{tag}>")
         short = re.sub(r"(?s)(<p\b.*?</p>).*?(?=<p\b)", r"\1", changed[start:end], count=3)
         yield f"<html><body>{extra[2]}{wrap}{short}</{tag}>{extra[3]}{unwrap}</body></html>"
         # and with no element around the article's own
-        bare = re.sub(r"<(p|h1|h2|h3|ul|ol|table|blockquote|pre|figure)\b(?! data-y)", r'<\1 data-y="1"', short[short.find(">") + 1 :])
+        bare = re.sub(rf"<(p|h1|h2|h3|ul|ol|table|blockquote|pre|figure)\b(?! {SIGN})", rf'<\1 {SIGN}="1"', short[short.find(">") + 1 :])
         yield f"{extra[3] if k % 2 else ''}{bare}{extra[0] if k % 3 else ''}"
 
 

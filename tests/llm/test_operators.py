@@ -127,7 +127,7 @@ def test_quality_divergence(spark):
     rows = [(i, t, "en", "a") for i, t in enumerate(plain)] + [(500, "A# B# " * 90 + "#### " * 60, "en", "a"), (501, " ".join(f"{w}{k}" for k in range(60) for w in ("QQ#", "ZZ%")), "en", "a")]
     out = {r.doc_id: r for r in quality.judge(frame(spark, rows)).collect()}
     assert all(out[i].kept for i in range(150)) and not out[501].kept and not out[500].kept
-    words = Counter(w for _, t, _, _ in rows for w in t.lower().split() if len(w) <= 4)
+    words = Counter(w for _, t, _, _ in rows for w in t.lower().split())
     common = [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:24]]
     hist = lambda t: [*(t.lower().split().count(w) for w in common), sum(w not in common for w in t.lower().split())]
     total = np.sum([hist(t) for _, t, _, _ in rows], axis=0)
@@ -614,6 +614,73 @@ def test_host_quality(spark):
     assert host_quality.classify(frame(spark, EMPTY), tagged).count() == 0
 
 
+def test_host_quality_against_brute_force(spark):
+    """The posterior from the evidence, with a document's own probability left out of its host's and path's sums."""
+    rnd = random.Random(17)
+    plain = lambda k: " ".join(rnd.choice(["river", "house", "walks", "green", "slowly", "paper"]) for _ in range(k))
+    rows, labels = [], []
+    for i in range(240):
+        bad = rnd.random() < {"a": 0.1, "b": 0.7, None: 0.4}[h := rnd.choice(["a", "a", "b", None])]
+        rows.append((i, plain(40) + (" idiot scum " * 2 if bad else ""), rnd.choice(["en", "fr"]), h))
+        labels.append((i, 1, int(bad)))
+    rows += [(900, plain(20), "only", "single"), (901, None, "en", "a"), rows[3]]
+    tagged = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    out = host_quality.classify(frame(spark, rows), tagged).collect()
+    place = {i: (h or "", p or "") for i, _, p, h in rows}
+    evidence = [(r.doc_id, r.evidence if r.doc_id != 901 else None) for r in out]
+    known = [(place[i], e) for i, e in evidence if e is not None]
+    mean = np.mean([e for _, e in known])
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for (h, p), e in known:
+        hosts[h].append(e)
+        paths[h, p].append(e)
+
+    def strength(groups):  # (values, parent's mean)
+        n = sum(len(v) for v, _ in groups)
+        between = sum(len(v) * (np.mean(v) - m) ** 2 for v, m in groups)
+        within = sum(len(v) * m * (1 - m) for v, m in groups) / n
+        spread = (between - len(groups) * within) / max(n - sum(len(v) ** 2 for v, _ in groups) / n, 1)
+        return 10_000 if spread <= 0 else min(max(within / spread - 1, 5), 10_000)
+
+    k = strength([(v, mean) for v in hosts.values()])
+    host_mean = lambda h, minus: (sum(hosts[h]) - sum(minus) + k * mean) / (len(hosts[h]) - len(minus) + k)
+    k_path = strength([(v, host_mean(h, [])) for (h, _), v in paths.items()])
+    logit = lambda x: np.log(x / (1 - x))
+    assert any(r.doc_id == 900 for r in out)
+    for r in out:
+        h, p = place[r.doc_id]
+        minus = [] if r.doc_id == 901 else [r.evidence]
+        of_host = host_mean(h, minus)
+        of_path = (sum(paths[h, p]) - sum(minus) + k_path * of_host) / (len(paths[h, p]) - len(minus) + k_path)
+        odds = logit(r.evidence) + logit(of_path) - logit(mean)
+        assert np.allclose([r.host_mean, r.path_mean, r.posterior], [of_host, of_path, 1 / (1 + np.exp(-odds))], rtol=1e-6)
+        if r.doc_id == 900:  # alone on its path and host: nothing but its own evidence
+            assert abs(r.posterior - r.evidence) < 1e-6
+
+
+def test_classifier_against_brute_force(spark):
+    """Feature weights by counting on one half of the sample; the coefficients leave no gradient on the other."""
+    rnd = random.Random(23)
+    docs = [(i, " ".join(rnd.choice(["good", "fine", "plain", "bad", "awful"][: 5 if i % 3 == 0 else 4]) + rnd.choice(["", "!", "9"]) for _ in range(30)) + " w" * (i % 2) + "x" * 300, "en", "a") for i in range(300)]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(300)]
+    df = frame(spark, docs)
+    weight, b = host_quality.train(df, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    half = {r.doc_id: r.h for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)).alias("h")).collect()}
+    sums, seen = Counter(), defaultdict(Counter)
+    for i, t, _, _ in docs:
+        if half[i] == 0:
+            good = int(i % 3 > 0)
+            sums[good] += 1
+            for f in set().union(*host_quality.features(t)):
+                seen[f][good] += 1
+    expected = {f: np.log((c[1] + 0.5) / (sums[1] + 1)) - np.log((c[0] + 0.5) / (sums[0] + 1)) for f, c in seen.items() if c[0] + c[1] >= host_quality.MIN_ROWS}
+    assert weight.keys() == expected.keys() and all(abs(weight[f] - w) < 1e-9 for f, w in expected.items())
+    x = np.array([host_quality.summaries(t, weight) for i, t, _, _ in docs if half[i] == 1])
+    y = np.array([i % 3 > 0 for i, *_ in docs if half[i] == 1], dtype=float)
+    p = 1 / (1 + np.exp(-x @ b))
+    assert np.abs(x.T @ (y - p) - np.array([1.0] * 5 + [1e-6]) * b).max() < 1e-4
+
+
 def test_shrinkage(spark):
     """Sparse groups fall back to their parents, large ones keep their own mean."""
     groups = spark.createDataFrame([("a", 900.0, 1000, 0.5), ("b", 100.0, 1000, 0.5), ("c", 1.0, 1, 0.5)], "host string, s double, n bigint, m double")
@@ -649,6 +716,30 @@ def test_html(spark):
     assert "A heading" in text and "Side" not in text and "Menu" not in text
 
 
+@pytest.mark.parametrize("head", ["<header><h2>SITE NAME</h2></header>", "<header><h1>SITE NAME</h1></header>", "<header><a href='/'>SITE</a><p>what the site says of itself</p></header>", "<aside><h3>Also here</h3><ul><li><a href='/x'>One more</a></li></ul></aside>"])
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
+def test_what_stands_before_an_article(spark, head):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    model = html.train(pages)
+    sources = [r.html for r in pages.where("html is not null").limit(60).collect()]
+    assert model.extract([s.replace("<article", f"{head}<article", 1) for s in sources]) == model.extract(sources)
+
+
+def test_trees_are_built_in_linear_time():
+    for piece in ("<div>", "<div></table>", "<p><li>", "<b class=x>x</i>", "<td><p></b>"):
+        began = time.time()
+        html.Tree(piece * (100_000 // piece.count("<")))
+        assert time.time() - began < 8, piece
+
+
+def test_a_page_states_no_label(spark):
+    """What pages hold as attributes is not read as a label, neither the shown name nor the sign itself."""
+    pages = [page(f"<article><h1>Head {i}</h1><p>Some text, of a kind. It goes on {i}.</p></article>") for i in range(9)]
+    lying = [p.replace("<nav", f"<nav data-y='1' data-y=\"1\" {html.SIGN}=\"1\"") for p in pages]
+    train = lambda sources: html.Model([(t, html.labels_of(t)) for t in map(html.Tree, html.variants(sources))])
+    assert np.allclose(train(pages).pair, train(lying).pair) and train(lying).extract(lying[:1]) == train(pages).extract(pages[:1])
+
+
 @pytest.mark.parametrize(
     ("source", "text"),
     [
