@@ -2,9 +2,10 @@
 
 A document's own evidence comes from a classifier trained on labelled rows; good means of good quality and not toxic.
 Its host (here the source) and path within the host (here the language) add what their other documents say: sums of the
-documents' probabilities by host and by path are shrunk, the path's towards the host's and the host's towards the whole
-corpus, with strengths estimated from the spread between groups. Sparse groups so fall back to their parents. The
-posterior is the document's log-odds moved by the log-odds of its path's mean against the corpus mean.
+other documents' probabilities by host and by path (the document's own left out, so that it is not counted twice) are
+shrunk, the path's towards the host's and the host's towards the whole corpus, with strengths estimated from the spread
+between groups. Sparse groups so fall back to their parents. The posterior is the document's log-odds moved by the
+log-odds of its path's mean against the corpus mean.
 
 The classifier: on one half of the sample, log-odds of features (words, shapes of words, shares of repeated words and of
 signs, in buckets) by counting; on the other half, a logistic regression over six summaries of a document's features.
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from silverloom.llm.common import broadcast_if_small, hash_sample, materialize, whole_texts
 
 SAMPLE, FEATURES, MIN_ROWS = 20_000, 50_000, 6
+#: Code points of a word that are looked at.
+LONGEST = 200
 #: Strengths of shrinkage are kept between these numbers of documents.
 LEAST_STRENGTH, MOST_STRENGTH = 5.0, 10_000.0
 LETTERS, UPPERS, DIGITS = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
@@ -42,7 +45,7 @@ def shape_of(word: str) -> str:
     """Runs of letters, capitals and digits as one letter each, signs as they are; marked so as to be no word."""
     if word.isalpha() and (word.islower() or word.isupper()):
         return "\0a" if word.islower() else "\0A"
-    return "\0" + DIGITS.sub("9", LETTERS.sub("a", UPPERS.sub("A", word[:200])))[:12]
+    return "\0" + DIGITS.sub("9", LETTERS.sub("a", UPPERS.sub("A", word[:LONGEST])))[:12]
 
 
 def features(text: str | None) -> tuple[set[str], set[str]]:
@@ -51,7 +54,7 @@ def features(text: str | None) -> tuple[set[str], set[str]]:
     if not words:
         return set(), set()
     distinct, n = set(words), len(words)
-    bare = {w.lower().strip(AROUND) for w in distinct}
+    bare = {w[:LONGEST].lower().strip(AROUND) for w in distinct}
     repeated = sum(map(operator.eq, words, words[1:])) / n
     signs, upper = len(SIGN.findall(text)) / n, sum(map(str.isupper, words)) / n
     shares = {f"\0r {int(20 * repeated)}", f"\0d {int(10 * len(distinct) / n)} {min(n // 100, 5)}", f"\0p {int(5 * min(signs, 4))}", f"\0u {int(10 * upper)}"}
@@ -92,7 +95,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[d
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = [[w[:200] for w in a | b] for a, b in map(features, batch["text"])]
+            seen = [list(a | b) for a, b in map(features, batch["text"])]
             yield pd.DataFrame({"f": [f for x in seen for f in x], "good": np.repeat(batch["good"].to_numpy(), [len(x) for x in seen])})
 
     first = rows.where("half = 0")
@@ -149,11 +152,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", host_co
     paths = scored.where("p is not null").groupBy("host", "path").agg(F.sum("p").alias("s"), F.count("*").alias("n"))
     hosts = paths.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     k = strength(hosts.withColumn("m", F.lit(mean)), "m")
-    hosts = materialize(hosts.select("host", ((F.col("s") + k * mean) / (F.col("n") + k)).alias("host_mean")), "hosts")
-    paths = materialize(paths.join(broadcast_if_small(hosts), "host"), "paths")
-    k = strength(paths, "host_mean")
-    paths = paths.select("host", "path", "host_mean", ((F.col("s") + k * F.col("host_mean")) / (F.col("n") + k)).alias("path_mean"))
-    out = scored.join(broadcast_if_small(materialize(paths, "path-means")), ["host", "path"], "left")
+    shrunk = lambda total, n, towards, k: (total + F.lit(k) * towards) / (n + F.lit(k))
+    paths = paths.join(broadcast_if_small(materialize(hosts.select("host", F.col("s").alias("host_s"), F.col("n").alias("host_n")), "hosts")), "host")
+    paths = materialize(paths.withColumn("m", shrunk(F.col("host_s"), F.col("host_n"), F.lit(mean), k)), "paths")
+    k_path = strength(paths, "m")
+    out = scored.join(broadcast_if_small(paths.drop("m")), ["host", "path"], "left")
+    own, one = F.coalesce("p", F.lit(0.0)), F.col("p").isNotNull().cast("int")  # left out of the sums of its groups
+    out = out.withColumn("host_mean", shrunk(F.col("host_s") - own, F.col("host_n") - one, F.lit(mean), k))
+    out = out.withColumn("path_mean", shrunk(F.col("s") - own, F.col("n") - one, F.col("host_mean"), k_path))
     safe = lambda c: F.least(F.greatest(F.coalesce(c, F.lit(mean)), F.lit(1e-6)), F.lit(1 - 1e-6))
     logit = lambda x: F.log(x / (1 - x))
     posterior = 1 / (1 + F.exp(-(logit(safe("p")) + logit(safe("path_mean")) - logit(F.lit(mean)))))
