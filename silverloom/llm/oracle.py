@@ -8,7 +8,7 @@ w as materialized (select rid, lang, regexp_extract_all(text, '{WORD}') as words
 win as (select rid, i, words[i]||chr(1)||words[i+1]||chr(1)||words[i+2] as x from (select rid, words, unnest(range(1, len(words)-1)) as i from w)),
 rep as (select rid, count(distinct p) as n_repeat_words from (select rid, unnest([i,i+1,i+2]) as p from (select rid, i, count(*) over (partition by rid, x) as c from win) where c>1) group by rid),
 one as (select rid, lang, unnest(lowered) as word from w),
-top as (select lang, word, row_number() over (partition by lang order by count(*) desc, word) as k from one where length(word)<=4 group by lang, word qualify k<=24),
+top as (select lang, word, row_number() over (partition by lang order by count(*) desc, word) as k from one group by lang, word qualify k<=24),
 hit as (select rid, coalesce(k,0) as k, count(*) as n from one left join top using (lang, word) group by all),
 b as materialized (select d.rid, doc_id, lang, len(words) as n_words, length(text)-length(regexp_replace(text,'[a-z]','','g')) as c1, length(text)-length(regexp_replace(text,'[A-Z]','','g')) as c2,
   length(text)-length(regexp_replace(text,'{SPACE}','','g')) as c3, length(text)-length(regexp_replace(text,'[0-9]','','g')) as c4, length(text)-length(regexp_replace(text,'[#*$%&|<>]','','g')) as c5,

@@ -5,9 +5,9 @@ classes and the histogram of its language's common words are compared with those
 Jensen-Shannon distance (base 2, 0 to 1). A document is rejected when a distance passes its limit, unless it is shorter
 than the minimum length or its language has too little text for a reference; such documents pass this rule.
 
-Common words of a language are its ``n_common`` most frequent lower-cased words of at most ``max_word_len`` code points
-(ties to the smaller word): function words are short, and the bound on the length bounds the vocabulary that is counted
-and shuffled. References are sums over all documents.
+Common words of a language are its ``n_common`` most frequent lower-cased words (ties to the smaller word). Words are
+counted in each task before the shuffle, which so has a row for each distinct word of a task and not for each word.
+References are sums over all documents.
 
 Cases: a null or empty text has no words, fails the base rule and is not kept. A null language is a language of its own
 (the empty name). Repeated rows are judged alike. An empty table gives an empty result. Further columns are ignored by
@@ -28,7 +28,7 @@ MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
 MIN_WORDS, MIN_REFERENCE_WORDS = 100, 1_000
 #: Shorter documents fail the base rule.
 BASE_WORDS = 50
-N_COMMON, MAX_WORD_LEN = 24, 4
+N_COMMON = 24
 CLASSES = ["lower", "upper", "space", "digit", "symbol", "punct", "other"]
 
 
@@ -37,10 +37,9 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.btrim(text, F.lit(WS)), SPACE_CLASS + "+"), "")
 
 
-def common_words(docs: DataFrame, n: int = N_COMMON, max_len: int = MAX_WORD_LEN) -> DataFrame:
-    """(lang, common): the most frequent short words of each language over all documents."""
-    short = docs.select("lang", F.explode(F.filter(words_of(F.lower("text")), lambda w: F.length(w) <= max_len)).alias("word"))
-    counted = short.groupBy("lang", "word").agg(F.count("*").alias("n"))
+def common_words(docs: DataFrame, n: int = N_COMMON) -> DataFrame:
+    """(lang, common): the most frequent words of each language over all documents."""
+    counted = docs.select("lang", F.explode(words_of(F.lower("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = counted.withColumn("rank", rank).where(F.col("rank") <= n)
     listed = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("ranked"))
