@@ -24,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     set_to = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not set_to:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         set_to = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(set_to)
     return set_to.rstrip("/")
@@ -38,7 +40,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def whole_texts(df: DataFrame, rows: int = 500) -> DataFrame:
-    """``df``, its session set so that Python workers get at most ``rows`` rows at a time: rows hold whole texts."""
+    """``df``, its session set so that Python workers get at most ``rows`` rows at a time: rows hold whole texts.
+
+    Spark reads the setting when a job runs, which is after the caller has its DataFrame, so it stays set.
+    """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= rows:
         conf.set(name, rows)

@@ -8,6 +8,9 @@ Every prefix of the schedule is therefore close to the target weights, and a rer
 Targets: sources in code-point order, null last, weigh 1, 2, 3, repeating, and share the whole size by weight; a target
 stops at ``max_passes`` times its source, and what is over is shared again by weight until none is above.
 
+The sources themselves, a row each, pass through windows of one task, as their ranks and running weights ask for: some
+hundred thousand sources are meant, not one for each document. Their documents never do.
+
 Cases: a null text has size 0 and is taken 0 times; so is any document without words. A null source is a source of its
 own, after all others. Repeated rows are documents of their own; equal (id, size) rows may swap places, which changes
 nothing in the result. An empty table gives an empty result. Further columns are ignored.
