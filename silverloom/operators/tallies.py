@@ -55,3 +55,8 @@ def run_metrics(images: DataFrame, boxes: DataFrame, dropped: DataFrame) -> Data
     )
     c = dropped.agg(F.count("*").alias("num_dropped"))
     return a.join(b, how="cross").join(c, how="cross")  # one row each
+
+
+def manifest_rows(manifests: DataFrame, column: str = "rows") -> DataFrame:
+    """One row: the sum of the row counts that manifests state."""
+    return manifests.agg(F.coalesce(F.sum(column), F.lit(0)).alias("num_rows"))

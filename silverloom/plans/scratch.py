@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -13,6 +14,8 @@ def scratch_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -26,3 +29,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows; beyond that a join shuffles it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -80,9 +80,10 @@ CTE = {
     "he": """select box_id, image_id, case when k%5=0 then 'other' else label end as label, case when k%3=0 then x+2 else x end as x, y, w, h
         from (select *, cast(('0x'||substr(box_id,1,7)) as bigint) as k from st) where k%7<>0
         union all select md5('left/'||box_id)::uuid::varchar, image_id, label, x, y, w, h from (select *, cast(('0x'||substr(box_id,1,7)) as bigint) as k from st) where k%11=0""",
+    "cached": "select distinct md5(dataset||'/'||split||'/'||file_name)::uuid::varchar as image_id from im join embeddings on vec_id=o_orderkey",
     "lt": "select distinct box_id from ev where file_ordinal >= 10 and log_sequence > 500",
 }
-CTE_NEEDS = {"bx": ["im"], "cl": ["bx"], "ba": ["cl"], "ev0": ["n"], "ev": ["ev0", "ba"], "la": ["ev"], "met": ["ba", "la"], "mo": ["met"], "ad": ["la", "im", "ba"], "fo0": ["mo", "ad"], "fo": ["fo0"], "gb": ["fo"], "gi": ["gb"], "st": ["gb"], "he": ["st"], "lt": ["ev"]}
+CTE_NEEDS = {"bx": ["im"], "cl": ["bx"], "ba": ["cl"], "ev0": ["n"], "ev": ["ev0", "ba"], "la": ["ev"], "met": ["ba", "la"], "mo": ["met"], "ad": ["la", "im", "ba"], "fo0": ["mo", "ad"], "fo": ["fo0"], "gb": ["fo"], "gi": ["gb"], "st": ["gb"], "he": ["st"], "cached": ["im"], "lt": ["ev"]}
 
 
 def with_ctes(sql: str, *names: str) -> str:
@@ -178,7 +179,7 @@ def fold_cases(t: StarTables) -> DataFrame:
     return corrections.fold_cases(t.normalized.boxes, t.images, t.latest).groupBy("fold_case").agg(F.count("*").alias("num_events"))
 
 
-@registered("select dataset,split,file_name,box_id from la where not is_deleted and box_id not in (select box_id from ba)", "la", "ba")
+@registered("select la.dataset,la.split,la.file_name,la.box_id from la anti join ba using (box_id) where not is_deleted", "la", "ba")
 def orphan_events(t: StarTables) -> DataFrame:
     return checks.orphan_events(t.latest, t.normalized.boxes)
 
@@ -203,7 +204,7 @@ def gold_images(t: StarTables) -> DataFrame:
 
 @registered(
     """select id, problem from (select image_id as id, 'repeated image id' as problem from (select image_id from gi union all select image_id from gi where dataset='ds1') group by image_id having count(*)>1
-    union all select box_id, 'box without image' from gb where dataset='ds2' and image_id not in (select image_id from gi where dataset<>'ds2'))""",
+    union all select box_id, 'box without image' from gb anti join (select image_id from gi where dataset<>'ds2') as kept using (image_id) where dataset='ds2')""",
     "gi",
 )
 def gold_key_problems(t: StarTables) -> DataFrame:
@@ -330,7 +331,7 @@ def _image_cache(t: StarTables) -> DataFrame:
     return cached.join(keyed, "o_orderkey").select("image_id", "embedding")
 
 
-@registered("select image_id from gi where image_id not in (select md5(dataset||'/'||split||'/'||file_name)::uuid::varchar from im join embeddings on vec_id=o_orderkey)", "gi")
+@registered("select gi.image_id from gi anti join cached using (image_id)", "gi", "cached")
 def missing_vectors(t: StarTables) -> DataFrame:
     return vectors.missing(t.gold_images.select("image_id"), _image_cache(t), ["image_id"])
 
@@ -388,7 +389,7 @@ def _store(t: StarTables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @registered(
     """select st.*, (he.x,he.y,he.w,he.h) is distinct from (st.x,st.y,st.w,st.h) as is_moved from st join he using (box_id)
-    where (he.label,he.x,he.y,he.w,he.h) is distinct from (st.label,st.x,st.y,st.w,st.h) and box_id not in (select box_id from lt)""",
+    anti join lt using (box_id) where (he.label,he.x,he.y,he.w,he.h) is distinct from (st.label,st.x,st.y,st.w,st.h)""",
     "he",
     "lt",
 )
@@ -397,13 +398,13 @@ def changed_boxes(t: StarTables) -> DataFrame:
     return sync.changed_boxes(*_store(t))
 
 
-@registered("select * from st where box_id not in (select box_id from he) and box_id not in (select box_id from lt)", "he", "lt")
+@registered("select st.* from st anti join he using (box_id) anti join lt using (box_id)", "he", "lt")
 def new_boxes(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()
     return sync.new_boxes(*_store(t))
 
 
-@registered("select box_id, image_id from he where image_id in (select image_id from gi) and box_id not in (select box_id from st) and box_id not in (select box_id from lt)", "he", "lt", "gi")
+@registered("select he.box_id, he.image_id from he semi join gi using (image_id) anti join st using (box_id) anti join lt using (box_id)", "he", "lt", "gi")
 def removed_boxes(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()
     staged, held, later = _store(t)
@@ -411,9 +412,10 @@ def removed_boxes(t: StarTables) -> DataFrame:
 
 
 @registered(
-    """select box_id, image_id, label, x, y, w, h from st where box_id not in (select box_id from lt) and box_id not in (select box_id from he)
-    union all select st.* from st join he using (box_id) where box_id not in (select box_id from lt)
-    union all select he.* from he where box_id in (select box_id from lt) or (box_id not in (select box_id from st) and image_id not in (select image_id from gi))""",
+    """select st.* from st anti join lt using (box_id) anti join he using (box_id)
+    union all select st.* from st semi join he using (box_id) anti join lt using (box_id)
+    union all select he.* from he semi join lt using (box_id)
+    union all select he.* from he anti join lt using (box_id) anti join st using (box_id) anti join gi using (image_id)""",
     "he",
     "lt",
     "gi",
@@ -443,8 +445,9 @@ def image_upserts(t: StarTables) -> DataFrame:
 
 
 @registered(
-    "select image_id as sample_id from gi where image_id not in (select md5(dataset||'/'||split||'/'||file_name)::uuid::varchar from im join embeddings on vec_id=o_orderkey) union all select box_id from gb",
+    "select gi.image_id as sample_id from gi anti join cached using (image_id) union all select box_id from gb",
     "gi",
+    "cached",
 )
 def lacks_vectors(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()
@@ -517,9 +520,9 @@ def uncovered_images(t: StarTables) -> DataFrame:
 
 @registered(
     """select 'images' as what, count(*) as num_rows from gi where dataset<>'ds2' union all
-    select 'new_boxes', count(*) from st where box_id not in (select box_id from he) and box_id not in (select box_id from lt) union all
-    select 'updated_boxes', count(*) from st join he using (box_id) where (he.label,he.x,he.y,he.w,he.h) is distinct from (st.label,st.x,st.y,st.w,st.h) and box_id not in (select box_id from lt) union all
-    select 'removed_boxes', count(*) from he where image_id in (select image_id from gi) and box_id not in (select box_id from st) and box_id not in (select box_id from lt)""",
+    select 'new_boxes', count(*) from st anti join he using (box_id) anti join lt using (box_id) union all
+    select 'updated_boxes', count(*) from st join he using (box_id) anti join lt using (box_id) where (he.label,he.x,he.y,he.w,he.h) is distinct from (st.label,st.x,st.y,st.w,st.h) union all
+    select 'removed_boxes', count(*) from he semi join gi using (image_id) anti join st using (box_id) anti join lt using (box_id)""",
     "he",
     "lt",
     "gi",
@@ -533,8 +536,9 @@ def merge_report(t: StarTables) -> DataFrame:
 
 
 @registered(
-    """select box_id as sample_id from he where box_id not in (select box_id from st join he using (box_id) where (he.x,he.y,he.w,he.h) is distinct from (st.x,st.y,st.w,st.h) and box_id not in (select box_id from lt))
-    and not (image_id in (select image_id from gi) and box_id not in (select box_id from st) and box_id not in (select box_id from lt))""",
+    """select he.box_id as sample_id from he
+    anti join (select st.box_id from st join he using (box_id) anti join lt using (box_id) where (he.x,he.y,he.w,he.h) is distinct from (st.x,st.y,st.w,st.h)) as moved using (box_id)
+    anti join (select he.box_id from he semi join gi using (image_id) anti join st using (box_id) anti join lt using (box_id)) as removed using (box_id)""",
     "he",
     "lt",
     "gi",
@@ -564,8 +568,9 @@ def missing_datasets(t: StarTables) -> DataFrame:
 
 
 @registered(
-    """select a.image_id, cast(16 as int) as dim from gi a where image_id not in (select md5(dataset||'/'||split||'/'||file_name)::uuid::varchar from im join embeddings on vec_id=o_orderkey)""",
+    """select gi.image_id, cast(16 as int) as dim from gi anti join cached using (image_id)""",
     "gi",
+    "cached",
 )
 def embed_missing(t: StarTables) -> DataFrame:
     """Images without a cached vector get one from the embedder that needs no model."""

@@ -48,3 +48,17 @@ def materialised_splits(declared: list[str], listed: DataFrame) -> list[str]:
     if not there:
         raise LookupError(f"none of the splits {declared} is there")
     return [s for s in declared if s in there]
+
+
+def with_image_roots(labels: DataFrame, manifests: DataFrame, images_of: dict[str, str]) -> DataFrame:
+    """Annotations of a source without images of its own, with the image_root of the source that has them.
+
+    ``labels`` has a column dataset, ``manifests`` dataset and image_root; ``images_of`` names for each dataset the one
+    whose images it describes. A dataset whose image source has no manifest is an error.
+    """
+    known = F.create_map(*[F.lit(x) for pair in images_of.items() for x in pair])
+    rooted = labels.withColumn("__of", known[F.col("dataset")])
+    roots = manifests.select(F.col("dataset").alias("__of"), "image_root")  # a row for each dataset
+    met = rooted.join(F.broadcast(roots), "__of", "left")
+    lost = F.raise_error(F.concat(F.lit("no manifest of the images of "), F.col("dataset"))).cast("string")
+    return met.withColumn("image_root", F.when(F.col("image_root").isNotNull(), F.col("image_root")).otherwise(lost)).drop("__of")

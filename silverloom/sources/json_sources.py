@@ -1,7 +1,7 @@
 """Readers of annotation JSON: COCO, LVIS, COCO-WholeBody, TextOCR and HierText.
 
 A file is one JSON object, read with a declared schema, so that the parser skips what is not named (polygons, key
-points). Positions of list entries become columns by posexplode; they are the boxes' order, which their ids hash.
+points). A path may also be a folder of such files, each of some of the images, which are read in parallel. Positions of list entries become columns by posexplode; they are the boxes' order, which their ids hash.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
+from silverloom.plans.scratch import small
 from silverloom.sources.contract import Raw, corners, raw
 
 # The part boxes of a whole-body annotation with the flag that says each is there, in order.
@@ -32,9 +33,9 @@ def _coco(spark: SparkSession, path: str, annotation: str, file_name: Column) ->
     schema = f"{IMAGES}, {CATEGORIES}, annotations array<struct<image_id:bigint,category_id:bigint,bbox:array<double>,{annotation}>>"
     file = _file(spark, path, schema)
     images = file.select(F.inline("images")).select("id", file_name.alias("file_name"), "width", "height")
-    categories = file.select(F.inline("categories")).select(F.col("id").alias("category_id"), F.col("name").alias("category"))
+    categories = file.select(F.inline("categories")).select(F.col("id").alias("category_id"), F.col("name").alias("category")).distinct()
     annotations = file.select(F.posexplode("annotations").alias("pos", "a")).select("pos", "a.*")
-    named = annotations.join(F.broadcast(categories), "category_id", "left")
+    named = annotations.join(small(categories), "category_id", "left")
     unknown = F.raise_error(F.concat(F.lit("no category "), F.col("category_id").cast("string")))
     named = named.withColumn("category", F.when(F.col("category").isNotNull(), F.col("category")).otherwise(unknown.cast("string")))
     return images, named.join(images.select(F.col("id").alias("image_id"), "file_name"), "image_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +31,14 @@ def read_source(spark: SparkSession, name: str, **arguments: object) -> Raw:
 
 
 def read_table(spark: SparkSession, name: str, *paths: str) -> DataFrame:
-    """Parquet files of one layer table as one frame, by the table's schema and never by inference.
+    """Parquet folders of one layer table as one frame, by the table's schema and never by inference.
 
-    Folders that write a column as ``dataset=...`` prune on it.
+    Folders that write a column as ``dataset=...`` prune on it, each below its own path.
     """
-    return spark.read.schema(TABLES[name].schema).parquet(*paths)
+    if not paths:
+        raise ValueError("no paths to read")
+    schema = TABLES[name].schema
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names) for path in paths])
 
 
 def read_event_files(spark: SparkSession, schema: object, *paths: str) -> DataFrame:

@@ -55,14 +55,15 @@ def _number(text: Column) -> Column:
 def read_wider_face(spark: SparkSession, path: str, sizes: DataFrame, dataset: str, split: str) -> Raw:
     """Blocks of a file name, a count, and as many box lines (one line of zeros follows a count of zero).
 
-    The file is split into lines with their position; a name is a line that is not of numbers, and is carried forward.
+    A file is split into lines with their position; a name is a line that is not of numbers, and is carried forward. A
+    path may be a folder of such files, each of which is one group.
     """
-    text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
     text = text.where(F.trim("line") != "").withColumn("line", F.trim("line"))
     is_name = ~F.col("line").rlike(r"^[-+.\d\s]+$")
-    order = Window.orderBy("pos")  # the lines of one annotation file
+    order = Window.partitionBy("file").orderBy("pos")
     lines = text.withColumn("name_pos", F.last(F.when(is_name, F.col("pos")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    block = Window.partitionBy("name_pos").orderBy("pos")
+    block = Window.partitionBy("file", "name_pos").orderBy("pos")
     lines = lines.withColumns({"k": F.row_number().over(block) - 1, "file_name": F.first("line").over(block), "count": _number(F.nth_value("line", 2).over(block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))})
     lines = lines.where(F.col("k").between(2, F.col("count") + 1)).withColumn("v", F.split("line", r"\s+"))
     at = lambda i: _number(F.get("v", F.lit(i)))

@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from silverloom import round_trips  # noqa: F401  registers its queries
 from silverloom.queries import QUERIES, SQL
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
