@@ -9,9 +9,9 @@ Nearness is the largest inner product. To make it an angle, vectors are divided
 more component that fills them up to the unit sphere, which queries lack.
 
 The index is spread by the hashes themselves: a bucket is a range of the first tree's hashes, and one that holds very
-many rows is split by a hash of the id. Queries are put into blocks likewise. A query is sent to the buckets where some
-tree has rows of its prefix, found by a join of prefixes, and to no other; each tile of a bucket and a block is a group
-of rows of bounded size, which returns the best of each query. On clustered vectors a query so meets few buckets; on
+many rows is split by a hash of the id. Queries are put into blocks likewise. A block is sent to the buckets where some
+tree has rows of a prefix of one of its queries, found by a join of distinct prefixes, and to no other; each tile of a bucket and a block is a group
+of rows of bounded size, which returns the best of each query. On clustered vectors a block so meets few buckets; on
 independent directions every bucket has rows of every short prefix, and the work is queries times rows.
 
 How many trees and how long a prefix the search starts with is fitted: on a sample of about ``SAMPLE_ROWS`` rows, those
@@ -160,12 +160,12 @@ def searched(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     how = queries.select("dim", "trees", "length").distinct()
     rows = index.join(F.broadcast(how), "dim").withColumn("asks", F.lit(False))
     places = prefixes(rows, ["dim", "bucket"]).distinct()
-    asked = prefixes(queries, ["dim", "block", "id"])
-    routed = materialize(asked.join(places, ["dim", "tree", "prefix"]).select("dim", "bucket", "block", "id").distinct(), "routed")
-    tiles = routed.select("dim", "bucket", "block").distinct()
+    asked = prefixes(queries, ["dim", "block"]).distinct()
+    tiles = asked.join(places, ["dim", "tree", "prefix"]).select("dim", "bucket", "block").distinct()
+    tiles = broadcast_if_small(materialize(tiles, "tiles"))
     columns = ["dim", "bucket", "block", "asks", "norm", "trees", "length", "id", "vector"]
-    sent = queries.drop("bucket").join(routed, ["dim", "block", "id"]).select(*columns)
-    held = rows.drop("block").join(broadcast_if_small(materialize(tiles, "tiles")), ["dim", "bucket"]).select(*columns)
+    sent = queries.drop("bucket").join(tiles, ["dim", "block"]).select(*columns)
+    held = rows.drop("block").join(tiles, ["dim", "bucket"]).select(*columns)
 
     def tile(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
