@@ -154,7 +154,7 @@ class ForcedBoundaryBpe:
             self.made.append(vocab[a + b])
         self.decimal = [str(i) for i in range(max(self.names) + 1)]
         self.known: dict[bytes, tuple[str, int, str]] = {}
-        self.sizes = WordSizes(self)
+        self.counts: dict[bytes, int] = {}
 
     def normalize(self, text: str) -> str:
         if not unicodedata.is_normalized("NFC", text):
@@ -255,41 +255,36 @@ class ForcedBoundaryBpe:
         out += [known.get(f) or fragment(f) for f in self.fragments(text[at:] if at else text)]
         return out
 
+    def counted(self, fragments: list[bytes]) -> list[int]:
+        """Numbers of tokens of fragments, which are remembered without their ids."""
+        known, sized = self.counts, self.sized
+        return [known.get(f) or sized(f) for f in fragments]
+
+    def sized(self, piece: bytes) -> int:
+        n = len(self.merge(piece))
+        if len(piece) <= CACHED_BYTES:
+            if len(self.counts) >= CACHE:
+                self.counts.clear()
+            self.counts[piece] = n
+        return n
+
     def count(self, text: str) -> int:
         """The number of tokens of a text."""
-        total, at, sizes = 0, 0, self.sizes
+        total, at = 0, 0
         for m in self.special_at.finditer(text) if "<|" in text else ():
-            total += 1 + sum(map(sizes.__getitem__, self.words_of(self.normalize(text[at : m.start()]))))
+            total += 1 + sum(self.counted(self.fragments(text[at : m.start()])))
             at = m.end()
-        return total + sum(map(sizes.__getitem__, self.words_of(self.normalize(text[at:] if at else text))))
+        return total + sum(self.counted(self.fragments(text[at:] if at else text)))
 
     def count_each(self, leaves: list[str]) -> list[int]:
         """The numbers of tokens of pieces of one text, cut where no token reaches across; in one pass over the text."""
         joined = f" {LEAF_END} ".join(leaves)
-        if "<|" in joined or joined.count(LEAF_END) != len(leaves) - 1:
+        if len(leaves) < 2 or "<|" in joined or joined.count(LEAF_END) != len(leaves) - 1:
             return [self.count(x) for x in leaves]
-        words = self.words_of(self.normalize(joined))
-        sizes = np.fromiter(map(self.sizes.__getitem__, words), dtype=np.int64, count=len(words))
-        ends = [i for i, w in enumerate(words) if w == LEAF_END]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        return (upto[[*ends, len(words)]] - upto[[0, *[i + 1 for i in ends]]]).tolist()
-
-
-class WordSizes(dict):
-    """Numbers of tokens of words, from their fragments; forgets all when it is full."""
-
-    def __init__(self, bpe: ForcedBoundaryBpe):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, word: str) -> int:
-        stream = word.encode() + MARK
-        n = sum([len(self.bpe.merge(f)) for f in self.bpe.cut(stream)])
-        if len(stream) <= CACHED_BYTES:
-            if len(self) >= CACHE:
-                self.clear()
-            self[word] = n
-        return n
+        fragments, end = self.fragments(joined), LEAF_END.encode() + MARK  # a word, and so a fragment, of its own
+        ends = [i for i, f in enumerate(fragments) if f == end]
+        upto = np.concatenate([[0], np.cumsum(self.counted(fragments), dtype=np.int64)])
+        return (upto[[*ends, len(fragments)]] - upto[[0, *[i + 1 for i in ends]]]).tolist()
 
 
 @lru_cache(maxsize=2)

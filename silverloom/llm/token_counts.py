@@ -29,7 +29,7 @@ from silverloom.llm.bpe import ForcedBoundaryBpe, coder
 from silverloom.llm.common import broadcast_if_small, materialize, whole_texts
 
 LEAF_CHARS = 32
-LEAF = re.compile(rf"(?s:.{{{LEAF_CHARS},}}?(?=[ \n]|\Z)|.+)")
+LEAF = re.compile(rf"(?s:.{{{LEAF_CHARS}}}[^ \n]*|.+)")
 EDITS = "array<struct<pos:long,del:long,ins:string>>"
 TREE = "doc_id long, text string, n_chars long, n_tokens long, leaf_chars array<int>, leaf_tokens array<int>"
 
