@@ -119,7 +119,7 @@ def hiertext_words(t: StarTables) -> DataFrame:
     ((xmin+bw)/width)*width as xmax, ((ymin+bh)/height)*height as ymax, attr_is_group_of, attr_is_depiction from bx where o_orderkey%9<>0""",
     "bx",
 )
-def open_images_boxes(t: StarTables) -> DataFrame:
+def box_csv_rows(t: StarTables) -> DataFrame:
     """Normalised boxes of a CSV, scaled by the images that are there; every ninth is not."""
     sized = t.raw_boxes.join(t.images.select("file_name", "width", "height", "o_orderkey"), "file_name")
     there = t.images.where("o_orderkey % 9 <> 0")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverloom.operators import query, sync, vectors
-from silverloom.plans import pipelines
+from silverloom.plans import builds, pipelines
 from silverloom.plans.builds import Layer, Releases, Store, VectorCache, build_id
 from silverloom.schemas import EVENTS, RAW_BOXES, RAW_IMAGES, DatasetSpec
 from silverloom.sources.contract import raw as as_raw
@@ -123,7 +123,9 @@ def test_releases(spark, lake, tmp_path):
     assert view.count() == 12
     with pytest.raises(ValueError, match="no evaluation split"):
         releases.freeze(images.where("role = 'train'"), boxes, "g")
-    releases.read(1, "gold.boxes").where("w < 30").write.mode("overwrite").parquet(str(tmp_path / "cut"))
+    cut = releases.read(1, "gold.boxes").where("w < 35").collect()
+    builds.write_table(spark.createDataFrame(cut, boxes.schema), "gold.boxes", str(tmp_path / "releases" / "0001" / "gold.boxes"))
+    assert releases.changed(1) == ["gold.boxes"]
     assert query.difference(images, images.where("dataset = 'd1'")).select("side").distinct().first().side == "left"
 
 
@@ -144,6 +146,82 @@ def test_vectors(spark, lake, tmp_path):
     assert near.count() == 6
 
 
+def test_a_stopped_embedding_keeps_its_closed_parts(spark, tmp_path):
+    """Every part that was closed before the embedder failed is there, and the next run makes only the rest."""
+    rows = spark.createDataFrame([("d", "s", f"f{i}", sync.event_file_id(i, "x" * 12), f"{i * 40503 % 65536:04x}-{i}") for i in range(300)], "dataset string, split string, file_name string, other string, image_id string")
+    wanted = rows.drop("other")
+    made = vectors.hash_embedder(8)
+
+    def failing(items):
+        if (items["image_id"] >= "8").any():
+            raise RuntimeError("stopped")
+        return made(items)
+
+    cache = VectorCache(spark, str(tmp_path / "cache"), "m", "1", ["image_id"])
+    with pytest.raises(Exception, match="stopped"):
+        pipelines.embed_missing(wanted, cache, failing, "silver.embeddings", str(tmp_path / "v"), "image_id", part_rows=40)
+    kept = cache.read().count()
+    assert kept == wanted.where("image_id < '8'").count() > 100
+    done = pipelines.embed_missing(wanted, cache, made, "silver.embeddings", str(tmp_path / "v"), "image_id", part_rows=40)
+    assert done == {"written": 300, "embedded": 300 - kept, "reused": kept}
+
+
+def test_other_models_are_removed(spark, tmp_path):
+    wanted = spark.createDataFrame([("d", "s", f"f{i}", f"{i:02x}") for i in range(20)], "dataset string, split string, file_name string, image_id string")
+    path, made = str(tmp_path / "cache"), vectors.hash_embedder(4)
+    for model, version in (("a/b", "1"), ("a/b", "2"), ("m", "2")):
+        VectorCache(spark, path, model, version, ["image_id"]).append(vectors.embed(wanted, made))
+    cache = VectorCache(spark, path, "m", "2", ["image_id"])
+    assert pipelines.embed_missing(wanted, cache, made, "silver.embeddings", str(tmp_path / "v"), "image_id")["embedded"] == 0
+    assert Store(spark, path).names("model=m") == ["version=2"] and cache.read().count() == 20
+    assert VectorCache(spark, path, "a/b", "1", ["image_id"]).read().count() == 0
+
+
+def test_vectors_are_sorted_in_small_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    wanted = spark.range(5_000).selectExpr("'d' as dataset", "if(id % 2 = 0, 'a', 'b') as split", "concat('f', id) as file_name", "md5(cast(id as string)) as image_id")
+    cache = VectorCache(spark, str(tmp_path / "cache"), "m", "1", ["image_id"])
+    pipelines.embed_missing(wanted, cache, vectors.hash_embedder(8), "silver.embeddings", str(tmp_path / "v"), "image_id")
+    for split in "ab":
+        ranges = []
+        for name in glob.glob(str(tmp_path / "v" / "dataset=d" / f"split={split}" / "*.parquet")):
+            file = pq.ParquetFile(name)
+            assert all(file.metadata.row_group(i).num_rows <= 1_024 for i in range(file.metadata.num_row_groups))
+            ids = file.read(["image_id"])["image_id"].to_pylist()
+            assert ids == sorted(ids)
+            ranges.append((ids[0], ids[-1]))
+        assert all(a[1] < b[0] for a, b in zip(sorted(ranges), sorted(ranges)[1:], strict=False))
+
+
+def test_incomplete_vectors_are_discarded(spark, tmp_path):
+    wanted = spark.createDataFrame([("d", "s", "f", "01"), ("d", "s", "g", "01")], "dataset string, split string, file_name string, image_id string")
+    cache = VectorCache(spark, str(tmp_path / "cache"), "m", "1", ["image_id"])
+
+    class Lossy(VectorCache):
+        def read(self):
+            return super().read().limit(0)
+
+    with pytest.raises(ValueError, match="rows wanted"):
+        pipelines.embed_missing(wanted, Lossy(spark, cache.path, "m", "1", ["image_id"]), vectors.hash_embedder(4), "silver.embeddings", str(tmp_path / "v"), "image_id")
+    assert not Store(spark, str(tmp_path / "v")).exists("")
+
+
+def test_pointers_are_never_lost(spark, tmp_path):
+    """A store that was stopped between the steps of a replacement has the new pointer beside the place of the old one."""
+    store = Store(spark, str(tmp_path))
+    store.write_json("current.json", {"build_id": "a"})
+    store.write_json("current.json", {"build_id": "b"})
+    assert store.read_json("current.json") == {"build_id": "b"} and not store.exists("current.json.staged")
+    store.rename("current.json", "current.json.staged")
+    assert store.holds_json("current.json") and store.read_json("current.json") == {"build_id": "b"}
+    for number in (9_999, 10_000):
+        store.write_json(f"{number}/_build.json", {"release": number})
+    assert Releases(spark, str(tmp_path)).numbers() == [9_999, 10_000]
+
+
 def test_similar_answers_every_query(spark):
     """Queries beyond one block are answered as well, and blocks give what one broadcast gives."""
     rnd = np.random.default_rng(3)

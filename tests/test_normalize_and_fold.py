@@ -17,20 +17,20 @@ def raw(spark, rows):
 
 @pytest.fixture
 def images(spark):
-    return spark.createDataFrame([("d", "train", "a.jpg", 100, 80), ("d", "train", "b.jpg", 64, 64)], RAW_IMAGES)
+    return spark.createDataFrame([("d", "train", "a.jpg", 120, 90), ("d", "train", "b.jpg", 72, 48)], RAW_IMAGES)
 
 
 def test_normalize(spark, images):
-    rows = [("a.jpg", 0, "human FACE", 10.0, 10.0, 30.0, 30.0), ("a.jpg", 1, "dog", 5.0, 5.0, 9.0, 9.0), ("a.jpg", 2, "plate", 90.0, 70.0, 120.0, 95.0), ("a.jpg", 3, "Plate", 7.0, 7.0, 7.0, 20.0)]
+    rows = [("a.jpg", 0, "human FACE", 10.0, 10.0, 30.0, 30.0), ("a.jpg", 1, "dog", 5.0, 5.0, 9.0, 9.0), ("a.jpg", 2, "plate", 104.0, 81.0, 133.0, 97.0), ("a.jpg", 3, "Plate", 7.0, 7.0, 7.0, 20.0)]
     out = normalize.normalize(raw(spark, rows), images, spec_frames(spark, [SPEC])[1])
     got = out.boxes.orderBy("box_index").collect()
     assert [r.class_id for r in got] == [0, 5, 1] and [r.box_index for r in got] == [0, 1, 2]
-    assert (got[2].x + got[2].w, got[2].y + got[2].h) == (100.0, 80.0)
+    assert (got[2].x + got[2].w, got[2].y + got[2].h) == (120.0, 90.0)
     assert [tuple(r) for r in normalize.tally(out.dropped).collect()] == [("degenerate_box", 1)]
     assert checks.box_problems(out.boxes, images).count() == 0
 
 
-def event(box, deleted=False, label="face", geometry=(10.0, 21.0, 30.0, 40.0), seq=1, file=0, name="a.jpg"):
+def event(box, deleted=False, label="face", geometry=(14.0, 25.0, 28.0, 42.0), seq=1, file=0, name="a.jpg"):
     return ("d", "train", name, box, seq, deleted, label, *(geometry or (None,) * 4), file)
 
 
@@ -40,19 +40,19 @@ EVENT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENTS) +
 @pytest.mark.parametrize(
     ("deleted", "label", "geometry", "case", "expected"),
     [
-        (False, "face", (10.0, 21.0, 30.0, 40.0), "noop", ("face", "f", 10.4, False, False)),
-        (False, "Person", (10.0, 21.0, 30.0, 40.0), "relabel", ("person", "f", 10.4, True, False)),
-        (False, "Logo", (10.0, 21.0, 30.0, 40.0), "relabel", ("other", "Logo", 10.4, True, False)),
-        (False, "Face", (10.0, 21.0, 30.0, 40.0), "relabel", ("face", "f", 10.4, True, False)),
-        (False, "face", (12.0, 21.0, 30.0, 40.0), "move", ("face", "f", 12.0, False, True)),
-        (False, "text", (12.0, 21.0, 30.0, 40.0), "both", ("text", "f", 12.0, True, True)),
+        (False, "face", (14.0, 25.0, 28.0, 42.0), "noop", ("face", "f", 13.7, False, False)),
+        (False, "Person", (14.0, 25.0, 28.0, 42.0), "relabel", ("person", "f", 13.7, True, False)),
+        (False, "Logo", (14.0, 25.0, 28.0, 42.0), "relabel", ("other", "Logo", 13.7, True, False)),
+        (False, "Face", (14.0, 25.0, 28.0, 42.0), "relabel", ("face", "f", 13.7, True, False)),
+        (False, "face", (17.0, 25.0, 28.0, 42.0), "move", ("face", "f", 17.0, False, True)),
+        (False, "text", (17.0, 25.0, 28.0, 42.0), "both", ("text", "f", 17.0, True, True)),
         (True, None, None, "delete", None),
-        (False, "face", (200.0, 21.0, 30.0, 40.0), "move", None),
-        (False, None, None, "noop", ("face", "f", 10.4, False, False)),
+        (False, "face", (210.0, 25.0, 28.0, 42.0), "move", None),
+        (False, None, None, "noop", ("face", "f", 13.7, False, False)),
     ],
 )
 def test_fold_truth_table(spark, images, deleted, label, geometry, case, expected):
-    source = raw(spark, [("a.jpg", 0, "f", 10.4, 20.5, 40.0, 60.5)])
+    source = raw(spark, [("a.jpg", 0, "f", 13.7, 24.5, 42.0, 66.2)])
     spec = DatasetSpec("d", "open", True, {"train": "train"}, {"f": "face"})
     silver = normalize.normalize(source, images, spec_frames(spark, [spec])[1]).boxes
     box = silver.first().box_id
@@ -79,10 +79,10 @@ def test_fold_adds_and_orders(spark, images):
 
 
 def test_crops_and_rounding(spark):
-    rows = [(10.4, 10.6, 5.5, 0.2), (2.5, 3.5, 0.6, 1.5), (99.74, 50.0, 0.26, 1.24), (49.78, 99.71, 0.36, 0.29)]
+    rows = [(7.3, 8.7, 4.5, 0.3), (4.5, 5.5, 0.7, 2.5), (63.8, 20.0, 0.2, 1.6), (31.62, 47.9, 0.5, 0.1)]
     df = spark.createDataFrame(rows, "x double, y double, w double, h double")
     got = [tuple(r) for r in df.select(X.crop_start("x", "w"), X.crop_start("y", "h"), X.crop_side("w"), X.crop_side("h")).collect()]
-    assert got == [(10, 10, 6, 1), (2, 4, 1, 2), (99, 50, 1, 1), (49, 99, 1, 1)] or got[3] == (50, 99, 1, 1)
+    assert got == [(7, 8, 4, 1), (4, 6, 1, 2), (63, 20, 1, 2), (32, 47, 1, 1)]
     assert [tuple(r) for r in spark.range(1).select(X.half_up(F.lit(0.5)), X.half_up(F.lit(1.5)), X.half_up(F.lit(-0.5))).collect()] == [(1.0, 2.0, 0.0)]
     start, end = X.clamp_crop(F.col("a"), F.col("b"), F.lit(100))
     df = spark.createDataFrame([(-5, 10), (120, 10), (95, 10), (3, -1)], "a int, b int")
