@@ -532,7 +532,7 @@ def merge_report(t: StarTables) -> DataFrame:
     staged, held, later = _store(t)
     images = t.gold_images.where("dataset = 'ds2'").select("image_id", F.concat(F.lit("s3://lake/"), "image_path").alias("path"))
     upserts = sync.image_upserts(t.gold_images, images, "s3://lake")
-    return sync.report(upserts, sync.new_boxes(staged, held, later), sync.changed_boxes(staged, held, later), sync.removed_boxes(staged, t.gold_images, held, later))
+    return sync.report(upserts, sync.fates(staged, t.gold_images, held, later))
 
 
 @registered(

@@ -249,6 +249,16 @@ def test_merge_is_idempotent(spark, lake):
     assert sync.new_boxes(staged, staged.where(F.col("box_id") != first), edited).count() == 0
     gone = sync.removed_boxes(staged.where(F.col("box_id") != first), images, staged, none)
     assert [r.box_id for r in gone.collect()] == [first]
+    for later in (none, edited):  # the one join agrees with the deltas, applied one after another
+        old = lagging.where(F.col("image_id") != images.first().image_id).unionByName(staged.limit(3).withColumn("box_id", F.concat("box_id", F.lit("x"))))
+        changed, new, gone = sync.changed_boxes(staged, old, later), sync.new_boxes(staged, old, later), sync.removed_boxes(staged, images, old, later)
+        left = old.join(gone.select("box_id"), "box_id", "left_anti").join(changed.select("box_id"), "box_id", "left_anti")
+        expected = left.select(*old.columns).unionByName(changed.select(*old.columns)).unionByName(new.select(*old.columns))
+        merged = sync.merged_boxes(staged, images, old, later)
+        assert sorted(map(str, merged.collect())) == sorted(map(str, expected.collect()))
+        counts = {r.fate: r.num_rows for r in sync.fates(staged, images, old, later).collect()}
+        assert (counts.get("new", 0), counts.get("updated", 0), counts.get("removed", 0)) == (new.count(), changed.count(), gone.count())
+        assert merged._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 3
     assert sync.image_upserts(images, spark.createDataFrame([], "image_id string, path string"), "s3://b").where("action = 'insert'").count() == images.count()
     manifest = spark.createDataFrame([("a", 7)], "chain_id string, log_sequence bigint")
     assert sync.gold_marker(manifest, "a").first()[0] == 7 and sync.gold_marker(manifest, "b").first()[0] == 0
