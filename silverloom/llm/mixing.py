@@ -126,9 +126,9 @@ def mix(
 def resample(docs: DataFrame) -> DataFrame:
     """``docs`` mixed by whole documents: each row as often as the mix takes its words, rounded.
 
-    Rows that repeat id, source and text share what the mix takes of them equally.
+    Rows that repeat id, source and text share what the mix takes of them equally; rows without words are taken 0 times.
     """
-    taken = mix(docs, extra=text_key()).groupBy("doc_id", "source", *KEY).agg((F.sum("taken") / F.sum("size")).alias("ratio"))
+    taken = mix(docs, extra=text_key()).groupBy("doc_id", "source", *KEY).agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("ratio"))
     marks = taken.select("doc_id", "source", *KEY, F.floor(F.col("ratio") + 0.5).cast("int").alias("__copies")).where(F.col("__copies") > 0)
     mixed = with_marks(docs, marks, "inner", {"doc_id": "doc_id", "source": "source"})
     return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
