@@ -7,6 +7,11 @@
 5. tokens      every document is encoded; the result has counts and digests
 
 Each function takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+Cases: a null text counts as empty, fails the quality rules and goes with the first stage. Null ids, sources and
+languages are values of their own; of a group of copies a known id stays before a null one. Rows that repeat id and text
+are one group of copies, of which the same row stays in every run. An empty table passes all stages as an empty table.
+Further columns, of any name, are kept up to the last stage.
 """
 
 from __future__ import annotations
