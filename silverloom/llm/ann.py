@@ -41,7 +41,7 @@ TREES, BITS = 64, 30
 #: Numbers of trees that the fit may choose.
 TREE_CHOICES = (4, 8, 12, 16, 24, 32, 48, 64)
 BUCKET_ROWS, BLOCK_QUERIES = 4096, 2048
-SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 4096, 64, 0.94
+SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 4096, 256, 0.95
 SEED = 20
 
 
@@ -108,15 +108,17 @@ def fitted(ids: np.ndarray, vectors: np.ndarray, norm: float, k: int) -> tuple[i
     top = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(ids) - 1)]
     if not top.size:
         return TREES, 0
-    differ = hashes(vectors[asked], None)[:, None, :] ^ hashes(vectors, norm)
-    common = np.maximum.accumulate(BITS - np.frexp(differ.astype(np.float64))[1], axis=2)  # most bits in the first trees
-    choices = []
-    for trees in TREE_CHOICES:
-        shared = common[:, :, trees - 1]
-        near = np.take_along_axis(shared, top, axis=1)
-        length = max(n for n in range(BITS + 1) if (near >= n).mean() >= TARGET)
-        choices.append(((shared >= length).mean(), trees, length))
-    return min(choices)[1:]
+    codes, columns = hashes(vectors, norm), np.array(TREE_CHOICES) - 1
+    near, every = np.zeros((len(TREE_CHOICES), BITS + 1)), np.zeros((len(TREE_CHOICES), BITS + 1))
+    for q, code in zip(asked, hashes(vectors[asked], None), strict=True):
+        common = np.maximum.accumulate(BITS - np.frexp((codes ^ code).astype(np.float64))[1], axis=1)  # most bits in the first trees
+        for choice, shared in enumerate(common[:, columns].T):
+            near[choice] += np.bincount(shared[top[q]], minlength=BITS + 1)
+            every[choice] += np.bincount(shared, minlength=BITS + 1)
+    at_least = lambda counts: counts[:, ::-1].cumsum(axis=1)[:, ::-1] / counts.sum(axis=1, keepdims=True)
+    met, share = at_least(near), at_least(every)
+    lengths = [int(np.flatnonzero(m >= TARGET).max()) for m in met]
+    return min((share[i, length], trees, length) for i, (trees, length) in enumerate(zip(TREE_CHOICES, lengths, strict=True)))[1:]
 
 
 def usable(vector: Column) -> Column:
