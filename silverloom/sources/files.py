@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import struct
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
+from silverloom.plans.scratch import small, stored
 
 IMAGE_SUFFIXES = ["jpg", "jpeg", "png"]
 #: Bytes of a file's head that hold its size in nearly every image, and the size of an upload part.
 HEAD_BYTES, PART_BYTES = 65_536, 8 << 20
+#: Contents of archive members that are sent on together.
+BATCH_BYTES = 32 << 20
 
 
 def listed_images(spark: SparkSession, root: str) -> DataFrame:
@@ -47,61 +51,75 @@ def image_size(content: bytes) -> tuple[int, int] | None:
 
 
 def image_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """file_name, width, height of the images below ``root``; the pixels are not decoded. Unreadable files have nulls."""
+    """file_name, width, height of the images below ``root``; the pixels are not decoded. Unreadable files have nulls.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = [image_size(head) or image_size(content) or (None, None) for head, content in zip(batch["head"], batch["content"], strict=True)]
-            yield pd.DataFrame({"file_name": batch["file_name"], "width": [w for w, _ in sizes], "height": [h for _, h in sizes]})
+    Only heads go to Python. A second pass sends the whole of those JPEG files whose head holds no frame.
+    """
+
+    def sized(files: DataFrame, content: Column) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                sizes = [image_size(c) or (None, None) for c in batch["content"]]
+                width, height = (pd.array([s[i] for s in sizes], dtype="Int32") for i in (0, 1))
+                yield batch[["path", "file_name"]].assign(width=width, height=height)
+
+        return files.select("path", "file_name", content.alias("content")).mapInPandas(run, "path string, file_name string, width int, height int")
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     named = files.where(F.lower("path").rlike(rf"\.({'|'.join(IMAGE_SUFFIXES)})$"))
     named = named.withColumn("file_name", F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1))
-    # the whole content goes along only where a long header needs it: heads without a frame in JPEG files
-    head = F.substring("content", 1, HEAD_BYTES)
-    rest = F.when(F.lower("path").endswith(".png"), F.lit(b"")).otherwise(F.col("content"))
-    return named.select("file_name", head.alias("head"), rest.alias("content")).mapInPandas(run, "file_name string, width int, height int")
+    first = stored(sized(named, F.substring("content", 1, HEAD_BYTES)), "image-sizes")
+    lost = first.where(F.col("width").isNull() & ~F.lower("path").endswith(".png")).select("path")
+    if lost.isEmpty():
+        return first.drop("path")
+    second = sized(named.join(small(lost), "path", "left_semi"), F.col("content"))
+    return first.join(small(lost), "path", "left_anti").unionByName(second).drop("path")
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
     """Members of zip and tar archives: archive, member, size, modified (seconds), content. An archive is one task's row.
 
     Metadata folders are skipped, a single directory named like its archive is stripped. Members that leave the archive
-    and tar members that are neither files nor directories are errors.
+    and tar members that are neither files nor directories are errors. Names are looked at first; contents are then read
+    and sent on in batches of ``BATCH_BYTES``.
     """
 
-    def members(name: str, content: bytes) -> Iterator[tuple]:
-        def safe(member: str) -> str:
-            clean = posixpath.normpath(member)
-            if clean.startswith(("/", "../")) or clean == "..":
-                raise ValueError(f"{name}: {member} leaves the archive")
-            return clean
+    def safe(archive: str, member: str) -> str:
+        clean = posixpath.normpath(member)
+        if clean.startswith(("/", "../")) or clean == "..":
+            raise ValueError(f"{archive}: {member} leaves the archive")
+        return clean
 
-        found = []
-        if name.endswith(".zip"):
+    def members(archive: str, content: bytes, read: bool) -> Iterator[tuple]:
+        """(member, size, modified, content), the content only where it is to be read."""
+        if archive.endswith(".zip"):
             with zipfile.ZipFile(io.BytesIO(content)) as file:
                 for info in file.infolist():
                     if not info.is_dir() and not info.filename.startswith("__MACOSX/"):
                         when = pd.Timestamp(*info.date_time, tz="UTC").timestamp()
-                        found.append((safe(info.filename), info.file_size, int(when), file.read(info)))
+                        yield safe(archive, info.filename), info.file_size, int(when), file.read(info) if read else b""
         else:
             with tarfile.open(fileobj=io.BytesIO(content)) as file:
                 for info in file:
                     if not (info.isfile() or info.isdir()):
-                        raise ValueError(f"{name}: {info.name} is no regular file")
+                        raise ValueError(f"{archive}: {info.name} is no regular file")
                     if info.isfile() and not info.name.startswith("__MACOSX/"):
-                        found.append((safe(info.name), info.size, int(info.mtime), file.extractfile(info).read()))
-        base = name.rsplit("/", 1)[-1]
-        for suffix in (".tar.gz", ".tgz", ".tar", ".zip"):
-            base = base.removesuffix(suffix)
-        wrapped = found and all(m[0].startswith(base + "/") for m in found)
-        for member, *rest in found:
-            yield name, member[len(base) + 1 :] if wrapped else member, *rest
+                        yield safe(archive, info.name), info.size, int(info.mtime), file.extractfile(info).read() if read else b""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                yield pd.DataFrame(list(members(name, content)), columns=["archive", "member", "size", "modified", "content"])
+            for archive, content in zip(batch["path"], batch["content"], strict=True):
+                names = [m[0] for m in members(archive, content, False)]
+                base = re.sub(r"\.(tar\.gz|tgz|tar|zip)$", "", archive.rsplit("/", 1)[-1])
+                inner = len(base) + 1 if names and all(n.startswith(base + "/") for n in names) else 0
+                rows, held = [], 0
+                for member, *rest in members(archive, content, True):
+                    rows.append((archive, member[inner:], *rest))
+                    held += rest[0]
+                    if held >= BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=["archive", "member", "size", "modified", "content"])
+                        rows, held = [], 0
+                yield pd.DataFrame(rows, columns=["archive", "member", "size", "modified", "content"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     files = files.where(F.col("path").rlike(r"\.(zip|tar|tgz|tar\.gz)$")).select("path", "content")

@@ -138,8 +138,11 @@ def test_image_listing_and_sizes(spark, tmp_path):
     (root / "s" / "a.PNG").write_bytes(png(30, 20))
     (root / "b.jpeg").write_bytes(jpeg(7, 9))
     (root / "c.txt").write_text("no")
-    assert sorted(r.file_name for r in files.listed_images(spark, str(root)).collect()) == ["b.jpeg", "s/a.PNG"]
-    assert sorted(tuple(r) for r in files.image_sizes(spark, str(root)).collect()) == [("b.jpeg", 7, 9), ("s/a.PNG", 30, 20)]
+    long = (b"\xff\xe1" + struct.pack(">H", 65_000) + b"\0" * 64_998) * 2  # two long segments before the frame
+    (root / "long.jpg").write_bytes(jpeg(0, 0)[:2] + long + jpeg(31, 17)[2:])
+    (root / "cut.jpg").write_bytes(jpeg(5, 5)[:12])
+    assert sorted(r.file_name for r in files.listed_images(spark, str(root)).collect()) == ["b.jpeg", "cut.jpg", "long.jpg", "s/a.PNG"]
+    assert sorted(map(tuple, files.image_sizes(spark, str(root)).collect())) == [("b.jpeg", 7, 9), ("cut.jpg", None, None), ("long.jpg", 31, 17), ("s/a.PNG", 30, 20)]
     found = {r.path: r for r in files.checksums(spark, str(root)).collect()}
     import base64
     import hashlib
@@ -151,7 +154,8 @@ def test_image_listing_and_sizes(spark, tmp_path):
     assert files.multipart_etags(df, 1000).first().etag == hashlib.md5(b"".join(parts)).hexdigest() + f"-{len(parts)}"
 
 
-def test_archives(spark, tmp_path):
+def test_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "BATCH_BYTES", 2)
     with zipfile.ZipFile(tmp_path / "w.zip", "w") as z:
         z.writestr("w/a.txt", "A")
         z.writestr("w/d/b.txt", "BB")
