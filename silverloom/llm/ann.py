@@ -93,11 +93,19 @@ def best_of(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, query_ids:
     out = []
     for q, near in enumerate(Forest(codes).candidates(query_codes, length)):
         near = near[ids[near] != query_ids[q]]
-        if len(near):
+        if met := len(near):
+            if met > k:  # the product rounds in another order: what may be among the best is summed up again
+                rough = vectors[near] @ queries[q]
+                bar = np.partition(rough, met - k)[met - k]
+                near = near[rough >= bar - 1e-9 * max(1.0, abs(bar))]
             exact = (vectors[near] * queries[q]).sum(axis=1)
             top = np.lexsort((ids[near], -exact))[:k]
-            out.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[near][top], "score": exact[top], "met": [len(near), *[0] * (len(top) - 1)]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "met": []})
+            out.append((query_ids[q], ids[near][top], exact[top], met))
+    if not out:
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "met": []})
+    sizes = [len(i) for _, i, _, _ in out]
+    met = np.concatenate([[m, *[0] * (n - 1)] for (*_, m), n in zip(out, sizes, strict=True)])
+    return pd.DataFrame({"query_id": np.repeat([q for q, *_ in out], sizes), "vec_id": np.concatenate([i for _, i, _, _ in out]), "score": np.concatenate([s for _, _, s, _ in out]), "met": met})
 
 
 def fitted(ids: np.ndarray, vectors: np.ndarray, norm: float, k: int) -> tuple[int, int]:
