@@ -67,12 +67,15 @@ def read_state(spark: SparkSession, path: str, schema: object) -> DataFrame:
 
 
 def publish(edit_stream: DataFrame, boxes: DataFrame, loaded: DataFrame, others: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Cut an event file for each micro-batch of the edit log: the batch's range of sequences, published as it is now."""
+    """Cut the event files of each micro-batch of the edit log: the batch's range of sequences, published as it is now.
+
+    A batch is a folder; a large one has several files, each a range of sequences in order, so that no task writes all.
+    """
 
     def cut(batch: DataFrame, batch_id: int) -> None:
         ends = batch.agg(F.min("sequence"), F.max("sequence")).first()
         if ends[0] is not None:
             events = sync.published_events(batch, boxes, loaded, others, ends[0] - 1, ends[1])
-            events.coalesce(1).sortWithinPartitions("log_sequence", "box_id").write.mode("overwrite").parquet(f"{target}/{batch_id:06d}")
+            events.repartitionByRange("log_sequence", "box_id").sortWithinPartitions("log_sequence", "box_id").write.mode("overwrite").parquet(f"{target}/{batch_id:06d}")
 
     return edit_stream.writeStream.foreachBatch(cut).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

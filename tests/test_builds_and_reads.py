@@ -64,6 +64,16 @@ def test_builds(spark, lake):
     assert [(r.dataset, r.embedding_model) for r in metadata] == [("d1", "m"), ("d2", None)]
 
 
+def test_a_split_without_rows_reads_as_no_rows(spark, lake, tmp_path):
+    """The manifest lists a split that has images but no boxes, and reading it gives an empty frame of the schema."""
+    layer, whole = Layer(spark, str(tmp_path / "s")), source(spark, "d1")
+    bare = type(whole)(whole.images, whole.boxes.where("split = 'train'"))
+    manifest = pipelines.build_silver(layer, bare, spec("d1"), None, ["a"])
+    assert manifest["splits"] == ["holdout", "train"] and layer.read("silver.images").where("split = 'holdout'").count() == 4
+    empty = layer.read("silver.boxes").where("split = 'holdout'")
+    assert empty.count() == 0 and empty.columns == layer.read("silver.boxes").columns
+
+
 def test_bad_build_is_discarded(spark, lake, tmp_path):
     layer = Layer(spark, str(tmp_path / "s"))
     pipelines.build_silver(layer, source(spark, "d1"), spec("d1"), None, ["a"])
