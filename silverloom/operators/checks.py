@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from silverloom.plans.scratch import small
 from silverloom.schemas import CLASSES, IMAGE_KEY, struct
 
 TOLERANCE = 1e-6
@@ -70,7 +71,7 @@ def chain_breaks(files: DataFrame) -> DataFrame:
 def changed_event_files(stored: DataFrame, listed: DataFrame) -> DataFrame:
     """Stored files of the listed chain that the listing now lacks or shows otherwise (event_file_id, sha256)."""
     chains = listed.select("chain_id").distinct()
-    mine = stored.join(F.broadcast(chains), "chain_id", "left_semi").select("chain_id", "sequence", F.col("event_file_id").alias("stored_id"), F.col("sha256").alias("stored_sha"))
+    mine = stored.join(small(chains), "chain_id", "left_semi").select("chain_id", "sequence", F.col("event_file_id").alias("stored_id"), F.col("sha256").alias("stored_sha"))
     both = mine.join(listed.select("chain_id", "sequence", "event_file_id", "sha256"), ["chain_id", "sequence"], "left")
     same = F.struct("stored_id", "stored_sha").eqNullSafe(F.struct(F.col("event_file_id"), F.col("sha256")))
     return both.where(~same).select("chain_id", "sequence", "stored_id", F.when(F.col("event_file_id").isNull(), "gone").otherwise("changed").alias("problem"))

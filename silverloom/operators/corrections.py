@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
 from silverloom.operators.normalize import Normalized, clipped, renumbered
+from silverloom.plans.scratch import small
 from silverloom.schemas import CLASSES, IMAGE_KEY, SILVER_BOXES, UNKNOWN_CLASS, class_id
 
 #: The order of events: files in the order of bronze, rows in the order of the log within a file.
@@ -36,7 +37,7 @@ def events_until(events: DataFrame, files: DataFrame, last_event_file: str | Non
         if not marks:
             raise LookupError(f"no event file {last_event_file}")
         wanted = files.where(F.col("file_ordinal") <= marks[0])
-    return events.join(F.broadcast(wanted.select("event_file_id", "file_ordinal")), "event_file_id")
+    return events.join(small(wanted.select("event_file_id", "file_ordinal")), "event_file_id")
 
 
 def resolved_label(label: Column, source_class: Column) -> tuple[Column, Column]:
