@@ -47,6 +47,8 @@ BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1 << 22
 MAX_BITS = 1 << 16
 #: One row in so many is looked at for hot keys, and how often a key must occur there to be hot.
 SAMPLED, HOT_IN_SAMPLE = 256, 64
+#: Parts of a band of sizes when documents are put into blocks.
+BAND_PARTS = 64
 TILE = ["cluster", "first", "last"]
 U64 = np.uint64
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)]
@@ -263,7 +265,9 @@ def clusters_of(sets: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
 
 def tiles_of(members: DataFrame, percent: int) -> DataFrame:
     """(node, block, cluster, first, last): the blocks of each cluster and the tiles (of two blocks) they take part in. ``members``: node, cluster, n_shingles."""
-    banded = members.withColumn("band", F.floor(F.log2("n_shingles") * 16))
+    # a band of sizes may hold most of a cluster: its parts are by a hash of the node
+    parts = F.pmod(F.xxhash64("node"), F.lit(BAND_PARTS))
+    banded = members.withColumn("band", F.floor(F.log2("n_shingles") * 16) * BAND_PARTS + parts)
     weight = (F.col("n_shingles") / BLOCK_SHINGLES + F.lit(1 / BLOCK_DOCS)).cast("decimal(24,12)")
     placed = prefix_sums(banded, ["cluster"], "band", [F.col("n_shingles"), F.col("node")], weight, "before")
     placed = materialize(placed.select("node", "cluster", "n_shingles", F.floor("before").alias("block")), "blocks")
