@@ -55,7 +55,7 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def join_counted(df: DataFrame, counted: DataFrame, on: str, how: str = "inner", most: int = 100_000) -> DataFrame:
+def join_counted(df: DataFrame, counted: DataFrame, on: str | list[str], how: str = "inner", most: int = 100_000) -> DataFrame:
     """Join ``counted`` (one row for each ``on``, with ``n``, its rows in ``df``; materialised) to ``df``; n is dropped.
 
     No task meets all rows of one value: values with at least total / ``most`` rows, of which there can be at most

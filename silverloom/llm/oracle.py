@@ -28,3 +28,29 @@ select doc_id, cast(n_words as bigint) as n_words, cast(n_chars-c3 as bigint) as
   not (n_words<50 or 100*n_repeat_words>50*n_words) and (n_words<100 or ref_words<1000 or not (coalesce(class_distance,0)>0.28 or coalesce(word_distance,0)>0.45)) as kept,
   round(class_distance,6) as class_distance, round(word_distance,6) as word_distance from m
 """
+
+
+#: Words of pieces as lists, phrases by their place, and every cut of a candidate; sums of 64 bits are multiplied as 128.
+OP12 = r"""
+with texts as (select coalesce(lang, 'und') as lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents where text is not null),
+pieces as (select row_number() over () as piece, lang, p from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\x0C\r]')) as p from texts)),
+listed as (select piece, lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') as w from pieces),
+words as (select piece, lang, unnest(w) as w0, unnest(range(len(w))) as i from listed),
+runs as (select lang, w0, lead(w0, 1) over (partition by piece order by i) as w1, lead(w0, 2) over (partition by piece order by i) as w2 from words),
+phrases as (
+  select lang, 1 as size, w0 as phrase, count(*)::bigint as f from runs group by all
+  union all select lang, 2, w0 || ' ' || w1, count(*)::bigint from runs where w1 is not null group by all
+  union all select lang, 3, w0 || ' ' || w1 || ' ' || w2, count(*)::bigint from runs where w2 is not null group by all),
+totals as (select lang, sum(f)::bigint as n from phrases where size = 1 group by lang),
+candidates as (select lang, size, phrase, f as a, string_split(phrase, ' ') as w from phrases where size > 1 and f >= 10),
+cuts as (select c.lang, c.phrase, c.size, c.a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:size], ' ') as tail from candidates c, (values (1), (2)) ks(k) where k < c.size),
+valued as (
+  select c.*, x.f as l, y.f as r, (1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f) as score
+  from cuts c join phrases x on x.lang = c.lang and x.phrase = c.head and x.size = c.k join phrases y on y.lang = c.lang and y.phrase = c.tail and y.size = c.size - c.k),
+weakest as (select * from valued qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+longer as (select lang, phrase, max(f) as longer from (
+  select lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase, a as f from candidates where size = 3) group by all),
+kept as (select q.* from weakest q left join longer m on m.lang = q.lang and m.phrase = q.phrase where m.longer is null or 100 * m.longer < 50 * q.a),
+ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, score::bigint as score from kept)
+select ranked.lang, rank, phrase, a, l, r, n, score from ranked join totals on totals.lang = ranked.lang where rank <= 2000
+"""

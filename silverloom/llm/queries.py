@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from silverloom.llm import ann, bpe, host_quality, html, jaccard, mixing, oracle, quality, secrets, sharding, token_counts
+from silverloom.llm import ann, bpe, collocations, host_quality, html, jaccard, licenses, mixing, oracle, quality, secrets, sharding, token_counts, whitening
 from silverloom.llm.common import materialize, table
 
 
@@ -70,11 +70,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digests(licenses.find_licenses(table(spark, sf_dir, "documents")))
+
+
+def op12_tiled_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op1_edit_aware_counts, op2_hash_prefix_forest, op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op7_host_quality, op8_secret_scan, op9_html_tree_model, op10_jaccard_join]
+    ops = [op1_edit_aware_counts, op2_hash_prefix_forest, op3_minimax_shards, op4_quality_rules, op5_forced_boundary_bpe, op6_mixing_schedule, op7_host_quality, op8_secret_scan, op9_html_tree_model, op10_jaccard_join, op11_license_scan, op12_tiled_collocations, op13_block_whitening]
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op4_quality_rules": oracle.OP4}
+    found = {"op4_quality_rules": oracle.OP4, "op12_tiled_collocations": oracle.OP12}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
