@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
@@ -53,51 +53,50 @@ def fold_events(silver: DataFrame, images: DataFrame, latest: DataFrame) -> Norm
     other than its whole-pixel rounding moves it (an equal one keeps the source's fractions). Live events of other boxes
     are additions to the image they name, after the source's boxes and in the order of their first events. A moved or
     added box that has no area within its image is dropped, as is an addition without a label or a box.
+
+    Boxes and events go as one frame through one exchange, on the image key. A box meets its event in a window of its id
+    within the image, then the size of the image, and then the window that renumbers, all on that partitioning. An event
+    thus applies within the image that it names, which its box's id is made from.
     """
-    sized = silver.join(images.select(*IMAGE_KEY, "width", "height"), IMAGE_KEY)
-    event = latest.select("box_id", F.col("is_deleted").alias("e_deleted"), F.col("label_name").alias("e_label"), *[F.col(c).alias(f"e_{c}") for c in "xywh"])
-    met = sized.join(event, "box_id", "left")
-    relabelled = F.col("e_label").isNotNull() & (F.col("e_label") != F.col("class_name"))
-    same = [X.half_up(c) == F.col(f"e_{c}") for c in "xywh"]
-    moved = F.col("e_x").isNotNull() & ~F.coalesce(same[0] & same[1] & same[2] & same[3], F.lit(False))
-    met = met.withColumns({"deleted": X.is_set("e_deleted"), "relabelled": relabelled, "moved": moved})
-    name, source_class = resolved_label(F.col("e_label"), F.col("source_class"))
-    corners = {"xmin": F.col("e_x"), "ymin": F.col("e_y"), "xmax": F.col("e_x") + F.col("e_w"), "ymax": F.col("e_y") + F.col("e_h")}
-    new = clipped(met.select("*", *[F.col(c).alias(f"s_{c}") for c in "xywh"]).drop(*"xywh").withColumns(corners))
-    new = new.withColumn("lost", F.col("moved") & ~X.has_area(F.col("w"), F.col("h")))
-    kept = {c: F.when(F.col("moved"), F.col(c)).otherwise(F.col(f"s_{c}")) for c in "xywh"}
-    kept |= {
-        "class_name": F.when(F.col("relabelled"), name).otherwise(F.col("class_name")),
-        "source_class": F.when(F.col("relabelled"), source_class).otherwise(F.col("source_class")),
-        "is_class_corrected": F.col("is_class_corrected") | F.col("relabelled"),
-        "is_geometry_corrected": F.col("is_geometry_corrected") | F.col("moved"),
-    }
-    stays = ~F.col("deleted") & ~F.col("lost")
-    none = F.lit(None).cast("struct<file_ordinal:bigint,log_sequence:bigint>")
-    order = {"is_added": F.lit(False), "source_place": F.col("box_index"), "first_seen": none}
-    corrected = new.where(stays).withColumns(kept).withColumns(order)
-
-    live = latest.where(~F.col("is_deleted")).join(silver.select(*IMAGE_KEY, "box_id"), [*IMAGE_KEY, "box_id"], "left_anti")
-    drawn = live.join(images.select(*IMAGE_KEY, "width", "height"), IMAGE_KEY)
-    complete = F.col("label_name").isNotNull() & F.col("x").isNotNull()
-    ends = {"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x") + F.col("w"), "ymax": F.col("y") + F.col("h")}
-    drawn = clipped(drawn.withColumn("complete", complete).withColumns(ends))
-    area = X.has_area(F.col("w"), F.col("h"))
-    name, source_class = resolved_label(F.col("label_name"), F.col("label_name"))
-    given = {"class_name": name, "source_class": source_class, "origin": F.lit("studio"), "is_class_corrected": F.lit(False), "is_geometry_corrected": F.lit(False)}
-    order = {"is_added": F.lit(True), "source_place": F.lit(0), "first_seen": F.col("first_seen").cast("struct<file_ordinal:bigint,log_sequence:bigint>")}
-    added = drawn.where(F.col("complete") & area).withColumns(given).withColumns(order)
-    empty = [c for c in SILVER_BOXES.names if c not in added.columns and c not in ("box_index", "class_id")]
-    added = added.withColumns({c: F.lit(None).cast(SILVER_BOXES[c].dataType) for c in empty})
-
-    columns = [c for c in SILVER_BOXES.names if c not in ("box_index", "class_id")] + ["is_added", "source_place", "first_seen"]
-    both = corrected.select(*columns).unionByName(added.select(*columns)).withColumn("class_id", class_id(F.col("class_name")))
-    boxes = renumbered(both, "is_added", "source_place", "first_seen").select(*SILVER_BOXES.names)
-    dropped = (
-        new.where(~stays).select(*IMAGE_KEY, "box_id", F.when(F.col("deleted"), "studio_deleted").otherwise("degenerate_box").alias("reason"))
-        .unionByName(drawn.where(~(F.col("complete") & area)).select(*IMAGE_KEY, "box_id", F.when(~F.col("complete"), "incomplete_addition").otherwise("degenerate_box").alias("reason")))
+    of_box = [c for c in SILVER_BOXES.names if c not in (*IMAGE_KEY, "box_id")]
+    of_event = ["is_deleted", "label_name", *"xywh", "first_seen"]
+    place = "struct<file_ordinal:bigint,log_sequence:bigint>"
+    event = latest.select(*IMAGE_KEY, "box_id", F.struct(*[F.col(c).cast(place).alias(c) if c == "first_seen" else F.col(c) for c in of_event]).alias("e"))
+    box = silver.select(*IMAGE_KEY, "box_id", F.struct(*of_box).alias("s"))
+    both = box.unionByName(event, allowMissingColumns=True).repartition(*IMAGE_KEY)
+    same_id = Window.partitionBy(*IMAGE_KEY, "box_id")
+    both = both.withColumns({"event": F.max("e").over(same_id), "held": F.max(F.col("s").isNotNull()).over(same_id)})
+    given = F.col("s").isNotNull()  # an event's own row stays only where no box of the source has its id
+    both = both.where(given | (~F.col("held") & ~F.col("e.is_deleted")))
+    met = both.join(images.select(*IMAGE_KEY, "width", "height"), IMAGE_KEY)
+
+    e = {c: F.col("event")[c] for c in of_event}
+    s = {c: F.col("s")[c] for c in of_box}
+    same = [X.half_up(s[c]) == e[c] for c in "xywh"]
+    is_set = lambda c: F.coalesce(c, F.lit(False))
+    met = met.select(
+        "*", given.alias("given"), (given & is_set(e["is_deleted"])).alias("deleted"), (given & is_set(e["label_name"] != s["class_name"])).alias("relabelled"),
+        (given & e["x"].isNotNull() & ~is_set(same[0] & same[1] & same[2] & same[3])).alias("moved"), (given | (e["label_name"].isNotNull() & e["x"].isNotNull())).alias("complete"),
+        e["x"].alias("xmin"), e["y"].alias("ymin"), (e["x"] + e["w"]).alias("xmax"), (e["y"] + e["h"]).alias("ymax"),
     )
-    return Normalized(boxes, dropped)
+    drawn = F.col("moved") | ~F.col("given")
+    new = clipped(met).withColumn("lost", drawn & ~is_set(X.has_area(F.col("w"), F.col("h"))))
+    stays = ~F.col("deleted") & ~F.col("lost") & F.col("complete")
+    name, source_class = resolved_label(e["label_name"], F.when(F.col("given"), s["source_class"]).otherwise(e["label_name"]))
+    named = F.col("relabelled") | ~F.col("given")
+    columns = {c: s[c] for c in of_box} | {c: F.when(drawn, F.col(c)).otherwise(s[c]) for c in "xywh"}
+    columns |= {
+        "class_name": F.when(named, name).otherwise(s["class_name"]),
+        "source_class": F.when(named, source_class).otherwise(s["source_class"]),
+        "origin": F.when(F.col("given"), s["origin"]).otherwise(F.lit("studio")),
+        "is_class_corrected": is_set(s["is_class_corrected"]) | F.col("relabelled"),
+        "is_geometry_corrected": is_set(s["is_geometry_corrected"]) | F.col("moved"),
+    }
+    order = [(~F.col("given")).alias("is_added"), F.when(F.col("given"), s["box_index"]).otherwise(0).alias("source_place"), F.when(~F.col("given"), e["first_seen"]).alias("first_seen")]
+    kept = new.where(stays).select(*IMAGE_KEY, "box_id", *[c.alias(n) for n, c in columns.items() if n not in ("box_index", "class_id")], *order)
+    boxes = renumbered(kept.withColumn("class_id", class_id(F.col("class_name"))), "is_added", "source_place", "first_seen").select(*SILVER_BOXES.names)
+    reason = F.when(F.col("deleted"), "studio_deleted").when(~F.col("complete"), "incomplete_addition").otherwise("degenerate_box")
+    return Normalized(boxes, new.where(~stays).select(*IMAGE_KEY, "box_id", reason.alias("reason")))
 
 
 def fold_cases(silver: DataFrame, images: DataFrame, latest: DataFrame) -> DataFrame:

@@ -45,8 +45,11 @@ def category_index(boxes: DataFrame) -> DataFrame:
     return names.withColumn("category_index", place.cast("int"))
 
 
-def run_metrics(images: DataFrame, boxes: DataFrame, dropped: DataFrame) -> DataFrame:
-    """One row: images, boxes, corrected and added boxes, dropped boxes."""
+def run_metrics(images: DataFrame, boxes: DataFrame, dropped: DataFrame, event_files: DataFrame, wanted: DataFrame, cache: DataFrame, match: list[str]) -> DataFrame:
+    """One row: images, boxes, corrected and added boxes, dropped boxes, event files, and vectors reused and still to make.
+
+    ``event_files`` has a row for each file of the run; ``wanted`` rows have their vector in ``cache`` by ``match`` or not.
+    """
     a = images.agg(F.count("*").alias("num_images"))
     b = boxes.agg(
         F.count("*").alias("num_boxes"),
@@ -54,7 +57,10 @@ def run_metrics(images: DataFrame, boxes: DataFrame, dropped: DataFrame) -> Data
         F.count_if(F.col("origin") == "studio").alias("num_added"),
     )
     c = dropped.agg(F.count("*").alias("num_dropped"))
-    return a.join(b, how="cross").join(c, how="cross")  # one row each
+    d = event_files.agg(F.count("*").alias("num_event_files"))
+    met = wanted.select(*match).join(cache.select(*match, F.lit(1).alias("__held")).dropDuplicates(match), match, "left")
+    e = met.agg(F.count("__held").alias("num_reused_vectors"), (F.count("*") - F.count("__held")).alias("num_missing_vectors"))
+    return a.join(b, how="cross").join(c, how="cross").join(d, how="cross").join(e, how="cross")  # one row each
 
 
 def manifest_rows(manifests: DataFrame, column: str = "rows") -> DataFrame:

@@ -127,9 +127,8 @@ class StarTables:
 
     @cached_property
     def folded(self) -> Normalized:
-        """The fold over silver and latest events as written tables: it meets both twice, and so do the events."""
+        """The fold over silver as a written table, which the events of the mapping are made from as well."""
         self.normalized = Normalized(stored(self.normalized.boxes, "normalized"), self.normalized.dropped)
-        self.latest = stored(self.latest, "latest")
         return corrections.fold_events(self.normalized.boxes, self.images, self.latest)
 
     @cached_property

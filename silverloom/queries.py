@@ -257,11 +257,15 @@ def category_index(t: StarTables) -> DataFrame:
 
 @registered(
     """select (select count(*) from im) as num_images, count(*) as num_boxes, count(*) filter(where is_class_corrected or is_geometry_corrected) as num_corrected, count(*) filter(where origin='studio') as num_added,
-    (select count(*) from mo where coalesce(e_deleted,false) or not (fw>=1e-6 and fh>=1e-6)) + (select count(*) from ad where not (complete and fw>=1e-6 and fh>=1e-6)) as num_dropped from fo""",
-    "fo",
+    (select count(*) from mo where coalesce(e_deleted,false) or not (fw>=1e-6 and fh>=1e-6)) + (select count(*) from ad where not (complete and fw>=1e-6 and fh>=1e-6)) as num_dropped,
+    (select count(distinct file_ordinal) from ev) as num_event_files, (select count(*) from gi where image_id in (select image_id from cached)) as num_reused_vectors,
+    (select count(*) from gi where image_id not in (select image_id from cached)) as num_missing_vectors from fo""",
+    "gi",
+    "cached",
 )
 def run_metrics(t: StarTables) -> DataFrame:
-    return tallies.run_metrics(t.images, t.folded.boxes, t.folded.dropped)
+    files = t.events.select("file_ordinal").distinct()
+    return tallies.run_metrics(t.images, t.folded.boxes, t.folded.dropped, files, t.gold_images, _image_cache(t), ["image_id"])
 
 
 # reads of gold

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import DataFrame, Window
@@ -11,7 +12,7 @@ from silverloom.functions import expr as X
 from silverloom.operators import checks, corrections, gold, query, sync, tallies, vectors
 from silverloom.plans import builds, pipelines
 from silverloom.plans.scratch import scratch_dir, stored
-from silverloom.plans.star_tables import GOLD_CLASSES, StarTables, specs
+from silverloom.plans.star_tables import CATEGORY_MAP, GOLD_CLASSES, StarTables, specs
 from silverloom.queries import SILVER, _image_cache, _store, registered
 from silverloom.schemas import spec_frames
 from silverloom.sources import contract, files, json_sources, registry, text_sources, writers
@@ -225,29 +226,73 @@ def events_until_marker(t: StarTables) -> DataFrame:
 )
 def bronze_manifests(t: StarTables) -> DataFrame:
     """Manifests of what was linked, written and read back by their schema, and the sum of their row counts."""
-    path = _path(t, "bronze")
-    counts = tallies.split_counts(t.images)
-    for spec in specs():
-        rows = {r["split"]: r["num_images"] for r in counts.where(F.col("dataset") == spec.name).collect()}  # a row for each split
-        builds.write_bronze_manifest(builds.Store(t.spark, path), spec, rows)
-    read = files.read_manifest(t.spark, f"{path}/*/manifest.json", builds.BRONZE_SCHEMA)
+    read = files.read_manifest(t.spark, f"{_bronze(t).root}/*/manifest.json", builds.BRONZE_SCHEMA)
     rows = F.aggregate(F.map_values("rows"), F.lit(0).cast("bigint"), lambda a, x: a + x)
     each = read.select("dataset", "license", F.size("rows").cast("bigint").alias("num_splits"), rows.alias("num_images"))
     return each.join(tallies.manifest_rows(each, "num_images").withColumnRenamed("num_rows", "all_images"), how="cross")  # a row of sums
 
 
+def _bronze(t: StarTables) -> builds.Store:
+    """Manifests of what was linked for each dataset, with the rows of its splits."""
+    store = builds.Store(t.spark, _path(t, "bronze"))
+    counts = tallies.split_counts(t.images).collect()  # a row for each split
+    for spec in specs():
+        builds.write_bronze_manifest(store, spec, {r["split"]: r["num_images"] for r in counts if r["dataset"] == spec.name})
+    return store
+
+
+def _event_files(events: DataFrame) -> dict[str, list[str]]:
+    """The event files of each dataset in order, named by their ordinal."""
+    rows = events.select("dataset", "file_ordinal").distinct().collect()  # a row for each file and dataset
+    return {n: [f"f{o}" for o in sorted(r.file_ordinal for r in rows if r.dataset == n)] for n in {r.dataset for r in rows}}
+
+
+@registered("select dataset,split,file_name,box_id,box_index,class_id,class_name,source_class,x,y,w,h,origin,is_class_corrected,is_geometry_corrected from fo", "fo")
+def silver_build(t: StarTables) -> DataFrame:
+    """Each dataset's silver through the whole job: normalised, folded, checked, published, and read by its pointer."""
+    bronze, events, out = _bronze(t), stored(t.events, "events"), []
+    raw_boxes, files = stored(t.raw_boxes, "raw"), _event_files(events)
+    for spec in specs():
+        layer, mine = builds.Layer(t.spark, _path(t, "layer")), F.col("dataset") == spec.name
+        raw = contract.Raw(t.images.where(mine), raw_boxes.where(mine))
+        pipelines.build_silver(layer, raw, spec, events.where(mine), [builds.manifest_digest(bronze, spec.name)], files.get(spec.name, []))
+        out.append(layer.read("silver.boxes"))
+    return gold.union_datasets(out).select(*SILVER)
+
+
 @registered(
-    "select dataset,split,file_name,box_id,box_index,class_id,class_name,source_class,x,y,w,h,origin,is_class_corrected,is_geometry_corrected from fo where dataset='ds3'",
+    """select build, dataset, license, license='open' as commercial_use, class_name, count(*) as num_boxes from (
+      select 1 as build, dataset, case when dataset in ('ds1','ds2') then 'open' else 'research' end as license, class_name from fo where dataset<>'ds4' and not (coalesce(attr_is_group_of,false) or coalesce(attr_is_depiction,false))
+      union all select 1, dataset, 'research', class_name from ba where dataset='ds4' and not (attr_is_group_of or attr_is_depiction)
+      union all select 2, dataset, case when dataset='ds2' then 'open' when dataset='ds1' then 'closed' else 'research' end, class_name from fo where dataset not in ('ds3','ds4') and not (coalesce(attr_is_group_of,false) or coalesce(attr_is_depiction,false))
+      union all select 2, dataset, 'research', class_name from ba where dataset='ds3' and not (attr_is_group_of or attr_is_depiction)
+      union all select 2, dataset, 'research', case when source_class='AF' then 'head' else class_name end from ba where dataset='ds4' and not (attr_is_group_of or attr_is_depiction))
+    where class_name in ('face','license_plate','head','person','text') group by all""",
     "fo",
 )
-def silver_build(t: StarTables) -> DataFrame:
-    """One dataset's silver through the whole job: normalised, folded, checked, published, and read by its pointer."""
-    spec = next(s for s in specs() if s.name == "ds3")
-    mine = F.col("dataset") == spec.name
-    layer = builds.Layer(t.spark, _path(t, "layer"))
-    raw = [contract.raw(t.images.where(mine & (F.col("split") == s)), t.raw_boxes.where(mine & (F.col("split") == s)), spec.name, s) for s in spec.split_roles]
-    pipelines.build_silver(layer, contract.union(raw), spec, stored(t.events.where(mine), "events"), ["bronze"])
-    return layer.read("silver.boxes").select(*SILVER)
+def rebuilt_layers(t: StarTables) -> DataFrame:
+    """Silver of all datasets and gold of them, built twice in the same folders. The second time the licence of ds1 is
+
+    another, ds3 comes without its edits, and ds4 with another category map; the rest is found built.
+    """
+    bronze, events = _bronze(t), stored(t.events, "events")
+    raw_boxes, files = stored(t.raw_boxes, "raw"), _event_files(events)
+    layers = {s.name: builds.Layer(t.spark, _path(t, "layer")) for s in specs()}
+    golden, out = builds.Layer(t.spark, _path(t, "gold")), []
+    second = {"ds1": {"license": "closed", "commercial_use": False}, "ds4": {"category_map": CATEGORY_MAP | {"AF": "head"}}}
+    for build, changes, bare in ((1, {}, {"ds4"}), (2, second, {"ds3", "ds4"})):
+        chosen = [dataclasses.replace(s, **changes.get(s.name, {})) for s in specs()]
+        for spec in chosen:
+            mine, edited = F.col("dataset") == spec.name, spec.name not in bare
+            raw = contract.Raw(t.images.where(mine), raw_boxes.where(mine))
+            pipelines.build_silver(layers[spec.name], raw, spec, events.where(mine) if edited else None, [builds.manifest_digest(bronze, spec.name)], files.get(spec.name, []) if edited else None)
+        pipelines.build_gold(golden, layers, chosen, GOLD_CLASSES)
+        licensed = golden.read("gold.images").select("image_id", "license")
+        rows = golden.read("gold.boxes").join(licensed, "image_id")
+        out.append(rows.groupBy("dataset", "license", "commercial_use", "class_name").agg(F.count("*").alias("num_boxes")).withColumn("build", F.lit(build)))
+        if build == 1:
+            out[0] = stored(out[0], "first-build")  # its folders may go when the second is published
+    return out[0].unionByName(out[1])
 
 
 @registered(
@@ -256,18 +301,25 @@ def silver_build(t: StarTables) -> DataFrame:
 )
 def gold_build(t: StarTables) -> DataFrame:
     """The union of all datasets through the whole job, read by the current pointer."""
-    silver = {}
-    boxes = stored(t.folded.boxes, "folded")
+    layer = _gold(t)
+    images, boxes = layer.read("gold.images"), layer.read("gold.boxes")
+    counts = boxes.groupBy("dataset", "role").agg(F.count("*").alias("num_boxes"))
+    return images.groupBy("dataset", "role").agg(F.count("*").alias("num_images")).join(counts, ["dataset", "role"], "left")
+
+
+def _gold(t: StarTables) -> builds.Layer:
+    """Gold built of silver layers whose manifests name their last event and, where images have vectors, the model."""
+    silver, boxes = {}, stored(t.folded.boxes, "folded")
+    last = {r.dataset: r.n for r in t.events.groupBy("dataset").agg(F.max("file_ordinal").alias("n")).collect()}  # a row for each dataset
     for spec in specs():
         layer = silver[spec.name] = builds.Layer(t.spark, _path(t, "layer"))
         mine = F.col("dataset") == spec.name
         tables = {"silver.images": t.images.where(mine), "silver.boxes": boxes.where(mine)}
-        layer.build(builds.build_id("1", [spec.name]), lambda tables=tables: tables, {"dataset": spec.name, "splits": sorted(spec.split_roles)})
+        about = {"dataset": spec.name, "splits": sorted(spec.split_roles), "last_event": f"f{last[spec.name]}", "embedding_model": "m" if spec.commercial_use else None}
+        layer.build(builds.build_id("1", [spec.name]), lambda tables=tables: tables, about)
     layer = builds.Layer(t.spark, _path(t, "gold"))
     pipelines.build_gold(layer, silver, specs(), GOLD_CLASSES)
-    images, boxes = layer.read("gold.images"), layer.read("gold.boxes")
-    counts = boxes.groupBy("dataset", "role").agg(F.count("*").alias("num_boxes"))
-    return images.groupBy("dataset", "role").agg(F.count("*").alias("num_images")).join(counts, ["dataset", "role"], "left")
+    return layer
 
 
 @registered("select dataset, split, count(*) as num_images, false as is_changed from gi where role in ('val','test') group by all union all select 'cut', 'cut', 0, true", "gi")
@@ -284,19 +336,20 @@ def frozen_release(t: StarTables) -> DataFrame:
     return rows.withColumn("is_changed", F.lit(bool(releases.changed(number)))).unionByName(told)
 
 
-@registered("select 'ds'||k as dataset, 'b'||k as silver_build, cast(k as varchar) as last_event, case when k<4 then 'm' end as embedding_model from (select distinct cast(substr(dataset,3,1) as int) as k from im)", "im")
+@registered(
+    """select dataset, substr(sha256('["1", ["'||dataset||'"]]'),1,32) as silver_build, 'f'||max(file_ordinal) as last_event, case when dataset in ('ds1','ds2') then 'm' end as embedding_model from ev group by dataset""",
+    "ev",
+)
 def gold_metadata(t: StarTables) -> DataFrame:
-    """A row for each dataset of the gold manifest, with its silver build, last event and model."""
-    found = sorted(r[0] for r in t.images.select("dataset").distinct().collect())  # a row for each dataset
-    manifest = {"datasets": {n: {"silver_build": f"b{n[2]}", "last_event": n[2]} for n in found}}
-    return pipelines.gold_metadata(t.spark, manifest, {n: "m" for n in found if int(n[2]) < 4})
+    """A row for each dataset of the published gold manifest, with its silver build, last event and model."""
+    return pipelines.gold_metadata(t.spark, _gold(t).current())
 
 
-@registered("select box_id, 16 as dim, count(*) over () as num_rows from gb where dataset='ds2'", "gb")
+@registered("select box_id, 16 as dim, count(*) over () as num_rows from gb", "gb")
 def sorted_vectors(t: StarTables) -> DataFrame:
-    """Vectors of a dataset's crops through the cache, written in the order of their ids."""
+    """Vectors of all crops through the cache, written in the order of their ids."""
     t = t.with_stored_gold()
-    wanted = vectors.with_crops(t.gold_boxes.where("dataset = 'ds2'")).withColumn("box_index", F.lit(0))
+    wanted = vectors.with_crops(t.gold_boxes).withColumn("box_index", F.lit(0))
     wanted = wanted.select("dataset", "split", "file_name", "box_id", "box_index", *vectors.CROP)
     path = _path(t, "vectors")
     cache = builds.VectorCache(t.spark, _path(t, "cache"), "m", "1", ["box_id", *vectors.CROP])

@@ -1,9 +1,14 @@
 """Builds, releases, vectors, the store merge and streams, end to end on small frames."""
 
+import dataclasses
+import uuid
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from silverloom import schemas
 from silverloom.operators import query, sync, vectors
 from silverloom.plans import builds, pipelines
 from silverloom.plans.builds import Layer, Releases, Store, VectorCache, build_id
@@ -59,7 +64,7 @@ def test_builds(spark, lake):
         pipelines.build_gold(layer, silver, [], ["face"])
     with pytest.raises(LookupError, match="d3"):
         pipelines.build_gold(layer, silver, [spec("d3")], ["face"])
-    assert build_id("1", ["a", "b"]) != build_id("1", ["ab"]) and len(build_id("1", [])) == 32
+    assert build_id("1", ["a", "b"]) != build_id("1", ["ab"]) != build_id("2", ["ab"]) and len(build_id("1", [])) == 32
     metadata = pipelines.gold_metadata(spark, layer.current(), {"d1": "m"}).collect()
     assert [(r.dataset, r.embedding_model) for r in metadata] == [("d1", "m"), ("d2", None)]
 
@@ -151,7 +156,6 @@ def test_vectors(spark, lake, tmp_path):
     assert VectorCache(spark, str(tmp_path / "cache"), "m", "2", ["image_id"]).read().count() == 0
     rows = spark.read.parquet(str(tmp_path / "v2")).collect()
     assert all(abs(np.linalg.norm(r.embedding) - 1) < 1e-5 for r in rows)
-    assert len(vectors.key_ranges(0)) == 16 and len(vectors.key_ranges(16 * 65536 + 1)) == 256
     near = vectors.similar(spark.read.parquet(str(tmp_path / "v2")), spark.read.parquet(str(tmp_path / "v2")).limit(2), 3, "image_id")
     assert near.count() == 6
 
@@ -162,18 +166,88 @@ def test_a_stopped_embedding_keeps_its_closed_parts(spark, tmp_path):
     wanted = rows.drop("other")
     made = vectors.hash_embedder(8)
 
+    parts = lambda: len(list((tmp_path / "cache").rglob("*.parquet")))
+
     def failing(items):
-        if (items["image_id"] >= "8").any():
+        if parts() >= 3:
             raise RuntimeError("stopped")
         return made(items)
 
     cache = VectorCache(spark, str(tmp_path / "cache"), "m", "1", ["image_id"])
     with pytest.raises(Exception, match="stopped"):
-        pipelines.embed_missing(wanted, cache, failing, "silver.embeddings", str(tmp_path / "v"), "image_id", part_rows=40)
+        pipelines.embed_missing(wanted, cache, failing, "silver.embeddings", str(tmp_path / "v"), "image_id", part_rows=40, at_once=1)
     kept = cache.read().count()
-    assert kept == wanted.where("image_id < '8'").count() > 100
+    assert parts() >= 3 and 0 < kept < 300
+    held = [pd.read_parquet(f)["image_id"].sort_values().tolist() for f in (tmp_path / "cache").rglob("*.parquet")]
+    assert all(len(p) <= 40 for p in held)
+    everything = sorted(r.image_id for r in wanted.collect())
+    assert all(everything[everything.index(p[0]) : everything.index(p[0]) + len(p)] == p for p in held)  # a part is a range of keys
     done = pipelines.embed_missing(wanted, cache, made, "silver.embeddings", str(tmp_path / "v"), "image_id", part_rows=40)
     assert done == {"written": 300, "embedded": 300 - kept, "reused": kept}
+    assert cache.read().count() == 300
+
+
+def test_every_missing_row_is_embedded_once(spark, tmp_path):
+    """One stream over files that are read once each: an embedder that counts its items sees every row once."""
+    wanted = spark.range(500).selectExpr("'d' as dataset", "'s' as split", "concat('f', id) as file_name", "md5(cast(id as string)) as image_id")
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    made = vectors.hash_embedder(4)
+
+    def counted(items):
+        (seen / uuid.uuid4().hex).write_text("\n".join(items["image_id"]))
+        return made(items)
+
+    cache = VectorCache(spark, str(tmp_path / "cache"), "m", "1", ["image_id"])
+    done = pipelines.embed_missing(wanted, cache, counted, "silver.embeddings", str(tmp_path / "v"), "image_id", part_rows=50, at_once=2)
+    calls = [line for f in seen.iterdir() for line in f.read_text().split("\n")]
+    assert done["embedded"] == 500 and sorted(calls) == sorted(r.image_id for r in wanted.collect())
+
+
+def changed_spec(**changes):
+    return dataclasses.replace(spec("d1"), **changes)
+
+
+def test_a_build_is_named_by_all_that_it_is_made_from(spark, tmp_path, monkeypatch):
+    """Each input of silver changed alone gives another build and the rows that follow from it."""
+    layer, raw = Layer(spark, str(tmp_path / "s")), source(spark, "d1", 2)
+    event = lambda label: spark.createDataFrame([("d1", "train", "train0.jpg", str(boxes[0].box_id), 0, 1, False, label, 1.0, 2.0, 30.0, 40.0)], "dataset string, split string, file_name string, box_id string, file_ordinal bigint, log_sequence bigint, is_deleted boolean, label_name string, x double, y double, w double, h double")
+    classes = lambda: sorted(r.class_name for r in layer.read("silver.boxes").collect())
+    ids = [pipelines.build_silver(layer, raw, spec("d1"), None, ["a"])["build_id"]]
+    boxes = layer.read("silver.boxes").where("file_name = 'train0.jpg'").orderBy("box_index").collect()
+    first = classes()
+    assert pipelines.build_silver(layer, raw, spec("d1"), None, ["a"])["build_id"] == ids[0]
+    for changed in (changed_spec(category_map={"f": "head", "t": "text"}), changed_spec(default_class="person"), changed_spec(split_roles={"train": "val", "holdout": "test"}), changed_spec(license="closed"), changed_spec(image_root="elsewhere")):
+        ids.append(pipelines.build_silver(layer, raw, changed, None, ["a"])["build_id"])
+    pipelines.build_silver(layer, raw, changed_spec(category_map={"f": "head", "t": "text"}), None, ["a"])
+    assert "head" in classes() and "face" not in classes() and "face" in first
+    with pytest.raises(ValueError, match="list of their files"):
+        pipelines.build_silver(layer, raw, spec("d1"), event("person"), ["a"])
+    for label, files in (("person", ["e1"]), ("head", ["e1", "e2"])):
+        manifest = pipelines.build_silver(layer, raw, spec("d1"), event(label), ["a"], files)
+        ids.append(manifest["build_id"])
+        assert (manifest["event_files"], manifest["last_event"]) == (len(files), files[-1])
+        assert layer.read("silver.boxes").where(F.col("box_id") == boxes[0].box_id).first().class_name == label
+    ids.append(pipelines.build_silver(layer, raw, spec("d1"), None, ["b"])["build_id"])
+    monkeypatch.setattr(schemas, "CLASSES", [*schemas.CLASSES, "more"])
+    ids.append(pipelines.build_silver(layer, raw, spec("d1"), None, ["a"])["build_id"])
+    assert len(set(ids)) == len(ids) == 10
+
+
+def test_gold_is_named_by_licence_root_and_roles(spark, tmp_path):
+    """Gold built again after its dataset's licence, image root or roles changed has the new ones in its rows."""
+    silver, layer = {"d1": Layer(spark, str(tmp_path / "s"))}, Layer(spark, str(tmp_path / "g"))
+    pipelines.build_silver(silver["d1"], source(spark, "d1", 2), spec("d1"), None, ["a"])
+    ids = set()
+    for changes in ({}, {"license": "closed", "commercial_use": False}, {"image_root": "moved"}, {"split_roles": {"train": "val", "holdout": "test"}}):
+        ids.add(pipelines.build_gold(layer, silver, [changed_spec(**changes)], ["face", "text"])["build_id"])
+        row = layer.read("gold.images").where("split = 'train'").first()
+        now = changed_spec(**changes)
+        assert (row.license, row.commercial_use, row.role) == (now.license, now.commercial_use, now.split_roles["train"]) and row.image_path.startswith(now.image_root)
+    ids.add(pipelines.build_gold(layer, silver, [spec("d1")], ["face"])["build_id"])
+    pipelines.build_silver(silver["d1"], source(spark, "d1", 2), changed_spec(default_class="head"), None, ["a"])
+    ids.add(pipelines.build_gold(layer, silver, [spec("d1")], ["face", "text"])["build_id"])
+    assert len(ids) == 6
 
 
 def test_other_models_are_removed(spark, tmp_path):

@@ -118,3 +118,22 @@ def test_chain_checks(spark):
     assert {(r.event_file_id, r.problem) for r in checks.chain_breaks(bad).collect()} == {("f3", "parent"), ("f5", "sequence"), ("h", "after")}
     listed = spark.createDataFrame([("a", 1, "f1", None, 0, 10, "other")], ddl)
     assert {(r.stored_id, r.problem) for r in checks.changed_event_files(files, listed).collect()} == {("f1", "changed"), ("f2", "gone")}
+
+
+def test_the_fold_moves_the_boxes_once(spark, images, tmp_path):
+    """With no broadcast there is one exchange of boxes and events together, one of the images, and none after the joins."""
+    boxes = normalize.normalize(raw(spark, [("a.jpg", 0, "f", 1.0, 1.0, 9.0, 9.0)]), images, spec_frames(spark, [SPEC])[1]).boxes
+    boxes.write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.schema(boxes.schema).parquet(str(tmp_path / "silver"))
+    rows = [("d", "s", "a.jpg", f"x{k}", k, k, False, "face", 1.0, 2.0, 30.0, 40.0) for k in range(4)]
+    events = spark.createDataFrame(rows, "dataset string, split string, file_name string, box_id string, file_ordinal bigint, log_sequence bigint, is_deleted boolean, label_name string, x double, y double, w double, h double")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = corrections.fold_events(silver, images, corrections.latest_events(events)).boxes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange ") == 3  # events by box, boxes and events by image, images by image
