@@ -8,7 +8,7 @@ else as sorted coordinates (COO). Pairs that reach ``least`` are then ranked by
 ids of the next round, whose cells are phrases of three words, and so on up to ``longest``. A phrase can only be frequent
 if its first and its last part are, so ids are kept for frequent words and phrases alone and nothing is lost.
 
-Ids are held by every task, so their number is bounded: ``head`` words or phrases of each length, the most frequent. If
+Ids are held by every task, so their number is bounded: ``head`` words and phrases of each length, the most frequent. If
 more are frequent, phrases that hold one of the others are counted under their own names by an ordinary grouping, so that
 the result is whole at every size.
 
@@ -26,16 +26,17 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverloom.llm.common import broadcast_if_small, join_counted, materialize, whole_texts
 
 #: Bits of a side of a tile, and of the number of stripes that its cells are dealt over.
 TILE, STRIPES = 10, 6
-#: Words, and phrases of each length, that have ids.
-HEAD = 1 << 19
+#: Words, and phrases of each longer length, that have ids.
+HEAD_WORDS, HEAD_PHRASES = 1 << 18, 1 << 21
 #: Counters and cells that a task holds before it hands them on.
 HELD = 1 << 20
 #: Rows that a task adds up at a time, and the filling from which a stripe is counted in a dense array.
@@ -101,24 +102,33 @@ class Level:
         at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
         return np.where(self.cells[at] == cells, self.ranks[at], -1)
 
+    def cells_of(self, ids: np.ndarray) -> np.ndarray:
+        by_rank = np.empty(len(self.cells), dtype=np.int64)
+        by_rank[self.ranks] = self.cells
+        return by_rank[ids]
+
+    def names(self) -> tuple[list[str], list[bytes]]:
+        """Language and name of each word by id."""
+        named = sorted((i, lang, name) for lang, of in self.words.items() for name, i in of.items())
+        return [lang for _, lang, _ in named], [name for *_, name in named]
+
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     return whole_texts(docs.where(F.col(text_col).isNotNull()).select(lang.alias("lang"), F.col(text_col).cast("string").alias("text")))
 
 
-def ranked_head(frequent: DataFrame, head: int) -> tuple[pd.DataFrame, bool]:
-    """The most frequent rows of ``frequent`` by rank, at most ``head``, cut at a power of two of f; whether that is all."""
+def head_of(frequent: DataFrame, head: int, *columns: str) -> tuple[pa.Table, bool]:
+    """``columns`` and f of the most frequent rows, by rank, at most ``head``, cut at a power of two; whether that is all."""
     power = F.floor(F.log2("f")).cast("int")
     sizes = {r.power: r.n for r in frequent.groupBy(power.alias("power")).agg(F.count("*").alias("n")).collect()}
-    kept, cut = 0, None
+    kept, cut = 0, 64
     for p in sorted(sizes, reverse=True):
         if kept + sizes[p] > head:
             break
         kept, cut = kept + sizes[p], p
-    whole = kept == sum(sizes.values())
-    found = frequent.where(power >= (cut if cut is not None else 64)).toPandas()
-    return found.sort_values(["f", "lang", "phrase"], ascending=[False, True, True], ignore_index=True), whole
+    found = frequent.where(power >= cut).select(*columns, "f").toArrow()
+    return found.sort_by([("f", "descending"), *((c, "ascending") for c in columns)]), kept == sum(sizes.values())
 
 
 def _phrase_ids(words: list[bytes], names: dict[bytes, int], levels: list[Level]) -> list[np.ndarray]:
@@ -144,12 +154,12 @@ def cell_counter(levels: Broadcast):
     Phrases that hold a word or part without an id are counted by name where not all frequent ones have ids.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: list[Level] = levels.value
         m = len(known)
         cells, named, held = [], {}, 0
         for batch in batches:
-            for lang, words in by_language(batch):
+            for lang, words in by_language(batch.to_pandas()):
                 ids = _phrase_ids(words, known[0].words.get(lang, {}) | {STOP: -2}, known)
                 n = len(words) - m
                 if n <= 0:
@@ -161,9 +171,8 @@ def cell_counter(levels: Broadcast):
                     for k in range(m + 1):
                         frequent &= first[k : k + n] >= 0
                 direct = frequent & (left >= 0) & (right >= 0)
-                code, count = np.unique((left[direct] << 32) | right[direct], return_counts=True)
-                cells.append((code, count))
-                held += len(code)
+                cells.append((left[direct] << 32) | right[direct])
+                held += len(cells[-1])
                 for at in np.flatnonzero(frequent & ~direct):
                     counts = named.setdefault(lang, Counter())
                     counts[b" ".join(words[at : at + m + 1])] += 1
@@ -185,23 +194,30 @@ def _summed(code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return code[starts], np.add.reduceat(count, starts)
 
 
-def _handed_on(cells: list, named: dict[str, Counter]) -> Iterator[pd.DataFrame]:
-    columns = ["key", "cell", "lang", "phrase", "n"]
+CELL_COLUMNS = pa.schema([("key", pa.int64()), ("cell", pa.int32()), ("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+
+
+def _handed_on(cells: list[np.ndarray], named: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
     if cells:
-        code, count = _summed(*(np.concatenate([c[k] for c in cells]) for k in (0, 1)))
+        code, count = np.unique(np.concatenate(cells), return_counts=True)
         left, right = code >> 32, code & 0xFFFFFFFF
         tile = ((left >> TILE) << 32) | (right >> TILE)
         place = ((left & ((1 << TILE) - 1)) << TILE) | (right & ((1 << TILE) - 1))
-        key, cell = (tile << STRIPES) | (place & ((1 << STRIPES) - 1)), place >> STRIPES
+        key, cell = (tile << STRIPES) | (place & ((1 << STRIPES) - 1)), (place >> STRIPES).astype(np.int32)
         for at in range(0, len(code), 100_000):
             part = slice(at, at + 100_000)
-            yield pd.DataFrame({"key": key[part], "cell": cell[part].astype(np.int32), "lang": None, "phrase": None, "n": count[part]}, columns=columns)
+            none = pa.nulls(len(code[part]), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(cell[part]), none, none, pa.array(count[part])], schema=CELL_COLUMNS)
     for part in _named(named):
-        yield part.rename(columns={"f": "n"}).assign(key=None, cell=None)[columns]
+        none = [pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(part["lang"], pa.string()), pa.array(part["phrase"], pa.string()), pa.array(part["f"], pa.int64())], schema=CELL_COLUMNS)
+
 
+FOUND_COLUMNS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("left", pa.int64()), ("right", pa.int64())])
 
-def stripe_adder(least: int):
-    """Adds up rows (key, cell, n) that come sorted by key, and hands on cells of at least ``least`` as (left, right, a)."""
+
+def stripe_adder(least: int, levels: Broadcast):
+    """Adds up rows (key, cell, n) that come sorted by key, and names the cells that reach ``least``."""
 
     def add(key: np.ndarray, cell: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -210,7 +226,7 @@ def stripe_adder(least: int):
         keys, cells, sums = [], [], []
         for start, size in zip(starts[full], sizes[full], strict=True):
             part = slice(start, start + size)
-            counts = np.bincount(cell[part], weights=None if size == 0 else n[part].astype(np.float64), minlength=CELLS) if n[part].sum() < 2**53 else None
+            counts = np.bincount(cell[part], weights=n[part].astype(np.float64), minlength=CELLS) if n[part].sum() < 2**53 else None
             if counts is None:  # beyond what a double holds exactly
                 c, s = _summed(cell[part], n[part])
             else:
@@ -230,22 +246,30 @@ def stripe_adder(least: int):
             sums.append(np.add.reduceat(n, starts))
         return np.concatenate(keys), np.concatenate(cells), np.concatenate(sums)
 
-    def found(key: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-        keep = n >= least
-        key, cell, n = key[keep], cell[keep].astype(np.int64), n[keep]
-        place, tile = (cell << STRIPES) | (key & ((1 << STRIPES) - 1)), key >> STRIPES
-        left, right = ((tile >> 32) << TILE) | (place >> TILE), ((tile & 0xFFFFFFFF) << TILE) | (place & ((1 << TILE) - 1))
-        return pd.DataFrame({"left": left, "right": right, "a": n})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: list[Level] = levels.value
+        langs, names = known[0].names()
+
+        def found(key: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            keep = n >= least
+            key, cell, n = key[keep], cell[keep].astype(np.int64), n[keep]
+            place, tile = (cell << STRIPES) | (key & ((1 << STRIPES) - 1)), key >> STRIPES
+            left, right = ((tile >> 32) << TILE) | (place >> TILE), ((tile & 0xFFFFFFFF) << TILE) | (place & ((1 << TILE) - 1))
+            words, rest = [right], left
+            for level in reversed(known[1:]):
+                cells = level.cells_of(rest)
+                words, rest = [cells & 0xFFFFFFFF, *words], cells >> 32
+            words = [rest, *words]
+            spelt = [b" ".join(names[i] for i in ids).decode("utf-8", "surrogatepass") for ids in zip(*(w.tolist() for w in words), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array([langs[i] for i in rest.tolist()], pa.string()), pa.array(spelt, pa.string()), pa.array(n), pa.array(left), pa.array(right)], schema=FOUND_COLUMNS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, rows = [], 0
         for batch in batches:
-            held.append(tuple(batch[c].to_numpy() for c in ("key", "cell", "n")))
-            rows += len(batch)
+            held.append(tuple(batch.column(c).to_numpy() for c in ("key", "cell", "n")))
+            rows += len(held[-1][0])
             if rows >= GATHERED:
                 key, cell, n = add(*(np.concatenate(c) for c in zip(*held, strict=True)))
-                open_key = held[-1][0][-1]  # its rows may go on in the next batch
-                done = key != open_key
+                done = key != held[-1][0][-1]  # the rows of the last key may go on in the next batch
                 yield found(key[done], cell[done], n[done])
                 held = [(key[~done], cell[~done], n[~done])]
                 rows = 0  # what stays is at most one stripe
@@ -255,47 +279,42 @@ def stripe_adder(least: int):
     return run
 
 
-def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, head: int = HEAD, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, head: tuple[int, int] = (HEAD_WORDS, HEAD_PHRASES), lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """All frequent words and phrases (lang, phrase, size, f), and the words of each language (lang, n); both written."""
-    spark = docs.sparkSession
+    sc = docs.sparkSession.sparkContext
     texts = _texts(docs, lang_col, text_col)
     words = materialize(texts.mapInPandas(_count_words, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     totals = materialize(words.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
     counted = [words.where(F.col("f") >= least).withColumn("size", F.lit(1))]
-    top, whole = ranked_head(counted[0].select("lang", "phrase", "f"), head)
-    levels = [Level(whole, words={lang: {p.encode("utf-8", "surrogatepass"): i for i, p in part["phrase"].items()} for lang, part in top.groupby("lang")})]
-    word_names = _names(spark, top, "right")
-    left_names = _names(spark, top, "left")
+    top, whole = head_of(counted[0], head[0], "lang", "phrase")
+    ids: dict[str, dict[bytes, int]] = {}
+    for i, (lang, phrase) in enumerate(zip(top["lang"].to_pylist(), top["phrase"].to_pylist(), strict=True)):
+        ids.setdefault(lang, {})[phrase.encode("utf-8", "surrogatepass")] = i
+    levels = [Level(whole, words=ids)]
     for size in range(2, longest + 1):
-        shared = spark.sparkContext.broadcast(levels)
-        cells = materialize(texts.mapInPandas(cell_counter(shared), "key long, cell int, lang string, phrase string, n long"), "cells")
-        named = cells.where("phrase is not null").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        shared = sc.broadcast(levels)
+        cells = texts.mapInArrow(cell_counter(shared), "key long, cell int, lang string, phrase string, n long")
+        if not all(level.whole for level in levels):
+            cells = materialize(cells, "cells")  # read twice, by cells and by names
         dealt = cells.where("key is not null").select("key", "cell", "n").repartition("key").sortWithinPartitions("key")
-        summed = dealt.mapInPandas(stripe_adder(least), "left long, right long, a long")
-        spelt = summed.join(broadcast_if_small(left_names), "left").join(broadcast_if_small(word_names), "right")
-        spelt = spelt.select("lang", F.concat_ws(" ", "left_name", "right_name").alias("phrase"), F.col("a").alias("f"), "left", "right")
-        none = F.lit(None).cast("long")
-        found = materialize(spelt.unionByName(named.select("lang", "phrase", "f", none.alias("left"), none.alias("right"))), "phrases")
+        found = dealt.mapInArrow(stripe_adder(least, shared), "lang string, phrase string, f long, left long, right long")
+        if not all(level.whole for level in levels):
+            named = cells.where("phrase is not null").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+            found = found.unionByName(named, allowMissingColumns=True)
+        found = materialize(found, "phrases")
         counted.append(found.select("lang", "phrase", "f").withColumn("size", F.lit(size)))
         if size < longest:
-            top, _ = ranked_head(found.where("left is not null"), head)
-            cell = (top["left"].to_numpy().astype(np.int64) << 32) | top["right"].to_numpy().astype(np.int64)
+            top, whole = head_of(found.where("left is not null"), head[1], "left", "right")
+            cell = (top["left"].to_numpy() << 32) | top["right"].to_numpy()
             order = np.argsort(cell)
-            levels = [*levels, Level(len(top) == found.count(), cells=cell[order], ranks=order.astype(np.int64))]
-            left_names = _names(spark, top, "left")
+            whole = whole and found.where("left is null").isEmpty()
+            levels = [*levels, Level(whole, cells=cell[order], ranks=order.astype(np.int64))]
     out = counted[0].select("lang", "phrase", "size", "f")
     for more in counted[1:]:
         out = out.unionByName(more.select("lang", "phrase", "size", "f"))
     return materialize(out, "frequent"), totals
 
 
-def _names(spark: SparkSession, top: pd.DataFrame, side: str) -> DataFrame:
-    """(id, name) of the phrases that have ids, and their language on the left side."""
-    rows = pd.DataFrame({side: np.arange(len(top), dtype=np.int64), f"{side}_name": top["phrase"].astype(object)} | ({"lang": top["lang"].astype(object)} if side == "left" else {}))
-    kind = f"{side} long, {side}_name string" + (", lang string" if side == "left" else "")
-    return materialize(spark.createDataFrame(rows, kind) if len(rows) else spark.createDataFrame([], kind), f"{side}-names")
-
-
 def _part(first: int | Column, length: Column) -> Column:
     return F.array_join(F.slice("words", first, length), " ")
 
@@ -328,7 +347,7 @@ def contained(frequent: DataFrame) -> DataFrame:
     return placed.groupBy("lang", _part(F.col("at"), F.col("part")).alias("phrase")).agg(F.max("f").alias("longer"))
 
 
-def mine(docs: DataFrame, longest: int = 3, least: int = 10, percent: int = 50, top: int = 2000, head: int = HEAD, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def mine(docs: DataFrame, longest: int = 3, least: int = 10, percent: int = 50, top: int = 2000, head: tuple[int, int] = (HEAD_WORDS, HEAD_PHRASES), lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     A phrase that a longer one holds is dropped if the longer one has at least ``percent`` of its occurrences.
