@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -71,8 +72,11 @@ def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     return found.where(F.size("x") == lengths[0].d) if lengths else found
 
 
-def indexed(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``index``, gapless but where lengths were dropped: rows of the partitions before, plus the place within."""
+def indexed(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with ``index``, gapless but where lengths were dropped: rows of the partitions before, plus the place within.
+
+    And the number of indices.
+    """
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     ends = {r.part: r.n for r in rows.groupBy(part.alias("part")).agg((F.max(place) + 1).alias("n")).collect()}
     before, starts = 0, []
@@ -80,18 +84,21 @@ def indexed(rows: DataFrame) -> DataFrame:
         starts.append((int(p), before))
         before += ends[p]
     offsets = rows.sparkSession.createDataFrame(starts, "part long, offset long")
-    return rows.withColumn("part", part.cast("long")).join(F.broadcast(offsets), "part").withColumn("index", F.col("offset") + place).drop("part", "offset")
+    placed = rows.withColumn("part", part.cast("long")).join(F.broadcast(offsets), "part")
+    return placed.withColumn("index", F.col("offset") + place).drop("part", "offset"), before
 
 
 def _numbers(values: tuple | list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def block_matrix(rows: DataFrame, row: Column) -> BlockMatrix:
-    """``row`` (array of doubles) at ``index`` as a BlockMatrix in one column of blocks; an index without a row is zero."""
+def block_matrix(rows: DataFrame, row: Column, places: int, columns: int) -> BlockMatrix:
+    """``row`` (array of doubles) at ``index`` as a BlockMatrix in one column of blocks; an index without a row is zero.
+
+    The blocks are read by several products, so they are kept in memory and on disk; a lost one is made again.
+    """
     vectors = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector(row).alias("vector")), "vector")
-    matrix = IndexedRowMatrix(vectors)
-    return matrix.toBlockMatrix(ROWS, matrix.numCols())
+    return IndexedRowMatrix(vectors, places, columns).toBlockMatrix(ROWS, columns).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def scatter(matrix: BlockMatrix) -> np.ndarray:
@@ -111,13 +118,13 @@ def project(matrix: BlockMatrix, weights: np.ndarray) -> DataFrame:
     return rows.select(F.col("index"), vector_to_array("vector").alias("y"))
 
 
-def fit(rows: DataFrame) -> tuple[Whitening, BlockMatrix] | None:
-    """The model of all rows (vec_id, x, index), and the matrix of the centred ones; None if there are none."""
+def fit(rows: DataFrame, places: int) -> tuple[Whitening, BlockMatrix] | None:
+    """The model of all rows (vec_id, x, index below ``places``), and the matrix of the centred ones; None if there are none."""
     summed = rows.select(F.posexplode("x").alias("dim", "x")).groupBy("dim").agg(F.sum("x").alias("s"), F.count("*").alias("n")).orderBy("dim").collect()
     if not summed:
         return None
     n, sums = summed[0].n, tuple(r.s for r in summed)
-    centred = block_matrix(rows, F.zip_with("x", _numbers([s / n for s in sums]), lambda x, mean: x.cast("double") - mean))
+    centred = block_matrix(rows, F.zip_with("x", _numbers([s / n for s in sums]), lambda x, mean: x.cast("double") - mean), places, len(sums))
     values, vectors = np.linalg.eigh(scatter(centred) / n)
     order = np.argsort(-values, kind="stable")
     vectors = vectors[:, order]
@@ -125,19 +132,19 @@ def fit(rows: DataFrame) -> tuple[Whitening, BlockMatrix] | None:
     return Whitening(n, sums, values[order], vectors), centred
 
 
-def identity_error(model: Whitening, white: DataFrame, components: int) -> float:
+def identity_error(model: Whitening, white: DataFrame, places: int, components: int) -> float:
     """Largest absolute entry of the covariance of ``y``, centred first, less the identity, over components that vary."""
     means = white.select(F.posexplode("y").alias("k", "y")).groupBy("k").agg(F.sum("y").alias("s")).orderBy("k").collect()
     centred = F.zip_with("y", _numbers([r.s / model.n for r in means]), lambda y, mean: y - mean)
-    cov = scatter(block_matrix(white, centred)) / model.n
+    cov = scatter(block_matrix(white, centred, places, components)) / model.n
     varies = model.varies(components)
     return float(np.abs((cov - np.eye(components))[np.ix_(varies, varies)]).max(initial=0.0))
 
 
 def whiten(vectors: DataFrame, components: int = 8, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per usable row and component: vec_id, component, n, deviation, whitened, explained, identity_error."""
-    rows = indexed(whole_numbers(vectors, id_col, vector_col))
-    fitted = fit(rows)
+    rows, places = indexed(whole_numbers(vectors, id_col, vector_col))
+    fitted = fit(rows, places)
     if fitted is None:
         return vectors.sparkSession.createDataFrame([], RESULT)
     model, centred = fitted
@@ -145,7 +152,7 @@ def whiten(vectors: DataFrame, components: int = 8, id_col: str = "vec_id", vect
     off = F.zip_with("x", _numbers(model.sums), lambda x, s: x * F.lit(model.n).cast("bigint") - s)
     deviation = F.aggregate(off, F.lit(0).cast("bigint"), lambda total, o: total + o * o)
     white = materialize(rows.select("index", "vec_id", deviation.alias("deviation")).join(project(centred, model.matrix(k)), "index"), "whitened")
-    error = identity_error(model, white, k)
+    error = identity_error(model, white, places, k)
     each = white.select("vec_id", "deviation", F.posexplode("y").alias("at", "y"))
     return each.select(
         "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
