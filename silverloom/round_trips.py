@@ -15,7 +15,7 @@ from silverloom.plans.scratch import scratch_dir, stored
 from silverloom.plans.star_tables import CATEGORY_MAP, GOLD_CLASSES, StarTables, specs
 from silverloom.queries import SILVER, _image_cache, _store, registered
 from silverloom.schemas import spec_frames
-from silverloom.sources import contract, files, json_sources, registry, text_sources, writers
+from silverloom.sources import archives, byte_ranges, contract, files, json_sources, registry, text_sources, writers
 from silverloom.streaming import events as streams
 
 #: Orders whose images share one document of a format that is one document.
@@ -378,11 +378,45 @@ def file_mismatches(t: StarTables) -> DataFrame:
     return checks.file_mismatches(found.drop("o_orderkey"), orders.drop("o_orderkey")).select(F.col("path").cast("bigint").alias("o_orderkey"), "problem")
 
 
-@registered("select doc_id, md5(unhex(string_agg(md5(substr(c,k*16+1,16)), '' order by k)))||'-'||count(*) as etag from (select doc_id, c, unnest(range(cast(ceil(length(c)/16.0) as bigint))) as k from (select doc_id, sha256(coalesce(text,'')) as c from documents)) group by doc_id")
+@registered(
+    """select k as file, case when count(*)=1 then md5(unhex(any_value(h))) else md5(unhex(string_agg(md5(unhex(substr(h, i*131072+1, 131072))), '' order by i)))||'-'||count(*) end as etag
+    from (select k, h, unnest(range(greatest(1, cast(ceil(length(h)/131072.0) as bigint)))) as i from (
+      select doc_id//256 as k, hex(encode(string_agg(coalesce(text,''), chr(10) order by doc_id, text))) as h from documents group by 1)) group by k"""
+)
 def multipart_etags(t: StarTables) -> DataFrame:
-    """Etags of contents of several parts: here the digests of texts, in parts of 16 bytes."""
-    docs = t.table("documents").select(F.col("doc_id").alias("path"), F.sha2(F.coalesce("text", F.lit("")), 256).cast("binary").alias("content"))
-    return files.multipart_etags(docs, 16).select(F.col("path").alias("doc_id"), "etag")
+    """Etags of files that hold the documents' texts, 256 to a file, in parts of 64 KB that are read by 16 KB."""
+    path, text = _path(t, "texts"), F.coalesce("text", F.lit(""))
+    whole = t.table("documents").groupBy(F.floor(F.col("doc_id") / 256).alias("k")).agg(F.sort_array(F.collect_list(F.struct("doc_id", text.alias("text")))).alias("d"))
+    joined = F.array_join(F.transform("d", lambda d: d["text"]), "\n").cast("binary")
+    writers.write_files(whole.select(F.concat(F.col("k").cast("string"), F.lit(".txt")).alias("name"), joined.alias("content")), path)
+    found = files.multipart_etags(byte_ranges.listed_files(t.spark, path), 64 << 10, 16 << 10)
+    return found.select(F.regexp_extract("path", r"/(\d+)\.txt$", 1).cast("bigint").alias("file"), "etag")
+
+
+@registered("select c_custkey, 320+c_custkey%705 as width, 240+c_nationkey as height from customer")
+def image_sizes(t: StarTables) -> DataFrame:
+    """Sizes from the headers of written images: PNG, and JPEG, some with segments before their frame that are longer than a head."""
+    path, key = _path(t, "images"), F.col("c_custkey")
+    wide = lambda c, n: F.lpad(F.hex(c.cast("bigint")), n, "0")
+    width, height = 320 + key % 705, F.lit(240) + F.col("c_nationkey")
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), wide(width, 8), wide(height, 8), F.lit("0802000000"))
+    segment = F.lit("FFE1FFFF" + "00" * 65_533)
+    jpeg = F.concat(F.lit("FFD8"), F.when(key % 50 == 1, F.concat(segment, segment)).otherwise(""), F.lit("FFC0001108"), wide(height, 4), wide(width, 4), F.lit("03" + "00" * 9))
+    name = F.concat((key % 64).cast("string"), F.lit("/"), key.cast("string"), F.when(key % 2 == 0, ".png").otherwise(".jpg"))
+    writers.write_files(t.table("customer").select(name.alias("name"), F.unhex(F.when(key % 2 == 0, png).otherwise(jpeg)).alias("content")), path)
+    sizes = files.image_sizes(t.spark, path)
+    return sizes.select(F.regexp_extract("file_name", r"/(\d+)\.", 1).cast("bigint").alias("c_custkey"), "width", "height")
+
+
+@registered("select 'docs-'||(doc_id//512)||'.zip' as archive, 'd'||doc_id||'.txt' as member, cast(octet_length(encode(coalesce(text,''))) as bigint) as size, md5(coalesce(text,'')) as digest from documents")
+def archive_rows(t: StarTables) -> DataFrame:
+    """Members of zip archives that hold the documents' texts, read by their places."""
+    path, folder = _path(t, "archives"), F.concat(F.lit("docs-"), F.floor(F.col("doc_id") / 512).cast("string"))
+    member = F.concat(folder, F.lit("/d"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    rows = t.table("documents").select(F.concat(folder, F.lit(".zip")).alias("archive"), member.alias("member"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    writers.write_zips(rows, path)
+    found = archives.archive_members(t.spark, path, task_bytes=256 << 10)
+    return found.select(F.substring_index("archive", "/", -1).alias("archive"), "member", "size", F.md5("content").alias("digest"))
 
 
 @registered(

@@ -1,27 +1,21 @@
-"""Listings of binary files: images and their sizes, archive members, checksums, manifests."""
+"""Listings of binary files: images and their sizes, checksums, manifests."""
 
 from __future__ import annotations
 
-import io
-import posixpath
-import re
+import base64
+import hashlib
 import struct
-import tarfile
-import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.functions import expr as X
-from silverloom.plans.scratch import small, stored
+from silverloom.sources.byte_ranges import CHUNK, listed_files, open_file, ranges, spread
 
 IMAGE_SUFFIXES = ["jpg", "jpeg", "png"]
 #: Bytes of a file's head that hold its size in nearly every image, and the size of an upload part.
 HEAD_BYTES, PART_BYTES = 65_536, 8 << 20
-#: Contents of archive members that are sent on together.
-BATCH_BYTES = 32 << 20
 
 
 def listed_images(spark: SparkSession, root: str) -> DataFrame:
@@ -31,114 +25,95 @@ def listed_images(spark: SparkSession, root: str) -> DataFrame:
     return named.where(F.lower("path").rlike(rf"\.({'|'.join(IMAGE_SUFFIXES)})$"))
 
 
-def image_size(content: bytes) -> tuple[int, int] | None:
-    """Width and height from the header of a PNG or JPEG, or None."""
-    if content[:8] == b"\x89PNG\r\n\x1a\n" and len(content) >= 24:
-        return struct.unpack(">II", content[16:24])
-    if content[:2] != b"\xff\xd8":
+def frame_size(read: Callable[[int, int], bytes]) -> tuple[int, int] | None:
+    """Width and height from the header of a PNG or JPEG, or None; ``read`` gives at most so many bytes from a place.
+
+    Segments of a JPEG before its frame are stepped over by their lengths, so what they hold is not read.
+    """
+    base, held = 0, read(0, HEAD_BYTES)
+    if held[:8] == b"\x89PNG\r\n\x1a\n" and len(held) >= 24:
+        return struct.unpack(">II", held[16:24])
+    if held[:2] != b"\xff\xd8":
         return None
     at = 2
-    while at + 9 <= len(content):
-        if content[at] != 0xFF:
+    while True:
+        if at + 9 > base + len(held):
+            base, held = at, read(at, HEAD_BYTES)
+            if len(held) < 9:
+                return None
+        i = at - base
+        if held[i] != 0xFF:
             at += 1
             continue
-        marker = content[at + 1]
+        marker = held[i + 1]
         if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-            height, width = struct.unpack(">HH", content[at + 5 : at + 9])
+            height, width = struct.unpack(">HH", held[i + 5 : i + 9])
             return width, height
-        at += 2 if marker in (0xFF, 0x01) or 0xD0 <= marker <= 0xD9 else 2 + struct.unpack(">H", content[at + 2 : at + 4])[0]
-    return None
+        at += 2 if marker in (0xFF, 0x01) or 0xD0 <= marker <= 0xD9 else 2 + struct.unpack(">H", held[i + 2 : i + 4])[0]
+
+
+def image_size(content: bytes) -> tuple[int, int] | None:
+    """Width and height of a content that is there as a whole, or None."""
+    return frame_size(lambda at, n: content[at : at + n])
 
 
 def image_sizes(spark: SparkSession, root: str) -> DataFrame:
     """file_name, width, height of the images below ``root``; the pixels are not decoded. Unreadable files have nulls.
 
-    Only heads go to Python. A second pass sends the whole of those JPEG files whose head holds no frame.
+    A task opens each of its files and reads ``HEAD_BYTES`` of it, and where a JPEG's frame stands further on, as many
+    from there.
     """
 
-    def sized(files: DataFrame, content: Column) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                sizes = [image_size(c) or (None, None) for c in batch["content"]]
-                width, height = (pd.array([s[i] for s in sizes], dtype="Int32") for i in (0, 1))
-                yield batch[["path", "file_name"]].assign(width=width, height=height)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = []
+            for path in batch.column("path").to_pylist():
+                with open_file(path) as file:
+                    sizes.append(frame_size(lambda at, n, file=file: file.read_at(n, at)) or (None, None))
+            yield pa.RecordBatch.from_arrays([batch.column("file_name"), *(pa.array([s[i] for s in sizes], pa.int32()) for i in (0, 1))], names=["file_name", "width", "height"])
 
-        return files.select("path", "file_name", content.alias("content")).mapInPandas(run, "path string, file_name string, width int, height int")
+    return spread(listed_images(spark, root), "path").select("file_name", "path").mapInArrow(run, "file_name string, width int, height int")
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    named = files.where(F.lower("path").rlike(rf"\.({'|'.join(IMAGE_SUFFIXES)})$"))
-    named = named.withColumn("file_name", F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1))
-    first = stored(sized(named, F.substring("content", 1, HEAD_BYTES)), "image-sizes")
-    lost = first.where(F.col("width").isNull() & ~F.lower("path").endswith(".png")).select("path")
-    if lost.isEmpty():
-        return first.drop("path")
-    second = sized(named.join(small(lost), "path", "left_semi"), F.col("content"))
-    return first.join(small(lost), "path", "left_anti").unionByName(second).drop("path")
 
+def checksums(spark: SparkSession, root: str) -> DataFrame:
+    """path (below ``root``), size, sha256 and md5 (base64) of published files, each streamed by one task."""
 
-def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """Members of zip and tar archives: archive, member, size, modified (seconds), content. An archive is one task's row.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                sha, md5 = hashlib.sha256(), hashlib.md5()
+                with open_file(row["path"]) as file:
+                    while data := file.read(CHUNK):
+                        sha.update(data)
+                        md5.update(data)
+                yield pa.RecordBatch.from_pylist([{"path": row["path"], "size": row["length"], "sha256": sha.hexdigest(), "md5": base64.b64encode(md5.digest()).decode()}])
 
-    Metadata folders are skipped, a single directory named like its archive is stripped. Members that leave the archive
-    and tar members that are neither files nor directories are errors. Names are looked at first; contents are then read
-    and sent on in batches of ``BATCH_BYTES``.
-    """
+    found = spread(listed_files(spark, root), "path").mapInArrow(run, "path string, size long, sha256 string, md5 string")
+    return found.withColumn("path", F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1))
 
-    def safe(archive: str, member: str) -> str:
-        clean = posixpath.normpath(member)
-        if clean.startswith(("/", "../")) or clean == "..":
-            raise ValueError(f"{archive}: {member} leaves the archive")
-        return clean
-
-    def members(archive: str, content: bytes, read: bool) -> Iterator[tuple]:
-        """(member, size, modified, content), the content only where it is to be read."""
-        if archive.endswith(".zip"):
-            with zipfile.ZipFile(io.BytesIO(content)) as file:
-                for info in file.infolist():
-                    if not info.is_dir() and not info.filename.startswith("__MACOSX/"):
-                        when = pd.Timestamp(*info.date_time, tz="UTC").timestamp()
-                        yield safe(archive, info.filename), info.file_size, int(when), file.read(info) if read else b""
-        else:
-            with tarfile.open(fileobj=io.BytesIO(content)) as file:
-                for info in file:
-                    if not (info.isfile() or info.isdir()):
-                        raise ValueError(f"{archive}: {info.name} is no regular file")
-                    if info.isfile() and not info.name.startswith("__MACOSX/"):
-                        yield safe(archive, info.name), info.size, int(info.mtime), file.extractfile(info).read() if read else b""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"], strict=True):
-                names = [m[0] for m in members(archive, content, False)]
-                base = re.sub(r"\.(tar\.gz|tgz|tar|zip)$", "", archive.rsplit("/", 1)[-1])
-                inner = len(base) + 1 if names and all(n.startswith(base + "/") for n in names) else 0
-                rows, held = [], 0
-                for member, *rest in members(archive, content, True):
-                    rows.append((archive, member[inner:], *rest))
-                    held += rest[0]
-                    if held >= BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=["archive", "member", "size", "modified", "content"])
-                        rows, held = [], 0
-                yield pd.DataFrame(rows, columns=["archive", "member", "size", "modified", "content"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    files = files.where(F.col("path").rlike(r"\.(zip|tar|tgz|tar\.gz)$")).select("path", "content")
-    return files.mapInPandas(run, "archive string, member string, size long, modified long, content binary")
 
+def multipart_etags(files: DataFrame, part_bytes: int = PART_BYTES, chunk: int = CHUNK) -> DataFrame:
+    """(path, etag) of ``files`` (path, length): the MD5 of the parts' MD5s and their number; of one part, its MD5 alone.
 
-def checksums(spark: SparkSession, root: str) -> DataFrame:
-    """path (below ``root``), size, sha256 and md5 (base64) of published files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    path = F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1)
-    return files.select(path.alias("path"), F.col("length").alias("size"), X.sha256_hex(F.col("content")).alias("sha256"), X.md5_base64(F.col("content")).alias("md5"))
-
-
-def multipart_etags(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(path, etag): the MD5 of a content's part MD5s and the number of parts; of one part, its MD5 alone."""
-    n = F.greatest(F.ceil(F.length("content") / part_bytes), F.lit(1)).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.md5(F.substring("content", (i * part_bytes + 1).cast("int"), F.lit(part_bytes))))
-    whole = F.when(n == 1, F.get(parts, F.lit(0))).otherwise(F.concat(F.md5(F.unhex(F.array_join(parts, ""))), F.lit("-"), n.cast("string")))
-    return files.select("path", whole.alias("etag"))
+    The parts of a file are hashed by several tasks, ``chunk`` bytes at a time, and put together in their order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for row in batch.to_pylist():
+                md5, at, end = hashlib.md5(), row["start"], row["start"] + row["bytes"]
+                with open_file(row["path"]) as file:
+                    while at < end:
+                        md5.update(file.read_at(min(chunk, end - at), at))
+                        at = min(at + chunk, end)
+                digests.append(md5.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("range"), pa.array(digests)], names=["path", "range", "md5"])
+
+    parts = spread(ranges(files, part_bytes), "path", "range").mapInArrow(run, "path string, range long, md5 string")
+    met = parts.groupBy("path").agg(F.transform(F.sort_array(F.collect_list(F.struct("range", "md5"))), lambda p: p["md5"]).alias("parts"))
+    of_parts = F.concat(F.md5(F.unhex(F.array_join("parts", ""))), F.lit("-"), F.size("parts").cast("string"))
+    return met.select("path", F.when(F.size("parts") == 1, F.get("parts", F.lit(0))).otherwise(of_parts).alias("etag"))
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Readers of annotation JSON: COCO, LVIS, COCO-WholeBody, TextOCR and HierText.
 
-A file is one JSON object, read with a declared schema, so that the parser skips what is not named (polygons, key
-points). A path may also be a folder of such files, each of some of the images, which are read in parallel. Positions of list entries become columns by posexplode; they are the boxes' order, which their ids hash.
+A file is one JSON object, whose large lists and maps are read by several tasks (``json_documents``), each element with a
+declared schema, so that the parser skips what is not named (polygons, key points). A path may also be a folder of such
+files, each of some of the images. Positions of list entries are the boxes' order, which their ids hash.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from silverloom.functions import expr as X
 from silverloom.plans.scratch import small
 from silverloom.sources.contract import Raw, corners, raw
+from silverloom.sources.json_documents import open_documents
 
 # The part boxes of a whole-body annotation with the flag that says each is there, in order.
 PARTS = [("face_box", "face_valid", "face"), ("lefthand_box", "lefthand_valid", "left_hand"), ("righthand_box", "righthand_valid", "right_hand")]
@@ -19,22 +21,16 @@ PARTS = [("face_box", "face_valid", "face"), ("lefthand_box", "lefthand_valid",
 ILLEGIBLE = "."
 WORD = "word"
 
-IMAGES = "images array<struct<id:bigint,file_name:string,width:int,height:int,coco_url:string>>"
-CATEGORIES = "categories array<struct<id:bigint,name:string>>"
+IMAGE_FIELDS = "id:bigint,file_name:string,width:int,height:int,coco_url:string"
 PART_FIELDS = ",".join(f"{box}:array<double>,{flag}:boolean" for box, flag, _ in PARTS)
 
 
-def _file(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
-
-
 def _coco(spark: SparkSession, path: str, annotation: str, file_name: Column) -> tuple[DataFrame, DataFrame]:
     """Images by position, and annotations with their position, class name and file name."""
-    schema = f"{IMAGES}, {CATEGORIES}, annotations array<struct<image_id:bigint,category_id:bigint,bbox:array<double>,{annotation}>>"
-    file = _file(spark, path, schema)
-    images = file.select(F.inline("images")).select("id", file_name.alias("file_name"), "width", "height")
-    categories = file.select(F.inline("categories")).select(F.col("id").alias("category_id"), F.col("name").alias("category")).distinct()
-    annotations = file.select(F.posexplode("annotations").alias("pos", "a")).select("pos", "a.*")
+    document = open_documents(spark, path)
+    images = document.rows("images", IMAGE_FIELDS).select("id", file_name.alias("file_name"), "width", "height")
+    categories = document.rows("categories", "id:bigint,name:string").select(F.col("id").alias("category_id"), F.col("name").alias("category")).distinct()
+    annotations = document.rows("annotations", f"image_id:bigint,category_id:bigint,bbox:array<double>,{annotation}").drop("file")
     named = annotations.join(small(categories), "category_id", "left")
     unknown = F.raise_error(F.concat(F.lit("no category "), F.col("category_id").cast("string")))
     named = named.withColumn("category", F.when(F.col("category").isNotNull(), F.col("category")).otherwise(unknown.cast("string")))
@@ -78,20 +74,19 @@ def read_coco_wholebody(spark: SparkSession, path: str, dataset: str, split: str
 
 def read_textocr(spark: SparkSession, path: str, dataset: str, split: str) -> Raw:
     """Words and images keyed by id; the entries of a map keep the order of the file."""
-    schema = "imgs map<string,struct<width:int,height:int>>, anns map<string,struct<image_id:string,bbox:array<double>,utf8_string:string>>"
-    file = _file(spark, path, schema)
-    images = file.select(F.explode("imgs").alias("id", "i")).select(F.concat("id", F.lit(".jpg")).alias("file_name"), "i.width", "i.height")
-    words = file.select(F.posexplode("anns").alias("pos", "word_id", "a")).select("pos", F.concat("a.image_id", F.lit(".jpg")).alias("file_name"), "a.bbox", "a.utf8_string")
+    document = open_documents(spark, path)
+    images = document.entries("imgs", "width:int,height:int").select(F.concat("key", F.lit(".jpg")).alias("file_name"), "width", "height")
+    words = document.entries("anns", "image_id:string,bbox:array<double>,utf8_string:string").select("pos", F.concat("image_id", F.lit(".jpg")).alias("file_name"), "bbox", "utf8_string")
     boxes = words.join(images.select("file_name"), "file_name", "left_semi").withColumns(corners(X.xywh_to_xyxy(F.col("bbox"))))
     boxes = boxes.withColumns({"attr_is_illegible": F.col("utf8_string") == ILLEGIBLE, "source_class": F.lit(WORD)})
     return raw(images, _placed(boxes, "pos"), dataset, split)
 
 
 def read_hiertext(spark: SparkSession, path: str, dataset: str, split: str) -> Raw:
-    """Words of paragraphs and lines as the bounds of their polygons; the file may be compressed with gzip."""
+    """Words of paragraphs and lines as the bounds of their polygons; a file compressed with gzip is streamed by one task."""
     word = "struct<vertices:array<array<double>>,legible:boolean,handwritten:boolean,vertical:boolean>"
-    schema = f"annotations array<struct<image_id:string,image_width:int,image_height:int,paragraphs:array<struct<lines:array<struct<words:array<{word}>>>>>>>"
-    image = _file(spark, path, schema).select(F.inline("annotations")).withColumn("file_name", F.concat("image_id", F.lit(".jpg")))
+    fields = f"image_id:string,image_width:int,image_height:int,paragraphs:array<struct<lines:array<struct<words:array<{word}>>>>>"
+    image = open_documents(spark, path).rows("annotations", fields).withColumn("file_name", F.concat("image_id", F.lit(".jpg")))
     images = image.select("file_name", F.col("image_width").alias("width"), F.col("image_height").alias("height"))
     lines = F.flatten(F.transform("paragraphs", lambda p: p.lines))
     words = image.select("file_name", F.posexplode(F.flatten(F.transform(lines, lambda x: x.words))).alias("source_box_index", "w"))

@@ -1,16 +1,23 @@
-"""Writers of the published annotation formats, for exports and round trips.
+"""Writers of the published annotation formats, for exports and round trips, and of binary files.
 
-A format that is one document is written as many, each of the images of one ``chunk``, so that no file and no task holds
-more than those. ``images``: file_name, width, height, chunk; ``boxes``: file_name, source_box_index, source_class,
+A format that is one document is written as such by default: its lines are made and sorted in tasks, and one streams them
+into the file. For an export that no single task should write, ``chunks`` makes many documents, each of the images of one
+``chunk``. ``images``: file_name, width, height, chunk; ``boxes``: file_name, source_box_index, source_class,
 xmin, ymin, xmax, ymax and flags.
 """
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
+from silverloom.sources.byte_ranges import create_file
+
 
 def xywh() -> Column:
     return F.array("xmin", "ymin", F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
@@ -29,19 +36,50 @@ def _documents(images: DataFrame, boxes: DataFrame, entry: Column, name: str) ->
     return listed.join(entries.select("chunk", F.col(f"{name}.entry").alias(name)), "chunk", "left")
 
 
-def write_coco(images: DataFrame, boxes: DataFrame, categories: list[str], path: str, more: dict[str, Column] | None = None) -> None:
+def _one_document(sections: list[tuple[str, str, DataFrame]], path: str) -> None:
+    """An object whose members are (key, brackets, lines); lines (a, b, value) stand in the order of a and b."""
+    kind = "section int, a long, b int, value string"
+    spark = sections[0][2].sparkSession
+    lines = [df.select(F.lit(i).alias("section"), F.col("a").cast("long"), F.col("b").cast("int"), "value") for i, (*_, df) in enumerate(sections)]
+    every = lines[0]
+    for more in lines[1:]:
+        every = every.unionByName(more)
+    first = every.groupBy("section").agg(F.min(F.struct("a", "b")).alias("first"))  # a row for each member
+    comma = F.when(F.struct("a", "b") == F.col("first"), F.lit("")).otherwise(F.lit(","))
+    every = every.join(F.broadcast(first), "section").withColumn("value", F.concat(comma, "value")).drop("first")
+    heads = [(i, None, None, ("{" if i == 0 else f"{sections[i - 1][1][1]},") + f'"{key}": {brackets[0]}') for i, (key, brackets, _) in enumerate(sections)]
+    ends = spark.createDataFrame([*heads, (len(sections), None, None, sections[-1][1][1] + "}")], kind)
+    ordered = every.unionByName(ends).orderBy("section", F.asc_nulls_first("a"), "b").select("value")
+    ordered.coalesce(1).write.text(path)
+
+
+def write_coco(images: DataFrame, boxes: DataFrame, categories: list[str], path: str, more: dict[str, Column] | None = None, chunks: bool = False) -> None:
     """COCO and its kin: ``images`` also has id and coco_url; ``more`` are further fields of an annotation."""
     place = F.array_position(F.array(*map(F.lit, categories)), F.col("source_class"))
     fields = {"image_id": F.col("id"), "category_id": place, "bbox": xywh()} | (more or {})
+    if not chunks:
+        listed = images.select(F.col("id").alias("a"), F.lit(0).alias("b"), F.to_json(F.struct("id", "file_name", "width", "height", "coco_url")).alias("value"))
+        keyed = boxes.join(images.select("file_name", "id"), "file_name")
+        entries = keyed.select(F.col("id").alias("a"), F.col("source_box_index").alias("b"), F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("value"))
+        named = images.sparkSession.createDataFrame([(i + 1, c) for i, c in enumerate(categories)], "id int, name string")
+        named = named.select(F.col("id").alias("a"), F.lit(0).alias("b"), F.to_json(F.struct("id", "name")).alias("value"))
+        return _one_document([("images", "[]", listed), ("annotations", "[]", entries), ("categories", "[]", named)], path)
     docs = _documents(images, boxes, F.struct(*[c.alias(n) for n, c in fields.items()]), "annotations")
     named = F.array(*[F.struct(F.lit(i + 1).alias("id"), F.lit(c).alias("name")) for i, c in enumerate(categories)])
     lists = F.struct("images", F.coalesce("annotations", F.array()).alias("annotations"), named.alias("categories"))
     _write(docs.select("chunk", F.to_json(lists).alias("value")), path)
 
 
-def write_textocr(images: DataFrame, boxes: DataFrame, path: str, text: Column) -> None:
+def write_textocr(images: DataFrame, boxes: DataFrame, path: str, text: Column, chunks: bool = False) -> None:
     """Maps of images and words by id; an id is the file name without its suffix, and for words its place behind it."""
     image = X.stem(F.col("file_name"))
+    if not chunks:
+        line = lambda key, *fields: F.concat(F.lit('"'), key, F.lit('": '), F.to_json(F.struct(*fields))).alias("value")
+        listed = images.select(F.col("id").alias("a"), F.lit(0).alias("b"), line(image, "width", "height"))
+        keyed = boxes.join(images.select("file_name", "id"), "file_name")
+        key = F.concat_ws("_", image, "source_box_index")
+        entries = keyed.select(F.col("id").alias("a"), F.col("source_box_index").alias("b"), line(key, image.alias("image_id"), xywh().alias("bbox"), text.alias("utf8_string")))
+        return _one_document([("imgs", "{}", listed), ("anns", "{}", entries)], path)
     word = F.struct(F.concat_ws("_", image, "source_box_index").alias("k"), F.struct(image.alias("image_id"), xywh().alias("bbox"), text.alias("utf8_string")).alias("v"))
     docs = _documents(images, boxes, word, "words")
     sizes = F.transform("images", lambda i: F.struct(X.stem(i.file_name), F.struct(i.width.alias("width"), i.height.alias("height"))))
@@ -88,3 +126,40 @@ def write_yolo(lines: DataFrame, path: str) -> None:
     """A label file for each image: ``lines`` (stem, pos, line). The stem becomes a folder, its file the only one in it."""
     whole = lines.groupBy("stem").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x.line), "\n").alias("value"))
     whole.repartition("stem").write.partitionBy("stem").text(path)
+
+
+def write_files(rows: DataFrame, root: str) -> int:
+    """A file below ``root`` for each of ``rows`` (name, content), written by its task; returns how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                with create_file(f"{root}/{name}") as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    return rows.select("name", "content").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_zips(rows: DataFrame, root: str) -> int:
+    """Zip archives below ``root`` of ``rows`` (archive, member, content), each streamed by one task; returns the members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, out, file, n = None, None, None, 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["archive"] != name:
+                    if file:
+                        file.close()
+                        out.close()
+                    name, out = row["archive"], create_file(f"{root}/{row['archive']}")
+                    file = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                file.writestr(zipfile.ZipInfo(row["member"]), row["content"], zipfile.ZIP_DEFLATED)
+                n += 1
+        if file:
+            file.close()
+            out.close()
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    dealt = rows.select("archive", "member", "content").repartition("archive").sortWithinPartitions("archive", "member")
+    return dealt.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

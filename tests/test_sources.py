@@ -1,11 +1,8 @@
 """One small fixture for each reader."""
 
 import gzip
-import io
 import json
 import struct
-import tarfile
-import zipfile
 
 import pytest
 
@@ -148,27 +145,3 @@ def test_image_listing_and_sizes(spark, tmp_path):
     import hashlib
 
     assert found["c.txt"].sha256 == hashlib.sha256(b"no").hexdigest() and found["c.txt"].md5 == base64.b64encode(hashlib.md5(b"no").digest()).decode()
-    content = bytes(range(256)) * 10
-    df = spark.createDataFrame([("p", bytearray(content))], "path string, content binary")
-    parts = [hashlib.md5(content[i : i + 1000]).digest() for i in range(0, len(content), 1000)]
-    assert files.multipart_etags(df, 1000).first().etag == hashlib.md5(b"".join(parts)).hexdigest() + f"-{len(parts)}"
-
-
-def test_archives(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "BATCH_BYTES", 2)
-    with zipfile.ZipFile(tmp_path / "w.zip", "w") as z:
-        z.writestr("w/a.txt", "A")
-        z.writestr("w/d/b.txt", "BB")
-        z.writestr("__MACOSX/w/x", "skip")
-    with tarfile.open(tmp_path / "t.tar.gz", "w:gz") as t:
-        info = tarfile.TarInfo("plain.txt")
-        info.size = 3
-        t.addfile(info, io.BytesIO(b"abc"))
-    got = sorted((r.archive.rsplit("/", 1)[-1], r.member, r.size, bytes(r.content)) for r in files.archive_members(spark, str(tmp_path)).collect())
-    assert got == [("t.tar.gz", "plain.txt", 3, b"abc"), ("w.zip", "a.txt", 1, b"A"), ("w.zip", "d/b.txt", 2, b"BB")]
-    bad = tmp_path / "bad"
-    bad.mkdir()
-    with zipfile.ZipFile(bad / "e.zip", "w") as z:
-        z.writestr("../out.txt", "x")
-    with pytest.raises(Exception, match="leaves the archive"):
-        files.archive_members(spark, str(bad)).collect()
