@@ -9,7 +9,7 @@ parentheses, and the evaluation gives the class of obligations. The licensee of
 
 Cases: a null text counts as empty. Phrases of base labels count at every place; the labels of notices and tags are added
 and take nothing away. An expression ends with its line, or before the first token that cannot continue it; an operator
-left without a right side is dropped; one with an open parenthesis is of unknown class. Identifiers that are in no list
+left without a right side is dropped, with parentheses opened behind it; one with an open parenthesis is of unknown class. Identifiers that are in no list
 make a class unknown and give no label; behind tags other than SPDX's, expressions without a known identifier are prose
 and ignored. Rows that repeat have equal results, an empty table gives an empty one, and further columns are ignored.
 """
@@ -113,8 +113,9 @@ def to_postfix(found: Iterator[str]) -> tuple[list[str], bool]:
             depth -= 1
         else:
             break
-    if operand_next and waiting and waiting[-1] in BINDS:
-        waiting.pop()
+    while operand_next and waiting:  # parentheses that hold nothing yet, and the operator without a right side
+        operand_next = waiting[-1] == "("
+        depth -= waiting.pop() == "("
     return out + [w for w in reversed(waiting) if w != "("], depth == 0 and bool(out)
 
 
