@@ -10,7 +10,8 @@ if its first and its last part are, so ids are kept for frequent words and phras
 
 Ids are held by every task, so their number is bounded: ``head`` words and phrases of each length, the most frequent. If
 more are frequent, phrases that hold one of the others are counted under their own names by an ordinary grouping, so that
-the result is whole at every size.
+the result is whole at every size. A sieve (one bit for the hash of each frequent word or phrase of a length) keeps what
+cannot be frequent out of that grouping.
 
 Cases: a null text counts as empty, a null language as ``und`` (as does the language of that name). Rows that repeat count
 each time. An empty table, and one without frequent phrases, give an empty result. Ids are not read, and further columns
@@ -19,6 +20,7 @@ are ignored. Counts are exact to 15 digits; scores are computed in decimals of 3
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +38,11 @@ from silverloom.llm.common import broadcast_if_small, join_counted, materialize,
 #: Bits of a side of a tile, and of the number of stripes that its cells are dealt over.
 TILE, STRIPES = 10, 6
 #: Words, and phrases of each longer length, that have ids.
-HEAD_WORDS, HEAD_PHRASES = 1 << 18, 1 << 21
+HEAD_WORDS, HEAD_PHRASES = 1 << 19, 1 << 21
+#: Bits of the sieve of frequent words or phrases of one length, which is made where not all of them have ids.
+SIEVE = 27
+#: Joins the ids of a cell to one number.
+SPREAD = 1_000_003
 #: Counters and cells that a task holds before it hands them on.
 HELD = 1 << 20
 #: Rows that a task adds up at a time, and the filling from which a stripe is counted in a dense array.
@@ -94,6 +100,14 @@ class Level:
     words: dict[str, dict[bytes, int]] | None = None
     cells: np.ndarray | None = None
     ranks: np.ndarray | None = None
+    sieve: np.ndarray | None = None
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether hashes may be those of frequent words or phrases; without a sieve those without ids are not."""
+        if self.sieve is None:
+            return np.zeros(len(hashes), dtype=bool)
+        places = hashes & ((1 << SIEVE) - 1)
+        return (self.sieve[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
     def ids(self, cells: np.ndarray) -> np.ndarray:
         """The ids of cells, -1 where a cell has none."""
@@ -131,19 +145,52 @@ def head_of(frequent: DataFrame, head: int, *columns: str) -> tuple[pa.Table, bo
     return found.sort_by([("f", "descending"), *((c, "ascending") for c in columns)]), kept == sum(sizes.values())
 
 
-def _phrase_ids(words: list[bytes], names: dict[bytes, int], levels: list[Level]) -> list[np.ndarray]:
-    """ids[m][i]: the id of the phrase of m + 1 words at i; -1 unknown, -2 where it meets a stop or the end."""
-    first = np.fromiter(map(names.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+def sieve_of(frequent: DataFrame, hashes: Column) -> np.ndarray:
+    """The sieve of the rows of ``frequent``: 2 to the power of ``SIEVE`` bits, made in pieces of 4 KB by the grouping."""
+    place = hashes.bitwiseAND(F.lit((1 << SIEVE) - 1)) + 1
+    pieces = frequent.select(place.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
+    out = np.zeros(1 << (SIEVE - 3), dtype=np.uint8)
+    for row in pieces.collect():  # at most a row for each 4 KB
+        out[(row.k - 1) << 12 : row.k << 12] = np.frombuffer(row.bits, dtype=np.uint8)
+    return out
+
+
+def name_hash(lang: str = "lang", phrase: str = "phrase") -> Column:
+    return F.crc32(F.concat(F.col(lang), F.lit(" "), F.col(phrase)).cast("binary"))
+
+
+def _named_passes(level: Level, lang: str, phrases: list[bytes]) -> np.ndarray:
+    """Whether phrases may be frequent, by the hash of their names."""
+    if level.sieve is None or not phrases:
+        return np.zeros(len(phrases), dtype=bool)
+    start = zlib.crc32(f"{lang} ".encode())
+    return level.passes(np.fromiter((zlib.crc32(p, start) for p in phrases), dtype=np.int64, count=len(phrases)))
+
+
+#: In place of an id: surely not frequent, meets a stop or the end, and perhaps frequent but without an id.
+RARE, ENDS, UNNAMED = -1, -2, -3
+
+
+def _phrase_ids(lang: str, words: list[bytes], levels: list[Level]) -> list[np.ndarray]:
+    """ids[m][i]: the id of the phrase of m + 1 words at i, or what stands in place of one."""
+    names = levels[0].words.get(lang, {}) | {STOP: ENDS}
+    first = np.fromiter(map(names.get, words, repeat(RARE)), dtype=np.int64, count=len(words))
+    rare = np.flatnonzero(first == RARE)
+    first[rare[_named_passes(levels[0], lang, [words[i] for i in rare])]] = UNNAMED
     ids = [first]
     for m, level in enumerate(levels[1:], 1):
-        left, right = ids[-1][:-1], first[m:]
-        n = len(right)
-        left = left[:n]
-        found = np.full(len(words), -2, dtype=np.int64)
-        inside = (left != -2) & (right != -2)
-        known = inside & (left >= 0) & (right >= 0)
-        found[:n][inside] = -1
-        found[:n][known] = level.ids((left[known] << 32) | right[known])
+        right = first[m:]
+        left = ids[-1][: len(right)]
+        found = np.full(len(words), ENDS, dtype=np.int64)
+        here = np.where((left == ENDS) | (right == ENDS), ENDS, RARE)
+        known = np.flatnonzero((left >= 0) & (right >= 0))
+        of_known = level.ids((left[known] << 32) | right[known])
+        lost = of_known == RARE
+        of_known[lost] = np.where(level.passes(left[known[lost]] * SPREAD + right[known[lost]]), UNNAMED, RARE)
+        here[known] = of_known
+        named = np.flatnonzero(((left == UNNAMED) & (right != RARE) & (right != ENDS)) | ((right == UNNAMED) & (left >= 0)))
+        here[named[_named_passes(level, lang, [b" ".join(words[i : i + m + 1]) for i in named])]] = UNNAMED
+        found[: len(right)] = here
         ids.append(found)
     return ids
 
@@ -151,7 +198,7 @@ def _phrase_ids(words: list[bytes], names: dict[bytes, int], levels: list[Level]
 def cell_counter(levels: Broadcast):
     """Counts of cells (key of a stripe, cell, n) of the phrases one word longer than the last of ``levels``, and of names.
 
-    Phrases that hold a word or part without an id are counted by name where not all frequent ones have ids.
+    Phrases that hold a word or part without an id, which may yet be frequent, are counted by name.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,16 +207,14 @@ def cell_counter(levels: Broadcast):
         cells, named, held = [], {}, 0
         for batch in batches:
             for lang, words in by_language(batch.to_pandas()):
-                ids = _phrase_ids(words, known[0].words.get(lang, {}) | {STOP: -2}, known)
+                ids = _phrase_ids(lang, words, known)
                 n = len(words) - m
                 if n <= 0:
                     continue
-                first, left, rest, right = ids[0], ids[-1][:n], ids[-1][1 : n + 1], ids[0][m : m + n]
-                inside = (left != -2) & (right != -2)
-                frequent = inside & ((left >= 0) | (not known[-1].whole)) & ((rest >= 0) | (not known[-1].whole))
-                if known[0].whole:
-                    for k in range(m + 1):
-                        frequent &= first[k : k + n] >= 0
+                left, rest, right = ids[-1][:n], ids[-1][1 : n + 1], ids[0][m : m + n]
+                frequent = np.ones(n, dtype=bool)
+                for part in (left, rest, right):
+                    frequent &= (part != RARE) & (part != ENDS)
                 direct = frequent & (left >= 0) & (right >= 0)
                 cells.append((left[direct] << 32) | right[direct])
                 held += len(cells[-1])
@@ -290,7 +335,7 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, head: tupl
     ids: dict[str, dict[bytes, int]] = {}
     for i, (lang, phrase) in enumerate(zip(top["lang"].to_pylist(), top["phrase"].to_pylist(), strict=True)):
         ids.setdefault(lang, {})[phrase.encode("utf-8", "surrogatepass")] = i
-    levels = [Level(whole, words=ids)]
+    levels = [Level(whole, words=ids, sieve=None if whole else sieve_of(counted[0], name_hash()))]
     for size in range(2, longest + 1):
         shared = sc.broadcast(levels)
         cells = texts.mapInArrow(cell_counter(shared), "key long, cell int, lang string, phrase string, n long")
@@ -308,7 +353,8 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, head: tupl
             cell = (top["left"].to_numpy() << 32) | top["right"].to_numpy()
             order = np.argsort(cell)
             whole = whole and found.where("left is null").isEmpty()
-            levels = [*levels, Level(whole, cells=cell[order], ranks=order.astype(np.int64))]
+            hashes = F.when(F.col("left").isNull(), name_hash()).otherwise(F.col("left") * SPREAD + F.col("right"))
+            levels = [*levels, Level(whole, cells=cell[order], ranks=order.astype(np.int64), sieve=None if whole else sieve_of(found, hashes))]
     out = counted[0].select("lang", "phrase", "size", "f")
     for more in counted[1:]:
         out = out.unionByName(more.select("lang", "phrase", "size", "f"))
