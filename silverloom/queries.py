@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -75,6 +76,8 @@ CTE = {
     "gi": """select md5(dataset||'/'||split||'/'||file_name)::uuid::varchar as image_id, dataset, split, split as role, file_name, width, height,
         'bronze/'||dataset||'/'||file_name as image_path, case when dataset in ('ds1','ds2') then 'open' else 'research' end as license, dataset in ('ds1','ds2') as commercial_use
         from im where (dataset,split,file_name) in (select (dataset,split,file_name) from gb)""",
+    # the keys of gi: images that hold a gold box
+    "gk": "select distinct image_id, dataset from gb",
     "st": "select box_id, image_id, class_name as label, floor(x+0.5) as x, floor(y+0.5) as y, floor(w+0.5) as w, floor(h+0.5) as h from gb",
     # a store that lags behind: every seventh box is missing, some are relabelled or moved, and some are left over
     "he": """select box_id, image_id, case when k%5=0 then 'other' else label end as label, case when k%3=0 then x+2 else x end as x, y, w, h
@@ -83,11 +86,14 @@ CTE = {
     "cached": "select distinct md5(dataset||'/'||split||'/'||file_name)::uuid::varchar as image_id from im join embeddings on vec_id=o_orderkey",
     "lt": "select distinct box_id from ev where file_ordinal >= 10 and log_sequence > 500",
 }
-CTE_NEEDS = {"bx": ["im"], "cl": ["bx"], "ba": ["cl"], "ev0": ["n"], "ev": ["ev0", "ba"], "la": ["ev"], "met": ["ba", "la"], "mo": ["met"], "ad": ["la", "im", "ba"], "fo0": ["mo", "ad"], "fo": ["fo0"], "gb": ["fo"], "gi": ["gb"], "st": ["gb"], "he": ["st"], "cached": ["im"], "lt": ["ev"]}
+CTE_NEEDS = {"bx": ["im"], "cl": ["bx"], "ba": ["cl"], "ev0": ["n"], "ev": ["ev0", "ba"], "la": ["ev"], "met": ["ba", "la"], "mo": ["met"], "ad": ["la", "im", "ba"], "fo0": ["mo", "ad"], "fo": ["fo0"], "gb": ["fo"], "gi": ["gb"], "gk": ["gb"], "st": ["gb"], "he": ["st"], "cached": ["im"], "lt": ["ev"]}
 
 
-def with_ctes(sql: str, *names: str) -> str:
-    """``sql`` after the common table expressions of these names and of all that they need."""
+def with_ctes(sql: str, *names: str, lean: bool = False) -> str:
+    """``sql`` after the common table expressions of these names and of all that they need.
+
+    ``lean`` leaves those that are read once to be planned with what reads them.
+    """
     ordered: list[str] = []
 
     def add(name: str) -> None:
@@ -98,16 +104,18 @@ def with_ctes(sql: str, *names: str) -> str:
 
     for name in names:
         add(name)
-    return "with " + ",\n".join(f"{n} as materialized ({CTE[n]})" for n in ordered) + "\n" + sql if ordered else sql
+    reads = lambda n: len(re.findall(rf"\b(?:from|join|in)\s+{n}\b", " ".join([sql, *(CTE[o] for o in ordered)])))
+    kind = lambda n: "" if lean and reads(n) < 2 else "materialized "
+    return "with " + ",\n".join(f"{n} as {kind(n)}({CTE[n]})" for n in ordered) + "\n" + sql if ordered else sql
 
 
-def registered(sql: str | None = None, *ctes: str) -> Callable:
+def registered(sql: str | None = None, *ctes: str, lean: bool = False) -> Callable:
     """Register a function of (StarTables) under its name, with its SQL."""
 
     def add(f: Callable[[StarTables], DataFrame]) -> Callable:
         QUERIES[f.__name__] = lambda spark, sf_dir: f(StarTables(spark, sf_dir))
         if sql:
-            SQL[f.__name__] = with_ctes(sql, *ctes)
+            SQL[f.__name__] = with_ctes(sql, *ctes, lean=lean)
         return f
 
     return add
@@ -205,9 +213,10 @@ def gold_images(t: StarTables) -> DataFrame:
 
 
 @registered(
-    """select id, problem from (select image_id as id, 'repeated image id' as problem from (select image_id from gi union all select image_id from gi where dataset='ds1') group by image_id having count(*)>1
-    union all select box_id, 'box without image' from gb anti join (select image_id from gi where dataset<>'ds2') as kept using (image_id) where dataset='ds2')""",
-    "gi",
+    """select id, problem from (select image_id as id, 'repeated image id' as problem from (select image_id from gk union all select image_id from gk where dataset='ds1') group by image_id having count(*)>1
+    union all select box_id, 'box without image' from gb anti join (select image_id from gk where dataset<>'ds2') as kept using (image_id) where dataset='ds2')""",
+    "gk",
+    lean=True,
 )
 def gold_key_problems(t: StarTables) -> DataFrame:
     """Gold with images of ds1 repeated and those of ds2 lost."""
@@ -421,10 +430,11 @@ def removed_boxes(t: StarTables) -> DataFrame:
     """select st.* from st anti join lt using (box_id) anti join he using (box_id)
     union all select st.* from st semi join he using (box_id) anti join lt using (box_id)
     union all select he.* from he semi join lt using (box_id)
-    union all select he.* from he anti join lt using (box_id) anti join st using (box_id) anti join gi using (image_id)""",
+    union all select he.* from he anti join lt using (box_id) anti join st using (box_id) anti join gk using (image_id)""",
     "he",
     "lt",
-    "gi",
+    "gk",
+    lean=True,
 )
 def merged_boxes(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()
@@ -451,9 +461,10 @@ def image_upserts(t: StarTables) -> DataFrame:
 
 
 @registered(
-    "select gi.image_id as sample_id from gi anti join cached using (image_id) union all select box_id from gb",
-    "gi",
+    "select gk.image_id as sample_id from gk anti join cached using (image_id) union all select box_id from gb",
+    "gk",
     "cached",
+    lean=True,
 )
 def lacks_vectors(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()
@@ -548,10 +559,11 @@ def merge_report(t: StarTables) -> DataFrame:
 @registered(
     """select he.box_id as sample_id from he
     anti join (select st.box_id from st join he using (box_id) anti join lt using (box_id) where (he.x,he.y,he.w,he.h) is distinct from (st.x,st.y,st.w,st.h)) as moved using (box_id)
-    anti join (select he.box_id from he semi join gi using (image_id) anti join st using (box_id) anti join lt using (box_id)) as removed using (box_id)""",
+    anti join (select he.box_id from he semi join gk using (image_id) anti join st using (box_id) anti join lt using (box_id)) as removed using (box_id)""",
     "he",
     "lt",
-    "gi",
+    "gk",
+    lean=True,
 )
 def kept_vectors(t: StarTables) -> DataFrame:
     """Samples of the store that keep their vector through the merge."""

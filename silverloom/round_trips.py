@@ -553,11 +553,12 @@ def incomplete_vectors(t: StarTables) -> DataFrame:
 
 
 @registered(
-    """select what, left_over.box_id as sample_id from (select he.box_id from he anti join (select he.box_id from he semi join gi using (image_id) anti join st using (box_id) anti join lt using (box_id)) as removed using (box_id)) as left_over
+    """select what, left_over.box_id as sample_id from (select he.box_id from he anti join (select he.box_id from he semi join gk using (image_id) anti join st using (box_id) anti join lt using (box_id)) as removed using (box_id)) as left_over
     join (select unnest(['samples','vectors']) as what) on what='samples' or cast(('0x'||substr(left_over.box_id,1,4)) as bigint)%2=0""",
     "he",
     "lt",
-    "gi",
+    "gk",
+    lean=True,
 )
 def cascaded_deletes(t: StarTables) -> DataFrame:
     """Samples and vectors of the store without those of removed boxes."""
