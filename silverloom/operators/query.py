@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
 
+# Rows of a page by default and at most.
 DEFAULT_LIMIT, MAX_LIMIT = 1_000, 100_000
 EVAL_ROLES = ["val", "test"]
 KEYS = {"images": "image_id", "boxes": "box_id", "embeddings": "image_id", "crop_embeddings": "box_id"}
@@ -81,10 +82,14 @@ def images_of_classes(images: DataFrame, boxes: DataFrame, class_names: tuple[st
     return images.join(boxes.where(F.col("class_name").isin(list(class_names))).select("image_id"), "image_id", "left_semi")
 
 
-def page(rows: DataFrame, key: str, after: str | None = None, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """The next ``limit`` rows by key after the key ``after``; each task keeps a page at most."""
+def checked_limit(limit: int) -> None:
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit {limit} is not within 1 and {MAX_LIMIT}")
+
+
+def page(rows: DataFrame, key: str, after: str | None = None, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """The next ``limit`` rows by key after the key ``after``; each task keeps a page at most."""
+    checked_limit(limit)
     out = rows if after is None else rows.where(F.col(key) > F.lit(after))
     return out.orderBy(key).limit(limit)
 

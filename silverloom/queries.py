@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
 from silverloom.operators import checks, corrections, gold, normalize, query, sync, tallies, vectors
+from silverloom.plans.pages import KeyedTable
 from silverloom.plans.scratch import scratch_dir, stored
 from silverloom.plans.star_tables import StarTables
 from silverloom.streaming import events
@@ -282,14 +283,17 @@ def run_metrics(t: StarTables) -> DataFrame:
 
 @registered("select * from gi where role='train' and commercial_use order by image_id limit 100", "gi")
 def gold_page(t: StarTables) -> DataFrame:
-    chosen = query.select_rows(t.gold_images, query.Selection(role=("train",), commercial_use=True))
-    return query.page(chosen, "image_id", limit=100)
+    """A page of gold's images, stored by key, from the files that can hold it."""
+    table = KeyedTable.write(t.gold_images, f"{scratch_dir(t.spark)}/paged-{uuid.uuid4().hex}", "image_id")
+    return table.page(query.Selection(role=("train",), commercial_use=True), limit=100)
 
 
 @registered("select box_id,image_id,class_name,x,y,w,h from gb where class_name in ('face','text') and box_id > '80000000-0000-0000-0000-000000000000' order by box_id limit 250", "gb")
 def gold_page_after(t: StarTables) -> DataFrame:
-    chosen = query.select_rows(t.gold_boxes, query.Selection(class_name=("face", "text"), release="draft"))
-    return query.page(chosen, "box_id", "80000000-0000-0000-0000-000000000000", 250).select("box_id", "image_id", "class_name", *"xywh")
+    """A later page of gold's boxes of some classes, stored by key."""
+    table = KeyedTable.write(t.gold_boxes, f"{scratch_dir(t.spark)}/paged-{uuid.uuid4().hex}", "box_id")
+    chosen = query.Selection(class_name=("face", "text"), release="draft")
+    return table.page(chosen, "80000000-0000-0000-0000-000000000000", 250).select("box_id", "image_id", "class_name", *"xywh")
 
 
 @registered("select image_id, dataset, split, file_name from gi where cast('0x'||substr(image_id,1,8) as bigint) % 5 = 3", "gi")

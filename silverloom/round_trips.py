@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from silverloom.functions import expr as X
 from silverloom.operators import checks, corrections, gold, query, sync, tallies, vectors
 from silverloom.plans import builds, pipelines
+from silverloom.plans.pages import KeyedTable
 from silverloom.plans.scratch import scratch_dir, stored
 from silverloom.plans.star_tables import CATEGORY_MAP, GOLD_CLASSES, StarTables, specs
 from silverloom.queries import SILVER, _image_cache, _store, registered
@@ -518,19 +519,8 @@ def published_stream(t: StarTables) -> DataFrame:
 
 @registered("select image_id, row_number() over(order by image_id) - 1 as place from gi", "gi")
 def drained_pages(t: StarTables) -> DataFrame:
-    """All pages of gold by key, page after page: every row once and in order."""
-    t = t.with_stored_gold()
-    size, after, pages = max(1_000, -(-t.gold_images.count() // 8)), None, []
-    while True:
-        ids = stored(query.page(t.gold_images.select("image_id"), "image_id", after, size), "page")
-        pages.append(ids.withColumn("place", F.row_number().over(Window.orderBy("image_id")) - 1 + size * len(pages)))  # a page at a time
-        after = query.next_after(ids, "image_id", size)
-        if after is None:
-            break
-    out = pages[0]
-    for more in pages[1:]:
-        out = out.unionByName(more)
-    return out.withColumn("place", F.col("place").cast("bigint"))
+    """All of gold by key, every row once with its number over all pages, in one job over the stored table."""
+    return KeyedTable.write(t.gold_images, _path(t, "paged"), "image_id").numbered().select("image_id", "place")
 
 
 @registered("select image_id, len(embedding) as dim from (select image_id from gi order by image_id limit 500) join (select md5(dataset||'/'||split||'/'||file_name)::uuid::varchar as image_id, embedding from im join embeddings on vec_id=o_orderkey) using (image_id)", "gi")

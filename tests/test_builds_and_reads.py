@@ -12,6 +12,7 @@ from silverloom import schemas
 from silverloom.operators import query, sync, vectors
 from silverloom.plans import builds, pipelines
 from silverloom.plans.builds import Layer, Releases, Store, VectorCache, build_id
+from silverloom.plans.pages import KeyedTable
 from silverloom.schemas import EVENTS, RAW_BOXES, RAW_IMAGES, DatasetSpec
 from silverloom.sources.contract import raw as as_raw
 from silverloom.streaming import events as streams
@@ -387,3 +388,27 @@ def test_streams(spark, tmp_path):
 
 def test_raw_schemas(spark):
     assert RAW_IMAGES.names[:3] == RAW_BOXES.names[:3] == ["dataset", "split", "file_name"]
+
+
+def test_a_page_opens_few_files(spark, tmp_path):
+    """Pages by the zone map: the same rows as a sort of everything, two files at most, also behind a filter of groups."""
+    rows = spark.range(4_000).selectExpr("md5(cast(id as string)) as image_id", "concat('d', id % 3) as dataset", "if(id % 4 = 0, 'a', 'b') as split", "if(id % 4 = 0, 'val', 'train') as role", "id % 3 = 0 as commercial_use", "id", "if(id % 500 = 7, 'face', 'text') as class_name")
+    table = KeyedTable.write(rows, str(tmp_path / "t"), "image_id", file_rows=150, files=5)
+    everything = sorted((r.image_id, r.dataset, r.role, r.class_name) for r in rows.collect())
+    files = len(list((tmp_path / "t" / "rows").glob("*.parquet")))
+    assert files >= 25
+    for selection in (query.Selection(release="draft"), query.Selection(dataset=("d1",), role=("train",))):
+        wanted = [r[0] for r in everything if (selection.dataset is None or r[1] in selection.dataset) and (selection.role is None or r[2] in selection.role)]
+        for after in (None, wanted[0], wanted[333], wanted[-1]):
+            got = table.page(selection, after, 20)
+            assert [r.image_id for r in got.collect()] == [w for w in wanted if after is None or w > after][:20]
+            assert len(got.inputFiles()) <= 2
+    rare = query.Selection(class_name=("face",), release="draft")
+    assert [r.image_id for r in table.page(rare, None, 5).collect()] == [r[0] for r in everything if r[3] == "face"][:5]
+    assert table.page(query.Selection(dataset=("none",)), None, 5).collect() == []
+    places = sorted((r.place, r.image_id) for r in table.numbered().collect())
+    assert places == list(enumerate(r[0] for r in everything))
+    plan = table.numbered()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    with pytest.raises(ValueError, match="limit"):
+        table.page(rare, None, 0)
