@@ -1,18 +1,22 @@
 """HTML extraction: a tree-structured graphical model over the DOM.
 
-Every block element, and any other with a class, id or role, is a variable with three states: boilerplate, content, and a container of both. Unary potentials come
-from the element's tag, its class, id and role words, its text, its share of link text; a parent-child potential
-couples neighbours. Sum-product messages go up from the leaves and down from the root, exact on a tree, and text is kept
-where the marginal of content is above that of boilerplate. All pages of a batch are passed at once, level by level.
+Every block element, and any other with a class, id or role, is a variable with three states: boilerplate, content, and a
+container of both. Unary potentials come from the element's tag, its class, id and role words, its text, its share of link
+text, and the prose of its neighbours before and after; a parent-child potential couples an element with what it holds.
+Sum-product messages go up from the leaves and down from the root, exact on a tree, and text is kept where the marginal of
+content is above that of boilerplate. All pages of a batch are passed at once, level by level.
 
 The model is trained from labelled pages: a bounded sample of the pages whose mark-up states what is what (an article,
 navigation, a footer, ...), each also in variants where the article is a plain division with one of the usual names and
-further boilerplate of known kind (side bar, notice, comments, form, share bar) is put around and into it. The labels
-are then counted into log-odds. The trained model is some kilobytes and goes to every task.
+further boilerplate of known kind (side bar, notice, comments, form, share bar) is put around and into it. The potentials
+are fitted to the labels by the likelihood of whole pages. The trained model is some kilobytes and goes to every task.
 
-Labels come from ``<article>`` and from templates of class names, so accuracy elsewhere is what these teach. On the 250
-pages of a small table with ``<article>`` renamed, the whole text is extracted without fault from 100 % of them for
-``main``, 99 to 100 % for divisions of the usual names and for sections, and 84 % for a division without any name.
+Labels come from ``<article>`` and from templates of class names, so accuracy elsewhere is what these teach. On the 2,500
+pages of a table of 0.1 of the unit scale with ``<article>`` renamed, the whole text is extracted without fault from all of
+them for ``main``, 99.9 % for a division of a usual name, 97 % for a section and 98 % for a division without any name.
+
+A header is boilerplate wherever it stands, also an article's own with its title and author; a title outside one is text.
+Paragraphs, items and cells that are links alone are text where they stand between prose of the article.
 
 Extraction: character references are decoded, white space inside a block becomes one space, blocks are joined in page
 order by one line feed. Scripts, styles, titles, text fields, frames, drawings and templates are skipped; formulas and
@@ -38,6 +42,10 @@ from pyspark.sql import functions as F
 from silverloom.llm.common import hash_sample, whole_texts
 
 BOILERPLATE, CONTENT, MIXED = 0, 1, 2
+#: Potential of pairs of parent and child that labels rule out.
+NEVER = -30.0
+#: Steps of the fit, their length, and the penalty on squared weights.
+ROUNDS, RATE, PENALTY = 80, 0.12, 0.05
 #: Pages in the training sample: those of the smallest hash of their html.
 SAMPLE_PAGES = 200
 #: Deeper pages are left out of the sample: one page of thousands of nested elements would outweigh all others.
@@ -213,20 +221,43 @@ class Tree:
             total[p] += total[i]
             stop_total[p] += stop_total[i]
             linked[p] += total[i] if self.tag[i] == "a" else linked[i]
+        beside = self._beside(total, linked)
         out, inside = [], [""] * n  # the element that means boilerplate around this one: a heading in a header is not one of the text
         for i in range(n):
             size, p = total[i], self.parent[i]
             if i:
                 inside[i] = f" in {self.tag[p]}" if self.tag[p] in IS_BOILERPLATE else inside[p]
-            got = [f"tag {self.tag[i]}{inside[i]} {10 * min(linked[i], size) // size // 3 if size else '-'}"]
+            got = [f"is {self.tag[i]}{inside[i]}", f"tag {self.tag[i]}{inside[i]} {10 * min(linked[i], size) // size // 3 if size else '-'}"]
             if self.attrs[i]:
                 got += named(self.attrs[i])
+            got.append(f"beside {beside[i]} {'linked' if 2 * linked[i] > size else 'text'}")
             got.append(f"size {min(size // 40, 4) if size < 200 else 5 + min(size // 400, 4)}")
             if size:
                 got.append(f"stops {min(4, 200 * stop_total[i] // size)}")
             out.append(tuple(got))
         return out
 
+    def _beside(self, total: list[int], linked: list[int]) -> list[str]:
+        """For each element the prose (text without links) of the nearest siblings before and after that have any text:
+
+        none, little or much. An element alone in its parent stands where its parent does.
+        """
+        n = len(self.tag)
+        grade = [min(2, (total[i] - min(linked[i], total[i]) + 39) // 40) for i in range(n)]
+        before, after, last = ["-"] * n, ["-"] * n, {}
+        for i in range(1, n):
+            p = self.parent[i]
+            before[i] = last.get(p, before[p] if p else "-")
+            if total[i]:
+                last[p] = str(grade[i])
+        last = {}
+        for i in sorted(range(1, n), key=lambda i: (self.depth[i], -i)):
+            p = self.parent[i]
+            after[i] = last.get(p, after[p] if p else "-")
+            if total[i]:
+                last[p] = str(grade[i])
+        return [b + a for b, a in zip(before, after, strict=True)]
+
     def text(self, kept: list[bool]) -> str:
         blocks, block = [], []
         for i, piece in [*self.texts, (-1, "")]:
@@ -252,32 +283,82 @@ def named(attributes: str) -> list[str]:
     return out
 
 
+def levels_of(parent: np.ndarray) -> list[np.ndarray]:
+    """The elements of each depth; an element stands behind its parent, which is -1 for a page."""
+    depth = [0] * len(parent)
+    for i, p in enumerate(parent.tolist()):
+        depth[i] = depth[p] + 1 if p >= 0 else 0
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.cumsum(np.bincount(depth))[:-1])
+
+
+def sum_product(own: np.ndarray, pair: np.ndarray, parent: np.ndarray, levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of each element's states, and those of (parent, child) states summed over all pairs."""
+    up, belief, pairs = np.zeros_like(own), own.copy(), np.zeros((3, 3))
+    for level in levels[:0:-1]:
+        message = np.logaddexp.reduce(pair[None] + belief[level][:, None, :], axis=2)
+        up[level] = message
+        np.add.at(belief, parent[level], message)
+    for level in levels[1:]:
+        above = belief[parent[level]] - up[level]
+        both = pair[None] + above[:, :, None] + belief[level][:, None, :]
+        both -= np.logaddexp.reduce(both.reshape(len(level), -1), axis=1)[:, None, None]
+        pairs += np.exp(both).sum(axis=0)
+        belief[level] += np.logaddexp.reduce(pair[None] + above[:, :, None], axis=1)
+    belief -= np.logaddexp.reduce(belief, axis=1, keepdims=True)
+    return np.exp(belief), pairs
+
+
 class Model:
-    """Log-odds of features by state, log potentials of parent and child, trained by counting."""
+    """Unary weights of features by state and potentials of parent and child.
 
-    def __init__(self, examples: list[tuple[Tree, list[int]]]):
-        features = [Counter() for _ in range(3)]
-        states, pairs = np.ones(3), np.ones((3, 3))
+    They are fitted together, to make the labels of whole pages likely (by the gradient of the exact likelihood, which
+    sum-product gives, with a quadratic penalty). So features that say the same share their weight, which counting each on
+    its own would give to all of them. What labels rule out (anything but boilerplate below boilerplate) has a fixed
+    potential.
+    """
+
+    def __init__(self, examples: list[tuple[Tree, list[int]]], rounds: int = ROUNDS, penalty: float = PENALTY):
+        known: dict[str, int] = {}
+        at, feature, parent, label, base = [], [], [], [], 0
         for tree, labels in examples:
             for i, seen in enumerate(tree.features()):
-                states[labels[i]] += 1
-                features[labels[i]].update(seen)
-                if i:
-                    pairs[labels[tree.parent[i]], labels[i]] += 1
-        self.prior = np.log(states / states.sum())
-        self.pair = np.log(pairs / pairs.sum(axis=1, keepdims=True)) - self.prior
-        known = set().union(*features)
-        self.weight = {f: np.log([(c[f] + 0.5) / (n + 1) for c, n in zip(features, states, strict=True)]) for f in known}
-        for f, w in self.weight.items():
-            self.weight[f] = w - w.max()
+                at += [base + i] * len(seen)
+                feature += [known.setdefault(f, len(known)) for f in seen]
+                parent.append(base + tree.parent[i] if i else -1)
+            label += labels
+            base += len(labels)
+        at, feature, parent, y = (np.array(x, dtype=np.int64) for x in (at, feature, parent, label))
+        n, below = len(y), np.flatnonzero(parent >= 0)
+        truth = np.eye(3)[y]
+        levels = levels_of(parent)
+        weight, bias, pair = np.zeros((len(known), 3)), np.zeros(3), np.zeros((3, 3))
+        ruled_out = np.zeros((3, 3), dtype=bool)
+        ruled_out[BOILERPLATE, [CONTENT, MIXED]] = True
+        counted = np.zeros((3, 3))
+        np.add.at(counted, (y[parent[below]], y[below]), 1)
+        steps = [np.zeros_like(w) for w in (weight, bias, pair) for _ in range(2)]
+        for r in range(1, rounds + 1):
+            pair[ruled_out] = NEVER
+            own = np.tile(bias, (n, 1))
+            for k in range(3):
+                own[:, k] += np.bincount(at, weight[feature, k], n)
+            belief, pairs = sum_product(own, pair, parent, levels)
+            off = belief - truth
+            slopes = [np.stack([np.bincount(feature, off[at, k], len(known)) for k in range(3)], axis=1) + penalty * weight, off.sum(axis=0), pairs - counted + penalty * pair]
+            slopes[2][ruled_out] = 0
+            for j, (w, slope) in enumerate(zip((weight, bias, pair), slopes, strict=True)):  # steps scaled by each slope's mean and spread
+                steps[2 * j] = 0.9 * steps[2 * j] + 0.1 * slope
+                steps[2 * j + 1] = 0.99 * steps[2 * j + 1] + 0.01 * slope**2
+                w -= RATE * (steps[2 * j] / (1 - 0.9**r)) / (np.sqrt(steps[2 * j + 1] / (1 - 0.99**r)) + 1e-9)
+        pair[ruled_out] = NEVER
+        self.prior, self.pair = bias, pair
+        self.weight = {f: weight[i] for f, i in known.items()}
         self.seen: dict[tuple[str, ...], np.ndarray] = {}
 
     def unary(self, seen: tuple[str, ...]) -> np.ndarray:
         if (hit := self.seen.get(seen)) is None:
-            hit = self.prior.copy()
-            for f in seen:
-                if f in self.weight:
-                    hit = hit + self.weight[f]
+            hit = self.prior + sum((self.weight[f] for f in seen if f in self.weight), np.zeros(3))
             if len(self.seen) > 100_000:
                 self.seen.clear()
             self.seen[seen] = hit
@@ -286,22 +367,9 @@ class Model:
     def marginals(self, trees: list[Tree]) -> list[np.ndarray]:
         """Sum-product over all trees at once; marginals of the states for each element."""
         starts = np.cumsum([0, *(len(t.tag) for t in trees)])
-        parent = np.concatenate([np.array(t.parent) + s for t, s in zip(trees, starts, strict=False)])
-        depth = np.concatenate([t.depth for t in trees])
+        parent = np.concatenate([np.where(np.array(t.parent) < 0, -1, np.array(t.parent) + s) for t, s in zip(trees, starts, strict=False)])
         own = np.array([self.unary(f) for t in trees for f in t.features()])
-        order = np.argsort(depth, kind="stable")
-        levels = np.split(order, np.cumsum(np.bincount(depth))[:-1])
-        up = np.zeros_like(own)  # from an element to its parent
-        belief = own.copy()  # with all messages from below
-        for level in levels[:0:-1]:
-            message = np.logaddexp.reduce(self.pair[None] + belief[level][:, None, :], axis=2)
-            up[level] = message
-            np.add.at(belief, parent[level], message)
-        for level in levels[1:]:
-            above = belief[parent[level]] - up[level]
-            belief[level] += np.logaddexp.reduce(self.pair[None] + above[:, :, None], axis=1)
-        belief -= np.logaddexp.reduce(belief, axis=1, keepdims=True)
-        return np.split(np.exp(belief), starts[1:-1])
+        return np.split(sum_product(own, self.pair, parent, levels_of(parent))[0], starts[1:-1])
 
     def extract(self, sources: list[str | None]) -> list[str]:
         trees = [Tree(s or "") for s in sources]
@@ -321,6 +389,7 @@ Y = re.compile(rf'{SIGN}="([01])"')
 EXTRA = [
     '<header data-y="0"><h2>{}</h2></header>',
     '<header data-y="0"><h1>{}</h1></header>',
+    '<header data-y="0"><h2>{}</h2><p>{}</p></header>',
     '<header data-y="0"><h1><a href="/">{}</a></h1><p>{}</p></header>',
     '<header data-y="0"><div><strong>{}</strong></div><p>{}</p></header>',
     '<header data-y="0" class="site-header"><a href="/">{}</a></header>',
@@ -330,6 +399,14 @@ EXTRA = [
     '<div data-y="0" class="notice alert newsletter subscribe popup modal"><p>{} {} {}</p></div>',
     '<section data-y="0" id="comments" class="comments comment-list discussion"><h3>{}</h3><div class="comment"><p>{} {} {}</p></div><div class="comment reply"><p>{} {}</p></div></section>',
     '<ol data-y="0" class="comment-list responses"><li class="comment"><p>{} {} {} {}</p></li></ol>',
+    '<section data-y="0" class="comments"><ul><li><p>{}</p></li><li><p>{} {}</p></li></ul></section>',
+    '<div data-y="0" class="comments-area" id="comments"><h2>{}</h2><ul><li><p>{} {}</p></li><li><p>{}</p></li></ul></div>',
+    '<div data-y="0" class="comments replies responses discussion"><ul><li><p>{}</p></li><li><p>{} {}</p></li></ul></div>',
+    '<ol data-y="0" class="comments comment-list"><li><p>{}</p></li><li><p>{} {} {}</p></li></ol>',
+    '<section data-y="0"><h2>3 Comments</h2><p>{}</p><p>{}</p></section>',
+    '<h2 data-y="0">Related</h2><ul data-y="0"><li><a href="/u">{}</a></li><li><a href="/v">{} {}</a></li></ul>',
+    '<h3 data-y="0">{}</h3><ul data-y="0" class="links"><li><a href="/u">{}</a></li></ul>',
+    '<div data-y="0"><h2>Related</h2><ul><li><a href="/u">{}</a></li><li><a href="/v">{}</a></li></ul></div>',
     '<form data-y="0" action="/s" class="search login"><label>{}</label><input name="q"><button>{}</button></form>',
     '<div data-y="0" class="share social related more recommended promo sponsored"><a href="/z">{}</a> <a href="/w">{}</a></div>',
     '<div data-y="0" class="breadcrumb breadcrumbs menu navigation navbar topbar" role="navigation"><a href="/">{}</a> &gt; <a href="/k">{}</a></div>',
@@ -345,11 +422,14 @@ INNER = [
     '<div class="section"><p>{} {}</p><ol><li>{} {} {}</li><li>{} {}</li></ol></div><p><em>{}</em> {} <strong>{}</strong></p>',
     '<figure><img src="i"><figcaption>{}</figcaption></figure><pre><code>{} {}</code></pre><p>{} <a href="/q">{}</a> {} <i>{}</i></p>',
     "<section><h2>{}</h2><p>{}</p><ul><li>{}</li><li>{} {}</li></ul><p>{}</p></section><dl><dt>{}</dt><dd>{} {}</dd></dl>",
+    '<p><a href="/l">{}</a> <a href="/m">{}</a></p><p>{} {} {} {}</p><ul><li><a href="/n">{}</a></li><li><a href="/o">{}</a></li></ul><p>{} {} {}</p>',
+    '<table><tr><td><a href="/l">{}</a></td><td><a href="/m">{}</a></td></tr></table><p>{} {} {}</p><ol><li><a href="/n">{}</a></li></ol><p>{} {}</p>',
+    '<details><summary>{}</summary><p>{} {}</p></details><p>{} <span class="related note">{}</span> {} {}</p><blockquote><p><a href="/b">{}</a></p></blockquote><p>{} {}</p>',
 ]
 WRAPPERS = ["", '<div class="wrap container">', '<div id="page" class="layout row">', '<div class="site wrapper"><div class="col columns">']
 BODIES = [
     ("article", ""), ("main", ""), ("main", ' role="main" id="main"'), ("div", ' class="post-content entry-content"'), ("div", ' id="content" class="article-body story text"'),
-    ("section", ' class="post entry"'), ("div", ' class="content main-content page-content"'), ("div", ' itemprop="articleBody" class="body"'),
+    ("section", ' class="post entry"'), ("section", ""), ("section", ' class="entry text"'), ("div", ' class="content main-content page-content"'), ("div", ' itemprop="articleBody" class="body"'),
 ]
 
 
@@ -373,6 +453,19 @@ def labels_of(tree: Tree) -> list[int]:
     return [MIXED, *label[1:]]
 
 
+def one_name(template: str, k: int) -> str:
+    """The template, or (for two of three ``k``) with one name in place of all in its first class, so that each is learnt
+
+    alone: the first one, which is the most usual, in every other of these.
+    """
+
+    def chosen(m: re.Match) -> str:
+        names = m[1].split()
+        return f'class="{names[(k % 3 - 1) * (k // 3) % len(names)]}"' if k % 3 else m[0]
+
+    return re.sub(r'class="([^"]*)"', chosen, template, count=1)
+
+
 def variants(sources: list[str]) -> Iterator[str]:
     """The sample's pages, and each with another body element and further boilerplate around and in it."""
     sources = [s.replace(SIGN, "") for s in sources]
@@ -380,13 +473,16 @@ def variants(sources: list[str]) -> Iterator[str]:
     for k, source in enumerate(sources):
         yield source
         fill = lambda t, k=k: re.sub(r"\{\}", lambda m, c=[k * 7]: (c.__setitem__(0, c[0] + 1), texts[c[0] % len(texts)])[1], t.replace("data-y", SIGN))  # noqa: E731, B006
-        tag, attrs = BODIES[k % len(BODIES)]
-        extra = [fill(EXTRA[(k * 3 + j) % len(EXTRA)]) for j in range(4)]
-        wrap, inner = WRAPPERS[k % len(WRAPPERS)], fill(INNER[k % len(INNER)])
-        unwrap = "</div>" * wrap.count("<div")
-        changed = re.sub(r"<article\b[^>]*>", lambda m: f'{extra[0]}{wrap}<{tag}{attrs} {SIGN}="1">', source)
-        changed = re.sub(r"</article>", lambda m: f"{inner}{extra[1]}</{tag}>{extra[2]}{unwrap}{extra[3]}", changed)
-        yield changed
+        for shift in (29, 0):
+            tag, attrs = BODIES[(k + shift) % len(BODIES)]
+            extra = [fill(one_name(EXTRA[((k + shift) * 7 + j * 4) % len(EXTRA)], (k + shift) // 7 + j)) for j in range(6)]
+            wrap, inner = WRAPPERS[k % len(WRAPPERS)], fill(INNER[(k + shift) % len(INNER)])
+            unwrap = "</div>" * wrap.count("<div")
+            changed = re.sub(r"<article\b[^>]*>", lambda m: f'{extra[0]}{wrap}<{tag}{attrs} {SIGN}="1">', source)  # noqa: B023
+            changed = re.sub(r"</article>", lambda m: f"{inner}{extra[1]}</{tag}>{extra[2]}{unwrap}{extra[3]}", changed)  # noqa: B023
+            begin = max(0, changed.find(f'<{tag}{attrs} {SIGN}="1">'))
+            head, *rest = re.split(r"(?<=</p>)", changed[begin:])
+            yield changed[:begin] + head + extra[4] + "".join(rest[:2]) + extra[5] + "".join(rest[2:])
         # the same with little else around it
         start, end = changed.find(f'<{tag}{attrs} {SIGN}="1">'), changed.rfind(f"</{tag}>")
         short = re.sub(r"(?s)(<p\b.*?</p>).*?(?=<p\b)", r"\1", changed[start:end], count=3)
