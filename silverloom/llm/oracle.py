@@ -25,7 +25,7 @@ m as (select b.*, coalesce(n_repeat_words,0) as n_repeat_words, jc.dist as class
   from b left join rep using (rid) left join jsd jc on jc.rid=b.rid and jc.kind='c' left join jsd jw on jw.rid=b.rid and jw.kind='w')
 select doc_id, cast(n_words as bigint) as n_words, cast(n_chars-c3 as bigint) as word_chars, cast(c5 as bigint) as n_symbols, cast(len(lines)-len(list_distinct(lines)) as bigint) as n_dup_lines,
   cast(n_repeat_words as bigint) as n_repeat_words, (n_words<50 or 100*n_repeat_words>50*n_words) as base_failed,
-  not (n_words<50 or 100*n_repeat_words>50*n_words) and (n_words<100 or ref_words<1000 or not (coalesce(class_distance,0)>0.28 or coalesce(word_distance,0)>0.45)) as kept,
+  not (n_words<50 or 100*n_repeat_words>50*n_words) and (n_words<50 or ref_words<1000 or not (coalesce(class_distance,0)>0.28 or coalesce(word_distance,0)>0.45)) as kept,
   round(class_distance,6) as class_distance, round(word_distance,6) as word_distance from m
 """
 

@@ -24,10 +24,10 @@ from silverloom.llm.common import KEY, SPACE_CLASS, WORD_CLASS, WS, broadcast_if
 SYMBOLS = "#*$%&|<>"
 #: Limits of the Jensen-Shannon distance for character classes and for common words.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
-#: Shorter documents are not judged by divergence, nor languages with fewer words in all.
-MIN_WORDS, MIN_REFERENCE_WORDS = 100, 1_000
 #: Shorter documents fail the base rule.
 BASE_WORDS = 50
+#: Shorter documents are not judged by divergence, nor languages with fewer words in all.
+MIN_WORDS, MIN_REFERENCE_WORDS = BASE_WORDS, 1_000
 N_COMMON = 24
 CLASSES = ["lower", "upper", "space", "digit", "symbol", "punct", "other"]
 
@@ -146,6 +146,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     depends on text and language alone, so the rejected (text, language) pairs are taken out by an anti join.
     """
     lang = F.coalesce("lang", F.lit("")).alias("key_lang")
-    gone = judge(docs, min_words=BASE_WORDS, extra=[*text_key(), lang]).where(~F.col("kept")).select(*KEY, "key_lang").distinct()
+    gone = judge(docs, extra=[*text_key(), lang]).where(~F.col("kept")).select(*KEY, "key_lang").distinct()
     found = with_marks(docs.withColumn("__lang", lang), gone, "left_anti", {"__lang": "key_lang"})
     return found.drop("__lang")
