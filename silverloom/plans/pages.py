@@ -42,13 +42,14 @@ class KeyedTable:
     def zones(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/zones")
 
-    def files(self, selection: query.Selection, after: str | None, most: int) -> list[tuple[str, str, int]]:
+    def files(self, selection: query.Selection, after: str | None, most: int | None) -> list[tuple[str, str, int]]:
         """(file, low, rows that the selection may take) of the first ``most`` files after the key ``after``, in order."""
         groups = query.Selection(dataset=selection.dataset, split=selection.split, role=selection.role, commercial_use=selection.commercial_use)
         found = query.select_rows(self.zones(), groups)
         found = found if after is None else found.where(F.col("high") > F.lit(after))
         held = found.groupBy("file_path").agg(F.min("low").alias("low"), F.sum("num_rows").alias("n"))
-        return [(r.file_path, r.low, r.n) for r in held.orderBy("low").limit(most).collect()]
+        ordered = held.orderBy("low")
+        return [(r.file_path, r.low, r.n) for r in (ordered if most is None else ordered.limit(most)).collect()]
 
     def page(self, selection: query.Selection, after: str | None = None, limit: int = query.DEFAULT_LIMIT, extra: Column | None = None) -> DataFrame:
         """The next ``limit`` rows of the selection by key, read from the files that the map names.
@@ -57,8 +58,9 @@ class KeyedTable:
         or ``extra``, is not counted: the page then takes twice as many files each time, until it is full or all are read.
         """
         query.checked_limit(limit)
-        files = self.files(selection, after, limit + 1)  # each holds a row of the selection, but the first may hold it before ``after``
         counted = selection.class_name is None and selection.num_shards is None and extra is None
+        # where all is counted each file holds a row of the selection, though the first may hold it before ``after``
+        files = self.files(selection, after, limit + 1 if counted else None)
         most, rows = 0, 0
         for _, low, n in files:
             if rows >= limit:
