@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
+from silverloom.plans.scratch import small
 from silverloom.sources.contract import Raw, corners, raw
 
 # Columns of a box CSV, and attributes of a block line by position after the four coordinates.
@@ -55,16 +56,27 @@ def _number(text: Column) -> Column:
 def read_wider_face(spark: SparkSession, path: str, sizes: DataFrame, dataset: str, split: str) -> Raw:
     """Blocks of a file name, a count, and as many box lines (one line of zeros follows a count of zero).
 
-    A file is split into lines with their position; a name is a line that is not of numbers, and is carried forward. A
-    path may be a folder of such files, each of which is one group.
+    A name is a line that is not of numbers, and holds for the lines up to the next one. A file is read in splits, as any
+    text: each says how many lines it has and where its last name stands, that is summed and carried over the splits (a row
+    for each), and within a split a window numbers the lines and carries names on. So no task holds a file.
     """
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
-    text = text.where(F.trim("line") != "").withColumn("line", F.trim("line"))
+    split = ["file", "start"]
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"), F.trim(F.regexp_replace("value", "\r$", "")).alias("line"))
+    text = text.where("line <> ''")
     is_name = ~F.col("line").rlike(r"^[-+.\d\s]+$")
-    order = Window.partitionBy("file").orderBy("pos")
-    lines = text.withColumn("name_pos", F.last(F.when(is_name, F.col("pos")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    block = Window.partitionBy("file", "name_pos").orderBy("pos")
-    lines = lines.withColumns({"k": F.row_number().over(block) - 1, "file_name": F.first("line").over(block), "count": _number(F.nth_value("line", 2).over(block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))})
+    within = Window.partitionBy(*split).orderBy("row")
+    numbered = text.withColumn("n", F.row_number().over(within)).withColumn("name", F.when(is_name, F.struct("n", "line")))
+    splits = numbered.groupBy(*split).agg(F.count("*").alias("lines"), F.max("name").alias("last"))  # a row for each split of a file
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("lines_before", F.coalesce(F.sum("lines").over(before), F.lit(0)))
+    placed = F.when(F.col("last").isNotNull(), F.struct((F.col("last.n") + F.col("lines_before")).alias("n"), F.col("last.line").alias("line")))
+    splits = splits.withColumn("carried", F.last(placed, ignorenulls=True).over(before)).select(*split, "lines_before", "carried")
+    met = numbered.join(small(splits), split)
+    own = F.last("name", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    met = met.withColumn("own", own).withColumn("of", F.when(F.col("own").isNotNull(), F.struct((F.col("own.n") + F.col("lines_before")).alias("n"), F.col("own.line").alias("line"))).otherwise(F.col("carried")))
+    lines = met.select("file", "line", F.col("of.line").alias("file_name"), F.col("of.n").alias("name_pos"), (F.col("n") + F.col("lines_before") - F.col("of.n")).alias("k"))
+    block = Window.partitionBy("file", "name_pos")
+    lines = lines.withColumn("count", _number(F.max(F.when(F.col("k") == 1, F.col("line"))).over(block)))
     lines = lines.where(F.col("k").between(2, F.col("count") + 1)).withColumn("v", F.split("line", r"\s+"))
     at = lambda i: _number(F.get("v", F.lit(i)))
     x, y, w, h = (at(i).cast("double") for i in range(4))

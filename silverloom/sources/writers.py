@@ -112,14 +112,20 @@ def write_open_images(boxes: DataFrame, path: str) -> None:
     rows.write.option("header", True).csv(path)
 
 
-def write_wider_face(images: DataFrame, boxes: DataFrame, path: str, grades: list[Column]) -> None:
-    """Blocks of a name, a count and box lines of whole pixels; an image without boxes has one line of zeros."""
+def write_wider_face(images: DataFrame, boxes: DataFrame, path: str, grades: list[Column], chunks: bool = False) -> None:
+    """Blocks of a name, a count and box lines of whole pixels; an image without boxes has one line of zeros.
+
+    One file in the order of names, or with ``chunks`` a file for each chunk.
+    """
     numbers = [F.floor("xmin"), F.floor("ymin"), F.floor(F.col("xmax") - F.col("xmin")), F.floor(F.col("ymax") - F.col("ymin")), *grades]
     line = F.struct("source_box_index", F.concat_ws(" ", *[n.cast("string") for n in numbers]).alias("line"))
     lines = boxes.groupBy("file_name").agg(F.sort_array(F.collect_list(line)).alias("lines"))
     zeros = F.array(F.lit(" ".join(["0"] * 10)))
     block = F.concat_ws("\n", "file_name", F.coalesce(F.size("lines"), F.lit(0)).cast("string"), F.array_join(F.coalesce("lines.line", zeros), "\n"))
-    _write(images.join(lines, "file_name", "left").select("chunk", block.alias("value")), path)
+    blocks = images.join(lines, "file_name", "left")
+    if chunks:
+        return _write(blocks.select("chunk", block.alias("value")), path)
+    blocks.select("file_name", block.alias("value")).orderBy("file_name").select("value").coalesce(1).write.text(path)
 
 
 def write_yolo(lines: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 import struct
 
 import pytest
@@ -101,6 +102,30 @@ def test_wider_face(spark, tmp_path):
     assert got == [(names[0], 0, "face", 10.0, 20.0, 40.0, 60.0, 1, 2, False, 1), (names[0], 1, "face", 1.0, 2.0, 4.0, 6.0, 0, 0, True, None), (names[2], 0, "face", 5.0, 5.0, 5.0, 5.0, 0, 0, False, 0)]
 
 
+def test_wider_face_in_splits(spark, tmp_path):
+    """One file cut at any byte gives the boxes of the file as a whole: names and counts are carried over the splits."""
+    rnd = random.Random(4)
+    blocks = [(f"{i % 7}--g/img {i}.jpg", [[rnd.randrange(90) for _ in range(10)] for _ in range(rnd.choice([0, 1, 2, 30]))]) for i in range(60)]
+    lines = []
+    for name, rows in blocks:
+        lines += [name, str(len(rows)), *(" ".join(map(str, r)) for r in rows or [[0] * 10]), *([""] if rnd.random() < 0.1 else [])]
+    (tmp_path / "w.txt").write_text("\n".join(lines) + "\n")
+    sizes = spark.createDataFrame([(n, 100, 100) for n, _ in blocks], "file_name string, width int, height int")
+    expected = sorted((n, i, float(r[0]), float(r[0] + r[2]), r[4]) for n, rows in blocks for i, r in enumerate(rows))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (10**6, 900, 130):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            raw = text_sources.read_wider_face(spark, str(tmp_path / "w.txt"), sizes, "wf", "train")
+            assert sorted((r.file_name, r.source_box_index, r.xmin, r.xmax, r.attr_blur) for r in raw.boxes.collect()) == expected
+            assert raw.images.count() == 60
+        assert spark.read.text(str(tmp_path / "w.txt")).rdd.getNumPartitions() > 20
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_yolo(spark, tmp_path):
     root = tmp_path / "labels"
     (root / "x").mkdir(parents=True)
