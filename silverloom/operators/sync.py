@@ -73,36 +73,36 @@ def removed_boxes(staged: DataFrame, images: DataFrame, held: DataFrame, later:
     return mine.join(staged.select("box_id"), "box_id", "left_anti").join(later, "box_id", "left_anti").select("box_id", "image_id")
 
 
-def _met(staged: DataFrame, images: DataFrame, held: DataFrame, later: DataFrame) -> DataFrame:
+def met(staged: DataFrame, images: DataFrame, held: DataFrame, later: DataFrame) -> DataFrame:
     """Every box of gold or of the store once: staged and held (rows as structs, null where absent) and its ``fate``:
 
     new, updated, removed, left (as the store has it) or skipped (gold's alone, and edited since).
     """
     columns = held.columns
     row = lambda df, name: df.select("box_id", F.struct(*columns).alias(name))
-    met = row(staged, "staged").join(row(held, "held"), "box_id", "full")
-    met = met.join(later.select("box_id", F.lit(True).alias("edited")), "box_id", "left")
+    both = row(staged, "staged").join(row(held, "held"), "box_id", "full")
+    both = both.join(later.select("box_id", F.lit(True).alias("edited")), "box_id", "left")
     mine = images.select(F.col("image_id").alias("mine")).distinct()
-    met = met.join(mine, F.col("held.image_id") == F.col("mine"), "left")
+    both = both.join(mine, F.col("held.image_id") == F.col("mine"), "left")
     edited, differs = X.is_set("edited"), X.differs([F.col(f"staged.{c}") for c in ["label", *GEOMETRY]], [F.col(f"held.{c}") for c in ["label", *GEOMETRY]])
     fate = (
         F.when(F.col("held").isNull(), F.when(edited, "skipped").otherwise("new"))
         .when(F.col("staged").isNull(), F.when(edited | F.col("mine").isNull(), "left").otherwise("removed"))
         .otherwise(F.when(~edited & differs, "updated").otherwise("left"))
     )
-    return met.select("box_id", "staged", "held", fate.alias("fate"))
+    return both.select("box_id", "staged", "held", fate.alias("fate"))
 
 
 def merged_boxes(staged: DataFrame, images: DataFrame, held: DataFrame, later: DataFrame) -> DataFrame:
     """The store's boxes after the merge, changed, new and removed ones applied: one join of gold with the store."""
-    met = _met(staged, images, held, later)
+    cases = met(staged, images, held, later)
     row = F.when(F.col("fate").isin("new", "updated"), F.col("staged")).when(F.col("fate") == "left", F.col("held"))
-    return met.select(row.alias("row")).where("row is not null").select("row.*")
+    return cases.select(row.alias("row")).where("row is not null").select("row.*")
 
 
 def fates(staged: DataFrame, images: DataFrame, held: DataFrame, later: DataFrame) -> DataFrame:
     """(fate, num_rows): how many boxes a merge adds, updates, removes, leaves and skips, of one join."""
-    return _met(staged, images, held, later).groupBy("fate").agg(F.count("*").alias("num_rows"))
+    return met(staged, images, held, later).groupBy("fate").agg(F.count("*").alias("num_rows"))
 
 
 def kept_vectors(vectors: DataFrame, changed: DataFrame, removed: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
 from silverloom.operators import checks, corrections, gold, normalize, query, sync, tallies, vectors
+from silverloom.plans.delta_store import DeltaStore
 from silverloom.plans.pages import KeyedTable
 from silverloom.plans.scratch import scratch_dir, stored
 from silverloom.plans.star_tables import StarTables
@@ -446,6 +447,30 @@ def merged_boxes(t: StarTables) -> DataFrame:
     return sync.merged_boxes(staged, t.gold_images, held, later)
 
 
+@registered(
+    """select st.* from st anti join lt using (box_id) anti join he using (box_id)
+    union all select st.* from st semi join he using (box_id) anti join lt using (box_id)
+    union all select he.* from he semi join lt using (box_id)
+    union all select he.* from he anti join lt using (box_id) anti join st using (box_id) anti join gk using (image_id)""",
+    "he",
+    "lt",
+    "gk",
+    lean=True,
+)
+def store_after_merge(t: StarTables) -> DataFrame:
+    """The store after a merge that wrote a delta, read as base and delta; then once more after its compaction."""
+    t = t.with_stored_gold()
+    staged, held, later = _store(t)
+    store = DeltaStore(t.spark, f"{scratch_dir(t.spark)}/store-{uuid.uuid4().hex}")
+    store.create(held)
+    store.merge(staged, t.gold_images, later)
+    merged = stored(store.read(), "merged")
+    store.compact()
+    if (other := merged.exceptAll(store.read()).count()) or merged.count() != store.read().count():
+        raise ValueError(f"compaction changed {other} boxes")
+    return merged
+
+
 @registered("select image_id, 'role/'||role as tag from gi union all select image_id, 'split/'||split from gi where dataset<>'ds1'", "gi")
 def image_tags(t: StarTables) -> DataFrame:
     t = t.with_stored_gold()

@@ -9,10 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 from silverloom.operators import corrections, sync
 from silverloom.schemas import EVENTS
 
-#: Buckets of the state, by a hash of the box id; a batch rewrites only the buckets that it touches.
-BUCKETS = 64
-
-
 def event_stream(spark: SparkSession, path: str, schema: object = None, files_per_batch: int = 1_000) -> DataFrame:
     """Event files as a stream, each file once. No watermark: an edit that commits late is still an edit."""
     return spark.readStream.schema(schema or EVENTS).option("maxFilesPerTrigger", files_per_batch).parquet(path)
@@ -23,47 +19,33 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(target)
 
 
-def merge_latest(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """The latest event of each box over a state and new events, in any order: a maximum commutes.
+def latest_of(events: DataFrame) -> DataFrame:
+    """The latest event of each box, in any order of arrival: a maximum commutes. For a stream it is the keyed state.
 
-    Tombstones stay in the state, else an older event that comes late would bring a box back.
+    Tombstones stay, else an older event that comes late would bring a box back.
     """
-    both = state.unionByName(batch.select(*state.columns))
-    order = F.struct(*corrections.ORDER)
-    rest = [c for c in state.columns if c not in ("box_id", "bucket")]
-    return both.groupBy("bucket", "box_id").agg(F.max_by(F.struct(*rest), order).alias("last")).select("bucket", "box_id", *[F.col("last")[c].alias(c) for c in rest])
+    rest = [c for c in events.columns if c != "box_id"]
+    last = events.groupBy("box_id").agg(F.max_by(F.struct(*rest), F.struct(*corrections.ORDER)).alias("last"))
+    return last.select("box_id", *[F.col("last")[c].alias(c) for c in rest])
 
 
 def latest_state(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest event of each box under ``path``, a folder for each bucket.
+    """Keep the latest event of each box in the stream's state store, and write the boxes that a batch touched.
 
-    A batch writes its buckets' new state under the batch's own name and then replaces those buckets, so a batch that is
-    run again after a failure gives the same state.
+    The state is partitioned by box and kept by Spark beside the checkpoint, so neither a batch's work nor its writes grow
+    with it. A batch is a folder of its own name, so one that is run again after a failure gives the same.
     """
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        keyed = batch.withColumn("bucket", F.pmod(F.xxhash64("box_id"), F.lit(BUCKETS)).cast("int"))
-        touched = [r[0] for r in keyed.select("bucket").distinct().collect()]  # BUCKETS at most
-        if not touched:
-            return
-        try:
-            state = spark.read.schema(keyed.schema).parquet(path).where(F.col("bucket").isin(touched))
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            state = keyed.limit(0)
-        staged = f"{path}.staged/{batch_id}"
-        merge_latest(state, keyed).write.mode("overwrite").parquet(staged)
-        new = spark.read.schema(keyed.schema).parquet(staged)
-        dealt = new.repartition(len(touched), "bucket")
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:09d}")
+
+    return latest_of(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_state(spark: SparkSession, path: str, schema: object) -> DataFrame:
-    return spark.read.schema(schema).option("basePath", path).parquet(path).drop("bucket")
+    """The latest event of each box from what the batches wrote; a box is there once for each batch that touched it."""
+    written = spark.read.schema(schema).option("basePath", path).parquet(path)
+    return latest_of(written.drop("batch")).select(*[f.name for f in schema if f.name != "batch"])
 
 
 def publish(edit_stream: DataFrame, boxes: DataFrame, loaded: DataFrame, others: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

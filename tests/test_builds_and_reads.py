@@ -12,6 +12,7 @@ from silverloom import schemas
 from silverloom.operators import query, sync, vectors
 from silverloom.plans import builds, pipelines
 from silverloom.plans.builds import Layer, Releases, Store, VectorCache, build_id
+from silverloom.plans.delta_store import DeltaStore
 from silverloom.plans.pages import KeyedTable
 from silverloom.schemas import EVENTS, RAW_BOXES, RAW_IMAGES, DatasetSpec
 from silverloom.sources.contract import raw as as_raw
@@ -412,3 +413,54 @@ def test_a_page_opens_few_files(spark, tmp_path):
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
     with pytest.raises(ValueError, match="limit"):
         table.page(rare, None, 0)
+
+
+def test_a_batch_writes_what_it_touches(spark, tmp_path):
+    """The state is Spark's: after many boxes, a batch of few events writes few rows, and late events lose to it."""
+    columns = [f for f in EVENTS.names if f != "is_deleted"]
+    def events(boxes, ordinal, deleted=False):  # noqa: E306
+        rows = spark.createDataFrame([(f"b{i}", i) for i in boxes], "box_id string, log_sequence bigint")
+        made = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(EVENTS[c].dataType).alias(c) for c in columns], F.lit(deleted).alias("is_deleted"), F.lit(ordinal).cast("bigint").alias("file_ordinal"))
+        return made
+
+    inbox, state, mark = (str(tmp_path / n) for n in ("in", "state", "mark"))
+    schema = events([0], 0).schema
+    wrote = []
+    for part in (events(range(2_000), 5), events([3, 4, 5_000], 7, True), events([3, 7], 2)):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        streams.latest_state(streams.event_stream(spark, inbox, schema), state, mark).awaitTermination()
+        wrote.append(spark.read.parquet(state).count() - sum(wrote))
+    assert wrote == [2_000, 3, 2]
+    got = {r.box_id: (r.file_ordinal, r.is_deleted) for r in streams.read_state(spark, state, schema).collect()}
+    assert len(got) == 2_001 and got["b3"] == got["b4"] == got["b5000"] == (7, True) and got["b7"] == (5, False)
+
+
+def test_a_merge_writes_what_it_changes(spark, tmp_path, monkeypatch):
+    """A merge of 1 % of the boxes writes a small delta; reads, repeats, a stop and compaction give the full merge's rows."""
+    rows = lambda ids, x=1, label="face": spark.createDataFrame([(f"b{i:05d}", f"i{i % 50}", label, x, 2, 3, 4) for i in ids], "box_id string, image_id string, label string, x int, y int, w int, h int")
+    images = spark.createDataFrame([(f"i{k}",) for k in range(50)], "image_id string")
+    later = spark.createDataFrame([("b00003",), ("b00011",)], "box_id string")
+    held = rows(range(5_000))
+    store = DeltaStore(spark, str(tmp_path / "store"))
+    with pytest.raises(LookupError):
+        store.read()
+    store.create(held)
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / "store" / name).rglob("*.parquet"))
+    content = lambda df: sorted(map(tuple, df.select(*held.columns).collect()))
+    staged = rows([*range(20, 4_985), *range(5_000, 5_010)]).unionByName(rows(range(0, 20), 9))
+    expected = content(sync.merged_boxes(staged, images, held, later))
+    counts = store.merge(staged, images, later)
+    assert counts == {"new": 10, "updated": 18, "removed": 15, "left": 4_967} and content(store.read()) == expected
+    assert size("delta-1") < 0.05 * size("base-0") + 4_000
+    before = store.store.read_json("store.json")
+    assert store.merge(staged, images, later).get("updated", 0) == 0 and store.store.read_json("store.json") == before
+    second = rows(range(0, 4_000), 5, "head")
+    merged = content(sync.merged_boxes(second, images, store.read(), later))
+    with monkeypatch.context() as m:
+        m.setattr(store.store, "write_json", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            store.merge(second, images, later)
+    assert content(store.read()) == expected
+    store.merge(second, images, later, most_deltas=1)
+    assert content(store.read()) == merged and store.store.read_json("store.json") == {"base": 2, "deltas": []}
+    assert not store.store.exists("delta-1") and not store.store.exists("base-0")
