@@ -1,23 +1,27 @@
 """Approximate nearest neighbours: a hash-prefix forest.
 
-Every tree has a long hash of each vector: signs of random projections, a bit each. In each tree rows are kept in the
-order of their hashes, so that all rows with an equal prefix of any length lie together. A query descends to the rows
-that share the longest prefixes with it and ascends in all trees at once, to a shorter length of prefix, as long as it
-has not met enough candidates. Only candidates are scored, in double precision, on the original vectors.
+Every tree has a long hash of each vector: the signs of ``BITS`` random projections, a bit each. In each tree rows are
+kept in the order of their hashes, so that all rows with an equal prefix of any length lie together. A query finds its
+longest match in every tree by a binary search, then ascends in all trees at once, a bit at a time, from the longest
+match of all: each level adds the rows that share so many bits with it in some tree. New candidates are scored, in
+double precision, on the original vectors.
+
+A query ascends until rows as near as its ``k``-th best so far would have been met with a chance of ``TARGET``: two
+vectors at an angle of a share a bit with a chance p = 1 - a / pi, so they share ``level`` bits in one of ``TREES``
+trees with a chance 1 - (1 - p^level)^TREES. Near neighbours stop it at long prefixes, far ones let it ascend further,
+and a query with fewer than ``k`` rows ascends to the empty prefix, which all rows share. Nothing is fitted or capped.
 
 Nearness is the largest inner product. To make it an angle, vectors are divided by the largest norm of all and get one
 more component that fills them up to the unit sphere, which queries lack.
 
 The index is spread by the hashes themselves: a bucket is a range of the first tree's hashes, and one that holds very
-many rows is split by a hash of the id. Queries are put into blocks likewise. A block is sent to the buckets where some
-tree has rows of a prefix of one of its queries, found by a join of distinct prefixes, and to no other; each tile of a bucket and a block is a group
-of rows of bounded size, which returns the best of each query. On clustered vectors a block so meets few buckets; on
-independent directions every bucket has rows of every short prefix, and the work is queries times rows.
-
-How many trees and how long a prefix the search starts with is fitted: on a sample of about ``SAMPLE_ROWS`` rows, those
-of the smallest hash of the id, the cheapest choice by which ``TARGET`` of the true neighbours of ``SAMPLE_QUERIES`` of
-them are met. Neighbours within a sample are further away than those within all rows, so that the choice is a careful
-one. Every row is indexed. Queries that found fewer than ``k`` rows ascend to half the length, and then to none.
+many rows is split by a hash of the id. A bucket is written once, with the sorted arrays of its trees. The ascent has
+three steps, and the ``k``-th best of one bounds the next: down to ``LONG`` bits in a query's own bucket, down to
+``LONG`` bits in all others, and on from there, for the queries that have to. Queries go in blocks to the buckets where
+some tree has rows of the prefix down to which they ascend, found by a join of distinct prefixes, and to no other; each
+tile of a bucket and a block is a group of bounded size. On clustered vectors a block so meets few buckets, and few
+queries take the last step; on independent directions every bucket has rows of every short prefix, and the work is
+queries times rows.
 
 Cases: vectors that are null, empty, all zero or hold null or non-finite components take no part, nor do null ids. A
 query only meets vectors of its own dimension. Equal scores go to the smaller id. Repeated rows (an id with the same
@@ -37,96 +41,166 @@ from pyspark.sql import functions as F
 
 from silverloom.llm.common import broadcast_if_small, materialize
 
-TREES, BITS = 64, 30
-#: Numbers of trees that the fit may choose.
-TREE_CHOICES = (4, 8, 12, 16, 24, 32, 48, 64)
+TREES, BITS = 64, 128
+#: The chance with which a row as near as the last of the ``k`` best is to be met.
+TARGET = 0.9
 BUCKET_ROWS, BLOCK_QUERIES = 4096, 2048
-SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 4096, 256, 0.95
+#: The bits that rows share with a query before it has met all buckets' rows of so long a prefix.
+LONG = 12
+#: Lengths of prefix by which blocks are sent to buckets: the longest that is no longer than a query's level.
+ROUTES = (*range(9), 12, 16, 24, 32, 48)
 SEED = 20
+#: Bits before the first set one of a byte.
+LEADING_ZEROS = np.array([8 - int(b).bit_length() for b in range(256)])
 
 
 @lru_cache(maxsize=8)
 def planes(dim: int) -> np.ndarray:
     """Normals of the random projections of all trees, for vectors with the added component."""
-    return np.random.default_rng([SEED, dim]).standard_normal((dim + 1, TREES * BITS))
+    return np.random.default_rng([SEED, dim]).standard_normal((dim + 1, TREES * BITS), dtype=np.float32)
 
 
-def hashes(vectors: np.ndarray, norm: float | None, trees: int = TREES) -> np.ndarray:
-    """(rows, trees) hashes of rows, or with ``norm`` None of queries; the first projection is the highest bit."""
+def hashes(vectors: np.ndarray, norm: float | None) -> np.ndarray:
+    """(rows, TREES, bytes) hashes of rows, or with ``norm`` None of queries; the first projection is the highest bit."""
     if norm is None:
         unit = vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
         rest = np.zeros(len(unit))
     else:
         unit = vectors / norm
         rest = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
-    weights = 1 << np.arange(BITS - 1, -1, -1)
-    out = np.empty((len(vectors), trees), dtype=np.int64)
-    for at in range(0, len(vectors), 1024):
-        part = np.column_stack([unit[at : at + 1024], rest[at : at + 1024]])
-        out[at : at + 1024] = (part @ planes(vectors.shape[1])[:, : trees * BITS] > 0).reshape(-1, trees, BITS) @ weights
+    out = np.empty((len(vectors), TREES, BITS // 8), dtype=np.uint8)
+    for at in range(0, len(vectors), 256):
+        part = np.column_stack([unit[at : at + 256], rest[at : at + 256]]).astype(np.float32)
+        signs = part @ planes(vectors.shape[1]) > 0
+        out[at : at + 256] = np.packbits(signs.reshape(-1, TREES, BITS), axis=2)
     return out
 
 
+def from_bytes(values: pd.Series | list[bytes]) -> np.ndarray:
+    """Hashes that were stored as one value of bytes for each row."""
+    return np.frombuffer(b"".join(values), dtype=np.uint8).reshape(-1, TREES, BITS // 8)
+
+
+def strings(codes: np.ndarray) -> np.ndarray:
+    """Hashes as byte strings, whose order is the order of their bits."""
+    return np.ascontiguousarray(codes).view(f"S{BITS // 8}")[..., 0]
+
+
+def last_level(score: np.ndarray, norms: np.ndarray, norm: float) -> np.ndarray:
+    """The longest prefix at which rows of at least ``score`` have been met with a chance of ``TARGET``."""
+    share = 1 - np.arccos(np.clip(score / (norms * norm), -1, 1)) / np.pi
+    with np.errstate(divide="ignore"):
+        level = np.log(1 - (1 - TARGET) ** (1 / TREES)) / np.log(share)
+    level = np.where(share < 1, np.clip(level, 0, BITS), BITS)
+    return np.where(np.isneginf(score), 0, level).astype(np.int64)
+
+
 class Forest:
-    """The trees of one bucket: sorted arrays of hashes."""
-
-    def __init__(self, codes: np.ndarray):
-        self.order = np.argsort(codes.T, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(codes.T, self.order, axis=1)
-
-    def candidates(self, codes: np.ndarray, length: int) -> Iterator[np.ndarray]:
-        """For each query the rows that share at least ``length`` bits of prefix with it in some tree."""
-        free = BITS - length
-        low = (codes >> free) << free
-        lows = [np.searchsorted(s, x, "left") for s, x in zip(self.sorted, low.T, strict=True)]
-        highs = [np.searchsorted(s, x, "left") for s, x in zip(self.sorted, (low + (1 << free)).T, strict=True)]
-        met = np.zeros(self.order.shape[1], dtype=bool)
-        for spans in zip(np.transpose(lows).tolist(), np.transpose(highs).tolist(), strict=True):
-            met[:] = False
-            for rows, a, b in zip(self.order, *spans, strict=True):
-                met[rows[a:b]] = True
-            yield np.flatnonzero(met)
-
-
-def best_of(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, query_codes: np.ndarray, length: int, k: int) -> pd.DataFrame:
-    """The best ``k`` candidates of each query in one bucket, and the number of its candidates there."""
-    out = []
-    for q, near in enumerate(Forest(codes).candidates(query_codes, length)):
-        near = near[ids[near] != query_ids[q]]
-        if met := len(near):
-            if met > k:  # the product rounds in another order: what may be among the best is summed up again
-                rough = vectors[near] @ queries[q]
-                bar = np.partition(rough, met - k)[met - k]
-                near = near[rough >= bar - 1e-9 * max(1.0, abs(bar))]
-            exact = (vectors[near] * queries[q]).sum(axis=1)
-            top = np.lexsort((ids[near], -exact))[:k]
-            out.append((query_ids[q], ids[near][top], exact[top], met))
-    if not out:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "met": []})
-    sizes = [len(i) for _, i, _, _ in out]
-    met = np.concatenate([[m, *[0] * (n - 1)] for (*_, m), n in zip(out, sizes, strict=True)])
-    return pd.DataFrame({"query_id": np.repeat([q for q, *_ in out], sizes), "vec_id": np.concatenate([i for _, i, _, _ in out]), "score": np.concatenate([s for _, _, s, _ in out]), "met": met})
-
-
-def fitted(ids: np.ndarray, vectors: np.ndarray, norm: float, k: int) -> tuple[int, int]:
-    """(trees, length of prefix) by which the sample's neighbours are met at the least share of candidates."""
-    asked = np.arange(min(SAMPLE_QUERIES, len(ids)))
-    scores = vectors[asked] @ vectors.T
-    scores[ids[asked][:, None] == ids] = -np.inf
-    top = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(ids) - 1)]
-    if not top.size:
-        return TREES, 0
-    codes, columns = hashes(vectors, norm), np.array(TREE_CHOICES) - 1
-    near, every = np.zeros((len(TREE_CHOICES), BITS + 1)), np.zeros((len(TREE_CHOICES), BITS + 1))
-    for q, code in zip(asked, hashes(vectors[asked], None), strict=True):
-        common = np.maximum.accumulate(BITS - np.frexp((codes ^ code).astype(np.float64))[1], axis=1)  # most bits in the first trees
-        for choice, shared in enumerate(common[:, columns].T):
-            near[choice] += np.bincount(shared[top[q]], minlength=BITS + 1)
-            every[choice] += np.bincount(shared, minlength=BITS + 1)
-    at_least = lambda counts: counts[:, ::-1].cumsum(axis=1)[:, ::-1] / counts.sum(axis=1, keepdims=True)
-    met, share = at_least(near), at_least(every)
-    lengths = [int(np.flatnonzero(m >= TARGET).max()) for m in met]
-    return min((share[i, length], trees, length) for i, (trees, length) in enumerate(zip(TREE_CHOICES, lengths, strict=True)))[1:]
+    """The trees of one bucket: its rows, and for each tree their order and their sorted hashes."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, order: np.ndarray, ordered: np.ndarray):
+        self.ids, self.vectors, self.norm, self.order, self.sorted = ids, vectors, norm, order, strings(ordered)
+        self.codes = ordered
+
+    @classmethod
+    def planted(cls, ids: np.ndarray, vectors: np.ndarray, norm: float, codes: np.ndarray) -> Forest:
+        by_tree = codes.transpose(1, 0, 2)
+        order = np.argsort(strings(by_tree), axis=1, kind="stable")
+        return cls(ids, vectors, norm, order.astype(np.int32), np.take_along_axis(by_tree, order[:, :, None], axis=1))
+
+    def stored(self) -> dict[str, bytes]:
+        return {"ids": self.ids.tobytes(), "vectors": self.vectors.tobytes(), "ranks": self.order.tobytes(), "codes": self.codes.tobytes()}
+
+    @classmethod
+    def read(cls, row: pd.Series) -> Forest:
+        ids = np.frombuffer(row["ids"], dtype=np.int64)
+        vectors = np.frombuffer(row["vectors"]).reshape(len(ids), -1)
+        order = np.frombuffer(row["ranks"], dtype=np.int32).reshape(TREES, len(ids))
+        return cls(ids, vectors, row["norm"], order, np.frombuffer(row["codes"], dtype=np.uint8).reshape(TREES, len(ids), -1))
+
+    def beyond(self, codes: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Bits of the longest match in any tree outside the places ``first`` to ``end``; -1 where no rows are left.
+
+        The rows of a tree are in order, so the longest match is one of the two rows around those places.
+        """
+        out, n = np.full(first.shape, -1, dtype=np.int64), len(self.ids)
+        for place, there in ((first - 1, first > 0), (end, end < n)):
+            apart = self.codes[np.arange(TREES), np.clip(place, 0, n - 1)] ^ codes
+            byte = (apart != 0).argmax(axis=2)
+            last = np.take_along_axis(apart, byte[:, :, None], axis=2)[:, :, 0]
+            shared = np.where(last > 0, 8 * byte + LEADING_ZEROS[last], BITS)
+            np.maximum(out, shared, out=out, where=there)
+        return out.max(axis=1, initial=-1)
+
+    def spans(self, codes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, TREES) first and end places of the rows that share ``level`` bits of prefix."""
+        free = np.packbits(np.arange(BITS) >= level)
+        lows, highs = strings(codes & ~free).T, strings(codes | free).T
+        first = [np.searchsorted(s, x, "left") for s, x in zip(self.sorted, lows, strict=True)]
+        end = [np.searchsorted(s, x, "right") for s, x in zip(self.sorted, highs, strict=True)]
+        return np.transpose(first), np.transpose(end)
+
+    def ascend(self, codes: np.ndarray, until: np.ndarray, since: int | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(level, query, rows first met there), from the longest match of all trees on, down to ``until`` of a query.
+
+        With ``since`` the queries go on from that level, whose rows they have met before.
+
+        All trees of a query ascend together, and pass over the levels that bring no row in any of them. The caller may
+        raise ``until`` of a query between two levels.
+        """
+        first, end = self.spans(codes, BITS if since is None else since)
+        met = np.zeros((len(codes), len(self.ids)), dtype=bool)
+        level = self.beyond(codes, first, end)
+        if since is None:
+            level = np.where((first < end).any(axis=1), BITS, level)
+            end[:] = first
+        else:
+            for q, places in enumerate(zip(first.tolist(), end.tolist(), strict=True)):
+                met[q, np.concatenate([rows[a:b] for rows, a, b in zip(self.order, *places, strict=True)])] = True
+        while (going := (level >= until) & (level >= 0)).any():
+            now = int(level[going].max())
+            asked = np.flatnonzero(going & (level == now))
+            low, high = self.spans(codes[asked], now)
+            before = first[asked].tolist(), end[asked].tolist()
+            first[asked], end[asked] = low, high
+            level[asked] = self.beyond(codes[asked], low, high)
+            for q, lows, highs, tops, ends in zip(asked.tolist(), low.tolist(), high.tolist(), *before, strict=True):
+                new = [rows[a:b] for rows, lo, hi, top, bottom in zip(self.order, lows, highs, tops, ends, strict=True) for a, b in ((lo, top), (bottom, hi)) if a < b]
+                rows = np.concatenate(new)
+                here = np.zeros(len(self.ids), dtype=bool)
+                here[rows] = True
+                fresh = np.flatnonzero(here & ~met[q])
+                met[q] |= here
+                if len(fresh):
+                    yield now, q, fresh
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, codes: np.ndarray, bounds: np.ndarray, k: int, since: int | None = None, least: int = 0) -> tuple[pd.DataFrame, np.ndarray]:
+        """The best ``k`` candidates of each query here with how many it met, and the queries' bounds.
+
+        A bound is a score that ``k`` rows are known to have; minus infinity where there are none. Queries go on from
+        level ``since``, if given, and stop at the level ``least`` at the latest.
+        """
+        norms, bounds = np.sqrt((queries * queries).sum(axis=1)), bounds.copy()
+        until, count = np.maximum(least, last_level(bounds, norms, self.norm)), np.zeros(len(queries), dtype=np.int64)
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for _, q, near in self.ascend(codes, until, since):
+            near = near[self.ids[near] != query_ids[q]]
+            count[q] += len(near)
+            rough = self.vectors[near] @ queries[q]  # the product rounds in another order: what may be among the best is summed up again
+            bar = bounds[q]
+            if len(near) > k:
+                bar = max(bar, np.partition(rough, len(near) - k)[len(near) - k])
+            near = near[rough >= bar - 1e-9 * max(1.0, abs(bar))] if np.isfinite(bar) else near
+            ids, scores = self.ids[near], (self.vectors[near] * queries[q]).sum(axis=1)
+            if q in best:
+                ids, scores = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], scores])
+            top = np.lexsort((ids, -scores))[:k]
+            best[q] = ids[top], scores[top]
+            if len(np.unique(ids[top])) == k and scores[top][-1] > bounds[q]:
+                bounds[q] = scores[top][-1]
+                until[q] = max(least, last_level(bounds[q : q + 1], norms[q : q + 1], self.norm)[0])
+        found = [pd.DataFrame({"id": query_ids[q], "vec_id": ids, "score": scores, "met": np.eye(1, len(ids), dtype=np.int64)[0] * count[q]}) for q, (ids, scores) in best.items() if len(ids)]
+        return pd.concat(found or [pd.DataFrame({c: [] for c in ("id", "vec_id", "score", "met")})], ignore_index=True), bounds
 
 
 def usable(vector: Column) -> Column:
@@ -135,57 +209,104 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0)
 
 
-def with_fit(sized: DataFrame, k: int) -> DataFrame:
-    """(dim, trees, length): the fit of each dimension, on a sample of about SAMPLE_ROWS rows of each."""
+#: Rows of a planted bucket: its trees (``tree``), its own queries with their bounds (``query``), and what they found.
+PLANTED = (
+    "kind string, dim int, bucket long, norm double, ids binary, vectors binary, ranks binary, codes binary, "
+    "block long, id long, vector array<double>, bound double, vec_id long, score double, met long"
+)
+QUERY = "dim int, bucket long, block long, norm double, id long, vector array<double>, codes binary, bound double"
+FOUND = "id long, vec_id long, score double, met long"
+
+
+def planted(rows: DataFrame, k: int) -> DataFrame:
+    """PLANTED: every bucket with its sorted trees, and the search of the queries that are its own rows."""
+    names = [c.split()[0] for c in PLANTED.split(", ")]
+
+    def plant(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id", kind="stable")
+        first = group.iloc[0]
+        vectors, ids = np.stack(group["vector"].to_numpy()), group["id"].to_numpy()
+        forest = Forest.planted(ids, vectors, first["norm"], from_bytes(group["codes"]))
+        out = [pd.DataFrame([{"kind": "tree", **forest.stored()}])]
+        asks = group["asks"].to_numpy(dtype=bool)
+        if asks.any():
+            codes = hashes(vectors[asks], None)
+            found, bounds = forest.search(ids[asks], vectors[asks], codes, np.full(asks.sum(), -np.inf), k, least=0 if first["n"] <= BUCKET_ROWS else LONG)
+            own = group[asks][["block", "id", "vector"]]
+            out += [own.assign(kind="query", bound=bounds, codes=[c.tobytes() for c in codes]), found.assign(kind="found")]
+        out = pd.concat(out, ignore_index=True).reindex(columns=names)
+        out = out.assign(dim=first["dim"], bucket=first["bucket"], norm=first["norm"]).astype({c: "Int64" for c in ("block", "id", "vec_id", "met")})
+        plain = ("ids", "vectors", "ranks", "codes", "vector")  # pandas marks what is missing by a float
+        return out.assign(**{c: out[c].astype(object).where(out[c].notna(), None) for c in plain})
+
+    return rows.groupBy("dim", "bucket").applyInPandas(plant, PLANTED)
+
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["spread", "id"])
-        trees, length = fitted(group["id"].to_numpy(), np.stack(group["vector"].to_numpy()), group["norm"].iloc[0], k)
-        return pd.DataFrame({"dim": group["dim"].iloc[:1], "trees": trees, "length": length})
+def prefixes(rows: DataFrame, keep: str) -> DataFrame:
+    """(dim, keep, route, tree, prefix), distinct, of rows with the lengths of prefix in ``routes``."""
 
-    spread = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30))
-    sample = sized.withColumn("spread", spread).where(F.col("spread") <= F.lit(float(SAMPLE_ROWS << 30)) / F.col("n"))
-    return sample.select("dim", "norm", "spread", "id", "vector").groupBy("dim").applyInPandas(fit, "dim int, trees int, length int")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            head = np.ascontiguousarray(from_bytes(batch["codes"])[:, :, :8]).view(">u8")[:, :, 0].astype(np.uint64)
+            for route in sorted({int(r) for routes in batch["routes"] for r in routes}):
+                has = np.array([route in routes for routes in batch["routes"]])
+                trees = TREES if route else 1
+                prefix = (head[has, :trees] >> np.uint64(63 - route)) >> np.uint64(1)
+                n = int(has.sum())
+                out = pd.DataFrame({"dim": np.repeat(batch["dim"].to_numpy()[has], trees), keep: np.repeat(batch[keep].to_numpy()[has], trees), "route": route})
+                yield out.assign(tree=np.tile(np.arange(trees), n), prefix=prefix.ravel().astype(np.int64)).drop_duplicates()
 
+    return rows.select("dim", keep, "codes", "routes").mapInPandas(run, f"dim int, {keep} long, route int, tree int, prefix long").distinct()
 
-def prefixes(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns of rows or queries (where ``asks``) with tree and prefix, a row for each tree in use."""
+
+def with_level(queries: DataFrame) -> DataFrame:
+    """``queries`` with the level down to which they have to ascend by their bounds."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for (_, asks), part in batch.groupby(["dim", "asks"], sort=False):
-                trees, length = int(part["trees"].iloc[0]), part["length"].to_numpy()
-                codes = hashes(np.stack(part["vector"].to_numpy()), None if asks else part["norm"].iloc[0], trees)
-                kept = {c: np.repeat(part[c].to_numpy(), trees) for c in keep}
-                yield pd.DataFrame(kept | {"tree": np.tile(np.arange(trees), len(part)), "prefix": (codes >> (BITS - length)[:, None]).ravel()})
-
-    plain = rows.select("asks", "norm", "trees", "length", "vector", *keep)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.select(*keep).schema)
-    return plain.mapInPandas(run, f"{schema}, tree int, prefix long")
-
-
-def searched(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score, met) of all tiles. ``queries`` carry the trees and the length of prefix to search with."""
-    # the same trees and length for all of a dimension, in one search
-    how = queries.select("dim", "trees", "length").distinct()
-    rows = index.join(F.broadcast(how), "dim").withColumn("asks", F.lit(False))
-    places = prefixes(rows, ["dim", "bucket"]).distinct()
-    asked = prefixes(queries, ["dim", "block"]).distinct()
-    tiles = asked.join(places, ["dim", "tree", "prefix"]).select("dim", "bucket", "block").distinct()
+            norms = np.array([np.sqrt((v * v).sum()) for v in batch["vector"]])
+            yield batch.assign(level=last_level(batch["bound"].to_numpy(), norms, batch["norm"].to_numpy()))
+
+    return queries.mapInPandas(run, f"{QUERY}, level long")
+
+
+def with_bounds(queries: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """``queries`` with the bounds that follow from all that they have found."""
+    found = found.groupBy("id", "vec_id").agg(F.max("score").alias("score"))
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"))))
+    last = best.where(F.col("rank") == k).select("id", F.col("score").alias("last"))
+    last = broadcast_if_small(materialize(last, "bounds"))
+    return queries.join(last, "id", "left").withColumn("bound", F.greatest("bound", F.coalesce("last", F.lit(float("-inf"))))).select(*queries.columns)
+
+
+def elsewhere(rows: DataFrame, trees: DataFrame, queries: DataFrame, k: int, since: int | None, least: int) -> DataFrame:
+    """FOUND in all buckets where ``queries`` have to ascend from level ``since`` to ``least``, or to their own level.
+
+    Without ``since`` their own buckets are left out, where they have been.
+    """
+    down_to = F.greatest("level", F.lit(least))
+    route = F.array_max(F.filter(F.array(*[F.lit(r) for r in ROUTES]), lambda r: r <= down_to))
+    asked = materialize(prefixes(queries.withColumn("routes", F.array(route)), "block"), "asked")
+    in_use = asked.groupBy("dim").agg(F.collect_set("route").alias("routes"))  # a row for each dimension, ROUTES at most
+    held = prefixes(rows.join(broadcast_if_small(materialize(in_use, "routes")), "dim"), "bucket")
+    tiles = asked.join(held, ["dim", "route", "tree", "prefix"]).select("dim", "bucket", "block").distinct()
     tiles = broadcast_if_small(materialize(tiles, "tiles"))
-    columns = ["dim", "bucket", "block", "asks", "norm", "trees", "length", "id", "vector"]
-    sent = queries.drop("bucket").join(tiles, ["dim", "block"]).select(*columns)
-    held = rows.drop("block").join(tiles, ["dim", "bucket"]).select(*columns)
+    key = ["dim", "bucket", "block"]
 
-    def tile(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable")
-        asks = group["asks"].to_numpy(dtype=bool)
-        vectors, ids = np.stack(group["vector"].to_numpy()), group["id"].to_numpy()
-        norm, trees, length = group["norm"].iloc[0], int(group["trees"].iloc[0]), int(group["length"].iloc[0])
-        found = hashes(vectors[~asks], norm, trees), hashes(vectors[asks], None, trees)
-        return best_of(ids[~asks], vectors[~asks], found[0], ids[asks], vectors[asks], found[1], length, k)
+    def tile(bucket: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if since is None:
+            asked = asked[asked["home"] != asked["bucket"]]
+        if bucket.empty or asked.empty:
+            return pd.DataFrame({"id": [], "vec_id": [], "score": [], "met": []})
+        forest, vectors = Forest.read(bucket.iloc[0]), np.stack(asked["vector"].to_numpy())
+        found, _ = forest.search(asked["id"].to_numpy(), vectors, from_bytes(asked["codes"]), asked["bound"].to_numpy(), k, since, least)
+        return found
 
-    return held.unionByName(sent).groupBy("dim", "bucket", "block").applyInPandas(tile, "query_id long, vec_id long, score double, met long")
+    sent = queries.withColumnRenamed("bucket", "home").join(tiles, ["dim", "block"]).select(*key, "home", "id", "vector", "codes", "bound")
+    buckets = trees.join(tiles, ["dim", "bucket"]).select(*key, "norm", "ids", "vectors", "ranks", "codes")
+    return buckets.groupBy(*key).cogroup(sent.groupBy(*key)).applyInPandas(tile, FOUND)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -197,16 +318,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     sizes = plain.groupBy("dim").agg(F.max(norm).alias("norm"), F.count("*").alias("n"))
     sizes = materialize(sizes.withColumn("bits", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BUCKET_ROWS))).cast("int")), "vector-counts")
-    sized = plain.join(broadcast_if_small(sizes), "dim")
-    sized = sized.join(broadcast_if_small(materialize(with_fit(sized, k), "fit")), "dim")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, part in batch.groupby("dim", sort=False):
-                first = hashes(np.stack(part["vector"].to_numpy()), part["norm"].iloc[0], 1)[:, 0]
-                yield part.assign(place=first >> (BITS - part["bits"].to_numpy())).drop(columns=["bits", "n"])
+                codes = hashes(np.stack(part["vector"].to_numpy()), part["norm"].iloc[0])
+                head = np.ascontiguousarray(codes[:, 0, :4]).view(">u4")[:, 0].astype(np.int64)
+                yield part.assign(codes=[c.tobytes() for c in codes], place=head >> (32 - part["bits"].to_numpy())).drop(columns=["bits"])
 
-    placed = sized.mapInPandas(place, "dim int, id long, vector array<double>, asks boolean, norm double, trees int, length int, place long")
+    placed = plain.join(broadcast_if_small(sizes), "dim").mapInPandas(place, "dim int, id long, vector array<double>, asks boolean, norm double, n long, codes binary, place long")
     placed = materialize(placed.withColumn("area", F.shiftright("place", 4)), "placed")
     split = lambda rows, at_most: F.ceil(rows / at_most).cast("long")
     cells = placed.groupBy("dim", "place").agg(split(F.count("*"), BUCKET_ROWS).alias("parts"))
@@ -214,23 +334,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     index = placed.join(broadcast_if_small(materialize(cells, "cells")), ["dim", "place"]).join(broadcast_if_small(materialize(areas, "areas")), ["dim", "area"])
     within = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
     named = lambda place, seed, n: F.shiftleft(place, 24) + within(seed, n)
-    index = index.select("dim", "id", "vector", "asks", "norm", "trees", "length", named("place", 1, "parts").alias("bucket"), named("area", 2, "blocks").alias("block"))
-    index = materialize(index, "forest")
-    todo, all_found = index.where("asks"), []
-    for shorter in (1, 2, None):
-        length = F.expr(f"length div {shorter}").cast("int") if shorter else F.lit(0)
-        found = materialize(searched(index.drop("trees", "length"), todo.withColumn("length", length), k), "found")
-        met = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("rows")).where(F.col("rows") >= k).select(F.col("query_id").alias("id"))
-        enough = broadcast_if_small(materialize(met, "enough"))
-        last = shorter is None
-        all_found.append(found if last else found.join(enough.withColumnRenamed("id", "query_id"), "query_id", "left_semi"))
-        todo = todo.join(enough, "id", "left_anti")
-        if last or todo.isEmpty():
-            break
-    found = all_found[0]
-    for more in all_found[1:]:
-        found = found.unionByName(more)
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.sum("met").alias("met"))
+    index = index.select("dim", "id", "vector", "asks", "norm", "n", "codes", named("place", 1, "parts").alias("bucket"), named("area", 2, "blocks").alias("block"))
+    forest = materialize(planted(index, k), "forest")
+    # new names, since trees and queries meet again
+    of = lambda kind, *columns: forest.where(F.col("kind") == kind).select(*[F.col(c).alias(c) for c in columns])
+    trees = of("tree", "dim", "bucket", "norm", "ids", "vectors", "ranks", "codes")
+    found = of("found", "id", "vec_id", "score", "met")
+    several = index.where(F.col("n") > BUCKET_ROWS)
+    queries = of("query", *[c.split()[0] for c in QUERY.split(", ")]).join(broadcast_if_small(sizes.where(F.col("n") > BUCKET_ROWS).select("dim")), "dim", "left_semi")
+    queries = materialize(with_level(queries.select(*[c.split()[0] for c in QUERY.split(", ")])), "queries")
+    if not queries.isEmpty():
+        found = found.unionByName(materialize(elsewhere(several, trees, queries, k, None, LONG), "found-long"))
+        queries = materialize(with_level(with_bounds(queries.drop("level"), found, k)).where(F.col("level") < LONG), "queries-short")
+    if not queries.isEmpty():
+        found = found.unionByName(materialize(elsewhere(several, trees, queries, k, LONG, 0), "found-short"))
+    found = found.withColumnRenamed("id", "query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.sum("met").alias("met"))
     found = found.withColumn("candidates", F.sum("met").over(Window.partitionBy("query_id")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "candidates")

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -368,9 +369,48 @@ def test_clustered_vectors_need_few_candidates(spark, monkeypatch):
     assert recall >= 0.9 and share < 0.1 + own * own
 
 
+def test_trees_ascend_together_from_each_querys_longest_match():
+    """Levels fall, each holds the rows of the level before, and are those that share the prefix in some tree."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 12))
+    x[200:] = x[:100] + rng.standard_normal((100, 12)) * 0.05
+    x[50:60] = x[50]
+    norm = np.sqrt((x * x).sum(axis=1)).max()
+    codes, asked = ann.hashes(x, norm), ann.hashes(x[::10], None)
+    bits = lambda c: np.unpackbits(c, axis=2)
+    shared = np.array([np.cumprod(bits(codes) == q, axis=2).sum(axis=2) for q in bits(asked)])  # (queries, rows, trees)
+    forest = ann.Forest.planted(np.arange(300), x, norm, codes)
+    again = ann.Forest.read(pd.Series({**forest.stored(), "norm": norm}))
+    for trees in (forest, again):
+        levels, met = defaultdict(list), defaultdict(set)
+        for level, q, rows in trees.ascend(asked, np.zeros(30, dtype=np.int64)):
+            assert not levels[q] or level < levels[q][-1]
+            levels[q].append(level)
+            assert not met[q] & set(rows.tolist())
+            met[q] |= set(rows.tolist())
+            assert met[q] == set(np.flatnonzero((shared[q] >= level).any(axis=1)).tolist())
+        assert all(levels[q][0] == shared[q].max() and len(met[q]) == 300 for q in range(30))
+    # within one level, trees hold matches of different lengths
+    assert any(len(set(shared[q].max(axis=0).tolist())) > 5 for q in range(30))
+    assert len({levels[q][0] for q in range(30)}) > 5
+
+
+def test_ascent_stops_by_the_last_of_the_best():
+    """Near neighbours stop a query at long prefixes; the level of a score is where its chance reaches the target."""
+    scores, one = np.array([-np.inf, -0.5, 0.0, 0.5, 0.9, 0.999, 1.0]), np.ones(7)
+    levels = ann.last_level(scores, one, 1.0)
+    assert list(levels) == sorted(levels) and levels[0] == 0 and levels[-1] == ann.BITS
+    for score, level in zip(scores[1:-1], levels[1:-1], strict=True):
+        share = 1 - np.arccos(score) / np.pi
+        chance = lambda bits: 1 - (1 - share**bits) ** ann.TREES  # noqa: B023, E731
+        assert chance(level) >= ann.TARGET > chance(level + 1)
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
-def test_recall_on_embeddings(spark):
-    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").where("embedding is not null").orderBy("vec_id").collect()
+@pytest.mark.parametrize(("sf", "bucket_rows"), [("sf0.01", 4096), ("sf0.1", 4096), ("sf0.1", 300)])
+def test_recall_on_embeddings(spark, monkeypatch, sf, bucket_rows):
+    monkeypatch.setattr(ann, "BUCKET_ROWS", bucket_rows)
+    rows = spark.read.parquet(f"{os.path.dirname(DATA)}/{sf}/embeddings.parquet").where("embedding is not null").orderBy("vec_id").collect()
     x = np.array([r.embedding for r in rows], dtype=float)
     assert [r.vec_id for r in rows] == list(range(len(x)))
     _, recall, share = neighbours(spark, x)
