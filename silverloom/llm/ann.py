@@ -100,7 +100,8 @@ class Forest:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, order: np.ndarray, ordered: np.ndarray):
         self.ids, self.vectors, self.norm, self.order, self.sorted = ids, vectors, norm, order, strings(ordered)
-        self.codes = ordered
+        self.codes, self.flat = ordered, order.ravel()
+        self.at = np.tile(np.arange(TREES) * len(ids), 2)  # where a tree starts in ``flat``, for both ends of a span
 
     @classmethod
     def planted(cls, ids: np.ndarray, vectors: np.ndarray, norm: float, codes: np.ndarray) -> Forest:
@@ -161,17 +162,14 @@ class Forest:
             now = int(level[going].max())
             asked = np.flatnonzero(going & (level == now))
             low, high = self.spans(codes[asked], now)
-            before = first[asked].tolist(), end[asked].tolist()
+            starts, stops = np.hstack([low, end[asked]]), np.hstack([first[asked], high])
             first[asked], end[asked] = low, high
             level[asked] = self.beyond(codes[asked], low, high)
-            for q, lows, highs, tops, ends in zip(asked.tolist(), low.tolist(), high.tolist(), *before, strict=True):
-                new = [rows[a:b] for rows, lo, hi, top, bottom in zip(self.order, lows, highs, tops, ends, strict=True) for a, b in ((lo, top), (bottom, hi)) if a < b]
-                rows = np.concatenate(new)
-                here = np.zeros(len(self.ids), dtype=bool)
-                here[rows] = True
-                fresh = np.flatnonzero(here & ~met[q])
-                met[q] |= here
-                if len(fresh):
+            for q, start, size in zip(asked.tolist(), starts + self.at, np.maximum(stops - starts, 0), strict=True):
+                upto = size.cumsum()
+                rows = self.flat[np.repeat(start - upto + size, size) + np.arange(upto[-1])]
+                if len(fresh := np.unique(rows[~met[q, rows]])):
+                    met[q, fresh] = True
                     yield now, q, fresh
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, codes: np.ndarray, bounds: np.ndarray, k: int, since: int | None = None, least: int = 0) -> tuple[pd.DataFrame, np.ndarray]:
@@ -183,7 +181,10 @@ class Forest:
         norms, bounds = np.sqrt((queries * queries).sum(axis=1)), bounds.copy()
         until, count = np.maximum(least, last_level(bounds, norms, self.norm)), np.zeros(len(queries), dtype=np.int64)
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for _, q, near in self.ascend(codes, until, since):
+        waiting: dict[int, list[np.ndarray]] = {}
+
+        def score(q: int) -> None:
+            near = np.concatenate(waiting.pop(q))
             near = near[self.ids[near] != query_ids[q]]
             count[q] += len(near)
             rough = self.vectors[near] @ queries[q]  # the product rounds in another order: what may be among the best is summed up again
@@ -196,9 +197,16 @@ class Forest:
                 ids, scores = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], scores])
             top = np.lexsort((ids, -scores))[:k]
             best[q] = ids[top], scores[top]
-            if len(np.unique(ids[top])) == k and scores[top][-1] > bounds[q]:
+            if len(top) == k and scores[top][-1] > bounds[q] and len(np.unique(ids[top])) == k:
                 bounds[q] = scores[top][-1]
                 until[q] = max(least, last_level(bounds[q : q + 1], norms[q : q + 1], self.norm)[0])
+
+        for _, q, near in self.ascend(codes, until, since):  # rows are scored once there are k of them
+            waiting.setdefault(q, []).append(near)
+            if sum(map(len, waiting[q])) > k:
+                score(q)
+        for q in list(waiting):
+            score(q)
         found = [pd.DataFrame({"id": query_ids[q], "vec_id": ids, "score": scores, "met": np.eye(1, len(ids), dtype=np.int64)[0] * count[q]}) for q, (ids, scores) in best.items() if len(ids)]
         return pd.concat(found or [pd.DataFrame({c: [] for c in ("id", "vec_id", "score", "met")})], ignore_index=True), bounds
 
