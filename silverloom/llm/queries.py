@@ -51,7 +51,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = lambda xs: joined(xs, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, secrets.KINDS)), x.kind + 1), x.start, x.end))
     base = F.filter("found", lambda x: x.kind < 3)
     count = lambda test: F.size(F.filter("found", test)).cast("long")
-    kinds = [count(lambda x, k=k: x.kind == k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
+    of_kind = lambda k: count(lambda x: x.kind == k)  # noqa: E731  a second argument of the inner one would be the place in the array
+    kinds = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
     return found.select(
         "doc_id", *kinds[:3], F.sha2(each(base), 256).alias("base_sha256"), each(F.col("found")).alias("spans"), kinds[3],
         count(lambda x: x.live).alias("n_live"), count(lambda x: ~x.live).alias("n_example"),

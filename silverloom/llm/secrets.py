@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,10 +74,12 @@ def _with_candidates(text: str, base: list[tuple]) -> list[tuple]:
     return out + base[at:]
 
 
-def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow, as pandas would turn ids beside a null one into floats."""
+    kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.binary())]))
     for batch in batches:
-        spans = [[{"kind": k, "start": s, "end": e, "value": v} for k, s, e, v in scan(t or "")] for t in batch["text"]]
-        yield batch.drop(columns="text").assign(spans=spans)
+        spans = [[{"kind": k, "start": s, "end": e, "value": v} for k, s, e, v in scan(t or "")] for t in batch.column("text").to_pylist()]
+        yield batch.drop_columns(["text"]).append_column("spans", pa.array(spans, kind))
 
 
 def scanned(docs: DataFrame, id_col: str, owner_col: str, repo_col: str) -> DataFrame:
@@ -86,7 +89,7 @@ def scanned(docs: DataFrame, id_col: str, owner_col: str, repo_col: str) -> Data
         F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"), *text_key(), "text",
     )
     schema = f"row_id long, doc_id long, owner string, repo string, key_h long, key_c long, key_n int, spans array<{SPAN}>"
-    return materialize(whole_texts(plain).mapInPandas(_scan_batches, schema), "secret-spans")
+    return materialize(whole_texts(plain).mapInArrow(_scan_batches, schema), "secret-spans")
 
 
 def ownership(spans: DataFrame) -> DataFrame:

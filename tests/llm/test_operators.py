@@ -587,6 +587,24 @@ def test_one_owner_may_repeat_a_secret(spark, tmp_path):
     assert clean[7] == "foot [SECRET] of 7" and clean[1000] == f"see {wide} or [EXAMPLE-SECRET]" and clean[2000] == "[SECRET]"
 
 
+def test_secret_counts_by_kind(spark, tmp_path):
+    """The query counts the spans of each kind, wherever in a document's list they stand."""
+    hexed, key = "0123456789abcdef" * 2, "AKIA" + "Q7" * 8
+    rows = [(0, f"{hexed}g{hexed} {hexed}", "en", "a"), (1, f"token={hexed} {key} {key}", "en", "b"), (2, None, "en", "c"), (3, "passwd=abcdefgh secret=abcdefgi", "en", "d"), (4, "live Zx9-aaaaBBBBccccDDDD1111 here", "en", "e")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op8_secret_scan(spark, str(tmp_path)).collect()
+    expected = {i: [(f"{secrets.KINDS[k]}:{s}:{e}", k) for s, k, e in base_spans(t or "")] for i, t, _, _ in rows}
+    assert {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.n_owned) for r in out} == {i: (*(sum(k == kind for _, k in spans) for kind in range(3)), int(i == 4)) for i, spans in expected.items()}
+    assert {r.doc_id: r.base_sha256 for r in out} == {i: hashlib.sha256(",".join(s for s, _ in spans).encode()).hexdigest() for i, spans in expected.items()}
+
+
+def test_secret_scan_keeps_large_ids(spark, tmp_path):
+    """Ids beyond 2^53 stay as they are beside a null one."""
+    ids = [(1 << 53) + 1, -(1 << 62) - 1, None, (1 << 63) - 1, 7]
+    frame(spark, [(i, f"token={'0123456789abcdef' * 2}", "en", "a") for i in ids]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert Counter(r.doc_id for r in queries.op8_secret_scan(spark, str(tmp_path)).collect()) == Counter(ids)
+
+
 def test_ownership_against_brute_force(spark, tmp_path):
     rnd = random.Random(31)
     pool = [f"Zk{i}tokenvalue{i}abcdef" for i in range(12)] + ["ab01" * 8, "AKIA" + "R5" * 8]
