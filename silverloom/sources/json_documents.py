@@ -126,8 +126,13 @@ def _chunks(file: pa.NativeFile, start: int, end: int) -> Iterator[bytes]:
 
 
 def _each(spark: SparkSession, items: list, tasks: int) -> tuple[DataFrame, object]:
-    """A frame of numbers in ``tasks`` partitions, and the broadcast items that they number."""
-    return spark.range(0, len(items), 1, max(1, min(tasks, len(items)))), spark.sparkContext.broadcast(items)
+    """A frame of numbers in ``tasks`` partitions, and the broadcast items that they number.
+
+    Spark takes the size of a range to be that of its numbers, and so would broadcast the elements that are read for them;
+    of a frame made from an RDD it knows no size, and joins of it are shuffled.
+    """
+    numbers = spark.sparkContext.parallelize(range(len(items)), max(1, min(tasks, len(items)))).map(lambda k: (k,))
+    return spark.createDataFrame(numbers, "id long"), spark.sparkContext.broadcast(items)
 
 
 def _states(spark: SparkSession, cut: list[Range], tasks: int) -> list[Range]:
