@@ -2,8 +2,12 @@
 
 import pyspark.sql.functions as F
 
+from silverloom.operators import gold
+from silverloom.plans.star_tables import GOLD_CLASSES, StarTables
 from silverloom.sources.json_documents import open_documents
 
+SF = "/root/testdata/sf0.001"
+
 
 def plan(df):
     return df._jdf.queryExecution().optimizedPlan()
@@ -18,3 +22,16 @@ def test_elements_of_a_document_have_no_small_size(spark, tmp_path):
     met = annotations.join(images, F.col("image_id") == F.col("id"))
     assert sorted(r.image_id for r in met.collect()) == [1, 1, 2]
     assert "BroadcastHashJoin" not in met._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_gold_images_of_a_union_meet_the_boxes_once(spark):
+    t = StarTables(spark, SF)
+    names = [f"ds{i}" for i in range(1, 6)]
+    images = gold.union_datasets([t.images.where(F.col("dataset") == n) for n in names])
+    boxes = t.gold_boxes.where("class_name = 'face'")
+    found = gold.gold_images(images.unionByName(images), boxes, t.specs)
+    keys = {tuple(r) for r in boxes.select("dataset", "split", "file_name").collect()}
+    expected = sorted(tuple(r) for r in t.images.select("dataset", "split", "file_name").collect() if tuple(r) in keys)
+    assert sorted((r.dataset, r.split, r.file_name) for r in found.collect()) == sorted(expected * 2)
+    joins = plan(gold.gold_images(images, boxes, t.specs)).toString().count("Join LeftSemi")
+    assert joins == 0 and GOLD_CLASSES
