@@ -35,3 +35,9 @@ def test_gold_images_of_a_union_meet_the_boxes_once(spark):
     assert sorted((r.dataset, r.split, r.file_name) for r in found.collect()) == sorted(expected * 2)
     joins = plan(gold.gold_images(images, boxes, t.specs)).toString().count("Join LeftSemi")
     assert joins == 0 and GOLD_CLASSES
+
+
+def test_events_read_only_boxes_that_they_can_name(spark):
+    t = StarTables(spark, SF)
+    quarter = t.table("events").count() // 4
+    assert f"{quarter:012d}.jpg" in plan(t.events).toString()
