@@ -41,3 +41,15 @@ def test_events_read_only_boxes_that_they_can_name(spark):
     t = StarTables(spark, SF)
     quarter = t.table("events").count() // 4
     assert f"{quarter:012d}.jpg" in plan(t.events).toString()
+
+
+def test_wider_face_blocks_go_to_several_files(spark, monkeypatch):
+    """The blocks of many images are written by several tasks, and read back as those of one file."""
+    from silverloom import round_trips
+    from silverloom.queries import QUERIES
+
+    rows = lambda: sorted(map(str, (r.asDict() for r in QUERIES["wider_face_boxes"](spark, SF).collect())))
+    whole = rows()
+    monkeypatch.setattr(round_trips, "FILE_ORDERS", 300)
+    frame = QUERIES["wider_face_boxes"](spark, SF)
+    assert len(frame.inputFiles()) > 3 and rows() == whole
