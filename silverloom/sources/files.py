@@ -20,8 +20,7 @@ HEAD_BYTES, PART_BYTES = 65_536, 8 << 20
 
 def listed_images(spark: SparkSession, root: str) -> DataFrame:
     """Images below ``root`` by relative path, case-insensitive in the suffix: file_name, path, length. No content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    named = files.withColumn("file_name", F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1))
+    named = listed_files(spark, root).withColumn("file_name", F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1))
     return named.where(F.lower("path").rlike(rf"\.({'|'.join(IMAGE_SUFFIXES)})$"))
 
 
