@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
 from silverloom.plans.scratch import small
+from silverloom.sources.byte_ranges import listed_files, read_whole
 from silverloom.sources.contract import Raw, corners, raw
 
 # Columns of a box CSV, and attributes of a block line by position after the four coordinates.
@@ -88,9 +89,10 @@ def read_wider_face(spark: SparkSession, path: str, sizes: DataFrame, dataset: s
 
 def label_lines(spark: SparkSession, root: str) -> DataFrame:
     """Lines of label files: stem (path below ``root`` without its suffix), pos, parts."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root, wholetext=True)
-    path = F.regexp_extract(F.col("_metadata.file_path"), f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1)
-    return files.select(X.stem(path).alias("stem"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "line")).select("stem", "pos", F.split(F.trim("line"), r"\s+").alias("parts"))
+    files = read_whole(listed_files(spark, root, "*.txt"))
+    path = F.regexp_extract("path", f"{root.rstrip('/').split('/')[-1]}/(.*)$", 1)
+    text = F.col("data").cast("string")
+    return files.select(X.stem(path).alias("stem"), F.posexplode(F.split(text, "\r?\n")).alias("pos", "line")).select("stem", "pos", F.split(F.trim("line"), r"\s+").alias("parts"))
 
 
 def read_yolo(spark: SparkSession, label_root: str, sizes: DataFrame, class_names: list[str], dataset: str, split: str, optional: bool = False, subdirs: list[str] | None = None) -> Raw:

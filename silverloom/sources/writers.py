@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
-from silverloom.sources.byte_ranges import create_file
+from silverloom.sources.byte_ranges import create_file, spread
 
 
 def xywh() -> Column:
@@ -128,10 +128,11 @@ def write_wider_face(images: DataFrame, boxes: DataFrame, path: str, grades: lis
     blocks.select("file_name", block.alias("value")).orderBy("file_name").select("value").coalesce(1).write.text(path)
 
 
-def write_yolo(lines: DataFrame, path: str) -> None:
-    """A label file for each image: ``lines`` (stem, pos, line). The stem becomes a folder, its file the only one in it."""
+def write_yolo(lines: DataFrame, path: str) -> int:
+    """A label file for each image, ``stem`` with .txt below ``path``: ``lines`` (stem, pos, line); returns how many."""
     whole = lines.groupBy("stem").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x.line), "\n").alias("value"))
-    whole.repartition("stem").write.partitionBy("stem").text(path)
+    named = spread(whole, "stem").select(F.concat("stem", F.lit(".txt")).alias("name"), F.concat("value", F.lit("\n")).cast("binary").alias("content"))
+    return write_files(named, path)
 
 
 def write_files(rows: DataFrame, root: str) -> int:
