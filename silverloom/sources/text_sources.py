@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
-from silverloom.plans.scratch import small
+from silverloom.plans.scratch import dealt, small
 from silverloom.sources.byte_ranges import listed_files, read_whole
 from silverloom.sources.contract import Raw, corners, raw
 
 # Columns of a box CSV, and attributes of a block line by position after the four coordinates.
 CSV_COLUMNS = "ImageID string, Source string, LabelName string, Confidence double, XMin double, XMax double, YMin double, YMax double, IsOccluded string, IsTruncated string, IsGroupOf string, IsDepiction string, IsInside string"
+#: Bytes of a row of a box CSV, few rather than many.
+CSV_ROW_BYTES = 100
 LINE_ATTRIBUTES = ["attr_blur", "attr_expression", "attr_illumination", "attr_invalid", "attr_occlusion", "attr_pose"]
 
 
@@ -40,7 +42,8 @@ def read_open_images(spark: SparkSession, path: str, sizes: DataFrame, dataset:
     ``sizes``: file_name, width, height of the images that are there.
     """
     rows = csv_rows(spark, path).withColumn("file_name", X.sharded_file_name(F.col("ImageID"), F.lit(split)))
-    met = rows.join(sizes.select("file_name", "width", "height"), "file_name")
+    size = listed_files(spark, path).agg(F.sum("length")).first()[0] or 0  # a sum
+    met = dealt(rows, size // CSV_ROW_BYTES, "file_name").join(sizes.select("file_name", "width", "height"), "file_name")
     met = met.withColumn("source_box_index", F.row_number().over(Window.partitionBy("file_name").orderBy("place")) - 1)
     w, h = F.col("width"), F.col("height")
     boxes = met.withColumns(corners([F.col("XMin") * w, F.col("YMin") * h, F.col("XMax") * w, F.col("YMax") * h]))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.functions import expr as X
+from silverloom.plans.scratch import dealt
 from silverloom.sources.byte_ranges import create_file, spread
 
 
@@ -99,12 +100,17 @@ def write_hiertext(images: DataFrame, boxes: DataFrame, path: str, flags: dict[s
     _write(pages.select("chunk", F.to_json(F.struct("annotations")).alias("value")), path, compression="gzip")
 
 
-def write_open_images(boxes: DataFrame, path: str) -> None:
-    """A CSV of normalised boxes; the rows of an image stand together. ``boxes`` also has width and height."""
+def write_open_images(boxes: DataFrame, path: str, num_boxes: int = 0) -> None:
+    """A CSV of normalised boxes; the rows of an image stand together. ``boxes`` also has width and height.
+
+    ``num_boxes``, where known, says over how many tasks they have to be dealt.
+    """
     share = lambda c, side: (F.col(c) / F.col(side)).alias(c[:2].upper() + c[2:])
     flag = lambda c, name: F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(name)
     none = [F.lit(0).alias(c) for c in ("IsOccluded", "IsTruncated")]
-    rows = boxes.repartition("file_name").sortWithinPartitions("file_name", "source_box_index").select(
+    together = dealt(boxes, num_boxes, "file_name")
+    together = boxes.repartition("file_name") if together is boxes else together
+    rows = together.sortWithinPartitions("file_name", "source_box_index").select(
         X.stem(F.col("file_name")).alias("ImageID"), F.lit("s").alias("Source"), F.col("source_class").alias("LabelName"), F.lit(1.0).alias("Confidence"),
         share("xmin", "width"), share("xmax", "width"), share("ymin", "height"), share("ymax", "height"), *none,
         flag("attr_is_group_of", "IsGroupOf"), flag("attr_is_depiction", "IsDepiction"), F.lit(0).alias("IsInside"),
