@@ -4,7 +4,8 @@ Every tree has a long hash of each vector: the signs of ``BITS`` random projecti
 kept in the order of their hashes, so that all rows with an equal prefix of any length lie together. A query finds its
 longest match in every tree by a binary search, then ascends in all trees at once, a bit at a time, from the longest
 match of all: each level adds the rows that share so many bits with it in some tree. New candidates are scored, in
-double precision, on the original vectors.
+double precision, on the original vectors. The queries of a block ascend together: the rows that a level adds, for all
+queries and trees, are one array.
 
 A query ascends until rows as near as its ``k``-th best so far would have been met with a chance of ``TARGET``: two
 vectors at an angle of a share a bit with a chance p = 1 - a / pi, so they share ``level`` bits in one of ``TREES``
@@ -18,8 +19,9 @@ The index is spread by the hashes themselves: a bucket is a range of the first t
 many rows is split by a hash of the id. A bucket is written once, with the sorted arrays of its trees. The ascent has
 three steps, and the ``k``-th best of one bounds the next: down to ``LONG`` bits in a query's own bucket, down to
 ``LONG`` bits in all others, and on from there, for the queries that have to. Queries go in blocks to the buckets where
-some tree has rows of the prefix down to which they ascend, found by a join of distinct prefixes, and to no other; each
-tile of a bucket and a block is a group of bounded size. On clustered vectors a block so meets few buckets, and few
+some tree has rows of the prefix down to which they ascend, and to no other. A prefix is one row that lists its buckets
+and its blocks, so a join has no more rows than there are prefixes, and one tree comes before all others, which are only
+asked about blocks that do not go to every bucket by then. Each tile of a bucket and a block is a group of bounded size. On clustered vectors a block so meets few buckets, and few
 queries take the last step; on independent directions every bucket has rows of every short prefix, and the work is
 queries times rows.
 
@@ -50,8 +52,12 @@ LONG = 12
 #: Lengths of prefix by which blocks are sent to buckets: the longest that is no longer than a query's level.
 ROUTES = (*range(9), 12, 16, 24, 32, 48)
 SEED = 20
-#: Bits before the first set one of a byte.
-LEADING_ZEROS = np.array([8 - int(b).bit_length() for b in range(256)])
+#: Levels to which an ascent goes in one step, up to ``LONG``; rows of the levels between are told apart by their hashes.
+BANDS = (64, 48, 32, 24, 16)
+#: Queries that ascend together, and rows of their trees that are looked at together (more, if one query has more).
+TOGETHER, PLACES = 256, 1 << 18
+#: The tree that is asked first where blocks go; the first tree orders the buckets, so its prefixes are in few of them.
+SCOUT = 1
 
 
 @lru_cache(maxsize=8)
@@ -86,6 +92,18 @@ def strings(codes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(codes).view(f"S{BITS // 8}")[..., 0]
 
 
+def words(codes: np.ndarray) -> np.ndarray:
+    """Hashes as (2, ...) halves of 64 bits, whose order is the order of their bits."""
+    return np.ascontiguousarray(np.moveaxis(np.ascontiguousarray(codes).view(">u8"), -1, 0)).astype(np.uint64)
+
+
+def leading_zeros(x: np.ndarray) -> np.ndarray:
+    """Bits before the first set one of 64."""
+    high = x >> np.uint64(32)
+    half = np.where(high > 0, high, x & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    return 32 - np.frexp(half)[1] + np.where(high > 0, 0, 32)
+
+
 def last_level(score: np.ndarray, norms: np.ndarray, norm: float) -> np.ndarray:
     """The longest prefix at which rows of at least ``score`` have been met with a chance of ``TARGET``."""
     share = 1 - np.arccos(np.clip(score / (norms * norm), -1, 1)) / np.pi
@@ -99,9 +117,10 @@ class Forest:
     """The trees of one bucket: its rows, and for each tree their order and their sorted hashes."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, order: np.ndarray, ordered: np.ndarray):
-        self.ids, self.vectors, self.norm, self.order, self.sorted = ids, vectors, norm, order, strings(ordered)
-        self.codes, self.flat = ordered, order.ravel()
-        self.at = np.tile(np.arange(TREES) * len(ids), 2)  # where a tree starts in ``flat``, for both ends of a span
+        self.ids, self.vectors, self.norm, self.order, self.codes = ids, vectors, norm, order, ordered
+        self.halves, self.flat, self.at = words(ordered), order.ravel(), np.arange(TREES) * len(ids)
+        heads = (self.halves[0] >> np.uint64(64 - LONG)).astype(np.int64)
+        self.nodes = np.array([np.concatenate([[0], np.bincount(h, minlength=1 << LONG).cumsum()]) for h in heads])
 
     @classmethod
     def planted(cls, ids: np.ndarray, vectors: np.ndarray, norm: float, codes: np.ndarray) -> Forest:
@@ -119,58 +138,109 @@ class Forest:
         order = np.frombuffer(row["ranks"], dtype=np.int32).reshape(TREES, len(ids))
         return cls(ids, vectors, row["norm"], order, np.frombuffer(row["codes"], dtype=np.uint8).reshape(TREES, len(ids), -1))
 
-    def beyond(self, codes: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Bits of the longest match in any tree outside the places ``first`` to ``end``; -1 where no rows are left.
+    def spans(self, heads: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, TREES) first and end places of the rows that share ``level`` bits of prefix, 64 at most.
 
-        The rows of a tree are in order, so the longest match is one of the two rows around those places.
+        ``heads`` are the first halves of the queries' hashes. Up to ``LONG`` bits the places are in a table.
         """
-        out, n = np.full(first.shape, -1, dtype=np.int64), len(self.ids)
-        for place, there in ((first - 1, first > 0), (end, end < n)):
-            apart = self.codes[np.arange(TREES), np.clip(place, 0, n - 1)] ^ codes
-            byte = (apart != 0).argmax(axis=2)
-            last = np.take_along_axis(apart, byte[:, :, None], axis=2)[:, :, 0]
-            shared = np.where(last > 0, 8 * byte + LEADING_ZEROS[last], BITS)
-            np.maximum(out, shared, out=out, where=there)
-        return out.max(axis=1, initial=-1)
-
-    def spans(self, codes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """(queries, TREES) first and end places of the rows that share ``level`` bits of prefix."""
-        free = np.packbits(np.arange(BITS) >= level)
-        lows, highs = strings(codes & ~free).T, strings(codes | free).T
-        first = [np.searchsorted(s, x, "left") for s, x in zip(self.sorted, lows, strict=True)]
-        end = [np.searchsorted(s, x, "right") for s, x in zip(self.sorted, highs, strict=True)]
+        if level <= LONG:
+            node = ((heads >> np.uint64(64 - LONG)) >> np.uint64(LONG - level)).astype(np.int64)
+            trees = np.arange(TREES)
+            return self.nodes[trees, node << (LONG - level)], self.nodes[trees, (node + 1) << (LONG - level)]
+        free = np.uint64((1 << (64 - level)) - 1)
+        lows, highs = (heads & ~free).T, (heads | free).T
+        first = [np.searchsorted(s, x, "left") for s, x in zip(self.halves[0], lows, strict=True)]
+        end = [np.searchsorted(s, x, "right") for s, x in zip(self.halves[0], highs, strict=True)]
         return np.transpose(first), np.transpose(end)
 
-    def ascend(self, codes: np.ndarray, until: np.ndarray, since: int | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(level, query, rows first met there), from the longest match of all trees on, down to ``until`` of a query.
+    def longest(self, heads: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Bits of a query's longest match in any tree, ``BITS`` where it is longer than a half.
+
+        ``first`` to ``end`` are the rows that share a half. The rows of a tree are in order, so where there are none the
+        longest match is one of the two rows around that place.
+        """
+        out, n = np.where((first < end).any(axis=1), BITS, -1), len(self.ids)
+        for place, there in ((first - 1, first > 0), (end, end < n)):
+            shared = leading_zeros(self.halves[0][np.arange(TREES), np.clip(place, 0, n - 1)] ^ heads)
+            np.maximum(out, np.where(there, shared, -1).max(axis=1), out=out)
+        return out
+
+    def places(self, starts: np.ndarray, stops: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """(queries, query, place in ``flat``) of all places from starts to stops, some queries at a time."""
+        sizes = np.maximum(stops - starts, 0)
+        upto = sizes.sum(axis=1).cumsum()
+        at = 0
+        while at < len(sizes):
+            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PLACES, "right")))
+            size = sizes[at:stop].ravel()
+            ends = size.cumsum()
+            yield slice(at, stop), np.repeat(np.arange(at, stop), sizes[at:stop].sum(axis=1)), np.repeat(starts[at:stop].ravel() - ends + size, size) + np.arange(ends[-1])
+            at = stop
+
+    def climb(self, codes: np.ndarray, until: np.ndarray, since: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(level, queries, rows that they first meet there), from the longest match of all trees on, down to ``until``.
 
         With ``since`` the queries go on from that level, whose rows they have met before.
 
-        All trees of a query ascend together, and pass over the levels that bring no row in any of them. The caller may
-        raise ``until`` of a query between two levels.
+        All trees of a query ascend together; some queries are given at a time, each from its longest match on. The
+        caller may raise ``until`` of a query between two levels.
         """
-        first, end = self.spans(codes, BITS if since is None else since)
-        met = np.zeros((len(codes), len(self.ids)), dtype=bool)
-        level = self.beyond(codes, first, end)
+        heads, tails = words(codes)
+        n, met = len(self.ids), np.zeros((len(codes), len(self.ids)), dtype=bool)
+        seen = met.ravel()
+        first, end = self.spans(heads, 64 if since is None else since)
         if since is None:
-            level = np.where((first < end).any(axis=1), BITS, level)
-            end[:] = first
+            top, start = BITS, self.longest(heads, first, end)
+            end = first.copy()
         else:
-            for q, places in enumerate(zip(first.tolist(), end.tolist(), strict=True)):
-                met[q, np.concatenate([rows[a:b] for rows, a, b in zip(self.order, *places, strict=True)])] = True
-        while (going := (level >= until) & (level >= 0)).any():
-            now = int(level[going].max())
-            asked = np.flatnonzero(going & (level == now))
-            low, high = self.spans(codes[asked], now)
-            starts, stops = np.hstack([low, end[asked]]), np.hstack([first[asked], high])
-            first[asked], end[asked] = low, high
-            level[asked] = self.beyond(codes[asked], low, high)
-            for q, start, size in zip(asked.tolist(), starts + self.at, np.maximum(stops - starts, 0), strict=True):
-                upto = size.cumsum()
-                rows = self.flat[np.repeat(start - upto + size, size) + np.arange(upto[-1])]
-                if len(fresh := np.unique(rows[~met[q, rows]])):
-                    met[q, fresh] = True
-                    yield now, q, fresh
+            top, start = since - 1, np.full(len(codes), since - 1)
+            for _, q, places in self.places(first + self.at, end + self.at):
+                seen[q * n + self.flat[places]] = True
+        for bottom in (b for b in (*BANDS, *range(LONG, -1, -1)) if b <= top):
+            going = np.flatnonzero((until <= top) & (start >= bottom))
+            going = going[~met[going].all(axis=1)]
+            if not len(going):
+                top = bottom - 1
+                continue
+            low, high = self.spans(heads[going], bottom)
+            starts, stops = np.hstack([low, end[going]]), np.hstack([first[going], high])
+            first[going], end[going] = low, high
+            if not bottom:  # the empty prefix, which all rows share
+                q, rows = np.nonzero(~met[going])
+                yield 0, going[q], rows
+                return
+            at = np.tile(self.at, 2)
+            for part, q, places in self.places(starts + at, stops + at):
+                asked, rows = going[q], self.flat[places]
+                if top == bottom:
+                    before = met[going[part]]
+                    seen[asked * n + rows] = True
+                    q, rows = np.nonzero(met[going[part]] & ~before)
+                    if len(q):
+                        yield bottom, going[part][q], rows
+                    continue
+                new = ~seen[asked * n + rows]
+                asked, rows, places = asked[new], rows[new], places[new]
+                tree = places // n
+                shared = leading_zeros(self.halves[0].ravel()[places] ^ heads[asked, tree])
+                if (whole := shared == 64).any():
+                    shared[whole] += leading_zeros(self.halves[1].ravel()[places[whole]] ^ tails[asked[whole], tree[whole]])
+                key = asked * n + rows
+                order = np.lexsort((-shared, key))
+                order = order[np.diff(key[order], prepend=-1) != 0]  # a row's longest match in any tree
+                asked, rows, shared = asked[order], rows[order], shared[order]
+                for level in np.unique(shared)[::-1].tolist():
+                    here = (shared == level) & (until[asked] <= level)
+                    if here.any():
+                        seen[asked[here] * n + rows[here]] = True
+                        yield level, asked[here], rows[here]
+            top = bottom - 1
+
+    def ascend(self, codes: np.ndarray, until: np.ndarray, since: int | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(level, query, rows first met there): ``climb``, query by query."""
+        for level, queries, rows in self.climb(codes, until, since):
+            for q in np.unique(queries).tolist():
+                yield level, q, rows[queries == q]
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, codes: np.ndarray, bounds: np.ndarray, k: int, since: int | None = None, least: int = 0) -> tuple[pd.DataFrame, np.ndarray]:
         """The best ``k`` candidates of each query here with how many it met, and the queries' bounds.
@@ -178,37 +248,62 @@ class Forest:
         A bound is a score that ``k`` rows are known to have; minus infinity where there are none. Queries go on from
         level ``since``, if given, and stop at the level ``least`` at the latest.
         """
+        found, out = [pd.DataFrame({c: [] for c in ("id", "vec_id", "score", "met")})], [bounds[:0]]
+        for at in range(0, len(queries), TOGETHER):
+            some = slice(at, at + TOGETHER)
+            rows, now = self.search_some(query_ids[some], queries[some], codes[some], bounds[some], k, since, least)
+            found = [*found, rows] if len(rows) else found
+            out.append(now)
+        return pd.concat(found[1:] or found, ignore_index=True), np.concatenate(out)
+
+    def search_some(self, query_ids: np.ndarray, queries: np.ndarray, codes: np.ndarray, bounds: np.ndarray, k: int, since: int | None, least: int) -> tuple[pd.DataFrame, np.ndarray]:
         norms, bounds = np.sqrt((queries * queries).sum(axis=1)), bounds.copy()
         until, count = np.maximum(least, last_level(bounds, norms, self.norm)), np.zeros(len(queries), dtype=np.int64)
-        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: dict[int, list[np.ndarray]] = {}
-
-        def score(q: int) -> None:
-            near = np.concatenate(waiting.pop(q))
-            near = near[self.ids[near] != query_ids[q]]
-            count[q] += len(near)
-            rough = self.vectors[near] @ queries[q]  # the product rounds in another order: what may be among the best is summed up again
-            bar = bounds[q]
-            if len(near) > k:
-                bar = max(bar, np.partition(rough, len(near) - k)[len(near) - k])
-            near = near[rough >= bar - 1e-9 * max(1.0, abs(bar))] if np.isfinite(bar) else near
-            ids, scores = self.ids[near], (self.vectors[near] * queries[q]).sum(axis=1)
-            if q in best:
-                ids, scores = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], scores])
-            top = np.lexsort((ids, -scores))[:k]
-            best[q] = ids[top], scores[top]
-            if len(top) == k and scores[top][-1] > bounds[q] and len(np.unique(ids[top])) == k:
-                bounds[q] = scores[top][-1]
-                until[q] = max(least, last_level(bounds[q : q + 1], norms[q : q + 1], self.norm)[0])
-
-        for _, q, near in self.ascend(codes, until, since):  # rows are scored once there are k of them
-            waiting.setdefault(q, []).append(near)
-            if sum(map(len, waiting[q])) > k:
-                score(q)
-        for q in list(waiting):
-            score(q)
-        found = [pd.DataFrame({"id": query_ids[q], "vec_id": ids, "score": scores, "met": np.eye(1, len(ids), dtype=np.int64)[0] * count[q]}) for q, (ids, scores) in best.items() if len(ids)]
-        return pd.concat(found or [pd.DataFrame({c: [] for c in ("id", "vec_id", "score", "met")})], ignore_index=True), bounds
+        best, best_ids = np.full((len(queries), k), -np.inf), np.full((len(queries), k), -1, dtype=np.int64)
+        products: list[np.ndarray] = []
+
+        def scores(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            pieces = [slice(i, i + 8192) for i in range(0, len(q), 8192)]
+            return np.concatenate([np.zeros(0), *[(self.vectors[rows[p]] * queries[q[p]]).sum(axis=1) for p in pieces]])
+
+        def score(q: np.ndarray, rows: np.ndarray) -> None:
+            other = self.ids[rows] != query_ids[q]
+            q, rows = q[other], rows[other]
+            count[:] += np.bincount(q, minlength=len(queries))
+            if not products and 16 * len(q) > len(queries) * len(self.ids):
+                products.append(queries @ self.vectors.T)
+            if products:  # the product rounds in another order: what may be among the best is summed up again
+                bar = bounds[q]
+                near = np.isneginf(bar) | (products[0][q, rows] >= bar - 1e-9 * np.maximum(1.0, np.abs(bar)))
+                q, rows = q[near], rows[near]
+            exact = scores(q, rows)
+            near = exact >= bounds[q]
+            q, ids, exact = q[near], self.ids[rows[near]], exact[near]
+            if not len(q):
+                return
+            touched = np.unique(q)
+            held = np.repeat(touched, k), best_ids[touched].ravel(), best[touched].ravel()
+            q, ids, exact = (np.concatenate(x) for x in zip((q, ids, exact), held, strict=True))
+            order = np.lexsort((ids, -exact, q))
+            q, ids, exact = q[order], ids[order], exact[order]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            q, rank, ids, exact = (x[rank < k] for x in (q, rank, ids, exact))
+            best[q, rank], best_ids[q, rank] = exact, ids
+            distinct = (np.diff(np.sort(best_ids[touched], axis=1), axis=1) != 0).all(axis=1)
+            last = best[touched, k - 1]
+            raised = touched[distinct & (last > bounds[touched])]
+            bounds[raised] = best[raised, k - 1]
+            until[raised] = np.maximum(least, last_level(bounds[raised], norms[raised], self.norm))
+
+        wait_q = wait_rows = np.zeros(0, dtype=np.int64)
+        for _, q, rows in self.climb(codes, until, since):  # rows are scored once there are more than k of them
+            q, rows = np.concatenate([wait_q, q]), np.concatenate([wait_rows, rows])
+            ready = np.bincount(q, minlength=len(queries))[q] > k
+            wait_q, wait_rows = q[~ready], rows[~ready]
+            score(q[ready], rows[ready])
+        score(wait_q, wait_rows)
+        q, place = np.nonzero(best > -np.inf)
+        return pd.DataFrame({"id": query_ids[q], "vec_id": best_ids[q, place], "score": best[q, place], "met": np.where(place == 0, count[q], 0)}), bounds
 
 
 def usable(vector: Column) -> Column:
@@ -250,23 +345,60 @@ def planted(rows: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("dim", "bucket").applyInPandas(plant, PLANTED)
 
 
-def prefixes(rows: DataFrame, keep: str) -> DataFrame:
-    """(dim, keep, route, tree, prefix), distinct, of rows with the lengths of prefix in ``routes``."""
+def prefixes(rows: DataFrame, keep: str, trees: list[int]) -> DataFrame:
+    """(dim, route, tree, prefix) in ``trees`` of rows with the lengths of prefix in ``routes``, and the set of ``keep``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            head = np.ascontiguousarray(from_bytes(batch["codes"])[:, :, :8]).view(">u8")[:, :, 0].astype(np.uint64)
+            head = words(from_bytes(batch["codes"]))[0]
             for route in sorted({int(r) for routes in batch["routes"] for r in routes}):
                 has = np.array([route in routes for routes in batch["routes"]])
-                trees = TREES if route else 1
-                prefix = (head[has, :trees] >> np.uint64(63 - route)) >> np.uint64(1)
+                asked = trees if route else trees[:1]
+                prefix = (head[has][:, asked] >> np.uint64(63 - route)) >> np.uint64(1)
                 n = int(has.sum())
-                out = pd.DataFrame({"dim": np.repeat(batch["dim"].to_numpy()[has], trees), keep: np.repeat(batch[keep].to_numpy()[has], trees), "route": route})
-                yield out.assign(tree=np.tile(np.arange(trees), n), prefix=prefix.ravel().astype(np.int64)).drop_duplicates()
+                out = pd.DataFrame({"dim": np.repeat(batch["dim"].to_numpy()[has], len(asked)), keep: np.repeat(batch[keep].to_numpy()[has], len(asked)), "route": route})
+                yield out.assign(tree=np.tile(asked, n), prefix=prefix.ravel().astype(np.int64)).drop_duplicates()
+
+    found = rows.select("dim", keep, "codes", "routes").mapInPandas(run, f"dim int, {keep} long, route int, tree int, prefix long")
+    return found.groupBy("dim", "route", "tree", "prefix").agg(F.collect_set(keep).alias(keep))
+
 
-    return rows.select("dim", keep, "codes", "routes").mapInPandas(run, f"dim int, {keep} long, route int, tree int, prefix long").distinct()
+def meetings(rows: DataFrame, queries: DataFrame, trees: list[int]) -> DataFrame:
+    """(dim, bucket, block), distinct, with a prefix in ``trees`` in common; both sides have their ``routes``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met: dict[tuple[int, int], set[int]] = {}
+        for batch in batches:
+            new = []
+            for dim, buckets, blocks in zip(batch["dim"], batch["bucket"], batch["block"], strict=True):
+                for block in blocks:
+                    before = met.setdefault((dim, block), set())
+                    new += [(dim, bucket, block) for bucket in set(buckets) - before]
+                    before.update(buckets)
+            yield pd.DataFrame(new, columns=["dim", "bucket", "block"])
+
+    common = prefixes(rows, "bucket", trees).join(prefixes(queries, "block", trees), ["dim", "route", "tree", "prefix"])
+    return common.select("dim", "bucket", "block").mapInPandas(run, "dim int, bucket long, block long").distinct()
+
+
+def meeting_tiles(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """(dim, bucket, block) where some tree of the bucket has rows of the prefix of a query's route.
+
+    One tree is asked for all blocks, the others for those that do not meet all buckets in it.
+    """
+    in_use = queries.groupBy("dim").agg(F.collect_set("route").alias("routes"))  # a row for each dimension, ROUTES at most
+    in_use = rows.groupBy("dim").agg(F.countDistinct("bucket").alias("buckets")).join(in_use, "dim")
+    in_use = broadcast_if_small(materialize(in_use, "routes"))
+    rows, queries = rows.join(in_use.drop("buckets"), "dim"), queries.withColumn("routes", F.array("route"))
+    tiles = materialize(meetings(rows, queries, [SCOUT]), "tiles")
+    all_met = tiles.groupBy("dim", "block").count().join(in_use, "dim").where(F.col("count") == F.col("buckets")).select("dim", "block")
+    left = queries.join(broadcast_if_small(materialize(all_met, "all-met")), ["dim", "block"], "left_anti")
+    if left.isEmpty():
+        return tiles
+    others = meetings(rows.join(left.select("dim").distinct(), "dim", "left_semi"), left, [t for t in range(TREES) if t != SCOUT])
+    return materialize(tiles.unionByName(others).distinct(), "more-tiles")
 
 
 def with_level(queries: DataFrame) -> DataFrame:
@@ -296,11 +428,7 @@ def elsewhere(rows: DataFrame, trees: DataFrame, queries: DataFrame, k: int, sin
     """
     down_to = F.greatest("level", F.lit(least))
     route = F.array_max(F.filter(F.array(*[F.lit(r) for r in ROUTES]), lambda r: r <= down_to))
-    asked = materialize(prefixes(queries.withColumn("routes", F.array(route)), "block"), "asked")
-    in_use = asked.groupBy("dim").agg(F.collect_set("route").alias("routes"))  # a row for each dimension, ROUTES at most
-    held = prefixes(rows.join(broadcast_if_small(materialize(in_use, "routes")), "dim"), "bucket")
-    tiles = asked.join(held, ["dim", "route", "tree", "prefix"]).select("dim", "bucket", "block").distinct()
-    tiles = broadcast_if_small(materialize(tiles, "tiles"))
+    tiles = broadcast_if_small(meeting_tiles(rows, queries.withColumn("route", route)))
     key = ["dim", "bucket", "block"]
 
     def tile(bucket: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:

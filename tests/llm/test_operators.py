@@ -406,6 +406,79 @@ def test_ascent_stops_by_the_last_of_the_best():
         assert chance(level) >= ann.TARGET and (level == ann.BITS or chance(level + 1) < ann.TARGET)
 
 
+def test_queries_of_a_block_ascend_together(monkeypatch):
+    """Work in Python follows the levels, not the queries; every row is met that shares the level at which a query stops."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2000, 24))
+    x[1000:1200] = x[:200] + rng.standard_normal((200, 24)) * 0.01
+    x[1500:1600] = x[1500]
+    norm, asked = np.sqrt((x * x).sum(axis=1)).max(), x[::5]
+    norms = np.sqrt((asked * asked).sum(axis=1))
+    codes, own = ann.hashes(x, norm), ann.hashes(asked, None)
+    calls, level_of = [], ann.last_level
+    monkeypatch.setattr(ann, "last_level", lambda *a: calls.append(1) or level_of(*a))
+    found, bounds = ann.Forest.planted(np.arange(2000), x, norm, codes).search(np.arange(0, 2000, 5), asked, own, np.full(400, -np.inf), 10)
+    assert len(calls) < 400
+    found = {q: g for q, g in found.groupby("id")}
+    for i, (q, bits) in enumerate(zip(range(0, 2000, 5), np.unpackbits(own, axis=2), strict=True)):
+        got = found[q].sort_values(["score", "vec_id"], ascending=[False, True])
+        shared = np.cumprod(np.unpackbits(codes, axis=2) == bits, axis=2).sum(axis=2).max(axis=1) if i % 40 == 0 else None
+        scores = (x * x[q]).sum(axis=1)
+        assert len(got) == 10 and got["score"].iloc[-1] == bounds[i] and np.array_equal(scores[got["vec_id"].astype(int)], got["score"])
+        if shared is not None:
+            met = np.setdiff1d(np.flatnonzero(shared >= level_of(bounds[i : i + 1], norms[i : i + 1], norm)[0]), [q])
+            assert got["met"].sum() >= len(met) and set(met[np.lexsort((met, -scores[met]))][:10]) <= {*got["vec_id"]}
+
+
+def join_rows(df):
+    """Rows that the joins of a plan made, once it has run."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if "Join" in kind and "prefix" in node.toString().split("\n")[0]:
+                rows += node.metrics().apply("numOutputRows").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_blocks_find_their_buckets_without_a_row_for_each_pair(spark, monkeypatch):
+    """On independent directions every block meets every bucket; the joins make fewer rows than there are vectors, not a row for each pair and prefix."""
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 16)
+    made, write = [], ann.materialize
+    monkeypatch.setattr(ann, "materialize", lambda df, label: made.append(join_rows(df)) or write(df, label) if "tiles" in label else write(df, label))
+    x = np.random.default_rng(6).standard_normal((2000, 16))
+    _, recall, _ = neighbours(spark, x)
+    assert recall >= 0.9 and 0 < sum(made) < len(x)
+
+
+def test_tiles_are_all_that_share_a_prefix_of_the_route(spark):
+    """Those that one tree finds and those that only others find; a route of no bits meets every bucket of its dimension."""
+    rng = np.random.default_rng(7)
+    centres = rng.integers(0, 256, (12, ann.TREES, ann.BITS // 8), dtype=np.uint8)
+    held, asked = [], []
+    for i in range(300):
+        codes = centres[i % 12].copy()
+        other = rng.random(ann.TREES) < 0.9
+        codes[other] = rng.integers(0, 256, (int(other.sum()), ann.BITS // 8), dtype=np.uint8)
+        (held if i % 3 else asked).append((1 + i % 2, i // 12 % 10, codes, [48, 24, 12, 16][i // 12 % 4]))
+    asked.append((1, 77, centres[0], 0))
+    rows = spark.createDataFrame([(d, b, c.tobytes()) for d, b, c, _ in held], "dim int, bucket long, codes binary")
+    queries = spark.createDataFrame([(d, b, c.tobytes(), r) for d, b, c, r in asked], "dim int, block long, codes binary, route int")
+    prefix = lambda c, r: np.packbits(np.unpackbits(c, axis=1)[:, :r], axis=1)
+    expected = {(d, b, k) for d, k, q, r in asked for e, b, c, _ in held if d == e and (r == 0 or (prefix(c, r) == prefix(q, r)).all(axis=1).any())}
+    got = [tuple(t) for t in ann.meeting_tiles(rows, queries).select("dim", "bucket", "block").collect()]
+    assert set(got) == expected and len(got) == len(expected)
+    assert {t for t in expected if t[2] == 77} == {(d, b, 77) for d, b, _, _ in held if d == 1} and 20 < len(expected) < 180
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
 @pytest.mark.parametrize(("sf", "bucket_rows"), [("sf0.01", 4096), ("sf0.1", 4096), ("sf0.1", 300)])
 def test_recall_on_embeddings(spark, monkeypatch, sf, bucket_rows):
