@@ -21,7 +21,8 @@ three steps, and the ``k``-th best of one bounds the next: down to ``LONG`` bits
 ``LONG`` bits in all others, and on from there, for the queries that have to. Queries go in blocks to the buckets where
 some tree has rows of the prefix down to which they ascend, and to no other. A prefix is one row that lists its buckets
 and its blocks, so a join has no more rows than there are prefixes, and one tree comes before all others, which are only
-asked about blocks that do not go to every bucket by then. Each tile of a bucket and a block is a group of bounded size. On clustered vectors a block so meets few buckets, and few
+asked about blocks that do not go to every bucket by then. Each tile of a bucket and up to ``TILE_BLOCKS`` blocks is a
+group of bounded size. On clustered vectors a block so meets few buckets, and few
 queries take the last step; on independent directions every bucket has rows of every short prefix, and the work is
 queries times rows.
 
@@ -47,6 +48,8 @@ TREES, BITS = 64, 128
 #: The chance with which a row as near as the last of the ``k`` best is to be met.
 TARGET = 0.9
 BUCKET_ROWS, BLOCK_QUERIES = 4096, 2048
+#: Blocks that a bucket meets in one task at most, so that its trees are sent once for all of them.
+TILE_BLOCKS = 8
 #: The bits that rows share with a query before it has met all buckets' rows of so long a prefix.
 LONG = 12
 #: Lengths of prefix by which blocks are sent to buckets: the longest that is no longer than a query's level.
@@ -428,8 +431,11 @@ def elsewhere(rows: DataFrame, trees: DataFrame, queries: DataFrame, k: int, sin
     """
     down_to = F.greatest("level", F.lit(least))
     route = F.array_max(F.filter(F.array(*[F.lit(r) for r in ROUTES]), lambda r: r <= down_to))
-    tiles = broadcast_if_small(meeting_tiles(rows, queries.withColumn("route", route)))
-    key = ["dim", "bucket", "block"]
+    tiles = meeting_tiles(rows, queries.withColumn("route", route))
+    place = F.row_number().over(Window.partitionBy("dim", "bucket").orderBy("block"))
+    tiles = materialize(tiles.withColumn("part", F.floor((place - 1) / TILE_BLOCKS)), "parts")
+    parts, tiles = materialize(tiles.select("dim", "bucket", "part").distinct(), "bucket-parts"), broadcast_if_small(tiles)
+    key = ["dim", "bucket", "part"]
 
     def tile(bucket: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if since is None:
@@ -441,7 +447,7 @@ def elsewhere(rows: DataFrame, trees: DataFrame, queries: DataFrame, k: int, sin
         return found
 
     sent = queries.withColumnRenamed("bucket", "home").join(tiles, ["dim", "block"]).select(*key, "home", "id", "vector", "codes", "bound")
-    buckets = trees.join(tiles, ["dim", "bucket"]).select(*key, "norm", "ids", "vectors", "ranks", "codes")
+    buckets = trees.join(broadcast_if_small(parts), ["dim", "bucket"]).select(*key, "norm", "ids", "vectors", "ranks", "codes")
     return buckets.groupBy(*key).cogroup(sent.groupBy(*key)).applyInPandas(tile, FOUND)
 
 

@@ -452,11 +452,21 @@ def test_blocks_find_their_buckets_without_a_row_for_each_pair(spark, monkeypatc
     """On independent directions every block meets every bucket; the joins make fewer rows than there are vectors, not a row for each pair and prefix."""
     monkeypatch.setattr(ann, "BUCKET_ROWS", 64)
     monkeypatch.setattr(ann, "BLOCK_QUERIES", 16)
-    made, write = [], ann.materialize
-    monkeypatch.setattr(ann, "materialize", lambda df, label: made.append(join_rows(df)) or write(df, label) if "tiles" in label else write(df, label))
+    monkeypatch.setattr(ann, "TILE_BLOCKS", 3)
+    made, sizes, write = [], defaultdict(int), ann.materialize
+
+    def watched(df, label):
+        if "tiles" in label:
+            made.append(join_rows(df))
+        out = write(df, label)
+        sizes[label] += out.count() if "parts" in label else 0
+        return out
+
+    monkeypatch.setattr(ann, "materialize", watched)
     x = np.random.default_rng(6).standard_normal((2000, 16))
     _, recall, _ = neighbours(spark, x)
     assert recall >= 0.9 and 0 < sum(made) < len(x)
+    assert sizes["parts"] / 3 <= sizes["bucket-parts"] < sizes["parts"] / 2  # a bucket's trees are sent once for three blocks
 
 
 def test_tiles_are_all_that_share_a_prefix_of_the_route(spark):
