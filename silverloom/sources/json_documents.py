@@ -215,7 +215,7 @@ class Documents:
         """file, pos, element: the text of each element of the member (of a map, ``"key": value``), by its position."""
         pieces = self.pieces.get(member, [])
         cut, shared = _each(self.spark, pieces, self.tasks)
-        whole, streamed = _each(self.spark, self.packed, self.tasks)
+        whole, streamed = _each(self.spark, self.packed, len(self.packed))  # a task streams one
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

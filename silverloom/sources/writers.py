@@ -1,13 +1,15 @@
 """Writers of the published annotation formats, for exports and round trips, and of binary files.
 
-A format that is one document is written as such by default: its lines are made and sorted in tasks, and one streams them
-into the file. For an export that no single task should write, ``chunks`` makes many documents, each of the images of one
-``chunk``. ``images``: file_name, width, height, chunk; ``boxes``: file_name, source_box_index, source_class,
+Documents of COCO and TextOCR are streamed by the tasks that hold the images with their boxes, each of some of the images,
+and need no further shuffle; ``compress`` packs them with gzip. Other formats that are one document are written for each
+``chunk`` of images. ``images``: file_name, width, height, chunk; ``boxes``: file_name, source_box_index, source_class,
 xmin, ymin, xmax, ymax and flags.
 """
 
 from __future__ import annotations
 
+import io
+import json
 import zipfile
 from collections.abc import Iterator
 
@@ -19,6 +21,9 @@ from silverloom.functions import expr as X
 from silverloom.plans.scratch import dealt
 from silverloom.sources.byte_ranges import create_file, spread
 
+#: Images of a document at most, whose lines a task holds.
+DOCUMENT_IMAGES = 1 << 16
+
 
 def xywh() -> Column:
     return F.array("xmin", "ymin", F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
@@ -29,63 +34,71 @@ def _write(lines: DataFrame, path: str, **options: str) -> None:
     lines.repartition("chunk").write.options(**options).partitionBy("chunk").text(path)
 
 
-def _documents(images: DataFrame, boxes: DataFrame, entry: Column, name: str) -> DataFrame:
-    """(chunk, images, entries): the chunk's images and the entries of its boxes, in the order of ids and places."""
-    listed = images.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("id", "file_name", "width", "height", "coco_url"))).alias("images"))
-    keyed = boxes.join(images.select("file_name", "id", "chunk"), "file_name")
-    entries = keyed.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("id", "source_box_index", entry.alias("entry")))).alias(name))
-    return listed.join(entries.select("chunk", F.col(f"{name}.entry").alias(name)), "chunk", "left")
-
-
-def _one_document(sections: list[tuple[str, str, DataFrame]], path: str) -> None:
-    """An object whose members are (key, brackets, lines); lines (a, b, value) stand in the order of a and b."""
-    kind = "section int, a long, b int, value string"
-    spark = sections[0][2].sparkSession
-    lines = [df.select(F.lit(i).alias("section"), F.col("a").cast("long"), F.col("b").cast("int"), "value") for i, (*_, df) in enumerate(sections)]
-    every = lines[0]
-    for more in lines[1:]:
-        every = every.unionByName(more)
-    first = every.groupBy("section").agg(F.min(F.struct("a", "b")).alias("first"))  # a row for each member
-    comma = F.when(F.struct("a", "b") == F.col("first"), F.lit("")).otherwise(F.lit(","))
-    every = every.join(F.broadcast(first), "section").withColumn("value", F.concat(comma, "value")).drop("first")
-    heads = [(i, None, None, ("{" if i == 0 else f"{sections[i - 1][1][1]},") + f'"{key}": {brackets[0]}') for i, (key, brackets, _) in enumerate(sections)]
-    ends = spark.createDataFrame([*heads, (len(sections), None, None, sections[-1][1][1] + "}")], kind)
-    ordered = every.unionByName(ends).orderBy("section", F.asc_nulls_first("a"), "b").select("value")
-    ordered.coalesce(1).write.text(path)
-
-
-def write_coco(images: DataFrame, boxes: DataFrame, categories: list[str], path: str, more: dict[str, Column] | None = None, chunks: bool = False) -> None:
+def _documents(rows: DataFrame, members: list[tuple[str, str]], path: str, head: str, compress: bool) -> None:
+    """Documents of ``rows`` (id, image, entry), each an object of ``head`` and two members, (key, brackets) for the entries
+
+    and the images. A task streams its rows into documents of at most ``DOCUMENT_IMAGES`` images, whose lines it holds until
+    the entries stand; the rows of an image stand together.
+    """
+    (entries, entry_marks), (images, image_marks) = members
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, n, out, last, held, comma = TaskContext.get().partitionId(), 0, None, None, [], ""
+
+        def close() -> None:
+            out.write(f'{entry_marks[1]},"{images}": {image_marks[0]}'.encode() + ",\n".join(held).encode() + f"{image_marks[1]}}}".encode())
+            out.close()
+
+        for batch in batches:
+            for id, image, entry in zip(*(batch.column(c).to_pylist() for c in ("id", "image", "entry")), strict=True):
+                if id != last and len(held) >= DOCUMENT_IMAGES:
+                    close()
+                    out, held = None, []
+                if out is None:
+                    file = create_file(f"{path}/{task:05d}-{n}.json{'.gz' if compress else ''}")  # which packs what is named so
+                    out, comma, n = io.BufferedWriter(file, 1 << 20), "", n + 1
+                    out.write(f'{{{head}"{entries}": {entry_marks[0]}'.encode())
+                if id != last:
+                    held.append(image)
+                    last = id
+                if entry is not None:
+                    out.write(f"{comma}{entry}".encode())
+                    comma = ",\n"
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    ordered = rows.sortWithinPartitions("id", "place").select("id", "image", "entry")
+    if not ordered.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]:
+        with create_file(f"{path}/00000-0.json") as out:
+            out.write(f'{{{head}"{entries}": {"".join(entry_marks)},"{images}": {"".join(image_marks)}}}'.encode())
+
+
+def _with_images(images: DataFrame, boxes: DataFrame, image: Column, entry: Column) -> DataFrame:
+    """(id, image, place, entry): the images with their boxes, also those without any. Boxes that hold the image's id meet it by that."""
+    key = "id" if "id" in boxes.columns else "file_name"
+    met = images.select("id", "file_name", image.alias("image")).join(boxes.drop("id" if key == "file_name" else "file_name"), key, "left")
+    return met.select("id", "image", F.col("source_box_index").alias("place"), F.when(F.col("source_box_index").isNotNull(), entry).alias("entry"))
+
+
+def write_coco(images: DataFrame, boxes: DataFrame, categories: list[str], path: str, more: dict[str, Column] | None = None, compress: bool = False) -> None:
     """COCO and its kin: ``images`` also has id and coco_url; ``more`` are further fields of an annotation."""
     place = F.array_position(F.array(*map(F.lit, categories)), F.col("source_class"))
     fields = {"image_id": F.col("id"), "category_id": place, "bbox": xywh()} | (more or {})
-    if not chunks:
-        listed = images.select(F.col("id").alias("a"), F.lit(0).alias("b"), F.to_json(F.struct("id", "file_name", "width", "height", "coco_url")).alias("value"))
-        keyed = boxes.join(images.select("file_name", "id"), "file_name")
-        entries = keyed.select(F.col("id").alias("a"), F.col("source_box_index").alias("b"), F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("value"))
-        named = images.sparkSession.createDataFrame([(i + 1, c) for i, c in enumerate(categories)], "id int, name string")
-        named = named.select(F.col("id").alias("a"), F.lit(0).alias("b"), F.to_json(F.struct("id", "name")).alias("value"))
-        return _one_document([("images", "[]", listed), ("annotations", "[]", entries), ("categories", "[]", named)], path)
-    docs = _documents(images, boxes, F.struct(*[c.alias(n) for n, c in fields.items()]), "annotations")
-    named = F.array(*[F.struct(F.lit(i + 1).alias("id"), F.lit(c).alias("name")) for i, c in enumerate(categories)])
-    lists = F.struct("images", F.coalesce("annotations", F.array()).alias("annotations"), named.alias("categories"))
-    _write(docs.select("chunk", F.to_json(lists).alias("value")), path)
-
-
-def write_textocr(images: DataFrame, boxes: DataFrame, path: str, text: Column, chunks: bool = False) -> None:
+    image = F.to_json(F.struct("id", "file_name", "width", "height", "coco_url"))
+    rows = _with_images(images, boxes, image, F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])))
+    named = json.dumps([{"id": i + 1, "name": c} for i, c in enumerate(categories)])
+    _documents(rows, [("annotations", "[]"), ("images", "[]")], path, f'"categories": {named},', compress)
+
+
+def write_textocr(images: DataFrame, boxes: DataFrame, path: str, text: Column, compress: bool = False) -> None:
     """Maps of images and words by id; an id is the file name without its suffix, and for words its place behind it."""
-    image = X.stem(F.col("file_name"))
-    if not chunks:
-        line = lambda key, *fields: F.concat(F.lit('"'), key, F.lit('": '), F.to_json(F.struct(*fields))).alias("value")
-        listed = images.select(F.col("id").alias("a"), F.lit(0).alias("b"), line(image, "width", "height"))
-        keyed = boxes.join(images.select("file_name", "id"), "file_name")
-        key = F.concat_ws("_", image, "source_box_index")
-        entries = keyed.select(F.col("id").alias("a"), F.col("source_box_index").alias("b"), line(key, image.alias("image_id"), xywh().alias("bbox"), text.alias("utf8_string")))
-        return _one_document([("imgs", "{}", listed), ("anns", "{}", entries)], path)
-    word = F.struct(F.concat_ws("_", image, "source_box_index").alias("k"), F.struct(image.alias("image_id"), xywh().alias("bbox"), text.alias("utf8_string")).alias("v"))
-    docs = _documents(images, boxes, word, "words")
-    sizes = F.transform("images", lambda i: F.struct(X.stem(i.file_name), F.struct(i.width.alias("width"), i.height.alias("height"))))
-    maps = F.struct(F.map_from_entries(sizes).alias("imgs"), F.map_from_entries(F.coalesce("words", F.array())).alias("anns"))
-    _write(docs.select("chunk", F.to_json(maps).alias("value")), path)
+    name = X.stem(F.col("file_name"))
+    line = lambda key, *fields: F.concat(F.lit('"'), key, F.lit('": '), F.to_json(F.struct(*fields)))
+    word = line(F.concat_ws("_", name, "source_box_index"), name.alias("image_id"), xywh().alias("bbox"), text.alias("utf8_string"))
+    _documents(_with_images(images, boxes, line(name, "width", "height"), word), [("anns", "{}"), ("imgs", "{}")], path, "", compress)
 
 
 def write_hiertext(images: DataFrame, boxes: DataFrame, path: str, flags: dict[str, Column]) -> None:
